@@ -23,16 +23,28 @@ MAX_SLICES = 256
 SAMPLE_PER_SLICE = 20
 
 
-def _split_points(df: DataFrame, keys: list[str], order: list[str], rows_per_slice: int,
-                  max_slices: int) -> DataFrame | None:
-    """(keys, _cuts) for every key above `rows_per_slice`; None when there is none.
+def _identified(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` once and give every row a fixed identity, so that equal rows can be told apart."""
+    fixed = cut_lineage(df, label)
+    return fixed.select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_r"))
 
-    The sample only chooses where to cut; every row is kept and the result does not depend on it.
-    """
+
+IDENTITY = ["_f", "_r"]
+
+
+def _hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int) -> DataFrame | None:
+    """(keys, _n) of keys above `rows_per_slice`; counts combine before the shuffle."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_slice)
     hot = cut_lineage(counted, "hot-keys")
-    if hot.isEmpty():
-        return None
+    return None if hot.isEmpty() else hot
+
+
+def _split_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], rows_per_slice: int,
+                  max_slices: int) -> DataFrame:
+    """(keys, _cuts): cut points of each hot key, from a sample of about 20 rows per slice.
+
+    The sample only chooses where to cut; every row is kept and the result does not depend on it.
+    """
     slices = F.least(F.lit(max_slices), F.ceil(F.col("_n") / rows_per_slice).cast("int"))
     sampled = (
         df.select(*keys, F.struct(*order).alias("_at")).alias("l")
@@ -54,26 +66,31 @@ def _split_points(df: DataFrame, keys: list[str], order: list[str], rows_per_sli
     return cut_lineage(cuts, "cuts")
 
 
-def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                rows_per_slice: int | None = None, max_slices: int = MAX_SLICES) -> tuple[DataFrame, bool]:
-    """Add `_slice`, the place of the row among the cuts of its key; also whether any key is cut.
+def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None,
+                max_slices: int = MAX_SLICES) -> tuple[DataFrame, list[str], bool]:
+    """(rows with `_slice`, order to use, whether any key is cut).
 
-    With `rows_per_slice` unset, relations too small to hold a hot key are not counted at all.
+    With `rows_per_slice` unset, relations too small to hold a hot key are not counted at all. When
+    a key is hot the rows are written once and their identity ends the order, so that even a third
+    of all rows being copies of one row is spread.
     """
     keys, order = list(keys), list(order)
     if rows_per_slice is None and estimated_bytes(df) <= SMALL_BYTES:
-        return df.withColumn(SLICE, F.lit(0)), False
-    cuts = _split_points(df, keys, order, rows_per_slice or ROWS_PER_SLICE, max_slices)
-    if cuts is None:
-        return df.withColumn(SLICE, F.lit(0)), False
+        return df.withColumn(SLICE, F.lit(0)), order, False
+    rows_per_slice = rows_per_slice or ROWS_PER_SLICE
+    hot = _hot_keys(df, keys, rows_per_slice)
+    if hot is None:
+        return df.withColumn(SLICE, F.lit(0)), order, False
+    fixed, order = _identified(df, "hot-rows"), [*order, *IDENTITY]
+    cuts = _split_points(fixed, hot, keys, order, rows_per_slice, max_slices)
     at = F.struct(*[F.col(f"l.{c}") for c in order])
-    place = F.coalesce(F.size(F.filter(F.col("r._cuts"), lambda cut: cut < at)), F.lit(0))
+    place = F.size(F.filter(F.col("r._cuts"), lambda cut: cut < at))
     sliced = (
-        df.alias("l")
+        fixed.alias("l")
         .join(broadcast_if_small(cuts).alias("r"), null_safe_equal("l", "r", keys), "left")
         .select("l.*", F.when(F.col("r._cuts").isNull(), F.lit(0)).otherwise(place).alias(SLICE))
     )
-    return sliced, True
+    return sliced, order, True
 
 
 def _carry_join(rows: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,7 +103,7 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
                rows_per_slice: int | None = None) -> DataFrame:
     """`value` of the following row of the same key in ascending `order` (a total order)."""
     keys, order = list(keys), list(order)
-    rows, cut = with_slices(df, keys, order, rows_per_slice)
+    rows, order, cut = with_slices(df, keys, order, rows_per_slice)
     window = Window.partitionBy(*keys, SLICE).orderBy(*order)
     ahead = rows.withColumn(alias, F.lead(value).over(window))
     if not cut:
@@ -99,13 +116,13 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         .select(*keys, SLICE, "_carry")
     )
     filled = F.when(F.col("_last"), F.col("_carry")).otherwise(F.col(alias))
-    return _carry_join(ahead, heads, keys).withColumn(alias, filled).drop(SLICE, "_last", "_carry")
+    return _carry_join(ahead, heads, keys).withColumn(alias, filled).drop(SLICE, "_last", "_carry", *IDENTITY)
 
 
 def _running(df: DataFrame, keys: list[str], order: list[str], total: Column, alias: str,
              rows_per_slice: int | None) -> DataFrame:
     """Running aggregate of an additive expression, current row included."""
-    rows, cut = with_slices(df, keys, order, rows_per_slice)
+    rows, order, cut = with_slices(df, keys, order, rows_per_slice)
     window = (
         Window.partitionBy(*keys, SLICE).orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -122,7 +139,7 @@ def _running(df: DataFrame, keys: list[str], order: list[str], total: Column, al
     # A slice without any value so far keeps NULL, as one window over the key would.
     summed = F.when(F.col("_carry").isNull(), F.col(alias)).when(
         F.col(alias).isNull(), F.col("_carry")).otherwise(F.col(alias) + F.col("_carry"))
-    return _carry_join(within, carried, keys).withColumn(alias, summed).drop(SLICE, "_carry")
+    return _carry_join(within, carried, keys).withColumn(alias, summed).drop(SLICE, "_carry", *IDENTITY)
 
 
 def running_sum(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, alias: str = "running_sum",
@@ -163,17 +180,32 @@ def effective_dates(df: DataFrame, key: Sequence[str], ts: str, ties: Sequence[s
 _ROW_BITS = 33
 
 
+def sorted_by_range(df: DataFrame, order: Sequence[str | Column], partitions: int | None = None,
+                    spread: bool | None = None) -> DataFrame:
+    """Range partitions in `order`, sorted within.
+
+    Range partitioning reads its input twice (sample, shuffle), so a large input is written first;
+    the identity of the written rows then ends the order, which spreads a hot order value, and
+    copies of one row, over several partitions. `spread` forces or forbids that.
+    """
+    if spread is None:
+        spread = estimated_bytes(df) > SMALL_BYTES
+    by = list(order)
+    if spread:
+        df, by = _identified(df, "spread"), [*by, *IDENTITY]
+    ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
+    return ranged.sortWithinPartitions(*by).drop(*IDENTITY)
+
+
 def assign_ids(df: DataFrame, start: int = 1, order_by: Sequence[str | Column] | None = None,
-               id_col: str = "id") -> DataFrame:
+               id_col: str = "id", spread: bool | None = None) -> DataFrame:
     """Dense surrogate keys `start, start + 1, ...` in `order_by` order (any order when None).
 
     Rows are range-partitioned and sorted once and written to the shared folder, so that row
     positions stay fixed; the per-partition offsets are one row per partition. No task ever holds
     more than one range.
     """
-    placed = df
-    if order_by:
-        placed = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    placed = sorted_by_range(df, order_by, spread=spread) if order_by else df
     fixed = cut_lineage(placed.withColumn("_pos", F.monotonically_increasing_id()), "ids")
     part = F.shiftright("_pos", _ROW_BITS)
     row = F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
