@@ -20,9 +20,11 @@ from tidemark.sources.relations import log_range
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
-def file_feed(spark: SparkSession, folder: str, glob: str = "*", max_files: int | None = None) -> DataFrame:
+def file_feed(spark: SparkSession, folder: str, glob: str = "*", max_files: int | None = None,
+              recursive: bool = False) -> DataFrame:
     """Streaming relation with one row per new file: path, size, last_modified. Contents are not read."""
     reader = spark.readStream.format("binaryFile").schema(_LISTING).option("pathGlobFilter", glob)
+    reader = reader.option("recursiveFileLookup", str(recursive).lower())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(folder).select(
@@ -126,7 +128,7 @@ def on_change(feed: DataFrame, action: Callable[[DataFrame], None]) -> bool:
 
 
 def on_new_file(spark: SparkSession, folder: str, loader: Callable[[list[str], int], None], checkpoint: str,
-                glob: str = "*", max_files: int | None = None) -> None:
+                glob: str = "*", max_files: int | None = None, recursive: bool = False) -> None:
     """Call `loader(paths in path order, batch id)` for files not seen under this checkpoint, then end.
 
     A run without new files starts no batch. Only file paths reach the driver, at most `max_files`
@@ -138,7 +140,7 @@ def on_new_file(spark: SparkSession, folder: str, loader: Callable[[list[str], i
             loader(paths, batch_id)
 
     query = (
-        file_feed(spark, folder, glob, max_files).writeStream.foreachBatch(batch)
+        file_feed(spark, folder, glob, max_files, recursive).writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()

@@ -76,11 +76,10 @@ class HistoryStore:
         return self.open_table.read(version).unionByName(self.closed(version))
 
 
-def apply_file(spark: SparkSession, root: str, entity: Entity, path: str, batch_id: int, now: datetime | str,
-               ledger: Ledger) -> bool:
-    """Apply one snapshot file and record it; False when it was seen before, is older than the last
+def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, paths: Sequence[str], batch_id: int,
+                   now: datetime | str, ledger: Ledger) -> bool:
+    """Apply one snapshot and record it; False when it was seen before, is older than the last
     applied one, or has no usable row."""
-    name = path.rsplit("/", 1)[-1]
     found = _STAMP.search(name)
     stamp = datetime.strptime("".join(found.groups()), "%Y%m%d%H%M%S") if found else None
     if ledger.seen(entity.name, name):
@@ -91,7 +90,7 @@ def apply_file(spark: SparkSession, root: str, entity: Entity, path: str, batch_
         return False
     store = HistoryStore(spark, root, entity)
 
-    checked = cut_lineage(read_checked(spark, path, entity.schema, entity.fmt), "stage")
+    checked = cut_lineage(read_checked(spark, list(paths), entity.schema, entity.fmt), "stage")
     usable = (F.size("_rejected") == 0) & F.col(entity.key).isNotNull()
     staged = checked.filter(usable).select(*entity.schema.names)
     counts = checked.agg(F.count(F.when(usable, 1)).alias("good"), F.count(F.when(~usable, 1)).alias("bad")).first()
@@ -131,23 +130,44 @@ def _not_closed_before(classified: DataFrame, closed: DataFrame, on: Sequence[st
     return classified.alias("n").join(closed.select(*on).distinct().alias("h"), condition, "left_anti")
 
 
+def _deliveries(folder: str, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Files by delivery, in name order: a file below `folder`, or a folder of part files."""
+    base = _plain(folder).rstrip("/") + "/"
+    found: dict[str, list[str]] = {}
+    for path in paths:
+        found.setdefault(_plain(path).removeprefix(base).split("/", 1)[0], []).append(path)
+    return dict(sorted(found.items()))
+
+
+def _plain(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path)
+
+
 def run_pipeline(spark: SparkSession, folder: str, registry: Sequence[Entity], root: str, now: datetime | str,
-                 glob: str = "*", max_files: int | None = None) -> Ledger:
-    """Apply every new file below `folder`, in path order, to the entity its name starts with.
+                 glob: str = "[!._]*", max_files: int | None = None) -> Ledger:
+    """Apply every new delivery below `folder`, in name order, to the entity its name starts with.
 
-    A file stream finds new files; its checkpoint and the ledger below `root` make reruns harmless.
-    Files of unknown entities are left alone. A failing file fails the batch, which is replayed.
+    A delivery is one file, or a folder of part files closed by `_SUCCESS`, so that a snapshot of
+    any size is read by many tasks. A file stream finds new files; its checkpoint and the ledger
+    below `root` make reruns harmless. Unknown entities are left alone. An unfinished folder or a
+    failing delivery fails the batch, which the next run replays.
     """
     by_name = {e.name: e for e in registry}
     ledger = Ledger(spark, f"{root}/ledger")
 
     def load(paths: list[str], batch_id: int) -> None:
-        for path in paths:
-            entity = by_name.get(path.rsplit("/", 1)[-1].split(ENTITY_MARK)[0])
-            if entity:
-                apply_file(spark, root, entity, path, batch_id, now, ledger)
-
-    on_new_file(spark, folder, load, f"{root}/checkpoint", glob, max_files)
+        for name, parts in _deliveries(folder, paths).items():
+            entity = by_name.get(name.split(ENTITY_MARK)[0])
+            if entity is None:
+                continue
+            if not parts[0].endswith(name):
+                if not path_exists(spark, f"{folder}/{name}/_SUCCESS"):
+                    raise RuntimeError(f"delivery {name} is not complete")
+                # The whole folder, whatever share of it this batch listed.
+                parts = [f"{folder}/{name}"]
+            apply_delivery(spark, root, entity, name, parts, batch_id, now, ledger)
+
+    on_new_file(spark, folder, load, f"{root}/checkpoint", glob, max_files, recursive=True)
     return ledger
 
 
