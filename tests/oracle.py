@@ -46,7 +46,7 @@ def _value(v):
 
 def compare(df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None when equal, else what differs."""
-    got, want = df.toArrow(), con.execute(sql).to_arrow_table()
+    got, want = df.toArrow(), con.sql(sql).to_arrow_table()
     got_types = {f.name: _kind(f.type) for f in got.schema}
     want_types = {f.name: _kind(f.type) for f in want.schema}
     if got_types != want_types:

@@ -42,25 +42,24 @@ RULES = (
 def classify_columns(df: DataFrame, rules: Sequence[Rule] = RULES, path: str = "", min_ratio: float = 0.8) -> DataFrame:
     """One row per column: attribute, semantic_category, privacy_category, probability, alternates.
 
-    All (column, rule) match counts come from one aggregate over the whole table. The best rule at
-    or above `min_ratio` wins, earlier rules first; the others that qualify are alternates. A column
-    no rule fits has NULL categories, and so has every column of an empty table.
+    All match counts come from one pass: a row fans out to (column, value) pairs, which are counted
+    per column before the shuffle. The best rule at or above `min_ratio` wins, earlier rules first;
+    the others that qualify are alternates. A column no rule fits has NULL categories, and so has
+    every column of an empty table.
     """
-    counts = []
-    for i, name in enumerate(df.columns):
-        text = F.col(name).cast("string")
-        counts.append(F.count(text).alias(f"n_{i}"))
-        counts += [F.count(F.when(text.rlike(r.pattern), 1)).alias(f"m_{i}_{j}") for j, r in enumerate(rules)]
-    ratios = []
-    for i, name in enumerate(df.columns):
-        hits = [F.struct(
-            F.when(F.col(f"n_{i}") > 0, F.col(f"m_{i}_{j}") / F.col(f"n_{i}")).alias("ratio"),
-            F.lit(-j).alias("rank"), F.lit(r.semantic_category).alias("semantic"), F.lit(r.privacy_category).alias("privacy"),
-        ) for j, r in enumerate(rules)]
-        ratios.append(F.struct(F.lit(name).alias("attribute"), F.array(*hits).alias("hits")))
-    rows = df.agg(*counts).select(F.explode(F.array(*ratios)).alias("c"))
-    fitting = F.sort_array(F.filter("c.hits", lambda h: h.ratio >= min_ratio), asc=False)
-    ranked = rows.select(F.col("c.attribute").alias("attribute"), fitting.alias("fit"))
+    names = df.sparkSession.createDataFrame([(n,) for n in df.columns], "attribute string")
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("attribute"), F.col(n).cast("string").alias("v")) for n in df.columns
+    ])).alias("c")).select("c.*").filter(F.col("v").isNotNull())
+    counts = pairs.groupBy("attribute").agg(F.count(F.lit(1)).alias("n"), *[
+        F.count(F.when(F.col("v").rlike(r.pattern), 1)).alias(f"m_{j}") for j, r in enumerate(rules)])
+    hits = F.array(*[F.struct(
+        (F.col(f"m_{j}") / F.col("n")).alias("ratio"), F.lit(-j).alias("rank"),
+        F.lit(r.semantic_category).alias("semantic"), F.lit(r.privacy_category).alias("privacy"),
+    ) for j, r in enumerate(rules)])
+    ranked = names.join(
+        counts.select("attribute", F.sort_array(F.filter(hits, lambda h: h.ratio >= min_ratio), asc=False).alias("fit")),
+        "attribute", "left")
     best = F.get("fit", F.lit(0))
     return ranked.select(
         F.lit(path).alias("path_to_object"), "attribute",

@@ -64,9 +64,10 @@ def report_path(spark: SparkSession, path: str, exprs: Sequence[str | Column]) -
     return clustering_report(spark.read.parquet(path), exprs)
 
 
-def ctas(df: DataFrame, name: str, mode: str = "errorifexists") -> None:
-    """CREATE TABLE AS SELECT."""
-    df.write.mode(mode).saveAsTable(name)
+def ctas(df: DataFrame, name: str, mode: str = "errorifexists", path: str | None = None) -> None:
+    """CREATE TABLE AS SELECT, in the warehouse or at `path`."""
+    writer = df.write.mode(mode)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
