@@ -16,25 +16,39 @@ from tidemark.operators.joins import union_all
 
 @dataclass(frozen=True)
 class Rule:
-    """A value belongs to the category when the whole value matches the pattern."""
+    """A value belongs to the category when the whole value matches the pattern.
+
+    `spaces` and `max_bytes` restate what the pattern implies, so that long prose is ruled out
+    without running the pattern over it.
+    """
 
     semantic_category: str
     privacy_category: str
     pattern: str
+    spaces: bool = False
+    max_bytes: int | None = None
+
+    def fits(self, value: Column) -> Column:
+        test = value.rlike(self.pattern)
+        if not self.spaces:
+            test = ~F.contains(value, F.lit(" ")) & test
+        if self.max_bytes is not None:
+            test = (F.octet_length(value) <= self.max_bytes) & test
+        return test
 
 
 # Our own rules; the categories follow the usual names of such classifiers.
 RULES = (
     Rule("EMAIL", "IDENTIFIER", r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"),
-    Rule("US_SSN", "IDENTIFIER", r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"),
-    Rule("UK_NATIONAL_INSURANCE", "IDENTIFIER", r"^[A-Z]{2}[0-9]{6}[A-Z]$"),
+    Rule("US_SSN", "IDENTIFIER", r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", max_bytes=12),
+    Rule("UK_NATIONAL_INSURANCE", "IDENTIFIER", r"^[A-Z]{2}[0-9]{6}[A-Z]$", max_bytes=10),
     Rule("URL", "IDENTIFIER", r"^https?://[^ ]+$"),
-    Rule("IP_ADDRESS", "IDENTIFIER", r"^([0-9]{1,3}\.){3}[0-9]{1,3}$"),
+    Rule("IP_ADDRESS", "IDENTIFIER", r"^([0-9]{1,3}\.){3}[0-9]{1,3}$", max_bytes=16),
     Rule("ACCOUNT_NAME", "IDENTIFIER", r"^[A-Za-z]+#[0-9]+$"),
-    Rule("UK_POSTCODE", "QUASI_IDENTIFIER", r"^[A-Z]{1,2}[0-9][0-9A-Z]? [0-9][A-Z]{2}$"),
-    Rule("US_POSTAL_CODE", "QUASI_IDENTIFIER", r"^[0-9]{5}(-[0-9]{4})?$"),
-    Rule("GENDER", "QUASI_IDENTIFIER", r"^([Mm]ale|[Ff]emale|MALE|FEMALE)$"),
-    Rule("LANGUAGE", "QUASI_IDENTIFIER", r"^[a-z]{2}$"),
+    Rule("UK_POSTCODE", "QUASI_IDENTIFIER", r"^[A-Z]{1,2}[0-9][0-9A-Z]? [0-9][A-Z]{2}$", spaces=True, max_bytes=9),
+    Rule("US_POSTAL_CODE", "QUASI_IDENTIFIER", r"^[0-9]{5}(-[0-9]{4})?$", max_bytes=11),
+    Rule("GENDER", "QUASI_IDENTIFIER", r"^([Mm]ale|[Ff]emale|MALE|FEMALE)$", max_bytes=7),
+    Rule("LANGUAGE", "QUASI_IDENTIFIER", r"^[a-z]{2}$", max_bytes=3),
     Rule("AMOUNT", "SENSITIVE", r"^-?[0-9]+\.[0-9]+$"),
 )
 
@@ -44,22 +58,20 @@ def classify_columns(df: DataFrame, rules: Sequence[Rule] = RULES, path: str = "
 
     All match counts come from one pass: a row fans out to (column, value) pairs, which are counted
     per column before the shuffle. The best rule at or above `min_ratio` wins, earlier rules first;
-    the others that qualify are alternates. A column no rule fits has NULL categories, and so has
-    every column of an empty table.
+    the others that qualify are alternates. A column no rule fits, or without values, has NULL
+    categories; an empty table has no rows.
     """
-    names = df.sparkSession.createDataFrame([(n,) for n in df.columns], "attribute string")
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("attribute"), F.col(n).cast("string").alias("v")) for n in df.columns
-    ])).alias("c")).select("c.*").filter(F.col("v").isNotNull())
-    counts = pairs.groupBy("attribute").agg(F.count(F.lit(1)).alias("n"), *[
-        F.count(F.when(F.col("v").rlike(r.pattern), 1)).alias(f"m_{j}") for j, r in enumerate(rules)])
+    ])).alias("c")).select("c.*")
+    counts = pairs.groupBy("attribute").agg(F.count("v").alias("n"), *[
+        F.count(F.when(r.fits(F.col("v")), 1)).alias(f"m_{j}") for j, r in enumerate(rules)])
     hits = F.array(*[F.struct(
-        (F.col(f"m_{j}") / F.col("n")).alias("ratio"), F.lit(-j).alias("rank"),
+        F.try_divide(F.col(f"m_{j}"), F.col("n")).alias("ratio"), F.lit(-j).alias("rank"),
         F.lit(r.semantic_category).alias("semantic"), F.lit(r.privacy_category).alias("privacy"),
     ) for j, r in enumerate(rules)])
-    ranked = names.join(
-        counts.select("attribute", F.sort_array(F.filter(hits, lambda h: h.ratio >= min_ratio), asc=False).alias("fit")),
-        "attribute", "left")
+    ranked = counts.select(
+        "attribute", F.sort_array(F.filter(hits, lambda h: h.ratio >= min_ratio), asc=False).alias("fit"))
     best = F.get("fit", F.lit(0))
     return ranked.select(
         F.lit(path).alias("path_to_object"), "attribute",

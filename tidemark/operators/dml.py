@@ -105,10 +105,13 @@ def delete_missing(tgt: DataFrame, src: DataFrame, key: str, null_aware: bool =
 
 
 def _single_source(src: DataFrame, keys: list[str], null_safe: bool) -> DataFrame:
-    """Source rows that can match, with `_copies`, the number of rows sharing their key."""
+    """Source rows that can match, with `_copies` set where several share a key.
+
+    Only repeated keys are joined back: normally none, and then the join is dropped at run time.
+    """
     usable = src if null_safe else src.filter(_all_present(keys))
-    copies = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-    return usable.alias("s").join(copies.alias("c"), equal_on("s", "c", keys, null_safe)).select("s.*", "c._copies")
+    repeated = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > 1)
+    return usable.alias("s").join(repeated.alias("c"), equal_on("s", "c", keys, null_safe), "left").select("s.*", "c._copies")
 
 
 def merge(tgt: DataFrame, src: DataFrame, on: str | Sequence[str], matched: Sequence[Clause] = (),
@@ -124,7 +127,7 @@ def merge(tgt: DataFrame, src: DataFrame, on: str | Sequence[str], matched: Sequ
     hot key of the target.
     """
     keys = _keys(on)
-    source = _single_source(src, keys, null_safe) if check_source else src.withColumn("_copies", F.lit(1))
+    source = _single_source(src, keys, null_safe) if check_source else src.withColumn("_copies", F.lit(None).cast("long"))
     pairs = tgt.alias("tgt").join(
         source.withColumn("_found", F.lit(True)).alias("src"), equal_on("tgt", "src", keys, null_safe), "left")
     found = F.when(F.col("src._copies") > 1, F.raise_error(F.lit("merge: several source rows for one target row")))

@@ -155,23 +155,21 @@ def scd2_apply(hist: DataFrame, classified: DataFrame, on: Sequence[str], valid_
     """Merge classified rows into history on (`on`, valid_from).
 
     A close sets valid_to, flag N and, where history has it, the decision. An open row is inserted
-    with its own valid_from ("source") or `now`. null_safe=True also closes rows whose content is NULL.
+    with its own valid_from ("source") or `now`, unless history already has it. null_safe=True also
+    closes rows whose content is NULL. Pass a written `classified`: it is read for each part.
     """
     if valid_from not in ("now", "source"):
         raise ValueError(f"unknown valid_from: {valid_from}")
+    keys = [*on, "valid_from"]
     closing = {"valid_to": F.col("src.valid_to"), "current_flag": F.lit("N"), "decision": F.col("src.decision")}
     closing = {c: e for c, e in closing.items() if c in hist.columns}
-    opening = {c: F.col(f"src.{c}") for c in hist.columns if c in classified.columns}
-    if valid_from == "now":
-        opening["valid_from"] = ntz(now)
-    return merge(
-        hist, classified, [*on, "valid_from"],
-        matched=[(F.col("src.dml_type").isin("U", "D"), closing)],
-        not_matched=[(F.col("src.dml_type") == "I", opening)],
-        null_safe=null_safe,
-    )
+    closers = classified.filter(F.col("dml_type").isin("U", "D"))
+    kept = merge(hist, closers, keys, matched=[(None, closing)], null_safe=null_safe)
 
-
-def empty_history(like: DataFrame) -> DataFrame:
-    """History without rows in the shape of `like`."""
-    return truncate(like)
+    known = hist.select(*keys).distinct().alias("h")
+    opened = classified.filter(F.col("dml_type") == "I").alias("n")
+    opened = opened.join(known, equal_on("n", "h", keys, null_safe), "left_anti")
+    if valid_from == "now":
+        opened = opened.withColumn("valid_from", ntz(now))
+    return kept.unionByName(opened.select(
+        [(F.col(f.name) if f.name in opened.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in hist.schema]))

@@ -122,7 +122,7 @@ SELECT decision, o_orderkey, status, price, {sql_time_text('valid_from', 'valid_
 def applied(close: str, valid_from: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         feed, hist = _inputs(spark, sf_dir)
-        rows = scd2_classify(feed, hist, KEY, close, RUN_2)
+        rows = cut_lineage(scd2_classify(feed, hist, KEY, close, RUN_2), "classified")
         out = scd2_apply(hist, rows, [KEY, "status", "price"], valid_from, RUN_2)
         return with_time_text(out, "valid_from", "valid_to")
 

@@ -14,6 +14,7 @@ from tidemark.plans.common import (
     AS_OF, HISTORY, RUN_2, SNAPSHOTS, Registry, load, money, sql_time_text, with_time_text,
 )
 from tidemark.plans.history import CLOSE_NOW, KEY, _classified_sql, _inputs
+from tidemark.session import cut_lineage
 
 LINE = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,"
         " l_linestatus, l_shipdate").split(", ")
@@ -73,7 +74,8 @@ def top_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def full_outer_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed, hist = _inputs(spark, sf_dir)
-    view = scd2_classify(feed, hist, KEY, "now", RUN_2).select(KEY, "valid_from", "status", "dml_type")
+    view = cut_lineage(scd2_classify(feed, hist, KEY, "now", RUN_2), "classified")
+    view = view.select(KEY, "valid_from", "status", "dml_type")
     rows = joins.reconcile(view, hist.select(KEY, "valid_from", "status", "current_flag"), [KEY, "valid_from"])
     return with_time_text(rows, "v_valid_from", "h_valid_from")
 

@@ -47,8 +47,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, grouped by application; nothing is created yet.
+
+    The folder of an application may be removed once it has ended.
+    """
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:

@@ -112,6 +112,7 @@ def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, pa
     on = [entity.key, *entity.content()]
     if entity.valid_from == "source":
         classified = _not_closed_before(classified, closed, [*on, "valid_from"])
+    classified = cut_lineage(classified, "classified")
     merged = cut_lineage(scd2_apply(opened, classified, on, entity.valid_from, now, null_safe=True), "history")
     store.open_table.write(open_rows(merged), next_version)
     done = merged.filter(F.col("current_flag") == "N")
