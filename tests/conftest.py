@@ -16,7 +16,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
     session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": warehouse,
+        "spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4", "spark.ui.showConsoleProgress": "false", "spark.sql.warehouse.dir": warehouse,
         "spark.driver.memory": "8g",
     })
     session.sparkContext.setLogLevel("ERROR")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import assign_ids, row_numbers
+from tidemark.session import cut_lineage
 
 # Items one aggregated value may hold; a larger group continues in its next part.
 PART_ROWS = 100_000
@@ -67,11 +68,12 @@ def json_per_group(df: DataFrame, keys: Sequence[str], k: str, v: Column | str,
                    max_keys: int = PART_ROWS) -> DataFrame:
     """One JSON object per group from (k, v) rows, keys in order.
 
-    A document is one value, so a group of more than max_keys names raises; names repeated in a
-    group are combined before the shuffle, the last value in order wins.
+    A document is one value, so a group of more than max_keys names raises. Names repeated in a
+    group are combined before the shuffle, the largest value wins; the combined rows are written
+    once, then checked and collected.
     """
     value = v if isinstance(v, Column) else F.col(v)
-    pairs = df.groupBy(*keys, F.col(k).alias("_k")).agg(F.max(value).alias("_v"))
+    pairs = cut_lineage(df.groupBy(*keys, F.col(k).alias("_k")).agg(F.max(value).alias("_v")), "pairs")
     sizes = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     if not sizes.filter(F.col("_n") > max_keys).isEmpty():
         raise ValueError(f"a group has more than {max_keys} names; one document cannot hold it")

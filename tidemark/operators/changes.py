@@ -16,31 +16,48 @@ INSERTED = "INSERT"
 DELETED = "DELETE"
 
 
+def present(keys: Sequence[str]) -> Column:
+    """No key column is NULL."""
+    test = F.col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        test = test & F.col(k).isNotNull()
+    return test
+
+
+def feed_row(image: Column, action: str, update: bool) -> Column:
+    """One feed row as a struct (img, action, is_update)."""
+    return F.struct(image.alias("img"), F.lit(action).alias(ACTION), F.lit(update).alias(IS_UPDATE))
+
+
 def change_feed(prev: DataFrame, curr: DataFrame, key: str | Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """Net row changes from `prev` to `curr`, both unique on `key`.
 
     An insert is (INSERT, false), a delete (DELETE, false), an update (DELETE, true) with the old
-    image and (INSERT, true) with the new one. Images compare null-safe over `cols`.
+    image and (INSERT, true) with the new one. Images compare null-safe over `cols`. A row with a
+    NULL key has no identity: it is deleted and inserted, and never enters the join.
     One shuffle join on a unique key, so no key can be hot; rows fan out with explode, not by
-    reading the join twice.
+    reading the join twice. Snapshots bucketed by the key join without a shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = list(cols) if cols else [c for c in curr.columns if c not in keys]
     names = keys + cols
     image = lambda frame: F.struct(*[F.col(f"{frame}.{c}") for c in names])
-    marked = lambda df: df.select(*names).withColumn("_here", F.lit(True))
-    joined = marked(prev).alias("p").join(marked(curr).alias("c"), equal_on("p", "c", keys, null_safe=True), "full_outer")
+    known = present(keys)
+    marked = lambda df: df.filter(known).select(*names).withColumn("_here", F.lit(True))
+    joined = marked(prev).alias("p").join(marked(curr).alias("c"), equal_on("p", "c", keys), "full_outer")
     had, has = F.col("p._here").isNotNull(), F.col("c._here").isNotNull()
     changed = had & has & ~image("p").eqNullSafe(image("c"))
-    row = lambda img, action, update: F.struct(
-        img.alias("img"), F.lit(action).alias(ACTION), F.lit(update).alias(IS_UPDATE))
     events = (
-        F.when(~had, F.array(row(image("c"), INSERTED, False)))
-        .when(~has, F.array(row(image("p"), DELETED, False)))
-        .when(changed, F.array(row(image("p"), DELETED, True), row(image("c"), INSERTED, True)))
+        F.when(~had, F.array(feed_row(image("c"), INSERTED, False)))
+        .when(~has, F.array(feed_row(image("p"), DELETED, False)))
+        .when(changed, F.array(feed_row(image("p"), DELETED, True), feed_row(image("c"), INSERTED, True)))
     )
     exploded = joined.select(F.explode(events).alias("e"))
-    return exploded.select(*[F.col(f"e.img.{c}").alias(c) for c in names], f"e.{ACTION}", f"e.{IS_UPDATE}")
+    feed = exploded.select(*[F.col(f"e.img.{c}").alias(c) for c in names], f"e.{ACTION}", f"e.{IS_UPDATE}")
+    for frame, action in ((prev, DELETED), (curr, INSERTED)):
+        feed = feed.unionByName(frame.filter(~known).select(
+            *names, F.lit(action).alias(ACTION), F.lit(False).alias(IS_UPDATE)))
+    return feed
 
 
 def inserts(feed: DataFrame, update: bool | None = None) -> DataFrame:

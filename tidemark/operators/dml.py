@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.compare import equal_on
+from tidemark.operators.changes import present
 
 DELETE = "delete"
 Clause = tuple[Column | None, "Mapping[str, Column] | str"]
@@ -22,13 +23,6 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _all_present(keys: Sequence[str]) -> Column:
-    present = F.col(keys[0]).isNotNull()
-    for k in keys[1:]:
-        present = present & F.col(k).isNotNull()
-    return present
-
-
 def _required(column: Column, name: str) -> Column:
     return F.when(column.isNull(), F.raise_error(F.lit(f"NULL in required column {name}"))).otherwise(column)
 
@@ -82,7 +76,7 @@ def null_facts(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """(rows, rows with a NULL key) as one aggregate."""
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.count(F.when(~_all_present(keys), 1)).alias("n_null"),
+        F.count(F.when(~present(keys), 1)).alias("n_null"),
     ).first()
     return row["n"], row["n_null"]
 
@@ -109,7 +103,7 @@ def _single_source(src: DataFrame, keys: list[str], null_safe: bool) -> DataFram
 
     Only repeated keys are joined back: normally none, and then the join is dropped at run time.
     """
-    usable = src if null_safe else src.filter(_all_present(keys))
+    usable = src if null_safe else src.filter(present(keys))
     repeated = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter(F.col("_copies") > 1)
     return usable.alias("s").join(repeated.alias("c"), equal_on("s", "c", keys, null_safe), "left").select("s.*", "c._copies")
 

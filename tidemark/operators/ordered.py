@@ -17,7 +17,7 @@ from tidemark.functions.compare import null_safe_equal
 from tidemark.functions.dates import open_end
 from tidemark.session import SMALL_BYTES, broadcast_if_small, cut_lineage, estimated_bytes
 
-SLICE = "_slice"
+SLICE, HOT = "_slice", "_hot"
 ROWS_PER_SLICE = 5_000_000
 MAX_SLICES = 256
 SAMPLE_PER_SLICE = 20
@@ -68,7 +68,7 @@ def _split_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[st
 
 def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None,
                 max_slices: int = MAX_SLICES) -> tuple[DataFrame, list[str], bool]:
-    """(rows with `_slice`, order to use, whether any key is cut).
+    """(rows, order to use, whether any key is cut); rows of cut keys are `_hot` and have a `_slice`.
 
     With `rows_per_slice` unset, relations too small to hold a hot key are not counted at all. When
     a key is hot the rows are written once and their identity ends the order, so that even a third
@@ -76,11 +76,11 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_p
     """
     keys, order = list(keys), list(order)
     if rows_per_slice is None and estimated_bytes(df) <= SMALL_BYTES:
-        return df.withColumn(SLICE, F.lit(0)), order, False
+        return df, order, False
     rows_per_slice = rows_per_slice or ROWS_PER_SLICE
     hot = _hot_keys(df, keys, rows_per_slice)
     if hot is None:
-        return df.withColumn(SLICE, F.lit(0)), order, False
+        return df, order, False
     fixed, order = _identified(df, "hot-rows"), [*order, *IDENTITY]
     cuts = _split_points(fixed, hot, keys, order, rows_per_slice, max_slices)
     at = F.struct(*[F.col(f"l.{c}") for c in order])
@@ -88,58 +88,58 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_p
     sliced = (
         fixed.alias("l")
         .join(broadcast_if_small(cuts).alias("r"), null_safe_equal("l", "r", keys), "left")
-        .select("l.*", F.when(F.col("r._cuts").isNull(), F.lit(0)).otherwise(place).alias(SLICE))
+        .select("l.*", F.col("r._cuts").isNotNull().alias(HOT),
+                F.when(F.col("r._cuts").isNull(), F.lit(0)).otherwise(place).alias(SLICE))
     )
     return sliced, order, True
 
 
+HELPERS = [SLICE, HOT, "_carry", *IDENTITY]
+
+
 def _carry_join(rows: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach the per-(key, slice) value `_carry`; `carried` has at most max_slices rows per hot key."""
-    condition = null_safe_equal("l", "r", [*keys, SLICE])
-    return rows.alias("l").join(carried.alias("r"), condition, "left").select("l.*", "r._carry")
+    """Attach the per-(key, slice) value `_carry` of hot keys: at most max_slices rows per hot key."""
+    small = broadcast_if_small(cut_lineage(carried.select(*keys, SLICE, "_carry"), "carry"))
+    condition = null_safe_equal("l", "r", [*keys, SLICE]) & F.col(f"l.{HOT}")
+    return rows.alias("l").join(small.alias("r"), condition, "left").select("l.*", "r._carry")
 
 
 def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, alias: str,
                rows_per_slice: int | None = None) -> DataFrame:
     """`value` of the following row of the same key in ascending `order` (a total order)."""
-    keys, order = list(keys), list(order)
+    keys = list(keys)
     rows, order, cut = with_slices(df, keys, order, rows_per_slice)
+    if not cut:
+        return df.withColumn(alias, F.lead(value).over(Window.partitionBy(*keys).orderBy(*order)))
     window = Window.partitionBy(*keys, SLICE).orderBy(*order)
     ahead = rows.withColumn(alias, F.lead(value).over(window))
-    if not cut:
-        return ahead.drop(SLICE)
     ahead = ahead.withColumn("_last", F.lead(F.lit(True)).over(window).isNull())
     heads = (
-        rows.groupBy(*keys, SLICE)
+        rows.filter(HOT).groupBy(*keys, SLICE)
         .agg(F.min(F.struct(*order, F.col(value).alias("_v"))).alias("_head"))
         .withColumn("_carry", F.lead("_head._v").over(Window.partitionBy(*keys).orderBy(SLICE)))
-        .select(*keys, SLICE, "_carry")
     )
-    filled = F.when(F.col("_last"), F.col("_carry")).otherwise(F.col(alias))
-    return _carry_join(ahead, heads, keys).withColumn(alias, filled).drop(SLICE, "_last", "_carry", *IDENTITY)
+    filled = F.when(F.col("_last") & F.col(HOT), F.col("_carry")).otherwise(F.col(alias))
+    return _carry_join(ahead, heads, keys).withColumn(alias, filled).drop("_last", *HELPERS)
 
 
-def _running(df: DataFrame, keys: list[str], order: list[str], total: Column, alias: str,
+def _running(df: DataFrame, keys: list[str], order: Sequence[str], total: Column, alias: str,
              rows_per_slice: int | None) -> DataFrame:
     """Running aggregate of an additive expression, current row included."""
     rows, order, cut = with_slices(df, keys, order, rows_per_slice)
-    window = (
-        Window.partitionBy(*keys, SLICE).orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    within = rows.withColumn(alias, total.over(window))
+    by = Window.partitionBy(*keys, *([SLICE] if cut else [])).orderBy(*order)
+    within = rows.withColumn(alias, total.over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     if not cut:
-        return within.drop(SLICE)
+        return within
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        rows.groupBy(*keys, SLICE).agg(total.alias("_total"))
+        rows.filter(HOT).groupBy(*keys, SLICE).agg(total.alias("_total"))
         .withColumn("_carry", F.sum("_total").over(before))
-        .select(*keys, SLICE, "_carry")
     )
     # A slice without any value so far keeps NULL, as one window over the key would.
     summed = F.when(F.col("_carry").isNull(), F.col(alias)).when(
         F.col(alias).isNull(), F.col("_carry")).otherwise(F.col(alias) + F.col("_carry"))
-    return _carry_join(within, carried, keys).withColumn(alias, summed).drop(SLICE, "_carry", *IDENTITY)
+    return _carry_join(within, carried, keys).withColumn(alias, summed).drop(*HELPERS)
 
 
 def running_sum(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, alias: str = "running_sum",

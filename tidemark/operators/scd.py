@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.compare import equal_on
 from tidemark.functions.dates import ntz, open_end
-from tidemark.operators.changes import ACTION, IS_UPDATE, deletes, inserts
-from tidemark.operators.dml import merge, null_facts, truncate
+from tidemark.operators.changes import ACTION, DELETED, INSERTED, IS_UPDATE, deletes, feed_row, inserts, present
+from tidemark.operators.dml import merge, null_facts
 from tidemark.operators.joins import feed_join, semi
 from tidemark.operators.ordered import effective_dates
 
@@ -32,36 +32,24 @@ def scd1_changes(tgt: DataFrame, stg: DataFrame, key: str | Sequence[str], match
     Next state and change feed both come from this single join; keys are unique on both sides.
     A NULL key is never inserted or deleted, a NULL staged key suspends deletes, and a row is
     updated only when `match_col` differs with neither side NULL. An empty stage deletes all rows.
+    Target rows with a NULL key bypass the join.
     """
     keys = _keys(key)
     rows, nulls = null_facts(stg, keys)
+    gone = "same" if nulls else "delete"
+    known = present(keys)
     image = lambda frame: F.struct(*[F.col(f"{frame}.{c}") for c in tgt.columns])
-    staged = stg.select(*tgt.columns).dropna("any", subset=keys)
-    joined = (
-        tgt.withColumn("_here", F.lit(True)).alias("t")
-        .join(staged.withColumn("_here", F.lit(True)).alias("s"), equal_on("t", "s", keys), "full_outer")
-    )
+    marked = lambda df: df.filter(known).select(*tgt.columns).withColumn("_here", F.lit(True))
+    joined = marked(tgt).alias("t").join(marked(stg).alias("s"), equal_on("t", "s", keys), "full_outer")
     had, has = F.col("t._here").isNotNull(), F.col("s._here").isNotNull()
-    null_key = F.col(f"t.{keys[0]}").isNull()
-    for k in keys[1:]:
-        null_key = null_key | F.col(f"t.{k}").isNull()
     newer = F.coalesce(F.col(f"t.{match_col}") != F.col(f"s.{match_col}"), F.lit(False))
-    if rows == 0:
-        gone = F.lit(True)
-    elif nulls:
-        gone = F.lit(False)
-    else:
-        gone = ~null_key
-    change = (
-        F.when(~had, "insert")
-        .when(~has, F.when(gone, "delete").otherwise("same"))
-        .when(newer, "update").otherwise("same")
-    )
-    return joined.select(
-        change.alias("change"),
-        F.when(had, image("t")).alias("old"),
-        F.when(has, image("s")).alias("new"),
-    )
+    change = F.when(~had, "insert").when(~has, gone).when(newer, "update").otherwise("same")
+    changes = joined.select(
+        change.alias("change"), F.when(had, image("t")).alias("old"), F.when(has, image("s")).alias("new"))
+    nameless = tgt.filter(~known).select(
+        F.lit("same" if rows else "delete").alias("change"), F.struct(*tgt.columns).alias("old"),
+        F.lit(None).cast(changes.schema["new"].dataType).alias("new"))
+    return changes.unionByName(nameless)
 
 
 def scd1_state(changes: DataFrame) -> DataFrame:
@@ -71,15 +59,12 @@ def scd1_state(changes: DataFrame) -> DataFrame:
 
 
 def scd1_feed(changes: DataFrame) -> DataFrame:
-    """Change feed of the sync, same shape as `change_feed`; untouched images are not compared."""
-    row = lambda img, action, update: F.struct(
-        F.col(img).alias("img"), F.lit(action).alias(ACTION), F.lit(update).alias(IS_UPDATE))
-    kind = F.col("change")
-    same_image = F.col("old").eqNullSafe(F.col("new"))
+    """Change feed of the sync, same shape as `change_feed`."""
+    kind, old, new = F.col("change"), F.col("old"), F.col("new")
     events = (
-        F.when(kind == "insert", F.array(row("new", "INSERT", False)))
-        .when(kind == "delete", F.array(row("old", "DELETE", False)))
-        .when((kind == "update") & ~same_image, F.array(row("old", "DELETE", True), row("new", "INSERT", True)))
+        F.when(kind == "insert", F.array(feed_row(new, INSERTED, False)))
+        .when(kind == "delete", F.array(feed_row(old, DELETED, False)))
+        .when(kind == "update", F.array(feed_row(old, DELETED, True), feed_row(new, INSERTED, True)))
     )
     return changes.select(F.explode(events).alias("e")).select("e.img.*", f"e.{ACTION}", f"e.{IS_UPDATE}")
 

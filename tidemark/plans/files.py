@@ -129,6 +129,18 @@ def copy_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", "n", F.lit(first).cast("long").alias("first_run"), F.lit(second).cast("long").alias("second_run"))
 
 
+def ordered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly deliveries loaded in path order, each row with the place of its delivery."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy").alias("y"))
+    folder = new_folder(spark, "ordered")
+    orders.write.partitionBy("y").option("header", "true").csv(folder)
+    paths = files.ordered_files(spark, folder, "*.csv", recursive=True)
+    deliveries = list(dict.fromkeys(p.rsplit("/", 1)[0] for p in paths))
+    schema = T.StructType().add("o_orderkey", "long")
+    return union_all([
+        delimited.read_delimited(spark, path, schema).withColumn("place", F.lit(i)) for i, path in enumerate(deliveries)])
+
+
 def _planted(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
     """Event lines with a bad number for errors and one field too many for sign-ups."""
     events = load(spark, sf_dir, "events")
@@ -328,6 +340,8 @@ AS t(position, column_name, data_type, ddl)"""),
     "unload": (unload, "SELECT o_orderkey || '|' || o_custkey || '|' || o_orderstatus AS line FROM orders"),
     "copy_load": (copy_load, """
 SELECT event_type, count(*) AS n, (SELECT count(*) FROM events) AS first_run, CAST(0 AS BIGINT) AS second_run FROM events GROUP BY 1"""),
+    "ordered_load": (ordered_load, """
+SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY year(o_orderdate)) - 1 AS INTEGER) AS place FROM orders"""),
     "load_rejects": (load_rejects, """
 SELECT event_id, event_type, CASE event_type WHEN 'error' THEN 'value' ELSE 'line' END AS reason
 FROM events WHERE event_type IN ('error', 'signup')"""),

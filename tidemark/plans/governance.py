@@ -131,6 +131,21 @@ def policy_on_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked.unionByName(shown)
 
 
+def policy_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Policies by table and column, each with the values it masks or the rows it hides."""
+    customer = load(spark, sf_dir, "customer")
+    rules = policies.PolicySet()
+    public = F.col("c_mktsegment") == "BUILDING"
+    rules.set_mask("customer", "c_name", "name_mask", lambda role, df: policies.masked(F.col("c_name"), role, [ADMIN], public))
+    rules.add_row_policy("customer", "debt_rows", lambda role, df: F.col("c_acctbal") >= 0)
+    seen = rules.apply("customer", customer, OTHER)
+    masked = seen.agg(F.count(F.when(F.col("c_name") == policies.MASKED, 1)).alias("n")).select(
+        F.lit("name_mask").alias("policy_name"), "n")
+    hidden = customer.agg(F.count(F.when(~(F.col("c_acctbal") >= 0), 1)).alias("n")).select(
+        F.lit("debt_rows").alias("policy_name"), "n")
+    return rules.references(spark).join(masked.unionByName(hidden), "policy_name")
+
+
 def sql_scalar_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A two-argument policy as a SQL function."""
     show = policies.policy(
@@ -363,6 +378,10 @@ UNION ALL SELECT c_custkey, c_acctbal, '{OTHER}' FROM customer WHERE c_acctbal >
     "policy_on_view": (policy_on_view, f"""
 SELECT c_mktsegment, '{policies.MASKED}' AS c_name, count(*) AS n, 'set' AS step FROM customer WHERE c_mktsegment <> 'FURNITURE' GROUP BY 1
 UNION ALL SELECT c_mktsegment, max(c_name), count(*), 'unset' FROM customer GROUP BY 1"""),
+    "policy_references": (policy_references, """
+SELECT 'name_mask' AS policy_name, 'MASKING_POLICY' AS policy_kind, 'customer' AS object_name, 'c_name' AS column_name,
+       count(*) AS n FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'BUILDING'
+UNION ALL SELECT 'debt_rows', 'ROW_ACCESS_POLICY', 'customer', NULL, count(*) FROM customer WHERE c_acctbal < 0"""),
     "sql_scalar_function": (sql_scalar_function, f"""
 SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name ELSE '{policies.MASKED}' END AS c_name FROM customer"""),
     "assign_tag": (assign_tag, f"WITH {CATALOGUE} SELECT tag_object_id, tag_id, object_id FROM assigned"),

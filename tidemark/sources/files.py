@@ -36,9 +36,10 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*", checksum: bool
     return scan.select(*columns)
 
 
-def ordered_files(spark: SparkSession, folder: str, glob: str = "*") -> list[str]:
+def ordered_files(spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False) -> list[str]:
     """Paths in path order: the driver's work list of one run."""
-    return [r["path"] for r in list_files(spark, folder, glob).select("path").orderBy("path").toLocalIterator()]
+    listed = list_files(spark, folder, glob, recursive=recursive).select("path").orderBy("path")
+    return [r["path"] for r in listed.toLocalIterator()]
 
 
 def delete_files(spark: SparkSession, paths: Sequence[str]) -> None:
