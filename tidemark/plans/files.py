@@ -257,10 +257,16 @@ def on_change_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
         "data_quality_exception_id", "source_record_pk_value", F.lit(ran).alias("ran"), F.lit(again).alias("ran_again"))
 
 
-def _describe(n: int, content: object) -> str:
-    """Deterministic stand-in for a remote extractor: sizes of a file or text."""
-    raw = content if isinstance(content, str) else bytes(content).decode("utf-8")
-    return json.dumps({"chars": len(raw) + n, "lines": raw.count("\n")})
+def describer():
+    """Deterministic stand-in for a remote extractor: sizes of a file or text.
+
+    A nested function travels to the workers by value, so they need not have this package.
+    """
+    def describe(n: int, content: object) -> str:
+        raw = content if isinstance(content, str) else bytes(content).decode("utf-8")
+        return json.dumps({"chars": len(raw) + n, "lines": raw.count("\n")})
+
+    return describe
 
 
 def binary_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,7 +274,7 @@ def binary_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select(F.regexp_replace("text", "\n", " ").alias("value"))
     folder = new_folder(spark, "binary")
     docs.repartition(16).write.text(folder)
-    rows = enrich_files(files.read_binary(spark, folder, "*.txt"), _describe)
+    rows = enrich_files(files.read_binary(spark, folder, "*.txt"), describer())
     return rows.agg(
         F.sum(json_path("data", "$.chars", "bigint")).alias("chars"), F.sum(json_path("data", "$.lines", "bigint")).alias("lines"))
 
@@ -276,7 +282,7 @@ def binary_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 def external_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An external function per row, its JSON parsed and read by key."""
     docs = load(spark, sf_dir, "documents")
-    data = F.parse_json(external_function(_describe)(F.lit(1), F.col("text")))
+    data = F.parse_json(external_function(describer())(F.lit(1), F.col("text")))
     rows = docs.select("doc_id", data.alias("data"))
     return rows.select("doc_id", json_path("data", "$.chars", "bigint").alias("chars"), json_path("data", "$.lines", "bigint").alias("lines"))
 
