@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.compare import equal_on
 from tidemark.functions.dates import ntz, open_end
 from tidemark.operators.changes import ACTION, DELETED, INSERTED, IS_UPDATE, deletes, feed_row, inserts, present
-from tidemark.operators.dml import merge, null_facts
+from tidemark.operators.dml import merge, null_facts, unmatched
 from tidemark.operators.joins import feed_join, semi
 from tidemark.operators.ordered import effective_dates
 
@@ -151,9 +151,7 @@ def scd2_apply(hist: DataFrame, classified: DataFrame, on: Sequence[str], valid_
     closers = classified.filter(F.col("dml_type").isin("U", "D"))
     kept = merge(hist, closers, keys, matched=[(None, closing)], null_safe=null_safe)
 
-    known = hist.select(*keys).distinct().alias("h")
-    opened = classified.filter(F.col("dml_type") == "I").alias("n")
-    opened = opened.join(known, equal_on("n", "h", keys, null_safe), "left_anti")
+    opened = unmatched(classified.filter(F.col("dml_type") == "I"), hist, keys, null_safe)
     if valid_from == "now":
         opened = opened.withColumn("valid_from", ntz(now))
     return kept.unionByName(opened.select(

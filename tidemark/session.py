@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is hinted for broadcast only below this estimate; beyond it Spark shuffles.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# A side is hinted for broadcast only below this estimate (the default of Spark's own rule); beyond it
+# Spark shuffles.
+BROADCAST_BYTES = 10 * 1024 * 1024
 # A relation below this estimate cannot hold a group that one task could not sort.
 SMALL_BYTES = 256 * 1024 * 1024
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.compare import to_schema
 from tidemark.functions.text import ENTITY_MARK
-from tidemark.operators.dml import run_counted
+from tidemark.operators.dml import run_counted, unmatched
 from tidemark.operators.joins import union_all
 from tidemark.operators.ordered import assign_ids
 from tidemark.operators.scd import open_rows, scd1_changes, scd1_feed, scd1_state, scd2_apply, scd2_classify, split_stale
@@ -111,7 +111,10 @@ def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, pa
     classified = scd2_classify(feed, opened, entity.key, entity.close, now, entity.match_col)
     on = [entity.key, *entity.content()]
     if entity.valid_from == "source":
-        classified = _not_closed_before(classified, closed, [*on, "valid_from"])
+        # An opening row that is closed history already is matched, hence not inserted again.
+        opens = F.col("dml_type") == "I"
+        fresh = unmatched(classified.filter(opens), closed, [*on, "valid_from"], null_safe=True)
+        classified = fresh.unionByName(classified.filter(~opens))
     classified = cut_lineage(classified, "classified")
     merged = cut_lineage(scd2_apply(opened, classified, on, entity.valid_from, now, null_safe=True), "history")
     store.open_table.write(open_rows(merged), next_version)
@@ -123,14 +126,6 @@ def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, pa
     return True
 
 
-def _not_closed_before(classified: DataFrame, closed: DataFrame, on: Sequence[str]) -> DataFrame:
-    """An opening row that history already holds as a closed row is matched, hence not inserted again."""
-    condition = F.col("dml_type") == "I"
-    for c in on:
-        condition = condition & F.col(f"n.{c}").eqNullSafe(F.col(f"h.{c}"))
-    return classified.alias("n").join(closed.select(*on).distinct().alias("h"), condition, "left_anti")
-
-
 def _deliveries(folder: str, paths: Sequence[str]) -> dict[str, list[str]]:
     """Files by delivery, in name order: a file below `folder`, or a folder of part files."""
     base = _plain(folder).rstrip("/") + "/"
