@@ -66,6 +66,7 @@ def test_external_table_sees_new_files_by_pattern(spark, tmp_path):
 def test_infer_columns(spark, tmp_path):
     write(tmp_path, "a.csv", ["id,v,t", "1,x,2022-01-01 00:00:00"])
     assert rows(delimited.infer_columns(spark, str(tmp_path)), "ddl") == [("id int",), ("t timestamp",), ("v string",)]
+    assert delimited.infer_ddl(spark, str(tmp_path)) == "id int, v string, t timestamp"
 
 
 def test_copy_into_purges_what_it_loaded(spark, tmp_path):

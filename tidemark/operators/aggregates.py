@@ -11,7 +11,9 @@ from tidemark.operators.ordered import assign_ids, row_numbers
 from tidemark.session import cut_lineage
 
 # Items one aggregated value may hold; a larger group continues in its next part.
-PART_ROWS = 100_000
+PART_ROWS = 10_000
+# Names one JSON document may hold.
+MAX_KEYS = 100_000
 
 
 def sum_by(df: DataFrame, keys: Sequence[str] | Mapping[str, Column], col: str, alias: str | None = None) -> DataFrame:
@@ -65,7 +67,7 @@ def rows_to_array(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
 
 
 def json_per_group(df: DataFrame, keys: Sequence[str], k: str, v: Column | str, alias: str = "json",
-                   max_keys: int = PART_ROWS) -> DataFrame:
+                   max_keys: int = MAX_KEYS) -> DataFrame:
     """One JSON object per group from (k, v) rows, keys in order.
 
     A document is one value, so a group of more than max_keys names raises. Names repeated in a

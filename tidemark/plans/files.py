@@ -14,15 +14,14 @@ from pyspark.sql import types as T
 from tidemark.functions import text
 from tidemark.operators.enrich import enrich_files, external_function
 from tidemark.operators.joins import union_all
-from tidemark.operators.layout import clustering_report, write_clustered
+from tidemark.operators.layout import report_path, write_clustered
 from tidemark.operators.monitor import daily_spend
-from tidemark.operators.nested import json_path
+from tidemark.operators.nested import json_path, nested_view
 from tidemark.operators.quality import Check, run_checks
+from tidemark.operators.scd import MISSING, NEW_ROW, UPDATE_CLOSES, UPDATE_OPENS
 from tidemark.plans.common import AS_OF, CUTOFF, RUN_1, RUN_2, SNAPSHOTS, Registry, load, order_snapshots, sql_time_text, with_time_text
 from tidemark.plans.history import KEY
 from tidemark.plans.nested import PAGE, PARAM, NESTED, page_documents
-from tidemark.operators.nested import nested_view
-from tidemark.operators.scd import MISSING, NEW_ROW, UPDATE_CLOSES, UPDATE_OPENS
 from tidemark.session import new_folder
 from tidemark.sources import delimited, files
 from tidemark.sources.relations import read_json_variant
@@ -305,7 +304,7 @@ def clustered_write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_clustered(lineitem, ["l_shipdate"], 8, f"{base}/clustered")
     reports = []
     for layout in ("loose", "clustered"):
-        report = clustering_report(spark.read.parquet(f"{base}/{layout}"), ["l_shipdate"])
+        report = report_path(spark, f"{base}/{layout}", ["l_shipdate"])
         reports.append(report.select(
             F.lit(layout).alias("layout"), "total_files", (F.col("average_depth") <= 2).alias("well_clustered")))
     return union_all(reports)

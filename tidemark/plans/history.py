@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.dates import ntz
 from tidemark.operators import dml
@@ -232,8 +233,8 @@ def insert_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts appended to a wider target: defaults fill columns the statement leaves out."""
     part = load(spark, sf_dir, "part")
     target = (
-        load(spark, sf_dir, "part").limit(0).select("p_partkey", "p_name", F.col("p_retailprice").alias("price"))
-        .withColumns({"state": F.lit(""), "last_updated": ntz(RUN_2), "note": F.lit(None).cast("string")}).schema)
+        T.StructType().add("p_partkey", "long").add("p_name", "string").add("price", "double")
+        .add("state", "string").add("last_updated", T.TimestampNTZType()).add("note", "string"))
     rows = dml.with_defaults(
         part.select("p_partkey", "p_name", F.when(F.col("p_size") > 25, F.col("p_retailprice")).alias("price")),
         {"price": F.lit(0.0)}, not_null=["p_partkey", "price"])

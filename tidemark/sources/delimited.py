@@ -119,6 +119,11 @@ def infer_columns(spark: SparkSession, path: str, fmt: DelimitedFormat = COMMA)
     return spark.createDataFrame(rows, "position int, column_name string, data_type string, ddl string")
 
 
+def infer_ddl(spark: SparkSession, path: str, fmt: DelimitedFormat = COMMA) -> str:
+    """Column list for a CREATE TABLE over the files."""
+    return ", ".join(r["ddl"] for r in infer_columns(spark, path, fmt).orderBy("position").toLocalIterator())
+
+
 def unload(df: DataFrame, path: str, fmt: DelimitedFormat = PIPE, mode: str = "errorifexists") -> None:
     """Write delimited files, one per task, each with a header line when the format skips one."""
     (df.write.mode(mode).option("sep", fmt.sep).option("header", str(fmt.skip_header).lower())

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from tidemark.functions.compare import to_schema
 from tidemark.functions.text import ENTITY_MARK
 from tidemark.operators.dml import run_counted, unmatched
-from tidemark.operators.joins import union_all
 from tidemark.operators.ordered import assign_ids
 from tidemark.operators.scd import open_rows, scd1_changes, scd1_feed, scd1_state, scd2_apply, scd2_classify, split_stale
 from tidemark.session import cut_lineage
@@ -176,8 +175,3 @@ def append_typed(feed: DataFrame, schema: T.StructType, start: int, order_by: Se
     counted, _ = run_counted(rows, "append_typed")
     counted.write.mode("append").parquet(path)
     return rows
-
-
-def all_history(stores: Sequence[HistoryStore], versions: Sequence[int]) -> DataFrame:
-    """Histories of several entities of one shape."""
-    return union_all([s.history(v) for s, v in zip(stores, versions)])
