@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from helpers import rows, typed
 from tidemark.operators import dml
 from tidemark.operators.changes import apply_feed, change_feed, has_changes
+from tidemark.operators.layout import write_bucketed
 from tidemark.operators.scd import (
     MISSING, NEW_ROW, UPDATE_CLOSES, UPDATE_OPENS, scd1_changes, scd1_feed, scd1_state, scd1_sync, scd2_apply, scd2_classify,
     split_stale,
@@ -178,3 +179,25 @@ def test_random_tables(spark, seed):
         assert all(a.valid_to <= b.valid_from for a, b in zip(versions, versions[1:]))
         assert all(r.valid_from < r.valid_to for r in versions)
     assert set(live) <= set(history)
+
+
+def test_null_keys_stay_out_of_the_feed_join(spark):
+    """Rows without identity are deleted and inserted one by one, not paired."""
+    before, after = table(spark, (None, "a", T1), (None, "b", T1), (1, "x", T1)), table(spark, (None, "a", T1), (1, "x", T1))
+    feed = change_feed(before, after, "id")
+    assert rows(feed, "content", "action") == [("a", "DELETE"), ("a", "INSERT"), ("b", "DELETE")]
+    assert rows(apply_feed(before, feed, "id")) == rows(after)
+
+
+def test_bucketed_snapshots_join_without_a_shuffle(spark, first, second, tmp_path):
+    for name, df in (("snap_1", first), ("snap_2", second)):
+        write_bucketed(df, name, ["id"], 4, f"{tmp_path}/{name}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    feed = change_feed(spark.table("snap_1"), spark.table("snap_2"), "id")
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert feed.count() == 4
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for name in ("snap_1", "snap_2"):
+        spark.sql(f"DROP TABLE {name}")

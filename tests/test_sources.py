@@ -35,6 +35,13 @@ def test_inline_options_override_the_format(spark, tmp_path):
     assert rows(delimited.read_delimited(spark, str(tmp_path), SCHEMA, fmt), "id", "label") == [(1, "x"), (2, "NULL")]
 
 
+def test_empty_fields_may_stay_empty(spark, tmp_path):
+    write(tmp_path, "a.txt", ["1||", "2|NULL|"])
+    fmt = delimited.PIPE.override(skip_header=False, empty_as_null=False)
+    schema = T.StructType().add("id", "long").add("label", "string").add("note", "string")
+    assert rows(delimited.read_delimited(spark, str(tmp_path), schema, fmt)) == [(1, "", ""), (2, None, "")]
+
+
 def test_bad_records(spark, tmp_path):
     write(tmp_path, "a.txt", [*LINES, "4|too|2022-01-01 00:00:00|many", "5|few", "six|x|2022-01-01 00:00:00"])
     read = lambda mode: delimited.read_delimited(spark, str(tmp_path), SCHEMA, delimited.PIPE, mode)
@@ -105,6 +112,9 @@ def test_nested_document(spark, tmp_path):
     assert rows(got) == [("Ann", "Leeds", "fax"), ("Ann", "Leeds", "home"), ("Bob", None, None), ("Cyd", None, None)]
     assert rows(docs.select(nested.json_path("doc", "$.employee[1].firstName"))) == [("Bob",)]
     assert nested.explode_json(docs, "doc", "$.nothing").count() == 0
+    assert rows(docs.select(nested.json_path("doc", "$.employee[0].firstName", "int"))) == [(None,)]
+    with pytest.raises(PySparkException):
+        docs.select(nested.json_path("doc", "$.employee[0].firstName", "int", strict=True)).collect()
 
 
 def test_bad_json_raises(spark, tmp_path):

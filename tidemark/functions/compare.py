@@ -16,7 +16,7 @@ def differs_ci(a: Column, b: Column) -> Column:
 
 def differs_num(text: Column, number: Column) -> Column:
     """Text compared with a number; NULL when the text is not a number."""
-    return text.try_cast("decimal(38,10)") != number.cast("decimal(38,10)")
+    return text.try_cast("decimal(38,10)") != number.try_cast("decimal(38,10)")
 
 
 def null_safe_equal(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -47,16 +47,16 @@ def to_schema(df: DataFrame, schema: T.StructType, on_error: str = "abort") -> D
     """
     if on_error not in ("abort", "null", "reject"):
         raise ValueError(f"unknown on_error: {on_error}")
-    if on_error == "abort":
-        return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema}
+    failed = {name: F.col(name).isNotNull() & value.isNull() for name, value in typed.items()}
     if on_error == "null":
-        return df.select(typed)
-    failed = F.array_compact(F.array(*[
-        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
-        for f in schema
-    ]))
-    return df.select(*typed, failed.alias("_rejected"))
+        return df.select([value.alias(name) for name, value in typed.items()])
+    if on_error == "abort":
+        return df.select([
+            F.when(failed[name], F.raise_error(F.concat(F.lit(f"{name} does not convert: "), F.col(name).cast("string"))))
+            .otherwise(value).alias(name) for name, value in typed.items()])
+    names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in failed.items()]))
+    return df.select(*[value.alias(name) for name, value in typed.items()], names.alias("_rejected"))
 
 
 def rescale(value: Column, precision: int, scale: int, reference_rounding: bool = False) -> Column:

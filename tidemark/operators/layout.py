@@ -20,6 +20,11 @@ def write_clustered(df: DataFrame, exprs: Sequence[str | Column], n_files: int,
     sorted_by_range(df, [*columns, F.xxhash64(*df.columns)], n_files).write.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str, mode: str = "overwrite") -> None:
+    """Catalogue table bucketed and sorted by unique keys: snapshots written alike join without a shuffle."""
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode(mode).saveAsTable(name))
+
+
 def clustering_report(df: DataFrame, exprs: Sequence[str | Column], rows_per_slice: int | None = None) -> DataFrame:
     """One row: total_files, constant_files, average_overlaps, average_depth for the key `exprs`.
 

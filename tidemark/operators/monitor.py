@@ -44,8 +44,8 @@ def monitor_data(g: DataFrame, c: DataFrame, p: DataFrame, ordered: bool = True)
     rows = p.join(c, "monitor_control_id").join(g, "monitor_group_id").select(
         "monitor_group_id", "monitor_group_name", "monitor_control_id", "monitor_control_name",
         "monitor_parameter_id", "monitor_parameter_name", "monitor_parameter_value")
-    return rows.orderBy(
-        "monitor_group_name", "monitor_control_name", "monitor_parameter_name", "monitor_parameter_id") if ordered else rows
+    order = ["monitor_group_name", "monitor_control_name", "monitor_parameter_name", "monitor_parameter_id"]
+    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in order]) if ordered else rows
 
 
 def _log(rows: DataFrame, now: datetime | str, start: int) -> DataFrame:
@@ -130,7 +130,8 @@ def access_history(ah: DataFrame, qh: DataFrame, ordered: bool = True) -> DataFr
                F.col("execution_status"), sep=" -> ").alias("object_query"),
         *accessed, "query_id",
     )
-    return rows.orderBy(F.col("query_start_time").desc(), *[c for c in rows.columns if c != "query_start_time"]) if ordered else rows
+    ties = [c for c in rows.columns if c != "query_start_time"]
+    return rows.orderBy(F.col("query_start_time").desc_nulls_first(), *ties) if ordered else rows
 
 
 def daily_spend(metering: DataFrame, now: datetime | str, days_back: int = 1) -> DataFrame:

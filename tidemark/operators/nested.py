@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.compare import rescale
 
 
-def json_path(value: Column | str, path: str, kind: str = "string") -> Column:
-    """Value at a path such as `$.a[0].b`, NULL when the path is missing."""
-    return F.try_variant_get(value, path, kind)
+def json_path(value: Column | str, path: str, kind: str = "string", strict: bool = False) -> Column:
+    """Value at a path such as `$.a[0].b`, NULL when the path is missing.
+
+    A value that does not convert is NULL too, or raises when strict.
+    """
+    return (F.variant_get if strict else F.try_variant_get)(value, path, kind)
 
 
 def _lateral(df: DataFrame, source: Column, outer: bool, prefix: str) -> DataFrame:

@@ -38,27 +38,24 @@ COMMA = DelimitedFormat(sep=",")
 
 
 def _nulls(name: str, fmt: DelimitedFormat) -> Column:
-    """The reader takes one NULL token; the others, and empty fields, are mapped here."""
+    """The reader takes one NULL token, the empty field; the others are mapped here."""
+    column = F.col(name) if fmt.empty_as_null else F.coalesce(name, F.lit(""))
     tokens = [*fmt.null_tokens, ""] if fmt.empty_as_null else list(fmt.null_tokens)
-    column = F.col(name)
     return F.when(column.isin(tokens), F.lit(None)).otherwise(column).alias(name)
 
 
-def _text_scan(spark: SparkSession, path: str | Sequence[str], names: Sequence[str], fmt: DelimitedFormat) -> DataFrame:
-    """All columns as text, with the source line of records whose field count is wrong."""
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
+def text_reader(reader, schema: T.StructType, fmt: DelimitedFormat):
+    """Batch or stream reader of text columns, keeping the line of records with a wrong field count."""
+    text = T.StructType([T.StructField(n, T.StringType()) for n in [*schema.names, _BAD]])
     return (
-        spark.read.schema(schema).options(**fmt.reader_options())
+        reader.schema(text).options(**fmt.reader_options())
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).option("columnPruning", "false")
-        .csv(path)
     )
 
 
-def read_checked(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-                 fmt: DelimitedFormat = COMMA) -> DataFrame:
-    """Typed columns plus `_rejected` (names of bad columns, `line` for a wrong field count),
-    `_file_path` and `_file_name`. One pass; nothing is dropped."""
-    scan = _text_scan(spark, path, schema.names, fmt)
+def check_records(scan: DataFrame, schema: T.StructType, fmt: DelimitedFormat) -> DataFrame:
+    """Typed columns of a `text_reader` scan plus `_rejected` (names of bad columns, `line` for a
+    wrong field count), `_file_path` and `_file_name`. One pass; nothing is dropped."""
     text = scan.select(*[_nulls(n, fmt) for n in schema.names], _BAD, *file_columns())
     kept = [_BAD, "_file_path", "_file_name"]
     widened = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in kept]])
@@ -67,6 +64,12 @@ def read_checked(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
     return typed.withColumn("_rejected", F.concat(bad_line, "_rejected")).drop(_BAD)
 
 
+def read_checked(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
+                 fmt: DelimitedFormat = COMMA) -> DataFrame:
+    """Every record of the files with what is wrong with it, see `check_records`."""
+    return check_records(text_reader(spark.read, schema, fmt).csv(path), schema, fmt)
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
                    fmt: DelimitedFormat = COMMA, on_error: str = "abort", with_file: bool = False) -> DataFrame:
     """Typed scan. on_error: "abort" raises on the first bad record, "skip" leaves bad records out,

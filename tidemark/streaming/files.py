@@ -5,16 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.compare import to_schema
 from tidemark.functions.dates import ntz
 from tidemark.functions.text import absolute_path, entity_of, file_stamp, relative_path
-from tidemark.sources.delimited import COMMA, DelimitedFormat, read_checked
-from tidemark.sources.files import file_columns, list_files
+from tidemark.sources.delimited import COMMA, DelimitedFormat, check_records, read_checked, text_reader
+from tidemark.sources.files import list_files, path_exists
 from tidemark.sources.relations import log_range
 
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
@@ -54,24 +53,11 @@ def ingest_stream(spark: SparkSession, folder: str, schema: T.StructType, sink:
     their source file, load time and rejected columns, so `load_report` needs no second scan of
     the input. `clean_source` takes the reader's cleanSource options.
     """
-    text = T.StructType([T.StructField(n, T.StringType()) for n in schema.names])
-    reader = (
-        spark.readStream.schema(text.add("_bad_line", "string")).options(**fmt.reader_options())
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad_line").option("columnPruning", "false")
-        .option("pathGlobFilter", glob).options(**(clean_source or {}))
-    )
+    reader = text_reader(spark.readStream, schema, fmt).option("pathGlobFilter", glob).options(**(clean_source or {}))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    tokens = [*fmt.null_tokens, ""] if fmt.empty_as_null else list(fmt.null_tokens)
-    scan = reader.csv(folder).select(
-        *[F.when(F.col(n).isin(tokens), F.lit(None)).otherwise(F.col(n)).alias(n) for n in schema.names],
-        "_bad_line", *file_columns())
-    extra = [T.StructField(n, T.StringType()) for n in ("_bad_line", "_file_path", "_file_name")]
-    typed = to_schema(scan, T.StructType([*schema.fields, *extra]), "reject")
-    bad_line = F.when(F.col("_bad_line").isNotNull(), F.array(F.lit("line"))).otherwise(F.array().cast("array<string>"))
-    rows = typed.withColumns({
-        "_rejected": F.concat(bad_line, "_rejected"), "_loaded_at": F.current_timestamp().cast("timestamp_ntz"),
-    }).drop("_bad_line")
+    rows = check_records(reader.csv(folder), schema, fmt).withColumn(
+        "_loaded_at", F.current_timestamp().cast("timestamp_ntz"))
     writer = rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
@@ -99,23 +85,16 @@ def validate_load(spark: SparkSession, path: str, schema: T.StructType, fmt: Del
     return read_checked(spark, path, schema, fmt).filter(F.size("_rejected") > 0)
 
 
-def snapshot_append(df: DataFrame, path: str, now: datetime | str, date_col: str | None = None,
-                    at: Column | None = None) -> bool:
-    """Append one periodic report to a folder partitioned by date; a date already there is left alone.
+def snapshot_append(df: DataFrame, path: str, now: datetime | str) -> bool:
+    """Append one periodic report, stamped `last_updated`, to a folder partitioned by date.
 
-    Returns whether rows were written.
+    A date that is complete is left alone, one left unfinished is written anew. Returns whether
+    rows were written.
     """
-    from tidemark.sources.files import path_exists
-
-    spark = df.sparkSession
-    stamp = at if at is not None else ntz(now)
-    day = str(now)[:10]
-    if path_exists(spark, f"{path}/snapshot_date={day}"):
+    target = f"{path}/snapshot_date={str(now)[:10]}"
+    if path_exists(df.sparkSession, f"{target}/_SUCCESS"):
         return False
-    rows = df.withColumn("last_updated", stamp)
-    if date_col:
-        rows = rows.withColumn(date_col, ntz(now).cast("date"))
-    rows.write.mode("errorifexists").parquet(f"{path}/snapshot_date={day}")
+    df.withColumn("last_updated", ntz(now)).write.mode("overwrite").parquet(target)
     return True
 
 
@@ -132,7 +111,7 @@ def on_new_file(spark: SparkSession, folder: str, loader: Callable[[list[str], i
     """Call `loader(paths in path order, batch id)` for files not seen under this checkpoint, then end.
 
     A run without new files starts no batch. Only file paths reach the driver, at most `max_files`
-    per batch.
+    per batch; batches then follow modification time, paths are ordered within each.
     """
     def batch(df: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in df.select("path").orderBy("path").toLocalIterator()]
