@@ -201,3 +201,8 @@ def test_bucketed_snapshots_join_without_a_shuffle(spark, first, second, tmp_pat
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for name in ("snap_1", "snap_2"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_key_staged_twice_raises(spark, first):
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        scd1_sync(first, table(spark, (1, "a", T1), (1, "b", T1)), "id", "last_updated")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.compare import equal_on
 from tidemark.functions.dates import ntz, open_end
 from tidemark.operators.changes import ACTION, DELETED, INSERTED, IS_UPDATE, deletes, feed_row, inserts, present
-from tidemark.operators.dml import merge, null_facts, unmatched
+from tidemark.operators.dml import merge, unmatched
 from tidemark.operators.joins import feed_join, semi
 from tidemark.operators.ordered import effective_dates
 
@@ -26,18 +26,28 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _stage_facts(stg: DataFrame, keys: list[str]) -> tuple[int, int, int]:
+    """(rows, rows with a NULL key, most rows of one key), counted per key before the shuffle."""
+    known, n = present(keys), F.col("_n")
+    row = stg.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.sum(n).alias("rows"), F.sum(F.when(~known, n)).alias("nulls"), F.max(F.when(known, n)).alias("copies")).first()
+    return row["rows"] or 0, row["nulls"] or 0, row["copies"] or 0
+
+
 def scd1_changes(tgt: DataFrame, stg: DataFrame, key: str | Sequence[str], match_col: str) -> DataFrame:
     """One row per key with `change` (insert, update, delete, same), `old` and `new` images.
 
     Next state and change feed both come from this single join; keys are unique on both sides.
     A NULL key is never inserted or deleted, a NULL staged key suspends deletes, and a row is
     updated only when `match_col` differs with neither side NULL. An empty stage deletes all rows.
-    Target rows with a NULL key bypass the join.
+    Target rows with a NULL key bypass the join; a key staged twice raises before it.
     """
     keys = _keys(key)
-    rows, nulls = null_facts(stg, keys)
-    gone = "same" if nulls else "delete"
     known = present(keys)
+    rows, nulls, copies = _stage_facts(stg, keys)
+    if copies > 1:
+        raise ValueError(f"a staged key occurs {copies} times")
+    gone = "same" if nulls else "delete"
     image = lambda frame: F.struct(*[F.col(f"{frame}.{c}") for c in tgt.columns])
     marked = lambda df: df.filter(known).select(*tgt.columns).withColumn("_here", F.lit(True))
     joined = marked(tgt).alias("t").join(marked(stg).alias("s"), equal_on("t", "s", keys), "full_outer")

@@ -90,21 +90,22 @@ def invalid_tag_values(assign: DataFrame, allowed: DataFrame) -> DataFrame:
 def tag_lineage(assign: DataFrame, edges: DataFrame, tag: str | Sequence[str] | None = None) -> DataFrame:
     """Objects reached from tagged objects along dependency edges, with the smallest depth.
 
-    assign(tag_name, object_name), edges(upstream, downstream). One join per level; each level is
-    written once, and objects already reached are left out, so cycles end.
+    assign(tag_name, object_name), edges(upstream, downstream). Edges are written once as two
+    columns, each level once; a level is one join and one aggregation that combines repeated paths
+    before the shuffle. Objects already reached are left out, so cycles end.
     """
     if tag is not None:
         names = [tag] if isinstance(tag, str) else list(tag)
         assign = assign.filter(F.col("tag_name").isin(names))
-    level = cut_lineage(assign.select("tag_name", "object_name").distinct().withColumn("depth", F.lit(0)), "lineage")
-    links = edges.select(F.col("upstream").alias("object_name"), "downstream").distinct()
+    names = ["tag_name", "object_name"]
+    level = cut_lineage(assign.select(*names).distinct().withColumn("depth", F.lit(0)), "lineage")
+    links = cut_lineage(edges.select(F.col("upstream").alias("object_name"), "downstream"), "edges")
     reached = [level]
     while not level.isEmpty():
-        step = (
-            level.join(links, "object_name")
-            .select("tag_name", F.col("downstream").alias("object_name"), (F.col("depth") + 1).alias("depth")).distinct()
-        )
-        seen = union_all(reached).select("tag_name", "object_name")
-        level = cut_lineage(step.join(seen, ["tag_name", "object_name"], "left_anti"), "lineage")
+        step = level.join(links, "object_name").select(
+            "tag_name", F.col("downstream").alias("object_name"), F.lit(len(reached)).alias("depth"))
+        # The smallest depth tells new objects from those reached before, in one aggregation.
+        least = union_all([step, *reached]).groupBy(*names).agg(F.min("depth").alias("depth"))
+        level = cut_lineage(least.filter(F.col("depth") == len(reached)), "lineage")
         reached.append(level)
     return union_all(reached)

@@ -107,14 +107,14 @@ def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, pa
     if entity.valid_from == "source" or entity.close == "successor":
         feed, stale = split_stale(feed, opened, entity.key, entity.match_col)
         stale.write.mode("overwrite").parquet(f"{store.reject_path}/stale/v={next_version}")
-    classified = scd2_classify(feed, opened, entity.key, entity.close, now, entity.match_col)
+    classified = cut_lineage(
+        scd2_classify(feed, opened, entity.key, entity.close, now, entity.match_col), "classified")
     on = [entity.key, *entity.content()]
     if entity.valid_from == "source":
         # An opening row that is closed history already is matched, hence not inserted again.
         opens = F.col("dml_type") == "I"
         fresh = unmatched(classified.filter(opens), closed, [*on, "valid_from"], null_safe=True)
         classified = fresh.unionByName(classified.filter(~opens))
-    classified = cut_lineage(classified, "classified")
     merged = cut_lineage(scd2_apply(opened, classified, on, entity.valid_from, now, null_safe=True), "history")
     store.open_table.write(open_rows(merged), next_version)
     done = merged.filter(F.col("current_flag") == "N")
