@@ -186,6 +186,10 @@ def event_log(df: DataFrame, type: str, start: datetime | str, end: datetime | s
 def running_total(fact: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str], Column | None]],
                   part: Sequence[str], order: Sequence[str], col: str, alias: str = "list_running_sum",
                   n: int | None = None, rows_per_slice: int | None = None) -> DataFrame:
-    """Star join with filtered dimensions and a running sum per `part`; `order` must be total."""
-    rows = running_sum(star_filter(fact, dims), part, order, col, alias, rows_per_slice)
+    """Star join with filtered dimensions and a running sum per `part`; `order` must be total.
+
+    Dimensions are unique on their keys, so hot parts are looked for in the fact alone.
+    """
+    probe = fact if set(part) <= set(fact.columns) else None
+    rows = running_sum(star_filter(fact, dims), part, order, col, alias, rows_per_slice, probe)
     return rows if n is None else top_n(rows, [*part, *order], n)

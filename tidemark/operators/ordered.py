@@ -67,18 +67,20 @@ def _split_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[st
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None,
-                max_slices: int = MAX_SLICES) -> tuple[DataFrame, list[str], bool]:
+                max_slices: int = MAX_SLICES, probe: DataFrame | None = None) -> tuple[DataFrame, list[str], bool]:
     """(rows, order to use, whether any key is cut); rows of cut keys are `_hot` and have a `_slice`.
 
     With `rows_per_slice` unset, relations too small to hold a hot key are not counted at all. When
     a key is hot the rows are written once and their identity ends the order, so that even a third
-    of all rows being copies of one row is spread.
+    of all rows being copies of one row is spread. `probe` is a cheaper relation to count keys in,
+    with at least as many rows per key as `df`.
     """
     keys, order = list(keys), list(order)
-    if rows_per_slice is None and estimated_bytes(df) <= SMALL_BYTES:
+    probe = df if probe is None else probe
+    if rows_per_slice is None and estimated_bytes(probe) <= SMALL_BYTES:
         return df, order, False
     rows_per_slice = rows_per_slice or ROWS_PER_SLICE
-    hot = _hot_keys(df, keys, rows_per_slice)
+    hot = _hot_keys(probe, keys, rows_per_slice)
     if hot is None:
         return df, order, False
     fixed, order = _identified(df, "hot-rows"), [*order, *IDENTITY]
@@ -124,9 +126,9 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
 
 
 def _running(df: DataFrame, keys: list[str], order: Sequence[str], total: Column, alias: str,
-             rows_per_slice: int | None) -> DataFrame:
+             rows_per_slice: int | None, probe: DataFrame | None = None) -> DataFrame:
     """Running aggregate of an additive expression, current row included."""
-    rows, order, cut = with_slices(df, keys, order, rows_per_slice)
+    rows, order, cut = with_slices(df, keys, order, rows_per_slice, probe=probe)
     by = Window.partitionBy(*keys, *([SLICE] if cut else [])).orderBy(*order)
     within = rows.withColumn(alias, total.over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     if not cut:
@@ -143,9 +145,9 @@ def _running(df: DataFrame, keys: list[str], order: Sequence[str], total: Column
 
 
 def running_sum(df: DataFrame, part: Sequence[str], order: Sequence[str], col: str, alias: str = "running_sum",
-                rows_per_slice: int | None = None) -> DataFrame:
+                rows_per_slice: int | None = None, probe: DataFrame | None = None) -> DataFrame:
     """SUM(col) over rows up to the current one; `order` should be total (add tie-breakers)."""
-    return _running(df, list(part), list(order), F.sum(col), alias, rows_per_slice)
+    return _running(df, list(part), list(order), F.sum(col), alias, rows_per_slice, probe)
 
 
 def row_numbers(df: DataFrame, part: Sequence[str], order: Sequence[str], alias: str = "rn",

@@ -78,7 +78,7 @@ SELECT c.o_orderkey,
 FROM curr c LEFT JOIN prev p USING (o_orderkey)"""
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def history_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     prev, curr = order_snapshots(spark, sf_dir)
     feed = cut_lineage(scd1_feed(scd1_changes(prev, curr, KEY, "last_updated")), "feed")
     return feed, seeded_history(prev)
@@ -86,13 +86,13 @@ def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def classify(close: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        feed, hist = _inputs(spark, sf_dir)
+        feed, hist = history_inputs(spark, sf_dir)
         return with_time_text(scd2_classify(feed, hist, KEY, close, RUN_2), "valid_from", "valid_to")
 
     return query
 
 
-def _classified_sql(close_at: str) -> str:
+def classified_sql(close_at: str) -> str:
     return f"""
 ups AS (
   SELECT c.* FROM curr c JOIN prev p USING (o_orderkey) WHERE c.last_updated <> p.last_updated),
@@ -115,14 +115,14 @@ CLOSE_NOW, CLOSE_NEXT = f"TIMESTAMP '{RUN_2}'", "u.last_updated"
 
 
 def _classify_sql(close_at: str) -> str:
-    return f"""WITH {SNAPSHOTS}, {HISTORY}, {_classified_sql(close_at)}
+    return f"""WITH {SNAPSHOTS}, {HISTORY}, {classified_sql(close_at)}
 SELECT decision, o_orderkey, status, price, {sql_time_text('valid_from', 'valid_from')},
        {sql_time_text('valid_to', 'valid_to')}, current_flag, dml_type FROM classified"""
 
 
 def applied(close: str, valid_from: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        feed, hist = _inputs(spark, sf_dir)
+        feed, hist = history_inputs(spark, sf_dir)
         rows = cut_lineage(scd2_classify(feed, hist, KEY, close, RUN_2), "classified")
         out = scd2_apply(hist, rows, [KEY, "status", "price"], valid_from, RUN_2)
         return with_time_text(out, "valid_from", "valid_to")
@@ -131,7 +131,7 @@ def applied(close: str, valid_from: str):
 
 
 def _apply_sql(close_at: str, opened_at: str) -> str:
-    return f"""WITH {SNAPSHOTS}, {HISTORY}, {_classified_sql(close_at)},
+    return f"""WITH {SNAPSHOTS}, {HISTORY}, {classified_sql(close_at)},
 merged AS (
   SELECT h.o_orderkey, h.status, h.price, h.valid_from, coalesce(c.valid_to, h.valid_to) AS valid_to,
          CASE WHEN c.dml_type IS NULL THEN h.current_flag ELSE 'N' END AS current_flag,

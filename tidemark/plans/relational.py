@@ -13,7 +13,7 @@ from tidemark.operators.scd import scd2_classify
 from tidemark.plans.common import (
     AS_OF, HISTORY, RUN_2, SNAPSHOTS, Registry, load, money, sql_time_text, with_time_text,
 )
-from tidemark.plans.history import CLOSE_NOW, KEY, _classified_sql, _inputs
+from tidemark.plans.history import CLOSE_NOW, KEY, classified_sql, history_inputs
 from tidemark.session import cut_lineage
 
 LINE = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,"
@@ -73,14 +73,14 @@ def top_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def full_outer_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed, hist = _inputs(spark, sf_dir)
+    feed, hist = history_inputs(spark, sf_dir)
     view = cut_lineage(scd2_classify(feed, hist, KEY, "now", RUN_2), "classified")
     view = view.select(KEY, "valid_from", "status", "dml_type")
     rows = joins.reconcile(view, hist.select(KEY, "valid_from", "status", "current_flag"), [KEY, "valid_from"])
     return with_time_text(rows, "v_valid_from", "h_valid_from")
 
 
-RECONCILE = f"""WITH {SNAPSHOTS}, {HISTORY}, {_classified_sql(CLOSE_NOW)}
+RECONCILE = f"""WITH {SNAPSHOTS}, {HISTORY}, {classified_sql(CLOSE_NOW)}
 SELECT v.o_orderkey AS v_o_orderkey, {sql_time_text('v.valid_from', 'v_valid_from')}, v.status AS v_status,
        v.dml_type AS v_dml_type, h.o_orderkey AS h_o_orderkey, {sql_time_text('h.valid_from', 'h_valid_from')},
        h.status AS h_status, h.current_flag AS h_current_flag,

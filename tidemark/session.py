@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # Spark shuffles.
 BROADCAST_BYTES = 10 * 1024 * 1024
 # A relation below this estimate cannot hold a group that one task could not sort.
-SMALL_BYTES = 256 * 1024 * 1024
+SMALL_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:

@@ -138,7 +138,8 @@ def copy_into(spark: SparkSession, path: str | Sequence[str], target: str, schem
               fmt: DelimitedFormat = COMMA, on_error: str = "abort", purge: bool = False) -> int:
     """Append files to a Parquet folder and return the rows loaded.
 
-    `purge` removes exactly the files that were read, after the append has committed.
+    `purge` removes exactly the files that were read, after the append has committed, one by one;
+    for very many files use `ingest_stream` with `clean_source`.
     """
     from tidemark.operators.dml import run_counted
 
