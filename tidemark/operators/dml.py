@@ -120,6 +120,7 @@ def merge(tgt: DataFrame, src: DataFrame, on: str | Sequence[str], matched: Sequ
 
     A left and an anti join instead of one full outer join, so that adaptive execution may split a
     hot key of the target. A source of known small size is broadcast and the target not shuffled.
+    The source is read by each part: pass a written one when it is costly to compute.
     """
     keys = _keys(on)
     source = _single_source(src, keys, null_safe) if check_source else src.withColumn("_copies", F.lit(None).cast("long"))

@@ -163,6 +163,7 @@ def merge_clauses(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     totals = load(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"), F.count(F.lit(1)).alias("n_orders"))
+    totals = cut_lineage(totals, "totals")
     return dml.merge(
         customer.filter(F.col("c_acctbal") >= 0), totals, "c_custkey",
         matched=[
