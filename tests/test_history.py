@@ -203,6 +203,13 @@ def test_bucketed_snapshots_join_without_a_shuffle(spark, first, second, tmp_pat
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_feed_may_check_uniqueness(spark, first, second):
+    twice = table(spark, (1, "a", T1), (1, "b", T1), (None, "c", T1), (None, "d", T1))
+    assert change_feed(first, second, "id", check=True).count() == 4
+    with pytest.raises(ValueError, match="current snapshot: a key occurs 2 times"):
+        change_feed(first, twice, "id", check=True)
+
+
 def test_key_staged_twice_raises(spark, first):
     with pytest.raises(ValueError, match="occurs 2 times"):
         scd1_sync(first, table(spark, (1, "a", T1), (1, "b", T1)), "id", "last_updated")

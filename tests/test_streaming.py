@@ -94,6 +94,27 @@ def test_ingest_and_reports(spark, tmp_path):
     assert feeds.validate_load(spark, f"{inbox}/b.csv", SCHEMA).count() == 2
 
 
+def test_continuous_ingest_until_stopped(spark, tmp_path):
+    inbox, sink, ck = str(tmp_path / "in"), str(tmp_path / "sink"), str(tmp_path / "ck")
+    write(inbox, "a.csv", FILE1)
+    query = feeds.ingest_stream(spark, inbox, SCHEMA, sink, ck, interval="100 milliseconds")
+    query.processAllAvailable()
+    write(inbox, "b.csv", FILE2)
+    query.processAllAvailable()
+    query.stop()
+    assert feeds.accepted(spark.read.parquet(sink)).count() == 6
+
+
+def test_ingest_archives_files_of_earlier_runs(spark, tmp_path):
+    inbox, sink, ck, done = (str(tmp_path / n) for n in ("in", "sink", "ck", "done"))
+    clean = {"cleanSource": "archive", "sourceArchiveDir": done}
+    for name in ("a.csv", "b.csv", "c.csv"):
+        write(inbox, name, FILE1)
+        feeds.ingest_stream(spark, inbox, SCHEMA, sink, ck, clean_source=clean).awaitTermination()
+    assert spark.read.parquet(sink).count() == 9
+    assert "a.csv" not in os.listdir(inbox)
+
+
 def test_new_files_and_routing(spark, tmp_path):
     inbox = str(tmp_path)
     for name in ("x_20220101_000000.csv", "y_20220102_000000.csv"):

@@ -29,16 +29,28 @@ def feed_row(image: Column, action: str, update: bool) -> Column:
     return F.struct(image.alias("img"), F.lit(action).alias(ACTION), F.lit(update).alias(IS_UPDATE))
 
 
-def change_feed(prev: DataFrame, curr: DataFrame, key: str | Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
+def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
+    """Raise when a non-NULL key occurs twice; counts combine before the shuffle."""
+    copies = df.filter(present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("n")).first()["n"]
+    if (copies or 0) > 1:
+        raise ValueError(f"{what}: a key occurs {copies} times")
+
+
+def change_feed(prev: DataFrame, curr: DataFrame, key: str | Sequence[str], cols: Sequence[str] | None = None,
+                check: bool = False) -> DataFrame:
     """Net row changes from `prev` to `curr`, both unique on `key`.
 
     An insert is (INSERT, false), a delete (DELETE, false), an update (DELETE, true) with the old
     image and (INSERT, true) with the new one. Images compare null-safe over `cols`. A row with a
     NULL key has no identity: it is deleted and inserted, and never enters the join.
     One shuffle join on a unique key, so no key can be hot; rows fan out with explode, not by
-    reading the join twice. Snapshots bucketed by the key join without a shuffle.
+    reading the join twice. Snapshots bucketed by the key join without a shuffle. `check` verifies
+    the uniqueness first, with one aggregation per snapshot.
     """
     keys = [key] if isinstance(key, str) else list(key)
+    if check:
+        require_unique(prev, keys, "previous snapshot")
+        require_unique(curr, keys, "current snapshot")
     cols = list(cols) if cols else [c for c in curr.columns if c not in keys]
     names = keys + cols
     image = lambda frame: F.struct(*[F.col(f"{frame}.{c}") for c in names])
