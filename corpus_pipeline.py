@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, simhash
+from tidemark.llm import decontaminate, quality, simhash
 from tidemark.llm.common import load
 from tidemark.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.keep_good(docs, load(spark, sf_dir, "labels"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
     return simhash.near_duplicates(docs)
@@ -24,6 +29,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_filter),
     ("simhash_near_dedup", near_dedup),
     ("benchmark_decontamination", decontamination),
 ]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, simhash
-from tidemark.llm.common import load
+from tidemark.llm import decontaminate, quality, simhash, toxicity
+from tidemark.llm.common import fold, load
+from tidemark.llm.sample import HELD_OUT_FOLD
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +46,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
 
 
+def _judged(rows: DataFrame, accept: float) -> DataFrame:
+    rows = rows.withColumnRenamed("key", "doc_id")
+    return rows.select("doc_id", (fold() == HELD_OUT_FOLD).alias("held_out"), "score", (F.col("score") >= accept).cast("int").alias("predicted"))
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's chance of being toxic; 0.5 is the threshold of its language."""
+    docs = load(spark, sf_dir, "documents")
+    return _judged(toxicity.score_documents(docs, toxicity.train(docs, load(spark, sf_dir, "labels"))), 0.5)
+
+
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's chance of being good."""
+    docs = load(spark, sf_dir, "documents")
+    return _judged(quality.score_documents(docs, quality.train(docs, load(spark, sf_dir, "labels"))), quality.ACCEPT)
+
+
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest document of its group."""
     rows = simhash.simhash_components(load(spark, sf_dir, "documents"))
@@ -53,5 +71,7 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": (decontamination, DECONTAMINATION_SQL),
+    "op2_toxicity": (toxicity_scores, None),
+    "op4_quality_classifier": (quality_scores, None),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
 }
