@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, quality, simhash, toxicity
+from tidemark.llm import bpe, decontaminate, quality, simhash, token_files, toxicity
 from tidemark.llm.common import fold, load
 from tidemark.llm.sample import HELD_OUT_FOLD
+from tidemark.session import new_folder
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +60,37 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score_documents(docs, toxicity.train(docs, load(spark, sf_dir, "labels"))), 0.5)
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer: below TOKENIZERS_DIR if that is set, else where its package has it."""
+    if folder := os.environ.get("TOKENIZERS_DIR"):
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Digests of the ids and of the text decoded from them."""
+    rows = bpe.roundtrip(docs.select("doc_id", "text"), tokenizer_file("word_bpe_49k.json"))
+    return rows.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    return bpe_digests(load(spark, sf_dir, "documents"))
+
+
+def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the written token files, its length and checksum as read back."""
+    path = new_folder(spark, "tokens")
+    token_files.write_tokens(load(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
+    rows = token_files.read_tokens(spark, path, with_ids=False)
+    return rows.select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's chance of being good."""
     docs = load(spark, sf_dir, "documents")
@@ -72,6 +106,8 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": (decontamination, DECONTAMINATION_SQL),
     "op2_toxicity": (toxicity_scores, None),
+    "op3_bpe_roundtrip": (bpe_roundtrip, None),
     "op4_quality_classifier": (quality_scores, None),
+    "op7_token_output": (token_output, None),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
 }
