@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, quality, simhash, token_files, toxicity
+from tidemark.llm import bpe, decontaminate, hmm, quality, simhash, token_files, toxicity
 from tidemark.llm.common import fold, load
 from tidemark.llm.sample import HELD_OUT_FOLD
 from tidemark.session import new_folder
@@ -103,6 +103,15 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").alias("doc_id"), simhash.hex16().alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+LM_HELD_OUT_FOLD = 1
+
+
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability by the hidden Markov model and by single words."""
+    rows = hmm.score_corpus(load(spark, sf_dir, "documents"), fold() != LM_HELD_OUT_FOLD).withColumnRenamed("key", "doc_id")
+    return rows.select("doc_id", (fold() == LM_HELD_OUT_FOLD).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     "op1_decontamination": (decontamination, DECONTAMINATION_SQL),
     "op2_toxicity": (toxicity_scores, None),
@@ -110,4 +119,5 @@ QUERIES = {
     "op4_quality_classifier": (quality_scores, None),
     "op7_token_output": (token_output, None),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
+    "op9_lm_scoring": (lm_scores, None),
 }
