@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, hmm, quality, simhash, token_files, toxicity
+from tidemark.llm import bpe, decontaminate, embeddings, hmm, quality, simhash, token_files, toxicity
 from tidemark.llm.common import fold, load
 from tidemark.llm.sample import HELD_OUT_FOLD
 from tidemark.session import new_folder
@@ -103,6 +103,12 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").alias("doc_id"), simhash.hex16().alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its number of near vectors of the same label and its group."""
+    rows = embeddings.near_vectors(load(spark, sf_dir, "embeddings"))
+    return rows.select(F.col("key").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 LM_HELD_OUT_FOLD = 1
 
 
@@ -117,6 +123,7 @@ QUERIES = {
     "op2_toxicity": (toxicity_scores, None),
     "op3_bpe_roundtrip": (bpe_roundtrip, None),
     "op4_quality_classifier": (quality_scores, None),
+    "op6_embedding_near_dedup": (embedding_near_dedup, None),
     "op7_token_output": (token_output, None),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
     "op9_lm_scoring": (lm_scores, None),
