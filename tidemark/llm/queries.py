@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, embeddings, hmm, quality, simhash, token_files, toxicity
+from tidemark.llm import bpe, decontaminate, embeddings, hmm, licenses, quality, simhash, token_files, toxicity
 from tidemark.llm.common import fold, load
 from tidemark.llm.sample import HELD_OUT_FOLD
 from tidemark.session import new_folder
@@ -118,6 +118,14 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", (fold() == LM_HELD_OUT_FOLD).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licences whose notices it holds, and the best coefficient."""
+    rows = licenses.scan_documents(load(spark, sf_dir, "documents"))
+    return rows.select(
+        F.col("key").alias("doc_id"), F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join("licenses.name", ",").alias("licenses"), F.array_max("licenses.dice").alias("best_dice"))
+
+
 QUERIES = {
     "op1_decontamination": (decontamination, DECONTAMINATION_SQL),
     "op2_toxicity": (toxicity_scores, None),
@@ -127,4 +135,5 @@ QUERIES = {
     "op7_token_output": (token_output, None),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
     "op9_lm_scoring": (lm_scores, None),
+    "op10_license_scan": (license_scan, None),
 }
