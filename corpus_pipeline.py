@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, quality, simhash
+from tidemark.llm import decontaminate, lines, quality, simhash
 from tidemark.llm.common import load
+from tidemark.llm.queries import bpe_digests
 from tidemark.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,6 +19,11 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.keep_good(docs, load(spark, sf_dir, "labels"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier document or line has, give or take a word."""
+    return lines.drop_repeated_lines(docs, n_chars="n_chars")
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
     return simhash.near_duplicates(docs)
@@ -28,10 +34,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.decontaminate(docs, load(spark, sf_dir, "benchmark"))
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with digests of them and of the text decoded from them."""
+    return bpe_digests(docs, "lang", "source", "ids")
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", quality_filter),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", near_dedup),
     ("benchmark_decontamination", decontamination),
+    ("bpe_encoding", tokens),
 ]
 
 # The quality stage is a trained model, which SQL cannot express.

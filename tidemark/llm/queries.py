@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, embeddings, hmm, licenses, quality, simhash, token_files, toxicity
+from tidemark.llm import bpe, decontaminate, embeddings, hmm, licenses, lines, quality, simhash, token_files, toxicity
 from tidemark.llm.common import fold, load
 from tidemark.llm.sample import HELD_OUT_FOLD
 from tidemark.session import new_folder
@@ -69,18 +69,18 @@ def tokenizer_file(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
-    """Digests of the ids and of the text decoded from them."""
-    rows = bpe.roundtrip(docs.select("doc_id", "text"), tokenizer_file("word_bpe_49k.json"))
+def bpe_digests(docs: DataFrame, *keep: str) -> DataFrame:
+    """Digests of the ids and of the text decoded from them; `keep` names further columns."""
+    rows = bpe.roundtrip(docs, tokenizer_file("word_bpe_49k.json"))
     return rows.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *keep, F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
-    return bpe_digests(load(spark, sf_dir, "documents"))
+    return bpe_digests(load(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +103,11 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").alias("doc_id"), simhash.hex16().alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated lines."""
+    return lines.drop_repeated_lines(load(spark, sf_dir, "documents"), n_chars="n_chars")
+
+
 def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector with its number of near vectors of the same label and its group."""
     rows = embeddings.near_vectors(load(spark, sf_dir, "embeddings"))
@@ -131,6 +136,7 @@ QUERIES = {
     "op2_toxicity": (toxicity_scores, None),
     "op3_bpe_roundtrip": (bpe_roundtrip, None),
     "op4_quality_classifier": (quality_scores, None),
+    "op5_line_dedup": (line_dedup, None),
     "op6_embedding_near_dedup": (embedding_near_dedup, None),
     "op7_token_output": (token_output, None),
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
