@@ -164,7 +164,8 @@ class PieceEncoder:
         split = [split_pieces(t or "", self.special) for t in texts]
         ids, sizes = self.pieces.ids([p for own in split if own for p in own])
         self.pieces.trim()
-        ends = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum([len(own or ()) for own in split])]]
+        counts = np.array([0, *(len(own or ()) for own in split)], np.int64)
+        ends = np.r_[0, np.cumsum(sizes)][np.cumsum(counts)]
         lengths = np.diff(ends)
         whole = [i for i, own in enumerate(split) if own is None]
         if whole:
