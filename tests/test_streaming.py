@@ -40,7 +40,7 @@ def test_files_to_history(spark, tmp_path):
     assert history(spark, root, entity, ledger) == WANT
     again = run_pipeline(spark, inbox, [entity], root, "2022-01-16 00:00:00")
     assert history(spark, root, entity, again) == WANT
-    assert rows(again.rows(), "status", "version", "row_count") == [("applied", 1, 3), ("applied", 2, 3), ("late", 1, 0)]
+    assert rows(again.rows(), "status", "version", "row_count") == [("applied", 1, 3), ("applied", 2, 3), ("late", 1, 0), ("unknown", 0, 0)]
 
 
 def test_both_files_in_one_run_go_in_name_order(spark, tmp_path):
@@ -54,7 +54,7 @@ def test_both_files_in_one_run_go_in_name_order(spark, tmp_path):
 
 
 def test_empty_and_broken_deliveries(spark, tmp_path):
-    inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("content_test", SCHEMA, "id")
+    inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("content_test", SCHEMA, "id", on_error="skip")
     write(inbox, "content_test_20220115_130442.txt", [*FILE1, f"bad,XXX,{T1}", f",YYY,{T1}"])
     write(inbox, "content_test_20220115_140000.txt", [HEAD])
     ledger = run_pipeline(spark, inbox, [entity], root, NOW1)
@@ -67,6 +67,35 @@ def test_empty_and_broken_deliveries(spark, tmp_path):
     assert history(spark, root, entity, run_pipeline(spark, inbox, [entity], root, NOW2)) == WANT
 
 
+def test_bad_lines_do_not_delete(spark, tmp_path):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "tables")
+    strict, entity = Entity("content_test", SCHEMA, "id"), Entity("content_test", SCHEMA, "id", on_error="skip")
+    write(inbox, "content_test_20220115_130442.txt", FILE1)
+    run_pipeline(spark, inbox, [strict], root, NOW1)
+    # 1001 comes with a bad time, 1002 not at all.
+    write(inbox, "content_test_20220115_133505.txt", [HEAD, f"1000,ABC,{T1}", "1001,DEF,not a time"])
+    with pytest.raises(Exception, match="cannot be read"):
+        run_pipeline(spark, inbox, [strict], root, NOW2)
+    ledger = run_pipeline(spark, inbox, [entity], root, NOW2)
+    assert [(r[0], r[4]) for r in history(spark, root, entity, ledger)] == [(1000, "Y"), (1001, "Y"), (1002, "N")]
+    # A line without a key, and one with too many fields: nothing is missing for certain.
+    write(inbox, "content_test_20220115_140000.txt", [HEAD, f"1000,ABC,{T1}", f",YYY,{T1}"])
+    ledger = run_pipeline(spark, inbox, [entity], root, NOW2)
+    assert [(r[0], r[4]) for r in history(spark, root, entity, ledger)] == [(1000, "Y"), (1001, "Y"), (1002, "N")]
+
+
+def test_deliveries_wait_for_their_entity(spark, tmp_path):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "tables")
+    entity, other = Entity("content_test", SCHEMA, "id"), Entity("later", SCHEMA, "id")
+    write(inbox, "content_test_20220115_130442.txt", FILE1)
+    write(inbox, "later_20220115_130442.txt", FILE1)
+    for _ in range(2):
+        ledger = run_pipeline(spark, inbox, [entity], root, NOW1)
+    assert ledger.waiting(["later"]) == [("later", "later_20220115_130442.txt")]
+    ledger = run_pipeline(spark, inbox, [entity, other], root, NOW2)
+    assert [r[0] for r in history(spark, root, other, ledger)] == [1000, 1001, 1002] and not ledger.waiting(["later"])
+
+
 def test_half_written_version_is_replaced(spark, tmp_path):
     """A version folder without a ledger row counts for nothing."""
     inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("content_test", SCHEMA, "id")

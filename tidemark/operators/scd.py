@@ -34,30 +34,37 @@ def _stage_facts(stg: DataFrame, keys: list[str]) -> tuple[int, int, int]:
     return row["rows"] or 0, row["nulls"] or 0, row["copies"] or 0
 
 
-def scd1_changes(tgt: DataFrame, stg: DataFrame, key: str | Sequence[str], match_col: str) -> DataFrame:
+def scd1_changes(tgt: DataFrame, stg: DataFrame, key: str | Sequence[str], match_col: str,
+                 unreadable: DataFrame | None = None, deletes: bool = True) -> DataFrame:
     """One row per key with `change` (insert, update, delete, same), `old` and `new` images.
 
     Next state and change feed both come from this single join; keys are unique on both sides.
     A NULL key is never inserted or deleted, a NULL staged key suspends deletes, and a row is
     updated only when `match_col` differs with neither side NULL. An empty stage deletes all rows.
-    Target rows with a NULL key bypass the join; a key staged twice raises before it.
+    Target rows with a NULL key bypass the join; a key staged twice raises before it. `unreadable`
+    holds keys that were delivered in rows that could not be read: they are not missing, so never
+    deleted. With `deletes` off no key counts as missing.
     """
     keys = _keys(key)
     known = present(keys)
     rows, nulls, copies = _stage_facts(stg, keys)
     if copies > 1:
         raise ValueError(f"a staged key occurs {copies} times")
-    gone = "same" if nulls else "delete"
+    gone = F.lit("same" if nulls or not deletes else "delete")
     image = lambda frame: F.struct(*[F.col(f"{frame}.{c}") for c in tgt.columns])
     marked = lambda df: df.filter(known).select(*tgt.columns).withColumn("_here", F.lit(True))
     joined = marked(tgt).alias("t").join(marked(stg).alias("s"), equal_on("t", "s", keys), "full_outer")
+    if unreadable is not None:
+        broken = unreadable.select(*keys).distinct().withColumn("_broken", F.lit(True))
+        joined = joined.join(broken.alias("b"), equal_on("t", "b", keys), "left")
+        gone = F.when(F.col("b._broken"), "same").otherwise(gone)
     had, has = F.col("t._here").isNotNull(), F.col("s._here").isNotNull()
     newer = F.coalesce(F.col(f"t.{match_col}") != F.col(f"s.{match_col}"), F.lit(False))
     change = F.when(~had, "insert").when(~has, gone).when(newer, "update").otherwise("same")
     changes = joined.select(
         change.alias("change"), F.when(had, image("t")).alias("old"), F.when(has, image("s")).alias("new"))
     nameless = tgt.filter(~known).select(
-        F.lit("same" if rows else "delete").alias("change"), F.struct(*tgt.columns).alias("old"),
+        F.lit("same" if rows or not deletes else "delete").alias("change"), F.struct(*tgt.columns).alias("old"),
         F.lit(None).cast(changes.schema["new"].dataType).alias("new"))
     return changes.unionByName(nameless)
 

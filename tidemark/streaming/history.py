@@ -20,14 +20,18 @@ from tidemark.session import cut_lineage
 from tidemark.sources.delimited import COMMA, DelimitedFormat, read_checked
 from tidemark.sources.files import path_exists
 from tidemark.streaming.files import on_new_file
-from tidemark.streaming.state import EMPTY, LATE, Ledger, VersionedTable
+from tidemark.streaming.state import EMPTY, LATE, UNKNOWN, Ledger, VersionedTable
 
 _STAMP = re.compile(r"_(20\d{6})_(\d{6})")
 
 
 @dataclass(frozen=True)
 class Entity:
-    """A table fed by files named `<name>_<yyyymmdd>_<hhmiss>.<ext>`."""
+    """A table fed by files named `<name>_<yyyymmdd>_<hhmiss>.<ext>`.
+
+    on_error: "abort" fails a delivery with a line that cannot be read, and its batch is replayed;
+    "skip" applies the other lines and keeps the bad ones as rejects.
+    """
 
     name: str
     schema: T.StructType
@@ -36,6 +40,7 @@ class Entity:
     close: str = "now"
     valid_from: str = "now"
     fmt: DelimitedFormat = COMMA
+    on_error: str = "abort"
 
     def content(self) -> list[str]:
         return [n for n in self.schema.names if n not in (self.key, self.match_col)]
@@ -78,7 +83,11 @@ class HistoryStore:
 def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, paths: Sequence[str], batch_id: int,
                    now: datetime | str, ledger: Ledger) -> bool:
     """Apply one snapshot and record it; False when it was seen before, is older than the last
-    applied one, or has no usable row."""
+    applied one, or has no usable row.
+
+    A line that cannot be read is still a delivery of its key, so that key is not missing; a line
+    whose key cannot be read may be any key, so nothing is deleted by its delivery.
+    """
     found = _STAMP.search(name)
     stamp = datetime.strptime("".join(found.groups()), "%Y%m%d%H%M%S") if found else None
     if ledger.seen(entity.name, name):
@@ -92,14 +101,20 @@ def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, pa
     checked = cut_lineage(read_checked(spark, list(paths), entity.schema, entity.fmt), "stage")
     usable = (F.size("_rejected") == 0) & F.col(entity.key).isNotNull()
     staged = checked.filter(usable).select(*entity.schema.names)
-    counts = checked.agg(F.count(F.when(usable, 1)).alias("good"), F.count(F.when(~usable, 1)).alias("bad")).first()
+    unknown_key = F.col(entity.key).isNull() | F.array_contains("_rejected", "line")
+    counts = checked.agg(F.count(F.when(usable, 1)).alias("good"), F.count(F.when(~usable, 1)).alias("bad"),
+                         F.count(F.when(unknown_key, 1)).alias("keyless")).first()
+    if counts["bad"] and entity.on_error != "skip":
+        raise ValueError(f"delivery {name} has {counts['bad']} lines that cannot be read")
     if counts["good"] == 0:
         ledger.add(entity.name, name, batch_id, version, 0, counts["bad"], stamp, now, EMPTY)
         return False
 
     next_version = version + 1
     prev = store.current_table.read(version)
-    changes = cut_lineage(scd1_changes(prev, staged, entity.key, entity.match_col), "changes")
+    unreadable = checked.filter(~usable & ~unknown_key).select(entity.key) if counts["bad"] else None
+    changes = cut_lineage(
+        scd1_changes(prev, staged, entity.key, entity.match_col, unreadable, deletes=not counts["keyless"]), "changes")
     store.current_table.write(scd1_state(changes), next_version)
 
     opened, closed = store.open_table.read(version), store.closed(version)
@@ -144,16 +159,20 @@ def run_pipeline(spark: SparkSession, folder: str, registry: Sequence[Entity], r
 
     A delivery is one file, or a folder of part files closed by `_SUCCESS`, so that a snapshot of
     any size is read by many tasks. A file stream finds new files; its checkpoint and the ledger
-    below `root` make reruns harmless. Unknown entities are left alone. An unfinished folder or a
-    failing delivery fails the batch, which the next run replays.
+    below `root` make reruns harmless. A delivery of an unknown entity is recorded and applied by the
+    first run that knows it. An unfinished folder or a failing delivery fails the batch, which the
+    next run replays.
     """
     by_name = {e.name: e for e in registry}
     ledger = Ledger(spark, f"{root}/ledger")
 
     def load(paths: list[str], batch_id: int) -> None:
         for name, parts in _deliveries(folder, paths).items():
-            entity = by_name.get(name.split(ENTITY_MARK)[0])
+            label = name.split(ENTITY_MARK)[0]
+            entity = by_name.get(label)
             if entity is None:
+                if (label, name) not in ledger.waiting([label]):
+                    ledger.add(label, name, batch_id, 0, 0, 0, None, now, UNKNOWN)
                 continue
             if not parts[0].endswith(name):
                 if not path_exists(spark, f"{folder}/{name}/_SUCCESS"):
@@ -162,6 +181,8 @@ def run_pipeline(spark: SparkSession, folder: str, registry: Sequence[Entity], r
                 parts = [f"{folder}/{name}"]
             apply_delivery(spark, root, entity, name, parts, batch_id, now, ledger)
 
+    for label, name in ledger.waiting(list(by_name)):
+        apply_delivery(spark, root, by_name[label], name, [f"{folder}/{name}"], -1, now, ledger)
     on_new_file(spark, folder, load, f"{root}/checkpoint", glob, max_files, recursive=True)
     return ledger
 

@@ -6,6 +6,7 @@ ignored, so a step that died half-way is simply run again.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,7 @@ LEDGER = (
     .add("row_count", T.LongType()).add("reject_count", T.LongType())
     .add("stamp", T.TimestampNTZType()).add("loaded_at", T.TimestampNTZType())
 )
-APPLIED, LATE, EMPTY = "applied", "late", "empty"
+APPLIED, LATE, EMPTY, UNKNOWN = "applied", "late", "empty", "unknown"
 
 
 class Ledger:
@@ -53,7 +54,16 @@ class Ledger:
         return self.rows().filter(mine).agg(F.max("stamp").alias("s")).first()["s"]
 
     def seen(self, entity: str, file: str) -> bool:
-        return not self.rows().filter((F.col("entity") == entity) & (F.col("file") == file)).isEmpty()
+        """Whether the file was dealt with; one that only waits for its entity was not."""
+        mine = (F.col("entity") == entity) & (F.col("file") == file) & (F.col("status") != UNKNOWN)
+        return not self.rows().filter(mine).isEmpty()
+
+    def waiting(self, entities: Sequence[str]) -> list[tuple[str, str]]:
+        """(entity, file) of deliveries that came before their entity was known, in name order."""
+        mine = self.rows().filter(F.col("entity").isin(list(entities)))
+        known = mine.filter(F.col("status") != UNKNOWN).select("entity", "file")
+        open_ = mine.filter(F.col("status") == UNKNOWN).select("entity", "file").distinct()
+        return [tuple(r) for r in open_.join(known, ["entity", "file"], "left_anti").orderBy("file").toLocalIterator()]
 
 
 class VersionedTable:
