@@ -16,40 +16,37 @@ from tidemark.operators.joins import union_all
 
 @dataclass(frozen=True)
 class Rule:
-    """A value belongs to the category when the whole value matches the pattern.
+    r"""A value belongs to the category when the whole value matches the pattern.
 
-    `spaces` and `max_bytes` restate what the pattern implies, so that long prose is ruled out
-    without running the pattern over it.
+    `spaces` restates what the pattern implies, so that prose is ruled out without running the
+    pattern over it. Patterns end in `\z`: `$` would also match before a last line break.
     """
 
     semantic_category: str
     privacy_category: str
     pattern: str
     spaces: bool = False
-    max_bytes: int | None = None
 
     def fits(self, value: Column) -> Column:
         test = value.rlike(self.pattern)
         if not self.spaces:
             test = ~F.contains(value, F.lit(" ")) & test
-        if self.max_bytes is not None:
-            test = (F.octet_length(value) <= self.max_bytes) & test
         return test
 
 
 # Our own rules; the categories follow the usual names of such classifiers.
 RULES = (
-    Rule("EMAIL", "IDENTIFIER", r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"),
-    Rule("US_SSN", "IDENTIFIER", r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$", max_bytes=12),
-    Rule("UK_NATIONAL_INSURANCE", "IDENTIFIER", r"^[A-Z]{2}[0-9]{6}[A-Z]$", max_bytes=10),
-    Rule("URL", "IDENTIFIER", r"^https?://[^ ]+$"),
-    Rule("IP_ADDRESS", "IDENTIFIER", r"^([0-9]{1,3}\.){3}[0-9]{1,3}$", max_bytes=16),
-    Rule("ACCOUNT_NAME", "IDENTIFIER", r"^[A-Za-z]+#[0-9]+$"),
-    Rule("UK_POSTCODE", "QUASI_IDENTIFIER", r"^[A-Z]{1,2}[0-9][0-9A-Z]? [0-9][A-Z]{2}$", spaces=True, max_bytes=9),
-    Rule("US_POSTAL_CODE", "QUASI_IDENTIFIER", r"^[0-9]{5}(-[0-9]{4})?$", max_bytes=11),
-    Rule("GENDER", "QUASI_IDENTIFIER", r"^([Mm]ale|[Ff]emale|MALE|FEMALE)$", max_bytes=7),
-    Rule("LANGUAGE", "QUASI_IDENTIFIER", r"^[a-z]{2}$", max_bytes=3),
-    Rule("AMOUNT", "SENSITIVE", r"^-?[0-9]+\.[0-9]+$"),
+    Rule("EMAIL", "IDENTIFIER", r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\z"),
+    Rule("US_SSN", "IDENTIFIER", r"^[0-9]{3}-[0-9]{2}-[0-9]{4}\z"),
+    Rule("UK_NATIONAL_INSURANCE", "IDENTIFIER", r"^[A-Z]{2}[0-9]{6}[A-Z]\z"),
+    Rule("URL", "IDENTIFIER", r"^https?://[^ ]+\z"),
+    Rule("IP_ADDRESS", "IDENTIFIER", r"^([0-9]{1,3}\.){3}[0-9]{1,3}\z"),
+    Rule("ACCOUNT_NAME", "IDENTIFIER", r"^[A-Za-z]+#[0-9]+\z"),
+    Rule("UK_POSTCODE", "QUASI_IDENTIFIER", r"^[A-Z]{1,2}[0-9][0-9A-Z]? [0-9][A-Z]{2}\z", spaces=True),
+    Rule("US_POSTAL_CODE", "QUASI_IDENTIFIER", r"^[0-9]{5}(-[0-9]{4})?\z"),
+    Rule("GENDER", "QUASI_IDENTIFIER", r"^([Mm]ale|[Ff]emale|MALE|FEMALE)\z"),
+    Rule("LANGUAGE", "QUASI_IDENTIFIER", r"^[a-z]{2}\z"),
+    Rule("AMOUNT", "SENSITIVE", r"^-?[0-9]+\.[0-9]+\z"),
 )
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from tidemark.functions.compare import equal_on
 from tidemark.operators.changes import present
-from tidemark.session import BROADCAST_BYTES, estimated_bytes
 
 DELETE = "delete"
 Clause = tuple[Column | None, "Mapping[str, Column] | str"]
@@ -119,13 +118,11 @@ def merge(tgt: DataFrame, src: DataFrame, on: str | Sequence[str], matched: Sequ
     Two source rows for one target row raise unless check_source is off.
 
     A left and an anti join instead of one full outer join, so that adaptive execution may split a
-    hot key of the target. A source of known small size is broadcast and the target not shuffled.
+    hot key of the target. A small source is sent to all tasks by adaptive execution, which knows its true size.
     The source is read by each part: pass a written one when it is costly to compute.
     """
     keys = _keys(on)
     source = _single_source(src, keys, null_safe) if check_source else src.withColumn("_copies", F.lit(None).cast("long"))
-    if estimated_bytes(src) <= BROADCAST_BYTES:
-        source = F.broadcast(source)
     pairs = tgt.alias("tgt").join(
         source.withColumn("_found", F.lit(True)).alias("src"), equal_on("tgt", "src", keys, null_safe), "left")
     found = F.when(F.col("src._copies") > 1, F.raise_error(F.lit("merge: several source rows for one target row")))
@@ -163,15 +160,8 @@ def merge(tgt: DataFrame, src: DataFrame, on: str | Sequence[str], matched: Sequ
 
 
 def unmatched(src: DataFrame, tgt: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Source rows without a target row of the same key.
-
-    For a source of known small size the target's keys are first cut down to those in the source,
-    by broadcast, so that the target is not shuffled.
-    """
+    """Source rows without a target row of the same key; adaptive execution sends the smaller side."""
     known = tgt.select(*keys)
-    if estimated_bytes(src) <= BROADCAST_BYTES:
-        asked = F.broadcast(src.select(*keys)).alias("a")
-        known = known.alias("t").join(asked, equal_on("t", "a", keys, null_safe), "left_semi")
     known = known.distinct().alias("t")
     return src.alias("s").join(known, equal_on("s", "t", keys, null_safe), "left_anti")
 

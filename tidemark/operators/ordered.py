@@ -1,9 +1,9 @@
 """Ordered operators: next value, running sum, row number, ids, effective dates, top-n.
 
-A plain `Window.partitionBy(key)` puts a whole key into one task. Here a key with too many rows
-is cut into slices of its own order range; the window runs per (key, slice) and a second, tiny
-step carries the value across slice borders. Ordinary keys stay in slice 0, and when no key is
-hot the plan is the plain window.
+A plain `Window.partitionBy(key)` puts a whole key into one task. Here, when a key has too many
+rows, all rows are cut into slices by range of (key, order); the window runs per (key, slice) and
+a second, small step carries the value across slice borders. When no key is hot the plan is the
+plain window.
 """
 
 from __future__ import annotations
@@ -15,12 +15,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.compare import null_safe_equal
 from tidemark.functions.dates import open_end
-from tidemark.session import SMALL_BYTES, broadcast_if_small, cut_lineage, estimated_bytes
+from tidemark.session import cut_lineage
 
 SLICE, HOT = "_slice", "_hot"
 ROWS_PER_SLICE = 5_000_000
-MAX_SLICES = 256
-SAMPLE_PER_SLICE = 20
 
 
 def _identified(df: DataFrame, label: str) -> DataFrame:
@@ -32,67 +30,42 @@ def _identified(df: DataFrame, label: str) -> DataFrame:
 IDENTITY = ["_f", "_r"]
 
 
-def _hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int) -> DataFrame | None:
-    """(keys, _n) of keys above `rows_per_slice`; counts combine before the shuffle."""
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows_per_slice)
-    hot = cut_lineage(counted, "hot-keys")
-    return None if hot.isEmpty() else hot
+def more_rows_than(df: DataFrame, n: int) -> bool:
+    """Whether `df` has more than `n` rows; a bare scan answers from file footers."""
+    return df.count() > n
 
 
-def _split_points(df: DataFrame, hot: DataFrame, keys: list[str], order: list[str], rows_per_slice: int,
-                  max_slices: int) -> DataFrame:
-    """(keys, _cuts): cut points of each hot key, from a sample of about 20 rows per slice.
-
-    The sample only chooses where to cut; every row is kept and the result does not depend on it.
-    """
-    slices = F.least(F.lit(max_slices), F.ceil(F.col("_n") / rows_per_slice).cast("int"))
-    sampled = (
-        df.select(*keys, F.struct(*order).alias("_at")).alias("l")
-        .join(broadcast_if_small(hot).alias("r"), null_safe_equal("l", "r", keys))
-        .filter(F.rand(11) < F.lit(float(SAMPLE_PER_SLICE)) * slices / F.col("_n"))
-        .select(*[F.col(f"l.{k}").alias(k) for k in keys], "_at", slices.alias("_slices"))
-    )
-    cuts = (
-        sampled.groupBy(*keys, "_slices")
-        .agg(F.array_sort(F.collect_list("_at")).alias("_s"))
-        .select(
-            *keys,
-            F.expr(
-                "transform(sequence(1, greatest(_slices - 1, 1)),"
-                " i -> _s[cast(floor(i * size(_s) / greatest(_slices, 2)) as int)])"
-            ).alias("_cuts"),
-        )
-    )
-    return cut_lineage(cuts, "cuts")
+def _has_hot_key(df: DataFrame, keys: list[str], rows_per_slice: int) -> bool:
+    """Whether a key has more than `rows_per_slice` rows; counts combine before the shuffle."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return not counted.filter(F.col("_n") > rows_per_slice).isEmpty()
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int | None = None,
-                max_slices: int = MAX_SLICES, probe: DataFrame | None = None) -> tuple[DataFrame, list[str], bool]:
-    """(rows, order to use, whether any key is cut); rows of cut keys are `_hot` and have a `_slice`.
-
-    With `rows_per_slice` unset, relations too small to hold a hot key are not counted at all. When
-    a key is hot the rows are written once and their identity ends the order, so that even a third
-    of all rows being copies of one row is spread. `probe` is a cheaper relation to count keys in,
-    with at least as many rows per key as `df`.
+                probe: DataFrame | None = None) -> tuple[DataFrame, list[str], bool]:
+    """(rows, order to use, whether rows are cut); cut rows have a `_slice`, those of a key in several
+    slices are `_hot`.
+
+    A relation of no more than `rows_per_slice` rows cannot hold a hot key, so its keys are not
+    counted; rows decide, since compressed bytes say nothing about them. When a key is hot the rows
+    are written once and their identity ends the order, so that even a third of all rows being
+    copies of one row is spread; there are as many slices as the rows ask for. `probe` is a cheaper
+    relation to count keys in, with at least as many rows per key as `df`.
     """
     keys, order = list(keys), list(order)
     probe = df if probe is None else probe
-    if rows_per_slice is None and estimated_bytes(probe) <= SMALL_BYTES:
-        return df, order, False
     rows_per_slice = rows_per_slice or ROWS_PER_SLICE
-    hot = _hot_keys(probe, keys, rows_per_slice)
-    if hot is None:
+    if not more_rows_than(probe, rows_per_slice) or not _has_hot_key(probe, keys, rows_per_slice):
         return df, order, False
     fixed, order = _identified(df, "hot-rows"), [*order, *IDENTITY]
-    cuts = _split_points(fixed, hot, keys, order, rows_per_slice, max_slices)
-    at = F.struct(*[F.col(f"l.{c}") for c in order])
-    place = F.size(F.filter(F.col("r._cuts"), lambda cut: cut < at))
-    sliced = (
-        fixed.alias("l")
-        .join(broadcast_if_small(cuts).alias("r"), null_safe_equal("l", "r", keys), "left")
-        .select("l.*", F.col("r._cuts").isNotNull().alias(HOT),
-                F.when(F.col("r._cuts").isNull(), F.lit(0)).otherwise(place).alias(SLICE))
-    )
+    slices = -(-fixed.count() // rows_per_slice)
+    # Written, so that the borders, which are sampled, stay the same for every later step.
+    ranged = cut_lineage(fixed.repartitionByRange(max(2, slices), *keys, *order).withColumn(SLICE, F.spark_partition_id()), "slices")
+    border = ranged.groupBy(*keys).agg(F.min(SLICE).alias("_from"), F.max(SLICE).alias("_to")).filter("_from != _to")
+    # At most one key for each border between slices.
+    border = cut_lineage(border, "border-keys")
+    sliced = ranged.alias("l").join(border.alias("r"), null_safe_equal("l", "r", keys), "left").select(
+        "l.*", F.col("r._from").isNotNull().alias(HOT))
     return sliced, order, True
 
 
@@ -100,8 +73,8 @@ HELPERS = [SLICE, HOT, "_carry", *IDENTITY]
 
 
 def _carry_join(rows: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach the per-(key, slice) value `_carry` of hot keys: at most max_slices rows per hot key."""
-    small = broadcast_if_small(cut_lineage(carried.select(*keys, SLICE, "_carry"), "carry"))
+    """Attach the per-(key, slice) value `_carry` of hot keys."""
+    small = cut_lineage(carried.select(*keys, SLICE, "_carry"), "carry")
     condition = null_safe_equal("l", "r", [*keys, SLICE]) & F.col(f"l.{HOT}")
     return rows.alias("l").join(small.alias("r"), condition, "left").select("l.*", "r._carry")
 
@@ -191,7 +164,7 @@ def sorted_by_range(df: DataFrame, order: Sequence[str | Column], partitions: in
     copies of one row, over several partitions. `spread` forces or forbids that.
     """
     if spread is None:
-        spread = estimated_bytes(df) > SMALL_BYTES
+        spread = more_rows_than(df, ROWS_PER_SLICE)
     by = list(order)
     if spread:
         df, by = _identified(df, "spread"), [*by, *IDENTITY]

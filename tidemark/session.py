@@ -1,4 +1,4 @@
-"""Session settings, the shared folder, and the size checks the operators rely on."""
+"""Session settings and the shared folder."""
 
 from __future__ import annotations
 
@@ -6,13 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A side is hinted for broadcast only below this estimate (the default of Spark's own rule); beyond it
-# Spark shuffles.
-BROADCAST_BYTES = 10 * 1024 * 1024
-# A relation below this estimate cannot hold a group that one task could not sort.
-SMALL_BYTES = 64 * 1024 * 1024
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -65,13 +58,3 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when the planner's estimate is below `max_bytes`."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
