@@ -104,9 +104,9 @@ def test_rows_to_array_without_keys(skewed):
 
 def test_json_per_group(spark):
     df = spark.createDataFrame([("g", "b", 2), ("g", "a", 1), ("g", "a", 5), ("h", "q\"x", 3)], "g string, k string, v int")
-    assert rows(json_per_group(df, ["g"], "k", "v")) == [("g", '{"a":5,"b":2}'), ("h", '{"q\\"x":3}')]
-    with pytest.raises(ValueError):
-        json_per_group(df, ["g"], "k", "v", max_keys=1)
+    assert rows(json_per_group(df, ["g"], "k", "v"), "g", "part_no", "json") == [("g", 0, '{"a":5,"b":2}'), ("h", 0, '{"q\\"x":3}')]
+    parts = rows(json_per_group(df, ["g"], "k", "v", part_rows=1), "g", "part_no", "json")
+    assert parts == [("g", 0, '{"a":5}'), ("g", 1, '{"b":2}'), ("h", 0, '{"q\\"x":3}')]
 
 
 def _brute(intervals):

@@ -70,6 +70,20 @@ def test_external_table_sees_new_files_by_pattern(spark, tmp_path):
     assert rows(delimited.external_table(spark, str(tmp_path), cols, "keep_*.csv")) == [(1, "x"), (2, "y")]
 
 
+def test_external_table_on_bad_values(spark, tmp_path):
+    write(tmp_path, "a.csv", ["id,v", "1,x", "oops,y", ",z"])
+    cols = {"id": (1, "int"), "v": (2, "string")}
+    with pytest.raises(PySparkException, match="bad int in column id: oops"):
+        delimited.external_table(spark, str(tmp_path), cols).collect()
+    assert rows(delimited.external_table(spark, str(tmp_path), cols, on_error="skip")) == [(1, "x"), (None, "z")]
+    assert len(rows(delimited.external_table(spark, str(tmp_path), cols, on_error="null"))) == 3
+
+
+def test_positional_scan_takes_the_widest_line(spark, tmp_path):
+    write(tmp_path / "p", "a.txt", ["1|2", "3|4|5"])
+    assert rows(delimited.read_positional(spark, str(tmp_path / "p"))) == [("1", "2", None), ("3", "4", "5")]
+
+
 def test_infer_columns(spark, tmp_path):
     write(tmp_path, "a.csv", ["id,v,t", "1,x,2022-01-01 00:00:00"])
     assert rows(delimited.infer_columns(spark, str(tmp_path)), "ddl") == [("id int",), ("t timestamp",), ("v string",)]

@@ -12,6 +12,7 @@ from test_history import END, NOW1, NOW2, T1, T2
 from test_sources import write
 from tidemark.operators.scd import MISSING, NEW_ROW, UPDATE_CLOSES, UPDATE_OPENS
 from tidemark.streaming import files as feeds
+from tidemark.streaming.appends import AppendLog, consume_into, copy_new
 from tidemark.streaming.history import Entity, HistoryStore, append_typed, run_pipeline
 from tidemark.streaming.state import FeedState, Ledger, VersionedTable
 
@@ -184,6 +185,40 @@ def test_append_typed(spark, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/int"), "test_load_id", "id", "value") == [(100000, 1000, 1), (100001, 1001, 2)]
 
 
+def test_append_typed_goes_on(spark, tmp_path):
+    stage = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, description string")
+    schema = T.StructType().add("id", "long").add("description", "string")
+    for _ in range(2):
+        loaded = append_typed(stage, schema, 100, ["id"], "sk", f"{tmp_path}/int")
+    assert rows(loaded, "sk", "id") == [(100, 1), (101, 2), (102, 1), (103, 2)]
+
+
+def test_a_load_that_died_is_repeated(spark, tmp_path, monkeypatch):
+    table = VersionedTable(spark, f"{tmp_path}/t", T.StructType().add("id", "integer").add("v", "string"))
+    table.write(spark.createDataFrame([(1, "a"), (2, "b")], table.schema), 1)
+    log = AppendLog(spark, f"{tmp_path}/changes")
+    state = FeedState(spark, table, log.ledger, "id", log.name)
+    step = lambda: consume_into(log, state, 1, lambda feed, first: feed.select("id", "v"), NOW1)
+    monkeypatch.setattr(Ledger, "add", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):
+        step()
+    monkeypatch.undo()
+    assert log.version() == 0 and step() == 2 and step() == 0
+    assert rows(log.read()) == [(1, "a"), (2, "b")] and log.next_id(10) == 12
+
+
+def test_copy_new_takes_a_file_once(spark, tmp_path):
+    inbox, log = str(tmp_path / "in"), AppendLog(spark, str(tmp_path / "t"))
+    write(inbox, "a.csv", [*FILE1, f"bad,x,{T1}"])
+    write(inbox, "empty.csv", [HEAD])
+    with pytest.raises(ValueError):
+        copy_new(log, inbox, SCHEMA, NOW1)
+    assert copy_new(log, inbox, SCHEMA, NOW1, on_error="skip") == 3 and copy_new(log, inbox, SCHEMA, NOW1) == 0
+    write(f"{inbox}/sub", "b.csv", FILE2)
+    assert copy_new(log, inbox, SCHEMA, NOW2) == 3 and log.read().count() == 6
+    assert rows(log.files()) == [("a.csv", 3, 1), ("empty.csv", 0, 0), ("sub/b.csv", 3, 0)]
+
+
 def test_snapshot_append_once_a_day(spark, tmp_path):
     report = spark.createDataFrame([("wh", 1.5)], "warehouse_name string, credits_used double")
     path = f"{tmp_path}/spend"

@@ -12,8 +12,6 @@ from tidemark.session import cut_lineage
 
 # Items one aggregated value may hold; a larger group continues in its next part.
 PART_ROWS = 10_000
-# Names one JSON document may hold.
-MAX_KEYS = 100_000
 
 
 def sum_by(df: DataFrame, keys: Sequence[str] | Mapping[str, Column], col: str, alias: str | None = None) -> DataFrame:
@@ -67,17 +65,14 @@ def rows_to_array(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
 
 
 def json_per_group(df: DataFrame, keys: Sequence[str], k: str, v: Column | str, alias: str = "json",
-                   max_keys: int = MAX_KEYS) -> DataFrame:
-    """One JSON object per group from (k, v) rows, keys in order.
+                   part_rows: int = PART_ROWS, rows_per_slice: int | None = None) -> DataFrame:
+    """JSON objects from (k, v) rows, names in order: keys, part_no, json; parts as in `string_agg`.
 
-    A document is one value, so a group of more than max_keys names raises. Names repeated in a
-    group are combined before the shuffle, the largest value wins; the combined rows are written
-    once, then checked and collected.
+    Every part is an object of its own. Names repeated in a group are combined before the shuffle,
+    the largest value wins; the combined rows are written once, as they are counted and collected.
     """
     value = v if isinstance(v, Column) else F.col(v)
     pairs = cut_lineage(df.groupBy(*keys, F.col(k).alias("_k")).agg(F.max(value).alias("_v")), "pairs")
-    sizes = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    if not sizes.filter(F.col("_n") > max_keys).isEmpty():
-        raise ValueError(f"a group has more than {max_keys} names; one document cannot hold it")
+    placed = _in_parts(pairs, keys, ["_k"], part_rows, rows_per_slice)
     entries = F.array_sort(F.collect_list(F.struct("_k", "_v")))
-    return pairs.groupBy(*keys).agg(F.to_json(F.map_from_entries(entries)).alias(alias))
+    return placed.groupBy(*keys, "part_no").agg(F.to_json(F.map_from_entries(entries)).alias(alias))

@@ -92,9 +92,9 @@ def classification_entry() -> Column:
 
 
 def classification_document(found: DataFrame) -> DataFrame:
-    """One VARIANT document per table: {attribute: {extra_info, privacy_category, semantic_category}}."""
+    """VARIANT documents per table and part of its columns: {attribute: {extra_info, privacy_category, semantic_category}}."""
     docs = json_per_group(found, ["path_to_object"], "attribute", classification_entry(), "json")
-    return docs.select("path_to_object", F.parse_json("json").alias("doc"))
+    return docs.select("path_to_object", "part_no", F.parse_json("json").alias("doc"))
 
 
 def found_classifiers(found: DataFrame, now: datetime | str) -> DataFrame:
@@ -105,6 +105,6 @@ def found_classifiers(found: DataFrame, now: datetime | str) -> DataFrame:
 
 
 def classification_json(df: DataFrame) -> DataFrame:
-    """One JSON document per (path_to_object, deploy_flag) from classifier rows."""
+    """JSON documents per (path_to_object, deploy_flag, part_no) from classifier rows."""
     filled = df.withColumn("alternates", F.array().cast("array<string>"))
     return json_per_group(filled, ["path_to_object", "deploy_flag"], "attribute", classification_entry(), "json_string")

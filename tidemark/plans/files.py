@@ -6,6 +6,7 @@ Each writes rows of a given table to new folders below the shared folder and wor
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from tidemark.session import new_folder
 from tidemark.sources import delimited, files
 from tidemark.sources.relations import read_json_variant
 from tidemark.streaming import files as feeds
+from tidemark.streaming.appends import AppendLog, copy_new
 from tidemark.streaming.history import Entity, HistoryStore, run_pipeline
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -67,6 +69,17 @@ def positional_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.read_positional(spark, folder, ",", skip_header=True).select("c1", "c3", "c4")
 
 
+def uneven_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of one to four fields; the widest one gives the number of columns."""
+    events = load(spark, sf_dir, "events")
+    fields = [F.col("event_id").cast("string"), F.col("event_type"), F.col("user_id").cast("string"), F.lit("x")]
+    wide = F.col("event_id") % 4
+    line = F.concat_ws("|", *[F.when(wide >= i, f) for i, f in enumerate(fields)])
+    folder = new_folder(spark, "uneven")
+    events.select(line.alias("value")).write.text(folder)
+    return delimited.read_positional(spark, folder, "|")
+
+
 def whole_line_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comma files read with the pipe separator: each line comes back whole in the first column."""
     events = load(spark, sf_dir, "events")
@@ -93,9 +106,14 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per user written by key; equal contents would give equal checksums."""
-    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.select("doc_id", F.md5(F.encode("text", "UTF-8")).alias("md5"))
+    """Documents' first lines by language, one file each in order of id, and the files' checksums."""
+    docs = load(spark, sf_dir, "documents")
+    folder = new_folder(spark, "checksums")
+    rows = docs.select("lang", "doc_id", F.split("text", "\n")[0].alias("value"))
+    rows = rows.repartition("lang").sortWithinPartitions("lang", "doc_id").drop("doc_id")
+    rows.write.partitionBy("lang").text(folder)
+    listed = files.list_files(spark, folder, "*.txt", checksum=True, recursive=True)
+    return listed.select(F.regexp_extract("relative_path", "^lang=([^/]+)/", 1).alias("lang"), "md5", "size")
 
 
 def infer_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,16 +146,59 @@ def copy_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", "n", F.lit(first).cast("long").alias("first_run"), F.lit(second).cast("long").alias("second_run"))
 
 
+def copy_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk load with a history of files: a second run takes only what has come since."""
+    events = load(spark, sf_dir, "events")
+    base = new_folder(spark, "copy")
+    log = AppendLog(spark, f"{base}/table")
+    early = F.col("event_type").isin("click", "view")
+    counts = []
+    for name, rows in (("first", events.filter(early)), (None, None), ("second", events.filter(~early))):
+        if name:
+            delimited.unload(rows, f"{base}/in/{name}")
+        counts.append(copy_new(log, f"{base}/in", events.schema, RUN_1, delimited.PIPE))
+    runs = {f"run_{i + 1}": F.lit(n).cast("long") for i, n in enumerate(counts)}
+    taken = log.files().agg(F.sum("row_count")).first()[0]
+    return log.read().groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumns(runs).withColumn("in_history", F.lit(taken).cast("long"))
+
+
+def new_file_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed files by kind that an earlier listing did not have."""
+    events, folder = event_files(spark, sf_dir, by_type=True)
+    seen = files.list_files(spark, folder, "*.csv", recursive=True).select(F.col("relative_path").alias("file"))
+    seen = seen.filter(F.col("file").startswith("kind=click"))
+    fresh = feeds.new_files(spark, folder, seen, "*.csv", recursive=True)
+    return fresh.select(F.regexp_extract("relative_path", "^kind=([^/]+)/", 1).alias("kind")).distinct()
+
+
+def feed_history_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second delivery with unreadable prices for finished orders: their history stays open. A third one
+    has a line without a key, so nothing counts as missing in it."""
+    prev, curr = order_snapshots(spark, sf_dir)
+    base = new_folder(spark, "rejects")
+    entity = Entity("orders", prev.schema, KEY, on_error="skip")
+    incoming, root = f"{base}/incoming", f"{base}/tables"
+    text_of = lambda df: df.withColumns({c: F.col(c).cast("string") for c in df.columns})
+    broken = text_of(curr).withColumn("price", F.when(F.col("status") == "F", "unreadable").otherwise(F.col("price")))
+    keyless = text_of(prev).limit(1).withColumn(KEY, F.lit(None).cast("string"))
+    ledger = None
+    for rows, stamp, now in ((prev, "20240101_010000", RUN_1), (broken, "20240102_010000", RUN_2), (keyless, "20240103_010000", RUN_2)):
+        delimited.unload(rows, f"{incoming}/orders_{stamp}", delimited.COMMA)
+        ledger = run_pipeline(spark, incoming, [entity], root, now)
+    return HistoryStore(spark, root, entity).history(ledger.version("orders")).select(KEY, "status", "current_flag")
+
+
 def ordered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Yearly deliveries loaded in path order, each row with the place of its delivery."""
+    """Yearly deliveries loaded in path order in one scan, each row with the place of its delivery."""
     orders = load(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy").alias("y"))
     folder = new_folder(spark, "ordered")
     orders.write.partitionBy("y").option("header", "true").csv(folder)
     paths = files.ordered_files(spark, folder, "*.csv", recursive=True)
-    deliveries = list(dict.fromkeys(p.rsplit("/", 1)[0] for p in paths))
-    schema = T.StructType().add("o_orderkey", "long")
-    return union_all([
-        delimited.read_delimited(spark, path, schema).withColumn("place", F.lit(i)) for i, path in enumerate(deliveries)])
+    deliveries = list(dict.fromkeys(re.sub("^file:/+", "/", p.rsplit("/", 1)[0]) for p in paths))
+    places = spark.createDataFrame([(p, i) for i, p in enumerate(deliveries)], "delivery string, place int")
+    rows = delimited.read_delimited(spark, f"{folder}/*", T.StructType().add("o_orderkey", "long"), with_file=True)
+    delivery = F.regexp_replace(text.plain_path(F.col("_file_path")), "/[^/]*$", "")
+    return rows.withColumn("delivery", delivery).join(places, "delivery").select("o_orderkey", "place")
 
 
 def _planted(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
@@ -178,14 +239,16 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def route_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed deliveries with the entity and time their names carry."""
-    prev, _ = order_snapshots(spark, sf_dir)
+    orders = load(spark, sf_dir, "orders")
     folder = new_folder(spark, "routes")
-    for stamp in ("20240101_010000", "20240102_020000"):
-        prev.write.option("header", "true").csv(f"{folder}/orders_{stamp}")
+    late = F.col("o_orderdate") >= F.lit(CUTOFF).cast("timestamp_ntz")
+    for stamp, rows in (("20240101_010000", orders.filter(~late)), ("20240102_020000", orders.filter(late))):
+        rows.write.option("header", "true").csv(f"{folder}/orders_{stamp}")
     listed = files.list_files(spark, folder, "*.csv", recursive=True)
     routed = feeds.route_files(listed, folder)
     whole = F.col("path_to_file") == text.absolute_path(folder, F.col("relative_path"))
-    return routed.groupBy("entity", "stamp", "action").agg(F.bool_and(whole).alias("absolute"))
+    return routed.groupBy("entity", "stamp", "action").agg(
+        F.bool_and(whole).alias("absolute"), F.bool_and((F.col("size") > 0) & F.col("last_modified").isNotNull()).alias("sized"))
 
 
 def file_feed_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +360,7 @@ def path_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clustered_write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows in eight files, as they come and clustered by date: overlap falls."""
+    """The same rows in eight files, as they come and clustered by date: how many files a date touches."""
     lineitem = load(spark, sf_dir, "lineitem")
     base = new_folder(spark, "layout")
     lineitem.repartition(8).write.parquet(f"{base}/loose")
@@ -333,10 +396,15 @@ QUERIES: Registry = {
     "null_tokens": (null_tokens, """
 SELECT event_id, CASE WHEN event_type NOT IN ('error', 'click', 'view') THEN value END AS value, event_type FROM events"""),
     "positional_scan": (positional_scan, "SELECT CAST(event_id AS VARCHAR) AS c1, CAST(user_id AS VARCHAR) AS c3, event_type AS c4 FROM events"),
+    "uneven_scan": (uneven_scan, """
+SELECT CAST(event_id AS VARCHAR) AS c1, CASE WHEN event_id % 4 >= 1 THEN event_type END AS c2,
+       CASE WHEN event_id % 4 >= 2 THEN CAST(user_id AS VARCHAR) END AS c3, CASE WHEN event_id % 4 >= 3 THEN 'x' END AS c4 FROM events"""),
     "whole_line_scan": (whole_line_scan, "SELECT event_id || ',' || event_type AS c1 FROM events"),
     "file_name_scan": (file_name_scan, "SELECT event_type AS kind, count(*) AS n, count(*) AS named FROM events GROUP BY 1"),
     "list_files": (list_files, "SELECT DISTINCT event_type AS kind, true AS complete FROM events"),
-    "file_checksum": (file_checksum, "SELECT doc_id, md5(text) AS md5 FROM documents"),
+    "file_checksum": (file_checksum, """
+SELECT lang, md5(body) AS md5, CAST(octet_length(encode(body)) AS BIGINT) AS size
+FROM (SELECT lang, string_agg(string_split(text, chr(10))[1] || chr(10), '' ORDER BY doc_id) AS body FROM documents GROUP BY 1)"""),
     "infer_columns": (infer_columns, """
 SELECT * FROM (VALUES (1, 'event_id', 'int', 'event_id int'), (2, 'ts', 'timestamp', 'ts timestamp'), (3, 'user_id', 'int', 'user_id int'),
   (4, 'event_type', 'string', 'event_type string'), (5, 'value', 'double', 'value double'), (6, 'props', 'string', 'props string'))
@@ -345,6 +413,18 @@ AS t(position, column_name, data_type, ddl)"""),
     "unload": (unload, "SELECT o_orderkey || '|' || o_custkey || '|' || o_orderstatus AS line FROM orders"),
     "copy_load": (copy_load, """
 SELECT event_type, count(*) AS n, (SELECT count(*) FROM events) AS first_run, CAST(0 AS BIGINT) AS second_run FROM events GROUP BY 1"""),
+    "copy_twice": (copy_twice, """
+SELECT event_type, count(*) AS n, (SELECT count(*) FROM events WHERE event_type IN ('click', 'view')) AS run_1, CAST(0 AS BIGINT) AS run_2,
+       (SELECT count(*) FROM events WHERE event_type NOT IN ('click', 'view')) AS run_3, (SELECT count(*) FROM events) AS in_history
+FROM events GROUP BY 1"""),
+    "new_file_batch": (new_file_batch, "SELECT DISTINCT event_type AS kind FROM events WHERE event_type <> 'click'"),
+    "feed_history_rejects": (feed_history_rejects, f"""WITH {SNAPSHOTS},
+good AS (SELECT * FROM curr WHERE status <> 'F'),
+ups AS (SELECT g.o_orderkey, g.status FROM good g JOIN prev p USING (o_orderkey) WHERE g.last_updated <> p.last_updated)
+SELECT p.o_orderkey, p.status, CASE WHEN u.o_orderkey IS NOT NULL OR c.o_orderkey IS NULL THEN 'N' ELSE 'Y' END AS current_flag
+FROM prev p LEFT JOIN ups u USING (o_orderkey) LEFT JOIN curr c ON c.o_orderkey = p.o_orderkey
+UNION ALL SELECT o_orderkey, status, 'Y' FROM ups
+UNION ALL SELECT o_orderkey, status, 'Y' FROM good WHERE o_orderkey NOT IN (SELECT o_orderkey FROM prev)"""),
     "ordered_load": (ordered_load, """
 SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY year(o_orderdate)) - 1 AS INTEGER) AS place FROM orders"""),
     "load_rejects": (load_rejects, """
@@ -355,9 +435,8 @@ SELECT count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS loaded,
        count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS rejected, true AS all_partial FROM events"""),
     "ingest_stream": (ingest_stream, "SELECT * FROM events"),
     "route_files": (route_files, f"""
-SELECT 'orders' AS entity, stamp, 'INSERT' AS action, true AS absolute
-FROM (VALUES (TIMESTAMP '2024-01-01 01:00:00'), (TIMESTAMP '2024-01-02 02:00:00')) t(stamp)
-WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderdate < TIMESTAMP '{CUTOFF}')"""),
+SELECT DISTINCT 'orders' AS entity, CASE WHEN o_orderdate < TIMESTAMP '{CUTOFF}' THEN TIMESTAMP '2024-01-01 01:00:00'
+       ELSE TIMESTAMP '2024-01-02 02:00:00' END AS stamp, 'INSERT' AS action, true AS absolute, true AS sized FROM orders"""),
     "file_feed_history": (file_feed_history, FEED_HISTORY),
     "on_new_json": (on_new_json, NESTED),
     "on_change_dq": (on_change_dq, f"""WITH {SNAPSHOTS}

@@ -330,11 +330,13 @@ def classification_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CLASSIFICATION_JSON = f"""WITH {_ratios(CLASSIFIED)}
-SELECT path_to_object, deploy_flag,
+SELECT path_to_object, deploy_flag, part_no,
        '{{' || string_agg('"' || attribute || '":{{"extra_info":{{"alternates":[],"probability":"' || CAST(CAST(probability AS DECIMAL(10,2)) AS VARCHAR)
          || '"}},"privacy_category":"' || privacy_category || '","semantic_category":"' || semantic_category || '"}}', ',' ORDER BY attribute) || '}}' AS json_string
 FROM (SELECT *, CASE WHEN path_to_object = 'test.public.customer' AND attribute <> 'c_custkey' THEN 'Y' ELSE 'N' END AS deploy_flag
-      FROM found WHERE privacy_category IS NOT NULL) GROUP BY 1, 2"""
+             , CAST((row_number() OVER (PARTITION BY path_to_object, path_to_object = 'test.public.customer' AND attribute <> 'c_custkey'
+                                       ORDER BY attribute) - 1) // 10000 AS INTEGER) AS part_no
+      FROM found WHERE privacy_category IS NOT NULL) GROUP BY 1, 2, 3"""
 
 
 def q_schema_from_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

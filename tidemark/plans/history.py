@@ -11,14 +11,16 @@ from tidemark.operators import dml
 from tidemark.operators.changes import apply_feed, change_feed
 from tidemark.operators.joins import feed_join, new_rows, union_all
 from tidemark.operators.ordered import assign_ids, effective_dates, next_time, row_numbers
+from tidemark.operators.quality import FIRST_ID, Check, run_checks
 from tidemark.operators.scd import (
     MISSING, NEW_ROW, UPDATE_CLOSES, UPDATE_OPENS, scd1_changes, scd1_feed, scd1_sync, scd2_apply, scd2_classify,
     split_stale,
 )
 from tidemark.plans.common import (
-    HISTORY, RUN_2, SNAPSHOTS, Registry, load, order_snapshots, seeded_history, sql_time_text, with_time_text,
+    HISTORY, RUN_1, RUN_2, SNAPSHOTS, Registry, load, order_snapshots, seeded_history, sql_time_text, with_time_text,
 )
 from tidemark.session import cut_lineage, new_folder
+from tidemark.streaming.appends import AppendLog, consume_into
 from tidemark.streaming.history import append_typed
 from tidemark.streaming.state import FeedState, Ledger, VersionedTable
 
@@ -251,7 +253,7 @@ def truncate_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def affected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written by an append, counted while writing, beside the rows found afterwards."""
     path = new_folder(spark, "affected")
-    rows = load(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "P")
+    rows = load(spark, sf_dir, "orders")
     counted, count = dml.run_counted(rows, "affected_rows")
     counted.write.parquet(path)
     written = count()
@@ -274,6 +276,41 @@ def typed_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return append_typed(text, orders.schema, 100000, ["o_orderkey"], "test_load_id")
 
 
+def sequence_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of typed rows; the second goes on where the first one's ids ended."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    log = AppendLog(spark, new_folder(spark, "sequence"))
+    done = F.col("o_orderstatus") == "F"
+    for rows, now in ((orders.filter(done), RUN_1), (orders.filter(~done), RUN_2)):
+        log.append(lambda first, rows=rows: assign_ids(rows, first, ["o_orderkey"], "order_sk"), now, 100000)
+    return log.read()
+
+
+def dq_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of two order snapshots; exception ids go on from run to run."""
+    snapshots = order_snapshots(spark, sf_dir)
+    codes = spark.createDataFrame([(7, "ATTRIBUTE_IS_NULL")], "data_quality_exception_code_id long, data_quality_exception_code_name string")
+    log = AppendLog(spark, new_folder(spark, "exceptions"))
+    for rows, now in zip(snapshots, (RUN_1, RUN_2)):
+        checked = rows.select(KEY, F.when(F.col("price") < 450000, F.col("price")).alias("price"), F.lit("Y").alias("current_flag"))
+        log.append(lambda first, rows=checked, now=now: run_checks(rows, [Check("price", KEY, "orders")], codes, now, first), now, FIRST_ID)
+    return log.read().select("data_quality_exception_id", "source_record_pk_value", "insert_timestamp")
+
+
+def consume_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of a table consumed into a change table, each once however often the step runs."""
+    prev, curr = order_snapshots(spark, sf_dir)
+    root = new_folder(spark, "consume")
+    table = VersionedTable(spark, f"{root}/orders", prev.schema)
+    table.write(prev, 1)
+    table.write(curr, 2)
+    log = AppendLog(spark, f"{root}/changes")
+    state = FeedState(spark, table, log.ledger, KEY, log.name)
+    for latest, now in ((1, RUN_1), (1, RUN_1), (2, RUN_2), (2, RUN_2)):
+        consume_into(log, state, latest, lambda feed, first: feed.select(KEY, "status", "action"), now)
+    return log.read()
+
+
 def feed_with_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     prev, curr = order_snapshots(spark, sf_dir)
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -347,12 +384,27 @@ SELECT p_partkey, p_name, CASE WHEN p_size > 25 THEN p_retailprice ELSE 0.0 END
        TIMESTAMP '{RUN_2}' AS last_updated, CAST(NULL AS VARCHAR) AS note FROM part"""),
     "truncate_reload": (truncate_reload, f"WITH {SNAPSHOTS} SELECT * FROM curr"),
     "affected_rows": (affected_rows, """
-SELECT o_orderstatus, count(*) AS found, count(*) AS written FROM orders WHERE o_orderstatus = 'P' GROUP BY 1"""),
+SELECT o_orderstatus, count(*) AS found, (SELECT count(*) FROM orders) AS written FROM orders GROUP BY 1"""),
     "surrogate_ids": (surrogate_ids, """
 SELECT row_number() OVER (ORDER BY o_custkey, o_orderkey) + 99999 AS order_sk, o_orderkey, o_custkey, o_totalprice FROM orders"""),
     "typed_append": (typed_append, """
 SELECT row_number() OVER (ORDER BY o_orderkey) + 99999 AS test_load_id, o_orderkey, o_orderdate, o_totalprice FROM orders"""),
     "feed_join": (feed_with_table, f"""
 SELECT f.*, o_custkey FROM ({CHANGE_FEED}) f JOIN (SELECT o_orderkey AS k, o_custkey FROM orders) ON k = f.o_orderkey"""),
+    "sequence_two_loads": (sequence_two_loads, """
+SELECT row_number() OVER (ORDER BY o_orderstatus = 'F' DESC, o_orderkey) + 99999 AS order_sk, o_orderkey, o_custkey, o_orderstatus
+FROM orders"""),
+    "dq_two_runs": (dq_two_runs, f"""WITH {SNAPSHOTS},
+runs AS (
+  SELECT o_orderkey, TIMESTAMP '{RUN_1}' AS insert_timestamp FROM prev WHERE NOT price < 450000
+  UNION ALL SELECT o_orderkey, TIMESTAMP '{RUN_2}' FROM curr WHERE NOT price < 450000)
+SELECT row_number() OVER (ORDER BY insert_timestamp, CAST(o_orderkey AS VARCHAR)) + 9999 AS data_quality_exception_id,
+       CAST(o_orderkey AS VARCHAR) AS source_record_pk_value, insert_timestamp FROM runs"""),
+    "consume_into_table": (consume_into_table, f"""WITH {SNAPSHOTS}
+SELECT o_orderkey, status, 'INSERT' AS action FROM prev
+UNION ALL SELECT c.o_orderkey, c.status, 'INSERT' FROM curr c LEFT JOIN prev p USING (o_orderkey)
+  WHERE p.o_orderkey IS NULL OR (p.status, p.price, p.last_updated) IS DISTINCT FROM (c.status, c.price, c.last_updated)
+UNION ALL SELECT p.o_orderkey, p.status, 'DELETE' FROM prev p LEFT JOIN curr c USING (o_orderkey)
+  WHERE c.o_orderkey IS NULL OR (p.status, p.price, p.last_updated) IS DISTINCT FROM (c.status, c.price, c.last_updated)"""),
     "feed_state_consume": (feed_state_consume, FEED_STATE),
 }

@@ -114,7 +114,7 @@ FROM log WHERE start_time >= TIMESTAMP '{AS_OF}' - to_minutes(CAST(length(role_n
 
 
 def login_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = load(spark, sf_dir, "events").filter(F.col("event_type") == "signup").select(
+    log = load(spark, sf_dir, "events").select(
         "event_id", F.concat(F.lit("USER_"), F.col("user_id").cast("string")).alias("user_name"))
     return monitor.login_history(log, "ACCOUNT_1", "events")
 
@@ -207,7 +207,7 @@ WHERE role_name = 'error' AND start_time BETWEEN TIMESTAMP '2024-01-30 00:00:00'
     "control_events": (control_events, CONTROL_EVENTS),
     "login_history": (login_history, """
 SELECT event_id, 'USER_' || user_id AS user_name, 'ACCOUNT_1.USER_' || user_id AS object_name,
-       'Login History Wrapper View' AS source_name, 'events' AS source_path FROM events WHERE event_type = 'signup'"""),
+       'Login History Wrapper View' AS source_name, 'events' AS source_path FROM events"""),
     "access_history": (access_history, """
 SELECT 'order ' || o_orderkey AS query_text, o_custkey || ' -> ' || o_orderpriority || ' -> WH' AS user_info,
        'DB.PUBLIC -> ' || CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END || ' -> SUCCESS' AS object_query,

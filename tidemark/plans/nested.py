@@ -28,10 +28,11 @@ def json_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     }, ("event_id",)).withColumn("k_rounded", (F.col("k_double") / 10).cast("decimal(10,0)").cast("double"))
 
 
-def line_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as JSON: an array of lines, which some languages have empty or not at all."""
-    lines = F.split("text", "\n", -1)
-    content = F.when(F.col("lang") == "de", F.array().cast("array<string>")).when(F.col("lang") != "fr", lines)
+def line_documents(spark: SparkSession, sf_dir: str, gaps: bool = False) -> DataFrame:
+    """Documents as JSON: an array of lines; with `gaps` some languages have it empty or not at all."""
+    content = F.split("text", "\n", -1)
+    if gaps:
+        content = F.when(F.col("lang") == "de", F.array().cast("array<string>")).when(F.col("lang") != "fr", content)
     doc = F.to_json(F.struct("doc_id", "lang", content.alias("lines")))
     return load(spark, sf_dir, "documents").select("doc_id", F.parse_json(doc).alias("doc"))
 
@@ -42,7 +43,8 @@ def flatten_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flatten_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = nested.explode_json(line_documents(spark, sf_dir), "doc", "$.lines", outer=True)
+    """Arrays that are empty or missing keep one row; the lines of two languages are left out for that."""
+    rows = nested.explode_json(line_documents(spark, sf_dir, gaps=True), "doc", "$.lines", outer=True)
     return rows.select(
         "doc_id", nested.json_path("doc", "$.lang").alias("lang"), F.col("pos").cast("long").alias("pos"),
         F.length(nested.json_path("value", "$")).cast("long").alias("line_chars"))
@@ -114,12 +116,10 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k_int, CAST(json
        CAST(CAST(CAST(json_extract(props, '$.k') AS DECIMAL(10,1)) / 10 AS DECIMAL(10,1)) AS DECIMAL(10,0))::DOUBLE AS k_rounded
 FROM events"""),
     "json_array_index": (json_array_index, r"""
-SELECT doc_id, CASE WHEN lang NOT IN ('de', 'fr') THEN string_split(text, chr(10))[1] END AS first_line,
-       CASE WHEN lang NOT IN ('de', 'fr') THEN string_split(text, chr(10))[2] END AS second_line FROM documents"""),
+SELECT doc_id, string_split(text, chr(10))[1] AS first_line, string_split(text, chr(10))[2] AS second_line FROM documents"""),
     "flatten_array": (flatten_array, """
 SELECT doc_id, CAST(pos AS BIGINT) AS pos, string_split(text, chr(10))[pos + 1] AS line
-FROM (SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS pos
-      FROM documents WHERE lang NOT IN ('de', 'fr'))"""),
+FROM (SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents)"""),
     "flatten_outer": (flatten_outer, """
 SELECT doc_id, lang, CAST(pos AS BIGINT) AS pos, CAST(length(string_split(text, chr(10))[pos + 1]) AS BIGINT) AS line_chars
 FROM (SELECT doc_id, lang, text, unnest(range(len(string_split(text, chr(10))))) AS pos

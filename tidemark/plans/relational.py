@@ -168,19 +168,24 @@ def q_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_counts(load(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"])
 
 
+# Rows to a part; small, so that users of the test tables have several parts.
+PART_ROWS = 20
+
+
 def listagg_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return string_agg(load(spark, sf_dir, "events"), ["user_id"], "event_type", ",", ["ts", "event_id"], "types").select(
+    """Types of each user's events in order of time, PART_ROWS to a part."""
+    return string_agg(load(spark, sf_dir, "events"), ["user_id"], "event_type", ",", ["ts", "event_id"], "types", PART_ROWS).select(
         "user_id", "part_no", "types")
 
 
 def q_rows_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = load(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
-    arrays = rows_to_array(events, ["event_id"], ["user_id"], "objects")
-    return arrays.select("user_id", F.size("objects").cast("long").alias("n"), F.to_json("objects").alias("objects"))
+    arrays = rows_to_array(events, ["event_id"], ["user_id"], "objects", PART_ROWS)
+    return arrays.select("user_id", "part_no", F.size("objects").cast("long").alias("n"), F.to_json("objects").alias("objects"))
 
 
 def q_json_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return json_per_group(load(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id", "last_events")
+    return json_per_group(load(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id", "last_events", 2)
 
 
 def top_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,15 +252,19 @@ SELECT strftime(o_orderdate, '%Y%m') AS order_month, o_orderpriority = '1-URGENT
        CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1, 2"""),
     "distinct_counts": (q_distinct_counts, """
 SELECT count(DISTINCT l_partkey) AS count_l_partkey, count(DISTINCT l_suppkey) AS count_l_suppkey FROM lineitem"""),
-    "listagg_ordered": (listagg_ordered, """
-SELECT user_id, 0 AS part_no, string_agg(event_type, ',' ORDER BY ts, event_id) AS types FROM events GROUP BY 1"""),
-    "rows_to_json": (q_rows_to_json, """
-SELECT user_id, count(*) AS n,
-       '[' || string_agg('{"event_id":' || event_id || ',"event_type":"' || event_type || '"}', ',' ORDER BY event_id) || ']' AS objects
-FROM events GROUP BY 1"""),
+    "listagg_ordered": (listagg_ordered, f"""
+SELECT user_id, part_no, string_agg(event_type, ',' ORDER BY rn) AS types
+FROM (SELECT *, CAST((rn - 1) // {PART_ROWS} AS INTEGER) AS part_no
+      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)) GROUP BY 1, 2"""),
+    "rows_to_json": (q_rows_to_json, f"""
+SELECT user_id, part_no, count(*) AS n,
+       '[' || string_agg('{{"event_id":' || event_id || ',"event_type":"' || event_type || '"}}', ',' ORDER BY event_id) || ']' AS objects
+FROM (SELECT *, CAST((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // {PART_ROWS} AS INTEGER) AS part_no FROM events)
+GROUP BY 1, 2"""),
     "json_per_group": (q_json_per_group, """
-SELECT user_id, '{' || string_agg('"' || event_type || '":' || id, ',' ORDER BY event_type) || '}' AS last_events
-FROM (SELECT user_id, event_type, max(event_id) AS id FROM events GROUP BY 1, 2) GROUP BY 1"""),
+SELECT user_id, part_no, '{' || string_agg('"' || event_type || '":' || id, ',' ORDER BY event_type) || '}' AS last_events
+FROM (SELECT user_id, event_type, id, CAST((row_number() OVER (PARTITION BY user_id ORDER BY event_type) - 1) // 2 AS INTEGER) AS part_no
+      FROM (SELECT user_id, event_type, max(event_id) AS id FROM events GROUP BY 1, 2)) GROUP BY 1, 2"""),
     "top_orders": (top_orders, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100"),
     "capped_log": (capped_log, "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id LIMIT 1000"),
 }

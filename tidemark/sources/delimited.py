@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -88,25 +89,41 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: T.Str
 
 def read_positional(spark: SparkSession, path: str | Sequence[str], sep: str = "|", n: int | None = None,
                     with_file: bool = False, skip_header: bool = False, pattern: str | None = None) -> DataFrame:
-    """Schemaless scan: text columns c1..cN by position. N is read from the first file when unset;
-    a line without the separator comes back whole in c1."""
+    """Schemaless scan: text columns c1..cN by position; a line without the separator comes back
+    whole in c1. N is unset: the widest line of all files sets it, found in one more pass that counts
+    separators (quoted ones too, so quotes can only add columns of NULLs). With N set only the first N fields are read."""
     options = {"sep": sep, "header": str(skip_header).lower(), "enforceSchema": "true"}
     if pattern:
         options["pathGlobFilter"] = pattern
     if n is None:
-        n = len(spark.read.options(**options).csv(path).columns)
+        globbed = {"pathGlobFilter": pattern} if pattern else {}
+        lines = spark.read.options(**globbed).text(path)
+        widest = lines.agg(F.max(F.size(F.split("value", re.escape(sep), -1)))).first()[0]
+        n = widest or 1
     schema = T.StructType([T.StructField(f"c{i + 1}", T.StringType()) for i in range(n)])
     scan = spark.read.schema(schema).options(**options).csv(path)
     return scan.select(*schema.names, *file_columns()) if with_file else scan
 
 
 def external_table(spark: SparkSession, folder: str, cols: Mapping[str, tuple[int, str]], pattern: str | None = None,
-                   fmt: DelimitedFormat = COMMA, width: int | None = None) -> DataFrame:
+                   fmt: DelimitedFormat = COMMA, width: int | None = None, on_error: str = "abort") -> DataFrame:
     """Typed virtual columns {name: (1-based position, type)} over the files matching `pattern`.
-    Each call lists the folder anew."""
+    Each call lists the folder anew. A value that is not of its type: "abort" raises, "skip" leaves
+    the row out, "null" gives NULL."""
+    if on_error not in ("abort", "skip", "null"):
+        raise ValueError(f"unknown on_error: {on_error}")
     n = max(width or 0, max(position for position, _ in cols.values()))
     scan = read_positional(spark, folder, fmt.sep, n, skip_header=fmt.skip_header, pattern=pattern)
-    return scan.select([F.col(f"c{position}").try_cast(kind).alias(name) for name, (position, kind) in cols.items()])
+    typed, bad = [], F.lit(False)
+    for name, (position, kind) in cols.items():
+        value = _nulls(f"c{position}", fmt)
+        cast, wrong = value.try_cast(kind), value.isNotNull() & value.try_cast(kind).isNull()
+        if on_error == "abort":
+            message = F.concat(F.lit(f"bad {kind} in column {name}: "), value)
+            cast = F.when(wrong, F.raise_error(message).cast(kind)).otherwise(cast)
+        bad = bad | wrong
+        typed.append(cast.alias(name))
+    return (scan.filter(~bad) if on_error == "skip" else scan).select(typed)
 
 
 def refresh(spark: SparkSession, folder: str) -> None:

@@ -30,9 +30,9 @@ def file_feed(spark: SparkSession, folder: str, glob: str = "*", max_files: int
         "path", F.col("length").alias("size"), F.col("modificationTime").cast("timestamp_ntz").alias("last_modified"))
 
 
-def new_files(spark: SparkSession, folder: str, seen: DataFrame, glob: str = "*") -> DataFrame:
+def new_files(spark: SparkSession, folder: str, seen: DataFrame, glob: str = "*", recursive: bool = False) -> DataFrame:
     """Batch form: listed files whose name is not in `seen.file`."""
-    listed = list_files(spark, folder, glob)
+    listed = list_files(spark, folder, glob, recursive=recursive)
     return listed.join(seen.select(F.col("file").alias("relative_path")).distinct(), "relative_path", "left_anti")
 
 

@@ -13,12 +13,13 @@ from pyspark.sql import types as T
 
 from tidemark.functions.compare import to_schema
 from tidemark.functions.text import ENTITY_MARK
-from tidemark.operators.dml import run_counted, unmatched
+from tidemark.operators.dml import unmatched
 from tidemark.operators.ordered import assign_ids
 from tidemark.operators.scd import open_rows, scd1_changes, scd1_feed, scd1_state, scd2_apply, scd2_classify, split_stale
 from tidemark.session import cut_lineage
 from tidemark.sources.delimited import COMMA, DelimitedFormat, read_checked
 from tidemark.sources.files import path_exists
+from tidemark.streaming.appends import AppendLog
 from tidemark.streaming.files import on_new_file
 from tidemark.streaming.state import EMPTY, LATE, UNKNOWN, Ledger, VersionedTable
 
@@ -188,11 +189,15 @@ def run_pipeline(spark: SparkSession, folder: str, registry: Sequence[Entity], r
 
 
 def append_typed(feed: DataFrame, schema: T.StructType, start: int, order_by: Sequence[str], id_col: str,
-                 path: str | None = None) -> DataFrame:
-    """Text rows of a feed as typed rows with a surrogate key, optionally appended to a Parquet folder."""
-    rows = assign_ids(to_schema(feed, schema), start, list(order_by), id_col)
+                 path: str | None = None, now: datetime | str | None = None) -> DataFrame:
+    """Text rows of a feed as typed rows with a surrogate key from `start`.
+
+    With a `path` they are appended there as a load of an `AppendLog`: ids go on where the last load
+    ended, and a load that died half-way is written anew.
+    """
+    typed = to_schema(feed, schema)
     if path is None:
-        return rows
-    counted, _ = run_counted(rows, "append_typed")
-    counted.write.mode("append").parquet(path)
-    return rows
+        return assign_ids(typed, start, list(order_by), id_col)
+    log = AppendLog(feed.sparkSession, path)
+    log.append(lambda first: assign_ids(typed, first, list(order_by), id_col), now or datetime.now(), start)
+    return log.read()

@@ -96,7 +96,10 @@ class FeedState:
 
     def pending(self, latest: int) -> DataFrame:
         """Net changes between the position and version `latest`."""
-        position = self.position()
+        return self.between(self.position(), latest)
+
+    def between(self, position: int, latest: int) -> DataFrame:
+        """Net changes between two versions."""
         prev = self.table.read(position)
         if position == latest:
             return truncate(change_feed(prev, prev, self.key))
