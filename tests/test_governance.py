@@ -88,16 +88,22 @@ def test_lineage_ends_on_a_cycle(spark):
 
 
 def test_classification(spark):
-    employee = spark.createDataFrame(
-        [(1, "John Doe", "Male", "FA123456Z", "123-45-6789", "DN13 7ZZ", "99950"),
-         (2, "Jane Doe", "Female", "XS123456Y", "234-56-7890", "YP22 9HG", "99949")],
-        "employee_id int, name string, gender string, ni string, ssn string, postcode string, zip_code string")
-    found = classify.classify_columns(employee, path="t")
+    sailors = spark.createDataFrame(
+        [(1, "Ida Berg", "female", "QQ654321C", "901-23-4567", "AB1 2CD", "10001"),
+         (2, "Ole Lund", "male", "WW765432D", "912-34-5678", "XY21 3ZZ", "10002")],
+        "sailor_no int, name string, sex string, insurance string, social string, post string, zip string")
+    found = classify.classify_columns(sailors, path="t")
     assert rows(found.filter("privacy_category is not null"), "attribute", "semantic_category") == [
-        ("gender", "GENDER"), ("ni", "UK_NATIONAL_INSURANCE"), ("postcode", "UK_POSTCODE"), ("ssn", "US_SSN"), ("zip_code", "US_POSTAL_CODE")]
+        ("insurance", "UK_NATIONAL_INSURANCE"), ("post", "UK_POSTCODE"), ("sex", "GENDER"), ("social", "US_SSN"), ("zip", "US_POSTAL_CODE")]
     flat = flatten_classification(classify.classification_document(found), "doc", "path_to_object", ntz("2022-01-01 00:00:00"))
     assert flat.count() == 5
-    assert classify.classify_columns(employee.limit(0)).filter("privacy_category is not null").count() == 0
+    assert classify.classify_columns(sailors.limit(0)).filter("privacy_category is not null").count() == 0
+
+
+def test_patterns_end_where_the_value_ends(spark):
+    df = spark.createDataFrame([("12345\n",), ("12345-6789\r\n",), ("12345",)], "v string")
+    zip_rule = next(r for r in classify.RULES if r.semantic_category == "US_POSTAL_CODE")
+    assert [r[0] for r in df.filter(zip_rule.fits(F.col("v"))).collect()] == ["12345"]
 
 
 def test_classification_guards_change_nothing(spark):

@@ -15,8 +15,8 @@ from tidemark.operators.scd import (
     split_stale,
 )
 
-T1, T2 = "2022-01-15 13:04:42", "2022-01-15 13:35:05"
-NOW1, NOW2 = "2022-01-15 14:00:00", "2022-01-15 15:00:00"
+T1, T2 = "2023-03-02 08:15:00", "2023-03-02 09:40:00"
+NOW1, NOW2 = "2023-03-02 10:00:00", "2023-03-02 11:00:00"
 END = "9999-12-31 00:00:00"
 ROW = "id long, content string, last_updated string"
 HIST = "id long, content string, valid_from timestamp_ntz, valid_to timestamp_ntz, current_flag string, decision string"
@@ -32,18 +32,18 @@ def hist_rows(df):
 
 @pytest.fixture(scope="module")
 def first(spark):
-    return table(spark, (1000, "ABC", T1), (1001, "DEF", T1), (1002, "GHI", T1))
+    return table(spark, (41, "red", T1), (42, "green", T1), (43, "blue", T1))
 
 
 @pytest.fixture(scope="module")
 def second(spark):
-    return table(spark, (1000, "ABX", T2), (1001, "DEF", T1), (1003, "JKL", T2))
+    return table(spark, (41, "rose", T2), (42, "green", T1), (44, "grey", T2))
 
 
 def test_sync_and_feed(first, second):
     changes = scd1_changes(first, second, "id", "last_updated")
-    assert rows(scd1_state(changes), "id", "content") == [(1000, "ABX"), (1001, "DEF"), (1003, "JKL")]
-    want = [(1000, "ABC", "DELETE", True), (1000, "ABX", "INSERT", True), (1002, "GHI", "DELETE", False), (1003, "JKL", "INSERT", False)]
+    assert rows(scd1_state(changes), "id", "content") == [(41, "rose"), (42, "green"), (44, "grey")]
+    want = [(41, "red", "DELETE", True), (41, "rose", "INSERT", True), (43, "blue", "DELETE", False), (44, "grey", "INSERT", False)]
     assert rows(scd1_feed(changes), "id", "content", "action", "is_update") == want
     assert rows(change_feed(first, second, "id"), "id", "content", "action", "is_update") == want
 
@@ -56,8 +56,8 @@ def test_two_files_to_history(spark, first, second, null_safe):
     feed2 = scd1_feed(scd1_changes(first, second, "id", "last_updated"))
     hist2 = scd2_apply(hist1, scd2_classify(feed2, hist1, "id", "now", NOW2), ["id", "content"], "now", NOW2, null_safe)
     assert hist_rows(hist2) == [
-        (1000, "ABC", NOW1, NOW2, "N", UPDATE_CLOSES), (1000, "ABX", NOW2, END, "Y", UPDATE_OPENS),
-        (1001, "DEF", NOW1, END, "Y", NEW_ROW), (1002, "GHI", NOW1, NOW2, "N", MISSING), (1003, "JKL", NOW2, END, "Y", NEW_ROW)]
+        (41, "red", NOW1, NOW2, "N", UPDATE_CLOSES), (41, "rose", NOW2, END, "Y", UPDATE_OPENS),
+        (42, "green", NOW1, END, "Y", NEW_ROW), (43, "blue", NOW1, NOW2, "N", MISSING), (44, "grey", NOW2, END, "Y", NEW_ROW)]
 
 
 def test_successor_form(spark, first, second):
@@ -67,8 +67,8 @@ def test_successor_form(spark, first, second):
     feed2 = scd1_feed(scd1_changes(first, second, "id", "last_updated"))
     hist2 = scd2_apply(hist1, scd2_classify(feed2, hist1, "id", "successor", NOW2, close_code="U"), ["id", "content"])
     assert [r[:5] for r in hist_rows(hist2)] == [
-        (1000, "ABC", T1, T2, "N"), (1000, "ABX", T2, END, "Y"), (1001, "DEF", T1, END, "Y"),
-        (1002, "GHI", T1, NOW2, "N"), (1003, "JKL", T2, END, "Y")]
+        (41, "red", T1, T2, "N"), (41, "rose", T2, END, "Y"), (42, "green", T1, END, "Y"),
+        (43, "blue", T1, NOW2, "N"), (44, "grey", T2, END, "Y")]
 
 
 def test_apply_is_idempotent(spark, first):
@@ -91,10 +91,10 @@ def test_null_content_closes_only_null_safe(spark):
 
 def test_stale_update_is_split_off(spark, first):
     hist = first.selectExpr("id", "content", "last_updated valid_from", "timestamp_ntz'9999-12-31' valid_to", "'Y' current_flag", "'' decision")
-    renamed = table(spark, (1000, "NEW", T1), (1001, "DEF", T1), (1002, "GHX", T2))
+    renamed = table(spark, (41, "NEW", T1), (42, "green", T1), (43, "GHX", T2))
     good, bad = split_stale(change_feed(first, renamed, "id"), hist, "id")
-    assert rows(good, "id", "action") == [(1002, "DELETE"), (1002, "INSERT")]
-    assert rows(bad, "id", "action") == [(1000, "DELETE"), (1000, "INSERT")]
+    assert rows(good, "id", "action") == [(43, "DELETE"), (43, "INSERT")]
+    assert rows(bad, "id", "action") == [(41, "DELETE"), (41, "INSERT")]
 
 
 @pytest.mark.parametrize("stage,want", [
@@ -203,11 +203,11 @@ def test_bucketed_snapshots_join_without_a_shuffle(spark, first, second, tmp_pat
         spark.sql(f"DROP TABLE {name}")
 
 
-def test_feed_may_check_uniqueness(spark, first, second):
+def test_feed_checks_uniqueness(spark, first, second):
     twice = table(spark, (1, "a", T1), (1, "b", T1), (None, "c", T1), (None, "d", T1))
-    assert change_feed(first, second, "id", check=True).count() == 4
+    assert change_feed(first, second, "id").count() == 4
     with pytest.raises(ValueError, match="current snapshot: a key occurs 2 times"):
-        change_feed(first, twice, "id", check=True)
+        change_feed(first, twice, "id")
 
 
 def test_key_staged_twice_raises(spark, first):

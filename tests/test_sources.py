@@ -114,21 +114,20 @@ def test_listing(spark, tmp_path):
     assert [p.rsplit("/", 1)[-1] for p in files.ordered_files(spark, str(tmp_path / "a"))] == ["1.txt"]
 
 
-DOC = ('{"employee":[{"firstName":"Ann","address":{"city":"Leeds"},"phoneNumbers":[{"type":"home","number":"1"},{"type":"fax","number":"2"}]},'
-       '{"firstName":"Bob","phoneNumbers":[]},{"firstName":"Cyd"}]}')
+DOC = ('{"crew":[{"call":"Ann","berth":{"town":"Leeds"},"radios":[{"band":"vhf","code":"1"},{"band":"uhf","code":"2"}]},'
+       '{"call":"Bob","radios":[]},{"call":"Cyd"}]}')
 
 
 def test_nested_document(spark, tmp_path):
     write(tmp_path, "d.json", [DOC])
     docs = relations.read_json_variant(spark, str(tmp_path))
-    got = nested.nested_view(docs, "doc", "$.employee", "$.phoneNumbers", {"name": "$.firstName", "city": "$.address.city"},
-                             {"phone_type": "$.type"})
-    assert rows(got) == [("Ann", "Leeds", "fax"), ("Ann", "Leeds", "home"), ("Bob", None, None), ("Cyd", None, None)]
-    assert rows(docs.select(nested.json_path("doc", "$.employee[1].firstName"))) == [("Bob",)]
+    got = nested.nested_view(docs, "doc", "$.crew", "$.radios", {"name": "$.call", "town": "$.berth.town"}, {"band": "$.band"})
+    assert rows(got) == [("Ann", "Leeds", "uhf"), ("Ann", "Leeds", "vhf"), ("Bob", None, None), ("Cyd", None, None)]
+    assert rows(docs.select(nested.json_path("doc", "$.crew[1].call"))) == [("Bob",)]
     assert nested.explode_json(docs, "doc", "$.nothing").count() == 0
-    assert rows(docs.select(nested.json_path("doc", "$.employee[0].firstName", "int"))) == [(None,)]
+    assert rows(docs.select(nested.json_path("doc", "$.crew[0].call", "int"))) == [(None,)]
     with pytest.raises(PySparkException):
-        docs.select(nested.json_path("doc", "$.employee[0].firstName", "int", strict=True)).collect()
+        docs.select(nested.json_path("doc", "$.crew[0].call", "int", strict=True)).collect()
 
 
 def test_bad_json_raises(spark, tmp_path):

@@ -18,11 +18,11 @@ from tidemark.streaming.state import FeedState, Ledger, VersionedTable
 
 SCHEMA = T.StructType().add("id", "long").add("content", "string").add("last_updated", T.TimestampNTZType())
 HEAD = "id,content,last_updated"
-FILE1 = [HEAD, f"1000,ABC,{T1}", f"1001,DEF,{T1}", f"1002,GHI,{T1}"]
-FILE2 = [HEAD, f"1000,ABX,{T2}", f"1001,DEF,{T1}", f"1003,JKL,{T2}"]
+FILE1 = [HEAD, f"41,red,{T1}", f"42,green,{T1}", f"43,blue,{T1}"]
+FILE2 = [HEAD, f"41,rose,{T2}", f"42,green,{T1}", f"44,grey,{T2}"]
 WANT = [
-    (1000, "ABC", NOW1, NOW2, "N", UPDATE_CLOSES), (1000, "ABX", NOW2, END, "Y", UPDATE_OPENS), (1001, "DEF", NOW1, END, "Y", NEW_ROW),
-    (1002, "GHI", NOW1, NOW2, "N", MISSING), (1003, "JKL", NOW2, END, "Y", NEW_ROW)]
+    (41, "red", NOW1, NOW2, "N", UPDATE_CLOSES), (41, "rose", NOW2, END, "Y", UPDATE_OPENS), (42, "green", NOW1, END, "Y", NEW_ROW),
+    (43, "blue", NOW1, NOW2, "N", MISSING), (44, "grey", NOW2, END, "Y", NEW_ROW)]
 
 
 def history(spark, root, entity, ledger):
@@ -31,82 +31,82 @@ def history(spark, root, entity, ledger):
 
 
 def test_files_to_history(spark, tmp_path):
-    inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("content_test", SCHEMA, "id")
-    write(inbox, "content_test_20220115_130442.txt", FILE1)
-    write(inbox, "unknown_20220115_130442.txt", FILE1)
+    inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("colours", SCHEMA, "id")
+    write(inbox, "colours_20230302_081500.txt", FILE1)
+    write(inbox, "unknown_20230302_081500.txt", FILE1)
     run_pipeline(spark, inbox, [entity], root, NOW1)
-    write(inbox, "content_test_20220115_133505.txt", FILE2)
-    write(inbox, "content_test_20210101_000000.txt", [HEAD, f"1,late,{T1}"])
+    write(inbox, "colours_20230302_094000.txt", FILE2)
+    write(inbox, "colours_20220101_000000.txt", [HEAD, f"1,late,{T1}"])
     ledger = run_pipeline(spark, inbox, [entity], root, NOW2)
     assert history(spark, root, entity, ledger) == WANT
-    again = run_pipeline(spark, inbox, [entity], root, "2022-01-16 00:00:00")
+    again = run_pipeline(spark, inbox, [entity], root, "2023-03-03 00:00:00")
     assert history(spark, root, entity, again) == WANT
     assert rows(again.rows(), "status", "version", "row_count") == [("applied", 1, 3), ("applied", 2, 3), ("late", 1, 0), ("unknown", 0, 0)]
 
 
 def test_both_files_in_one_run_go_in_name_order(spark, tmp_path):
     inbox, root = str(tmp_path / "in"), str(tmp_path / "tables")
-    entity = Entity("content_test", SCHEMA, "id", close="successor", valid_from="source")
-    write(inbox, "content_test_20220115_133505.txt", FILE2)
-    write(inbox, "content_test_20220115_130442.txt", FILE1)
+    entity = Entity("colours", SCHEMA, "id", close="successor", valid_from="source")
+    write(inbox, "colours_20230302_094000.txt", FILE2)
+    write(inbox, "colours_20230302_081500.txt", FILE1)
     ledger = run_pipeline(spark, inbox, [entity], root, NOW2)
     assert [r[:5] for r in history(spark, root, entity, ledger)] == [
-        (1000, "ABC", T1, T2, "N"), (1000, "ABX", T2, END, "Y"), (1001, "DEF", T1, END, "Y"), (1002, "GHI", T1, NOW2, "N"), (1003, "JKL", T2, END, "Y")]
+        (41, "red", T1, T2, "N"), (41, "rose", T2, END, "Y"), (42, "green", T1, END, "Y"), (43, "blue", T1, NOW2, "N"), (44, "grey", T2, END, "Y")]
 
 
 def test_empty_and_broken_deliveries(spark, tmp_path):
-    inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("content_test", SCHEMA, "id", on_error="skip")
-    write(inbox, "content_test_20220115_130442.txt", [*FILE1, f"bad,XXX,{T1}", f",YYY,{T1}"])
-    write(inbox, "content_test_20220115_140000.txt", [HEAD])
+    inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("colours", SCHEMA, "id", on_error="skip")
+    write(inbox, "colours_20230302_081500.txt", [*FILE1, f"bad,XXX,{T1}", f",YYY,{T1}"])
+    write(inbox, "colours_20230302_110000.txt", [HEAD])
     ledger = run_pipeline(spark, inbox, [entity], root, NOW1)
     assert rows(ledger.rows(), "status", "row_count", "reject_count") == [("applied", 3, 2), ("empty", 0, 0)]
     assert len(history(spark, root, entity, ledger)) == 3
-    write(f"{inbox}/content_test_20220116_000000", "part-0.csv", FILE2)
+    write(f"{inbox}/colours_20230303_000000", "part-0.csv", FILE2)
     with pytest.raises(PySparkException, match="not complete"):
         run_pipeline(spark, inbox, [entity], root, NOW2)
-    write(f"{inbox}/content_test_20220116_000000", "_SUCCESS", [])
+    write(f"{inbox}/colours_20230303_000000", "_SUCCESS", [])
     assert history(spark, root, entity, run_pipeline(spark, inbox, [entity], root, NOW2)) == WANT
 
 
 def test_bad_lines_do_not_delete(spark, tmp_path):
     inbox, root = str(tmp_path / "in"), str(tmp_path / "tables")
-    strict, entity = Entity("content_test", SCHEMA, "id"), Entity("content_test", SCHEMA, "id", on_error="skip")
-    write(inbox, "content_test_20220115_130442.txt", FILE1)
+    strict, entity = Entity("colours", SCHEMA, "id"), Entity("colours", SCHEMA, "id", on_error="skip")
+    write(inbox, "colours_20230302_081500.txt", FILE1)
     run_pipeline(spark, inbox, [strict], root, NOW1)
-    # 1001 comes with a bad time, 1002 not at all.
-    write(inbox, "content_test_20220115_133505.txt", [HEAD, f"1000,ABC,{T1}", "1001,DEF,not a time"])
+    # 42 comes with a bad time, 43 not at all.
+    write(inbox, "colours_20230302_094000.txt", [HEAD, f"41,red,{T1}", "42,green,not a time"])
     with pytest.raises(Exception, match="cannot be read"):
         run_pipeline(spark, inbox, [strict], root, NOW2)
     ledger = run_pipeline(spark, inbox, [entity], root, NOW2)
-    assert [(r[0], r[4]) for r in history(spark, root, entity, ledger)] == [(1000, "Y"), (1001, "Y"), (1002, "N")]
+    assert [(r[0], r[4]) for r in history(spark, root, entity, ledger)] == [(41, "Y"), (42, "Y"), (43, "N")]
     # A line without a key, and one with too many fields: nothing is missing for certain.
-    write(inbox, "content_test_20220115_140000.txt", [HEAD, f"1000,ABC,{T1}", f",YYY,{T1}"])
+    write(inbox, "colours_20230302_110000.txt", [HEAD, f"41,red,{T1}", f",YYY,{T1}"])
     ledger = run_pipeline(spark, inbox, [entity], root, NOW2)
-    assert [(r[0], r[4]) for r in history(spark, root, entity, ledger)] == [(1000, "Y"), (1001, "Y"), (1002, "N")]
+    assert [(r[0], r[4]) for r in history(spark, root, entity, ledger)] == [(41, "Y"), (42, "Y"), (43, "N")]
 
 
 def test_deliveries_wait_for_their_entity(spark, tmp_path):
     inbox, root = str(tmp_path / "in"), str(tmp_path / "tables")
-    entity, other = Entity("content_test", SCHEMA, "id"), Entity("later", SCHEMA, "id")
-    write(inbox, "content_test_20220115_130442.txt", FILE1)
-    write(inbox, "later_20220115_130442.txt", FILE1)
+    entity, other = Entity("colours", SCHEMA, "id"), Entity("later", SCHEMA, "id")
+    write(inbox, "colours_20230302_081500.txt", FILE1)
+    write(inbox, "later_20230302_081500.txt", FILE1)
     for _ in range(2):
         ledger = run_pipeline(spark, inbox, [entity], root, NOW1)
-    assert ledger.waiting(["later"]) == [("later", "later_20220115_130442.txt")]
+    assert ledger.waiting(["later"]) == [("later", "later_20230302_081500.txt")]
     ledger = run_pipeline(spark, inbox, [entity, other], root, NOW2)
-    assert [r[0] for r in history(spark, root, other, ledger)] == [1000, 1001, 1002] and not ledger.waiting(["later"])
+    assert [r[0] for r in history(spark, root, other, ledger)] == [41, 42, 43] and not ledger.waiting(["later"])
 
 
 def test_half_written_version_is_replaced(spark, tmp_path):
     """A version folder without a ledger row counts for nothing."""
-    inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("content_test", SCHEMA, "id")
+    inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("colours", SCHEMA, "id")
     junk = spark.createDataFrame([(9, "junk", None, None, "N", "x")], entity.history_schema())
     store = HistoryStore(spark, root, entity)
     junk.write.parquet(f"{store.closed_path}/v=1")
     store.open_table.write(junk, 1)
-    write(inbox, "content_test_20220115_130442.txt", FILE1)
+    write(inbox, "colours_20230302_081500.txt", FILE1)
     ledger = run_pipeline(spark, inbox, [entity], root, NOW1)
-    assert [r[0] for r in history(spark, root, entity, ledger)] == [1000, 1001, 1002]
+    assert [r[0] for r in history(spark, root, entity, ledger)] == [41, 42, 43]
 
 
 def test_ingest_and_reports(spark, tmp_path):
@@ -178,11 +178,11 @@ def test_feed_position(spark, tmp_path):
 
 def test_append_typed(spark, tmp_path):
     stage = spark.createDataFrame(
-        [("1000", "Test Record 1", "1", "2021-12-08 16:39:11.700"), ("1001", "Test Record 2", "2", "2021-12-08 16:39:11.700")],
+        [("41", "first paint", "1", "2023-03-02 08:15:00.250"), ("42", "second paint", "2", "2023-03-02 08:15:00.250")],
         "id string, description string, value string, stg_last_updated string")
     schema = T.StructType().add("id", "long").add("description", "string").add("value", "long").add("stg_last_updated", T.TimestampNTZType())
     append_typed(stage, schema, 100000, ["id"], "test_load_id", f"{tmp_path}/int")
-    assert rows(spark.read.parquet(f"{tmp_path}/int"), "test_load_id", "id", "value") == [(100000, 1000, 1), (100001, 1001, 2)]
+    assert rows(spark.read.parquet(f"{tmp_path}/int"), "test_load_id", "id", "value") == [(100000, 41, 1), (100001, 42, 2)]
 
 
 def test_append_typed_goes_on(spark, tmp_path):
@@ -224,7 +224,7 @@ def test_snapshot_append_once_a_day(spark, tmp_path):
     path = f"{tmp_path}/spend"
     assert feeds.snapshot_append(report, path, NOW1) is True
     assert feeds.snapshot_append(report, path, NOW2) is False
-    assert feeds.snapshot_append(report, path, "2022-01-16 00:00:00") is True
+    assert feeds.snapshot_append(report, path, "2023-03-03 00:00:00") is True
     assert spark.read.parquet(path).count() == 2
 
 

@@ -37,15 +37,16 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
 
 
 def change_feed(prev: DataFrame, curr: DataFrame, key: str | Sequence[str], cols: Sequence[str] | None = None,
-                check: bool = False) -> DataFrame:
+                check: bool = True) -> DataFrame:
     """Net row changes from `prev` to `curr`, both unique on `key`.
 
     An insert is (INSERT, false), a delete (DELETE, false), an update (DELETE, true) with the old
     image and (INSERT, true) with the new one. Images compare null-safe over `cols`. A row with a
-    NULL key has no identity: it is deleted and inserted, and never enters the join.
+    NULL key has no identity: it is deleted and inserted, and never enters the join. A key that a
+    snapshot has twice raises: it is looked for first, with one aggregation of the keys of each
+    snapshot, unless `check` is off because the writer has made sure of it.
     One shuffle join on a unique key, so no key can be hot; rows fan out with explode, not by
-    reading the join twice. Snapshots bucketed by the key join without a shuffle. `check` verifies
-    the uniqueness first, with one aggregation per snapshot.
+    reading the join twice. Snapshots bucketed by the key are checked and joined without a shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if check:

@@ -111,11 +111,12 @@ def control_events(activity: DataFrame, ref: DataFrame, now: datetime | str, con
                            "monitor_parameter_value")
 
 
-def login_history(log: DataFrame, account: str, source_path: str = "login_history") -> DataFrame:
+def login_history(log: DataFrame, account: str, source_path: str = "login_history",
+                  source_name: str = "login log") -> DataFrame:
     """Login log with the account-qualified user and its source."""
     return extend(log, {
         "object_name": joined(account, ".", F.col("user_name").cast("string")),
-        "source_name": F.lit("Login History Wrapper View"),
+        "source_name": F.lit(source_name),
         "source_path": F.lit(source_path),
     })
 
@@ -130,8 +131,7 @@ def access_history(ah: DataFrame, qh: DataFrame, ordered: bool = True) -> DataFr
                F.col("execution_status"), sep=" -> ").alias("object_query"),
         *accessed, "query_id",
     )
-    ties = [c for c in rows.columns if c != "query_start_time"]
-    return rows.orderBy(F.col("query_start_time").desc_nulls_first(), *ties) if ordered else rows
+    return rows.orderBy(F.col("query_start_time").desc_nulls_first(), "query_id") if ordered else rows
 
 
 def daily_spend(metering: DataFrame, now: datetime | str, days_back: int = 1) -> DataFrame:

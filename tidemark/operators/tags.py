@@ -104,8 +104,7 @@ def tag_lineage(assign: DataFrame, edges: DataFrame, tag: str | Sequence[str] |
     while not level.isEmpty():
         step = level.join(links, "object_name").select(
             "tag_name", F.col("downstream").alias("object_name"), F.lit(len(reached)).alias("depth"))
-        # The smallest depth tells new objects from those reached before, in one aggregation.
-        least = union_all([step, *reached]).groupBy(*names).agg(F.min("depth").alias("depth"))
-        level = cut_lineage(least.filter(F.col("depth") == len(reached)), "lineage")
+        # Only the frontier is aggregated; earlier levels are read as keys of an anti join.
+        level = cut_lineage(step.distinct().join(union_all(reached).select(*names), names, "left_anti"), "lineage")
         reached.append(level)
     return union_all(reached)

@@ -56,7 +56,7 @@ def decimal_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def context_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Role and account are arguments and become constants of every row."""
-    return extend(with_constants(load(spark, sf_dir, "supplier").select("s_suppkey"), {"role": "SYSADMIN", "account": "ACCOUNT_1"}), {
+    return extend(with_constants(load(spark, sf_dir, "supplier").select("s_suppkey"), {"role": "STEWARD", "account": "ACCOUNT_1"}), {
         "object_name": text.joined(F.col("account"), F.col("s_suppkey").cast("string"), sep="."),
         "has_user": F.length(F.current_user()) > 0,
     })
@@ -182,7 +182,7 @@ SELECT o_orderkey, o_orderdate - INTERVAL 1 HOUR AS hour_before, o_orderdate + I
 SELECT p_partkey, CAST(CAST(p_size / 50.0 AS DECIMAL(10,2)) AS DOUBLE) AS probability,
        CAST(round(CAST(p_size / 50.0 AS DECIMAL(10,2)), 0) AS DOUBLE) AS rounded, p_retailprice AS price, p_partkey AS as_number FROM part"""),
     "context_columns": (context_columns, """
-SELECT 'SYSADMIN' AS role, 'ACCOUNT_1' AS account, s_suppkey, 'ACCOUNT_1.' || s_suppkey AS object_name, true AS has_user FROM supplier"""),
+SELECT 'STEWARD' AS role, 'ACCOUNT_1' AS account, s_suppkey, 'ACCOUNT_1.' || s_suppkey AS object_name, true AS has_user FROM supplier"""),
     "project_filter_mix": (project_filter_mix, """
 SELECT o_orderkey, o_orderpriority, CASE WHEN o_totalprice >= 400000 THEN 'large' WHEN o_totalprice >= 100000 THEN 'medium' ELSE 'small' END AS size
 FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND o_orderstatus NOT IN ('P')

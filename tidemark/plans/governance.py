@@ -91,7 +91,7 @@ UNION ALL SELECT 'not_null', 'l_returnflag', 'NULL', count(*) FROM lineitem WHER
 
 # --- policies ---------------------------------------------------------------------------------
 
-ADMIN, OTHER = "SYSADMIN", "MASKINGADMIN"
+ADMIN, OTHER = "STEWARD", "ANALYST"
 
 
 def _both_roles(df: DataFrame, policy) -> DataFrame:

@@ -207,7 +207,7 @@ WHERE role_name = 'error' AND start_time BETWEEN TIMESTAMP '2024-01-30 00:00:00'
     "control_events": (control_events, CONTROL_EVENTS),
     "login_history": (login_history, """
 SELECT event_id, 'USER_' || user_id AS user_name, 'ACCOUNT_1.USER_' || user_id AS object_name,
-       'Login History Wrapper View' AS source_name, 'events' AS source_path FROM events"""),
+       'login log' AS source_name, 'events' AS source_path FROM events"""),
     "access_history": (access_history, """
 SELECT 'order ' || o_orderkey AS query_text, o_custkey || ' -> ' || o_orderpriority || ' -> WH' AS user_info,
        'DB.PUBLIC -> ' || CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END || ' -> SUCCESS' AS object_query,
