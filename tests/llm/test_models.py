@@ -90,25 +90,22 @@ def unigrams(rows):
     return {k: (len(ws), sum(train[w] > 0 for w in ws), n, sum(math.log10((train[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)) for k, ws in tokens}
 
 
-@pytest.fixture
-def small_models(monkeypatch):
-    monkeypatch.setattr(hmm, "CLASSES", 64)
-    monkeypatch.setattr(hmm, "BLOCK_BYTES", 2000)
+SMALL = {"bits": 6, "block_bytes": 2000}
 
 
-def test_language_model_of_odd_texts(documents, small_models):
+def test_language_model_of_odd_texts(documents):
     rng = random.Random(3)
     rows = ODD + [(100 + i, " ".join(rng.choice(("the", "of", "le", "la", f"w{rng.randrange(40)}")) for _ in range(30))) for i in range(60)]
-    got = {r["key"]: r for r in hmm.score_corpus(clashing(documents(rows)), fold() != 1).collect()}
+    got = {r["key"]: r for r in hmm.score_corpus(clashing(documents(rows)), fold() != 1, **SMALL).collect()}
     for key, want in unigrams(rows).items():
         r = got[key]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == want[:3]
         assert math.isclose(r["base_score"], want[3], rel_tol=1e-9) and r["score"] < 0 and math.isfinite(r["score"])
 
 
-def test_language_model_without_rows(documents, small_models):
-    assert hmm.score_corpus(documents([]), fold() != 1).count() == 0
-    untrained = hmm.score_corpus(documents(ODD), F.lit(False)).collect()
+def test_language_model_without_rows(documents):
+    assert hmm.score_corpus(documents([]), fold() != 1, **SMALL).count() == 0
+    untrained = hmm.score_corpus(documents(ODD), F.lit(False), **SMALL).collect()
     assert {r["train_tokens"] for r in untrained} == {0} and all(math.isfinite(r["score"]) for r in untrained)
 
 

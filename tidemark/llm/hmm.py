@@ -15,7 +15,8 @@ from tidemark.llm.common import cut_lineage, lower_words, sized_batches
 from tidemark.llm.ragged import steps
 
 STATES = 8
-CLASSES = 1 << 14
+CLASS_BITS = 14
+MIN_SHARDS = 256
 ROUNDS = 2
 SEED_DOCS, SEED_CHARS, SEED_ROUNDS = 1500, 20_000, 12
 BLOCK_BYTES = 6 << 20
@@ -84,17 +85,25 @@ class Hmm:
         return gamma[heads].sum(axis=0), trans, emit
 
 
-def word_class(word: bytes, classes: int = CLASSES) -> int:
-    return 1 + zlib.crc32(word) % classes
+def word_hash(word: bytes) -> int:
+    return zlib.crc32(word)
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Tokenised blocks of some BLOCK_BYTES of text: distinct words with their counts in training texts, and word numbers."""
+def class_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Symbol of every word by the top bits of its hash; symbol 0 is the end."""
+    return 1 + (hashes.astype(np.uint32) >> np.uint32(32 - bits)).astype(np.int64)
+
+
+def _blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """Tokenised blocks of some `block_bytes` of text: distinct words, their hashes and counts in training texts, word numbers.
+
+    Word numbers start at 1 in the order in which the words are met; number 0 is the end.
+    """
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number = TaskContext.get().partitionId(), 0
-        for batch in sized_batches(batches, "text", BLOCK_BYTES):
+        for batch in sized_batches(batches, "text", block_bytes):
             known: dict[bytes, int] = {}
             ids, lengths = [], []
             for text in batch.column("text").to_pylist():
@@ -104,32 +113,81 @@ def _blocks(rows: DataFrame) -> DataFrame:
                 lengths.append(len(words) + 1)
             ids, lengths = np.array(ids, np.uint32), np.array(lengths, np.int32)
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            counts = np.bincount(ids[np.repeat(train, lengths)], minlength=len(known) + 1)[1:]
-            classes = np.fromiter((word_class(w) for w in known), np.uint16, len(known))
+            counts = np.bincount(ids[np.repeat(train, lengths)], minlength=len(known) + 1)[1:].astype(np.uint32)
+            hashes = np.fromiter(map(word_hash, known), np.uint32, len(known))
             one = {
-                "block": pa.array([(part << 32) | number], pa.int64()),
-                "words": pa.array([[w.decode() for w in known]], pa.list_(pa.string())),
-                "counts": pa.array([counts.astype(np.int64)], pa.list_(pa.int64())),
-                "classes": pa.array([classes.tobytes()], pa.binary()), "ids": pa.array([ids.tobytes()], pa.binary()),
-                "lengths": pa.array([lengths.tobytes()], pa.binary()), "train": pa.array([train.tobytes()], pa.binary()),
+                "block": pa.array([(part << 32) | number], pa.int64()), "words": pa.array([b" ".join(known)], pa.binary()),
                 "keys": pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("key")),
-            }
+            } | {name: pa.array([x.tobytes()], pa.binary()) for name, x in
+                 (("counts", counts), ("hashes", hashes), ("ids", ids), ("lengths", lengths), ("train", train))}
             yield pa.RecordBatch.from_arrays(list(one.values()), list(one))
             number += 1
 
     return rows.select("key", "text", "train").mapInArrow(
-        run, f"block long, words array<string>, counts array<bigint>, classes binary, ids binary, lengths binary, train binary, keys array<{kind}>")
+        run, f"block long, words binary, keys array<{kind}>, counts binary, hashes binary, ids binary, lengths binary, train binary")
+
+
+def _raw(batch: pa.RecordBatch, row: int, column: str, kind) -> np.ndarray:
+    return np.frombuffer(batch.column(column)[row].as_buffer(), kind)
+
+
+def _symbols(batch: pa.RecordBatch, row: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word numbers, symbol of each word number, lengths) of a block."""
+    symbols = np.r_[END, class_of(_raw(batch, row, "hashes", np.uint32), bits)]
+    return _raw(batch, row, "ids", np.uint32), symbols, _raw(batch, row, "lengths", np.int32).astype(np.int64)
 
 
-def _symbols(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word numbers, class of each word number, lengths, training flags) of a block."""
-    raw = {c: batch.column(c)[row].as_buffer() for c in ("classes", "ids", "lengths", "train")}
-    classes = np.r_[np.uint16(END), np.frombuffer(raw["classes"], np.uint16)].astype(np.int64)
-    return (np.frombuffer(raw["ids"], np.uint32), classes, np.frombuffer(raw["lengths"], np.int32).astype(np.int64),
-            np.frombuffer(raw["train"], bool))
+def _by_hash(hashes: np.ndarray) -> np.ndarray:
+    """Words of a block in the order of their hashes; equal hashes stay in the block's order."""
+    return np.argsort(hashes, kind="stable")
 
 
-def _baum_welch_round(blocks: DataFrame, model: Hmm) -> Hmm:
+def _word_counts(blocks: DataFrame, shards: int, bits: int) -> DataFrame:
+    """Counts of words over all blocks: for every block and shard, and the totals of each symbol.
+
+    A shard is a range of hashes. Every block sends each shard its words there, packed, with its own
+    counts; the shard adds them up and answers with the sums in the order it was sent them. A row
+    without a block holds the shard's symbols with their tokens and distinct words.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                hashes, counts = _raw(batch, row, "hashes", np.uint32), _raw(batch, row, "counts", np.uint32)
+                order = _by_hash(hashes)
+                words = batch.column("words")[row].as_py().split()
+                shard = (hashes[order].astype(np.uint64) * np.uint64(shards)) >> np.uint64(32)
+                starts = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(order) else np.zeros(0, np.int64)
+                cuts = [order[a:b] for a, b in zip(starts, [*starts[1:], len(order)])]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(shard[starts].astype(np.int64)), pa.array(np.full(len(starts), batch.column("block")[row].as_py())),
+                    pa.array([b" ".join([words[i] for i in c.tolist()]) for c in cuts], pa.binary()),
+                    pa.array([counts[c].tobytes() for c in cuts], pa.binary())], ["shard", "block", "words", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        number: dict[bytes, int] = {}
+        ids = [[number.setdefault(w, len(number)) for w in words.as_py().split()] for words in table.column("words")]
+        total = np.zeros(len(number), np.int64)
+        for own, counts in zip(ids, table.column("counts")):
+            total[own] += np.frombuffer(counts.as_buffer(), np.uint32)
+        met = total > 0
+        symbols = class_of(np.fromiter(map(word_hash, number), np.uint32, len(number)), bits)[met]
+        classes, which = np.unique(symbols, return_inverse=True)
+        tokens, distinct = np.bincount(which, total[met], len(classes)), np.bincount(which, minlength=len(classes))
+        n = table.num_rows
+        own = lambda x: pa.array([None] * n + [x.astype(np.int64).tolist()], pa.list_(pa.int64()))
+        return pa.table({
+            "block": pa.array([*table.column("block").to_pylist(), None], pa.int64()),
+            "shard": pa.array([table.column("shard")[0].as_py()] * (n + 1), pa.int64()),
+            "sums": pa.array([*[total[x].tobytes() for x in ids], None], pa.binary()),
+            "classes": own(classes), "tokens": own(tokens), "distinct": own(distinct)})
+
+    sent = blocks.select("block", "words", "counts", "hashes").mapInArrow(send, "shard long, block long, words binary, counts binary")
+    return sent.groupBy("shard").applyInArrow(
+        add, "block long, shard long, sums binary, classes array<bigint>, tokens array<bigint>, distinct array<bigint>")
+
+
+def _baum_welch_round(blocks: DataFrame, model: Hmm, bits: int) -> Hmm:
     """One round over all training texts; counts are summed in each task, then by symbol across tasks."""
     states, size = model.trans.shape[0], len(model.emit)
 
@@ -137,9 +195,10 @@ def _baum_welch_round(blocks: DataFrame, model: Hmm) -> Hmm:
         start, trans, emit = np.zeros(states), np.zeros((states, states)), np.zeros((size, states))
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, classes, lengths, train = _symbols(batch, row)
+                ids, symbols, lengths = _symbols(batch, row, bits)
+                train = _raw(batch, row, "train", bool)
                 if train.any():
-                    found = model.expected(classes[ids[np.repeat(train, lengths)]], lengths[train])
+                    found = model.expected(symbols[ids[np.repeat(train, lengths)]], lengths[train])
                     for total, part in zip((start, trans, emit), found):
                         total += part
         table = np.concatenate([emit, trans, start[None]])
@@ -148,7 +207,7 @@ def _baum_welch_round(blocks: DataFrame, model: Hmm) -> Hmm:
                                          ["row", *[f"s{k}" for k in range(states)]])
 
     names = [f"s{k}" for k in range(states)]
-    counts = blocks.select("classes", "ids", "lengths", "train").mapInArrow(run, "row long, " + ", ".join(f"{n} double" for n in names))
+    counts = blocks.select("hashes", "ids", "lengths", "train").mapInArrow(run, "row long, " + ", ".join(f"{n} double" for n in names))
     # At most one row for each symbol and state comes to the driver.
     rows = counts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).orderBy("row").toArrow()
     table = np.zeros((size + states + 1, states))
@@ -156,7 +215,7 @@ def _baum_welch_round(blocks: DataFrame, model: Hmm) -> Hmm:
     return Hmm.estimated(table[-1], table[size:-1], table[:size])
 
 
-def _seeded(train: DataFrame, totals: np.ndarray) -> Hmm:
+def _seeded(train: DataFrame, totals: np.ndarray, bits: int) -> Hmm:
     """Starting point for the rounds over the corpus: Baum-Welch on a bounded sample, taken in the order of a hash."""
     model = Hmm.initial(totals)
     sample = train.filter(F.char_length("text") <= SEED_CHARS).orderBy(F.xxhash64("key"), "key").limit(SEED_DOCS).select("text").toArrow()
@@ -164,42 +223,46 @@ def _seeded(train: DataFrame, totals: np.ndarray) -> Hmm:
     if not texts:
         return model
     lengths = np.array([len(w) + 1 for w in texts], np.int64)
-    symbols = np.array([s for words in texts for s in (*map(word_class, words), END)], np.int64)
+    symbols = np.full(lengths.sum(), END, np.int64)
+    inner = np.ones(len(symbols), bool)
+    inner[np.cumsum(lengths) - 1] = False
+    symbols[inner] = class_of(np.array([word_hash(w) for words in texts for w in words], np.uint32), bits)
     for _ in range(SEED_ROUNDS):
         model = Hmm.estimated(*model.expected(symbols, lengths))
     return model
 
 
-def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS,
+                 bits: int = CLASS_BITS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(key, n_tokens, n_known, train_tokens, base_score, score) of every row; `train` marks the rows to learn from.
 
-    Tokens are the words of the lower-cased text and one end. A state emits a class of words (a hash
-    of the word, so the model's size does not grow) and the class its word, by the word's smoothed
-    share of the class's training tokens; the end is a class of its own. `score` is the exact log10
-    likelihood of the sequence by the scaled forward recursion. `base_score` is the smoothed unigram
-    score. All counts cover all training texts: a word's count is summed across blocks and joined
-    back to the blocks that hold the word. Null, empty and blank texts are a lone end; repeated rows
-    count and are scored each; without training rows all counts are 0.
+    Tokens are the words of the lower-cased text and one end. A state emits a class of words (the top
+    `bits` of the word's hash, so the model's size does not grow) and the class its word, by the
+    word's smoothed share of the class's training tokens; the end is a class of its own. `score` is
+    the exact log10 likelihood of the sequence by the scaled forward recursion. `base_score` is the
+    smoothed unigram score. All counts cover all training texts. Null, empty and blank texts are a
+    lone end; repeated rows count and are scored each; without training rows all counts are 0.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
-    blocks = cut_lineage(_blocks(rows), "blocks")
-
-    held = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select("block", "at", "w.words", "w.counts")
-    words = cut_lineage(held.filter("counts > 0").groupBy("words").agg(F.sum("counts").alias("c")), "words")
-    sizes = words.groupBy((F.lit(1) + F.crc32("words") % CLASSES).alias("symbol")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).toArrow()
+    blocks = cut_lineage(_blocks(rows, block_bytes), "blocks")
+    # A shard takes the words of some eight blocks' worth, whatever the size of the corpus.
+    shards = max(MIN_SHARDS, blocks.select("block").count() // 8)
+    counted = cut_lineage(_word_counts(blocks, shards, bits), "counts")
+    sizes = counted.filter("block IS NULL").select(F.explode(F.arrays_zip("classes", "tokens", "distinct")).alias("c")).groupBy(
+        "c.classes").agg(F.sum("c.tokens").alias("c"), F.sum("c.distinct").alias("v")).toArrow()
     ends = rows.filter("train").count()
-    total, distinct = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
+    total, distinct = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     if sizes.num_rows:
-        total[sizes.column("symbol").to_numpy()], distinct[sizes.column("symbol").to_numpy()] = sizes.column("c").to_numpy(), sizes.column("v").to_numpy()
+        at = sizes.column("classes").to_numpy()
+        total[at], distinct[at] = sizes.column("c").to_numpy(), sizes.column("v").to_numpy()
     n_train, n_words = int(total.sum()) + ends, int(distinct.sum()) + (ends > 0)
-    model = _seeded(rows.filter("train"), np.r_[ends, total[1:]])
+    model = _seeded(rows.filter("train"), np.r_[ends, total[1:]], bits)
     for _ in range(rounds):
-        model = _baum_welch_round(blocks, model)
+        model = _baum_welch_round(blocks, model, bits)
 
-    found = held.select("block", "at", "words").join(words, "words").select("block", F.struct("at", "c").alias("known"))
-    found = found.groupBy("block").agg(F.collect_list("known").alias("known"))
-    joined = blocks.drop("words", "counts").join(found, "block", "left")
+    known = counted.filter("block IS NOT NULL").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("shard", "sums"))).alias("known"))
+    joined = blocks.select("block", "hashes", "ids", "lengths", "keys").join(known, "block", "left")
     in_class = np.log10(total + 0.5 * (distinct + 1))
     base = np.log10(n_train + 0.5 * (n_words + 1))
     kind = rows.schema["key"].dataType.simpleString()
@@ -208,17 +271,18 @@ def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, classes, lengths, _ = _symbols(batch, row)
-                count = np.zeros(len(classes))
+                ids, symbols, lengths = _symbols(batch, row, bits)
+                count = np.zeros(len(symbols))
                 count[END] = ends
-                known = batch.column("known")[row].values
-                if known is not None and len(known):
-                    count[known.field("at").to_numpy() + 1] = known.field("c").to_numpy()
+                sums = batch.column("known")[row].values
+                if sums is not None and len(sums):
+                    order = _by_hash(_raw(batch, row, "hashes", np.uint32))
+                    count[1 + order] = np.frombuffer(b"".join(sums.field("sums").to_pylist()), np.int64)
                 heads = np.cumsum(lengths) - lengths
                 share = np.log10(count + 0.5)
-                within = share - in_class[classes]
+                within = share - in_class[symbols]
                 within[END] = 0
-                score = model.log10(classes[ids], lengths) + np.add.reduceat(within[ids], heads)
+                score = model.log10(symbols[ids], lengths) + np.add.reduceat(within[ids], heads)
                 n_known = np.add.reduceat((count > 0)[ids], heads, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("keys")[row].values, pa.array(lengths), pa.array(n_known), pa.array(np.full(len(lengths), n_train)),
