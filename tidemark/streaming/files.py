@@ -70,13 +70,14 @@ def accepted(loaded: DataFrame) -> DataFrame:
 
 
 def load_report(loaded: DataFrame, since: datetime | str | None = None, until: datetime | str | None = None) -> DataFrame:
-    """Load history per file: file_name, row_count, reject_count, status."""
+    """Load history per file: file_name, row_count, reject_count, status. Files of one name in several
+    folders have a row each."""
     if since is not None:
         loaded = log_range(loaded, "_loaded_at", since, until or "9999-12-31")
     bad = F.size("_rejected") > 0
-    return loaded.groupBy(F.col("_file_name").alias("file_name")).agg(
+    return loaded.groupBy("_file_path", F.col("_file_name").alias("file_name")).agg(
         F.count(F.when(~bad, 1)).alias("row_count"), F.count(F.when(bad, 1)).alias("reject_count"),
-    ).withColumn("status", F.when(F.col("reject_count") == 0, "LOADED").when(F.col("row_count") == 0, "LOAD_FAILED")
+    ).drop("_file_path").withColumn("status", F.when(F.col("reject_count") == 0, "LOADED").when(F.col("row_count") == 0, "LOAD_FAILED")
                  .otherwise("PARTIALLY_LOADED"))
 
 
