@@ -166,7 +166,10 @@ def scd2_apply(hist: DataFrame, classified: DataFrame, on: Sequence[str], valid_
     closing = {"valid_to": F.col("src.valid_to"), "current_flag": F.lit("N"), "decision": F.col("src.decision")}
     closing = {c: e for c, e in closing.items() if c in hist.columns}
     closers = classified.filter(F.col("dml_type").isin("U", "D"))
-    kept = merge(hist, closers, keys, matched=[(None, closing)], null_safe=null_safe)
+    # Only open rows can be closed; closed ones pass by without a shuffle.
+    is_open = F.coalesce(F.col("current_flag") == "Y", F.lit(False))
+    kept = merge(hist.filter(is_open), closers, keys, matched=[(None, closing)], null_safe=null_safe)
+    kept = kept.unionByName(hist.filter(~is_open))
 
     opened = unmatched(classified.filter(F.col("dml_type") == "I"), hist, keys, null_safe)
     if valid_from == "now":
