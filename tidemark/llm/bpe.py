@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import free_name, sized_batches
+from tidemark.llm.common import free_name, lean, sized_batches
 
 CHUNK_BITS = 10
 CHUNK_MAX = 8192
 ROLL = 16
-CACHE_BYTES = 32 << 20
-CACHE_WORDS = 500_000
+CACHE_BYTES = 16 << 20
+CACHE_WORDS = 400_000
 JOINED = 500
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
@@ -323,7 +323,7 @@ def roundtrip(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec)
-        for batch in sized_batches(batches, hidden, 1 << 21):
+        for batch in sized_batches(batches, hidden, 1 << 20):
             lists = encoder.encode_batch(batch.column(hidden).to_pylist())
             back = encoder.tokenizer.decode_batch([x.tolist() for x in lists], skip_special_tokens=False)
             rest = batch.select(range(batch.num_columns - 1))
@@ -331,4 +331,4 @@ def roundtrip(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "i
                 [*rest.columns, int_lists(lists), pa.array(back, pa.string())], [*rest.schema.names, ids, decoded])
 
     tagged = docs.withColumn(hidden, F.col(text).cast("string"))
-    return tagged.mapInArrow(run, f"{kinds}, `{ids}` array<int>, `{decoded}` string")
+    return tagged.mapInArrow(lean(run), f"{kinds}, `{ids}` array<int>, `{decoded}` string")

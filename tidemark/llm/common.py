@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from tidemark.session import cut_lineage
 
 FOLDS = 5
 
-__all__ = ["FOLDS", "cut_lineage", "fold", "free_name", "fresh", "load", "lower_words", "sized_batches"]
+__all__ = ["FOLDS", "cut_lineage", "fold", "free_name", "fresh", "lean", "load", "lower_words", "sized_batches"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,3 +56,26 @@ def sized_batches(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int
         starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
         for a, b in zip(starts, np.r_[starts[1:], batch.num_rows]):
             yield batch.slice(a, b - a)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """`run` for a worker that stays small: buffers come from malloc, and what a task has freed goes back at its end.
+
+    Workers are used again by later stages, so memory that a task leaves in a pool adds up.
+    """
+
+    def task(batches: Batches) -> Batches:
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # another C library; nothing to hand back
+
+    return task

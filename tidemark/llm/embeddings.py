@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage
+from tidemark.llm.common import cut_lineage, lean
 from tidemark.llm.components import connected_components
 
 TABLES = 16
@@ -62,7 +62,7 @@ def _coded(classes: DataFrame, tables: int, bits: int) -> DataFrame:
                     ["node", "label", "n", "dim", "v", "codes"])
 
     kind = classes.schema["label"].dataType.simpleString()
-    return classes.mapInArrow(run, f"node long, label {kind}, n long, dim int, v array<double>, codes array<bigint>")
+    return classes.mapInArrow(lean(run), f"node long, label {kind}, n long, dim int, v array<double>, codes array<bigint>")
 
 
 def _tile_links(threshold: float):
@@ -159,7 +159,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     members = members.select("node", "table", "bucket", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     tiles = members.join(coded.select("node", "n", "v", "codes"), "node")
     tiles = tiles.repartition("bucket", "table", "low", "high").sortWithinPartitions("bucket", "table", "low", "high")
-    found = cut_lineage(tiles.mapInArrow(_tile_links(threshold), "node long, links long, least long"), "links")
+    found = cut_lineage(tiles.mapInArrow(lean(_tile_links(threshold)), "node long, links long, least long"), "links")
 
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     components = connected_components(found.select(F.col("node").alias("a"), F.col("least").alias("b")))

@@ -9,7 +9,7 @@ from math import ceil, floor
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import fresh, sized_batches
+from tidemark.llm.common import fresh, lean, sized_batches
 
 THRESHOLD = 0.8
 # Short notices of common licences, by their SPDX names; a name may have several texts.
@@ -166,4 +166,4 @@ def scan_documents(docs: DataFrame, notices: Mapping[str, tuple[str, ...]] = NOT
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.list_(entry))], ["key", "licenses"])
 
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, licenses array<struct<name: string, dice: double, first_line: int, last_line: int>>")
+    return rows.mapInArrow(lean(run), f"key {kind}, licenses array<struct<name: string, dice: double, first_line: int, last_line: int>>")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import free_name, fresh, sized_batches
+from tidemark.llm.common import free_name, fresh, lean, sized_batches
 from tidemark.llm.ragged import steps
 from tidemark.llm.sample import Adam, fit_line, labelled_sample, sigmoid
 
@@ -180,7 +180,7 @@ def score_documents(docs: DataFrame, model: QualityModel, key: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(score, pa.float64())], ["key", "score"])
 
     rows = fresh(docs, key, text)
-    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(lean(run), f"key {rows.schema['key'].dataType.simpleString()}, score double")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", accept: float = ACCEPT) -> DataFrame:
@@ -193,4 +193,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
             yield batch.filter(pa.array(model.score(batch.column(hidden).to_pylist()) >= accept)).select(range(batch.num_columns - 1))
 
     tagged = docs.withColumn(hidden, F.col(docs.columns[at]).cast("string"))
-    return tagged.mapInArrow(run, docs.schema)
+    return tagged.mapInArrow(lean(run), docs.schema)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, free_name, fresh, lower_words, sized_batches
+from tidemark.llm.common import cut_lineage, free_name, fresh, lean, lower_words, sized_batches
 from tidemark.llm.components import connected_components
 
 WORDS = 4
@@ -47,7 +47,7 @@ def with_fingerprint(df: DataFrame, key: str = "doc_id", text: str = "text") ->
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(fps)], ["key", "fp"])
 
     rows = fresh(df, key, text)
-    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, fp long")
+    return rows.mapInArrow(lean(run), f"key {rows.schema['key'].dataType.simpleString()}, fp long")
 
 
 def gray_rank(values: np.ndarray) -> np.ndarray:
@@ -236,7 +236,7 @@ def near_links(fps: DataFrame, fp: str = "fp", node: str = "node", max_bits: int
         if own.any():
             yield pa.RecordBatch.from_arrays([pa.array(nodes[own]), pa.array(nodes[root[own]])], ["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(lean(run), "a long, b long")
 
 
 def simhash_components(df: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:

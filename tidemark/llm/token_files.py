@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.bpe import Pieces, read_spec, worker_tokenizer
-from tidemark.llm.common import fresh, sized_batches
+from tidemark.llm.common import fresh, lean, sized_batches
 
 # Ids and bits an id of each selector; 60 bits of a word hold ids, the top 4 the selector.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
@@ -209,7 +209,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, ke
                                               "n_ids": pa.array([len(ids)], pa.int64()), "data": pa.array([data], pa.binary())})
             before, number = before + len(ids), number + 1
 
-    rows.mapInArrow(run, "part int, number int, n_ids long, data binary").write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(lean(run), "part int, number int, n_ids long, data binary").write.option("compression", "zstd").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
@@ -240,4 +240,4 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return placed.mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return placed.mapInArrow(lean(run), "key long, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids)

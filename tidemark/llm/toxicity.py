@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import fresh, lower_words, sized_batches
+from tidemark.llm.common import fresh, lean, lower_words, sized_batches
 from tidemark.llm.sample import Adam, labelled_sample, sigmoid
 
 BUCKETS = 1 << 15
@@ -250,4 +250,4 @@ def score_documents(docs: DataFrame, model: ToxicModel, key: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(score, pa.float64())], ["key", "score"])
 
     rows = fresh(docs, key, text)
-    return rows.mapInArrow(run, f"key {rows.schema['key'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(lean(run), f"key {rows.schema['key'].dataType.simpleString()}, score double")
