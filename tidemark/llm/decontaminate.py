@@ -10,7 +10,7 @@ from tidemark.llm.common import cut_lineage, free_name
 
 WINDOW = 13
 SHINGLE = 3
-# A side is sent to every task only below this many bytes of counted text; beyond it the join shuffles.
+# Windows are sent to every task only below this many bytes, which are counted; beyond it their joins shuffle.
 SEND_BYTES = 32 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # One in so many words must be hit for a document to count as contaminated.
@@ -54,7 +54,9 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     numbered = pairs.select("words", "k").distinct().select("words", "k", F.sha2(F.concat_ws(" ", "words"), 256).alias("window_id"))
     grams = numbered.select("window_id", "k", F.filter(_shingles(F.col("words"), F.col("k")), lambda g: g.isNotNull()).alias("grams"))
     vocabulary = grams.select("k", F.explode("grams").alias("gram")).distinct()
-    sizes = vocabulary.groupBy("k").agg(F.sum(F.octet_length("gram") + 16).alias("bytes")).orderBy("k").collect()
+    # The widest side that is sent holds all windows with all their shingles.
+    bytes_of = F.octet_length(F.concat_ws(" ", "grams")) + 24 * F.size("grams")
+    sizes = grams.groupBy("k").agg(F.sum(bytes_of).alias("bytes")).orderBy("k").collect()
     known = sum(r["bytes"] for r in sizes)
 
     def sent(df: DataFrame) -> DataFrame:
