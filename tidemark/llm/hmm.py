@@ -11,8 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, lower_words, sized_batches
-from tidemark.llm.ragged import steps
+from tidemark.llm.common import cut_lineage, lean, lower_words, sized_batches
+from tidemark.llm.ragged import by_step
 
 STATES = 8
 CLASS_BITS = 14
@@ -46,43 +46,48 @@ class Hmm:
         start, trans, emit = start + SMOOTH, trans + SMOOTH, emit + SMOOTH
         return cls(start / start.sum(), trans / trans.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
-    def forward(self, symbols: np.ndarray, lengths: np.ndarray, order: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(emission, scaled forward chances, scale) of every position; a sequence's likelihood is the product of its scales."""
+    def forward(self, symbols: np.ndarray, borders: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(emission, scaled forward chances, scale) of every position, ordered by step.
+
+        A sequence's likelihood is the product of its scales.
+        """
         chance = self.emit[symbols]
         alpha, scale = chance.copy(), np.ones(len(symbols))
-        for t, rows in enumerate(order):
-            now = alpha[rows]
-            now *= self.start if t == 0 else alpha[rows - 1] @ self.trans
-            total = now.sum(axis=1)
-            scale[rows] = total
+        last = 0
+        for first, stop in zip(borders, borders[1:]):
+            now = alpha[first:stop]
+            now *= alpha[last:last + stop - first] @ self.trans if first else self.start
+            total = np.add.reduce(now, axis=1, out=scale[first:stop])
             now /= total[:, None]
-            alpha[rows] = now
+            last = first
         return chance, alpha, scale
 
     def log10(self, symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """log10 likelihood of every sequence; sequences lie one after the other, none is empty."""
-        _, _, scale = self.forward(symbols, lengths, list(steps(lengths)))
-        return np.add.reduceat(np.log10(scale), np.cumsum(lengths) - lengths)
+        rows, borders = by_step(lengths)
+        _, _, scale = self.forward(symbols[rows], borders.tolist())
+        logs = np.empty(len(symbols))
+        logs[rows] = np.log10(scale)
+        return np.add.reduceat(logs, np.cumsum(lengths) - lengths)
 
     def expected(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts of starts, transitions and emissions."""
-        order = list(steps(lengths))
-        chance, alpha, scale = self.forward(symbols, lengths, order)
-        # `ahead` is emission times backward chance over scale; one step of it gives the one before.
+        rows, borders = by_step(lengths)
+        symbols, borders = symbols[rows], borders.tolist()
+        chance, alpha, scale = self.forward(symbols, borders)
+        # Emission times backward chance over scale: one step of it gives the backward chance before.
         chance /= scale[:, None]
-        beta = np.ones_like(alpha)
-        back = self.trans.T.copy()
-        for rows in reversed(order[1:]):
-            beta[rows - 1] = (chance[rows] * beta[rows]) @ back
-        heads = np.cumsum(lengths) - lengths
-        inner = np.ones(len(symbols), bool)
-        inner[heads] = False
-        at = np.flatnonzero(inner)
-        trans = self.trans * (alpha[at - 1].T @ (chance[at] * beta[at]))
-        gamma = alpha * beta
-        gamma /= gamma.sum(axis=1, keepdims=True)
-        emit = np.stack([np.bincount(symbols, gamma[:, k], len(self.emit)) for k in range(gamma.shape[1])], axis=1)
-        return gamma[heads].sum(axis=0), trans, emit
+        beta, trans, back = np.ones_like(alpha), np.zeros_like(self.trans), self.trans.T.copy()
+        for last, first, stop in reversed(list(zip(borders, borders[1:], borders[2:]))):
+            n = stop - first
+            ahead = chance[first:stop]
+            ahead *= beta[first:stop]
+            np.matmul(ahead, back, out=beta[last:last + n])
+            trans += alpha[last:last + n].T @ ahead
+        alpha *= beta
+        alpha /= alpha.sum(axis=1, keepdims=True)
+        emit = np.stack([np.bincount(symbols, alpha[:, k], len(self.emit)) for k in range(alpha.shape[1])], axis=1)
+        return alpha[:borders[1]].sum(axis=0), self.trans * trans, emit
 
 
 def word_hash(word: bytes) -> int:
@@ -123,8 +128,7 @@ def _blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(list(one.values()), list(one))
             number += 1
 
-    return rows.select("key", "text", "train").mapInArrow(
-        run, f"block long, words binary, keys array<{kind}>, counts binary, hashes binary, ids binary, lengths binary, train binary")
+    return rows.select("key", "text", "train").mapInArrow(lean(run), f"block long, words binary, keys array<{kind}>, counts binary, hashes binary, ids binary, lengths binary, train binary")
 
 
 def _raw(batch: pa.RecordBatch, row: int, column: str, kind) -> np.ndarray:
@@ -182,7 +186,7 @@ def _word_counts(blocks: DataFrame, shards: int, bits: int) -> DataFrame:
             "sums": pa.array([*[total[x].tobytes() for x in ids], None], pa.binary()),
             "classes": own(classes), "tokens": own(tokens), "distinct": own(distinct)})
 
-    sent = blocks.select("block", "words", "counts", "hashes").mapInArrow(send, "shard long, block long, words binary, counts binary")
+    sent = blocks.select("block", "words", "counts", "hashes").mapInArrow(lean(send), "shard long, block long, words binary, counts binary")
     return sent.groupBy("shard").applyInArrow(
         add, "block long, shard long, sums binary, classes array<bigint>, tokens array<bigint>, distinct array<bigint>")
 
@@ -207,7 +211,7 @@ def _baum_welch_round(blocks: DataFrame, model: Hmm, bits: int) -> Hmm:
                                          ["row", *[f"s{k}" for k in range(states)]])
 
     names = [f"s{k}" for k in range(states)]
-    counts = blocks.select("hashes", "ids", "lengths", "train").mapInArrow(run, "row long, " + ", ".join(f"{n} double" for n in names))
+    counts = blocks.select("hashes", "ids", "lengths", "train").mapInArrow(lean(run), "row long, " + ", ".join(f"{n} double" for n in names))
     # At most one row for each symbol and state comes to the driver.
     rows = counts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).orderBy("row").toArrow()
     table = np.zeros((size + states + 1, states))
@@ -288,4 +292,4 @@ def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str
                     batch.column("keys")[row].values, pa.array(lengths), pa.array(n_known), pa.array(np.full(len(lengths), n_train)),
                     pa.array(np.add.reduceat((share - base)[ids], heads)), pa.array(score)], names)
 
-    return joined.mapInArrow(run, f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return joined.mapInArrow(lean(run), f"key {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
