@@ -10,9 +10,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, free_name, sized_batches
+from tidemark.llm.common import cut_lineage, free_name, lean, sized_batches
 
 MIN_WORDS = 5
+# More lines than a text can have.
+LINES = 1 << 31
 FILTER_BITS = 1 << 26
 
 
@@ -30,17 +32,25 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def half_keys(words: list[bytes]) -> list[int]:
-    """Keys of which two lines within one word share at least one.
+def half_keys(words: list[bytes]) -> tuple[int, int, int | None, int | None]:
+    """Keys of which two lines within one word share at least one: front and back halves.
 
-    Half of the shorter line's words are equal at the front or at the back; a line stands for both
-    lengths it can be the longer or the equal one of.
+    With h half the words of the shorter line, rounded down, two such lines have their first h words
+    in common if they differ at word h or behind it, and else their last h words. A line of n words
+    has both halves for h = n // 2 and, where that differs, for a partner that is a word shorter.
     """
     n, keys = len(words), []
-    for h in {n // 2, (n - 1) // 2}:
+    for h in (n // 2, (n - 1) // 2):
         keys.append(_signed(xxhash.xxh3_64_intdigest(b"f%d " % h + b" ".join(words[:h]))))
         keys.append(_signed(xxhash.xxh3_64_intdigest(b"b%d " % h + b" ".join(words[n - h:]))))
-    return keys
+    return (*keys[:2], *((None, None) if n % 2 else keys[2:]))
+
+
+def places_to_drop(n: int, shared: list[int]) -> list[int]:
+    """Words of a line of `n` words at which a line that shares the halves `shared` (numbers as in `half_keys`) may differ."""
+    first = min((h for i, h in enumerate((n // 2, n // 2, (n - 1) // 2, (n - 1) // 2)) if i in shared and i % 2 == 0), default=n)
+    last = max((h for i, h in enumerate((n // 2, n // 2, (n - 1) // 2, (n - 1) // 2)) if i in shared and i % 2), default=0)
+    return [p for p in range(n) if p >= first or p < last]
 
 
 def within_one_word(a: list[bytes], b: list[bytes]) -> bool:
@@ -52,81 +62,96 @@ def within_one_word(a: list[bytes], b: list[bytes]) -> bool:
     return short[i + (len(a) == len(b)):] == long[i + 1:]
 
 
+HALVES = ["h0", "h1", "h2", "h3"]
+
+
 def _lines(rows: DataFrame) -> DataFrame:
-    """(key, line, hi, lo, halves) of every line of at least MIN_WORDS words; hi, lo hash its words."""
+    """(place, hi, lo, h0 ... h3) of every line of at least MIN_WORDS words; hi, lo hash its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches, "text"):
-            keys, numbers, his, los, halves = [], [], [], [], []
+            keys, numbers, hashes, halves = [], [], [], []
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
                 for number, line in enumerate(text.split("\n")):
                     words = line_words(line)
                     if len(words) >= MIN_WORDS:
-                        hi, lo = _hash128(b" ".join(words))
                         keys.append(key)
                         numbers.append(number)
-                        his.append(hi)
-                        los.append(lo)
+                        hashes.append(_hash128(b" ".join(words)))
                         halves.append(half_keys(words))
-            yield pa.RecordBatch.from_pydict({
-                "key": pa.array(keys, pa.int64()), "line": pa.array(numbers, pa.int32()), "hi": pa.array(his, pa.int64()),
-                "lo": pa.array(los, pa.int64()), "halves": pa.array(halves, pa.list_(pa.int64()))})
+            columns = [keys, numbers, *(zip(*hashes) if hashes else ([], [])), *(zip(*halves) if halves else ([],) * 4)]
+            kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 6]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["key", "line", "hi", "lo", *HALVES])
+
+    found = rows.mapInArrow(lean(run), "key long, line int, hi long, lo long, " + ", ".join(f"{h} long" for h in HALVES))
+    return found.select(_place().alias("place"), "hi", "lo", *HALVES)
 
-    return rows.mapInArrow(run, "key long, line int, hi long, lo long, halves array<bigint>")
+
+def _place(key: str = "key", line: str = "line") -> Column:
+    """Key and line number as one number in the same order, which hash aggregates take."""
+    return (F.col(key).cast("decimal(20,0)") * F.lit(LINES).cast("decimal(10,0)") + F.col(line)).cast("decimal(30,0)")
+
+
+def _unplaced(place: str = "place") -> list[Column]:
+    """Key and line number of a place."""
+    line = F.pmod(F.col(place), F.lit(LINES).cast("decimal(30,0)"))
+    return [((F.col(place) - line) / F.lit(LINES).cast("decimal(10,0)")).cast("decimal(20,0)").cast("long").alias("key"), line.cast("int").alias("line")]
 
 
 def _picked_lines(rows: DataFrame) -> DataFrame:
-    """(key, line, text) of the lines whose numbers stand in `lines`."""
+    """(place, text, shared) of the lines named in `lines`, with the halves they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches, "text"):
-            keys, numbers, texts = [], [], []
+            keys, numbers, shared, texts = [], [], [], []
             for key, text, lines in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "lines"))):
                 own = text.split("\n")
-                for number in lines:
+                for x in lines:
                     keys.append(key)
-                    numbers.append(number)
-                    texts.append(own[number])
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(numbers, pa.int32()), pa.array(texts, pa.string())], ["key", "line", "text"])
+                    numbers.append(x["line"])
+                    shared.append(x["shared"])
+                    texts.append(own[x["line"]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(numbers, pa.int32()), pa.array(texts, pa.string()), pa.array(shared, pa.list_(pa.int32()))],
+                ["key", "line", "text", "shared"])
 
-    return rows.select("key", "text", "lines").mapInArrow(run, "key long, line int, text string")
+    found = rows.select("key", "text", "lines").mapInArrow(lean(run), "key long, line int, text string, shared array<int>")
+    return found.select(_place().alias("place"), "text", "shared")
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(hi, lo, place, key, line): hash of the line (place -1), and of the line without each of its words."""
+    """(place, hi, lo, at): hash of the line (at -1), and of the line without the word at each place that may differ."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches, "text", 1 << 18):
             hashes, places, counts = [], [], []
-            for text in batch.column("text").to_pylist():
+            for text, shared in zip(batch.column("text").to_pylist(), batch.column("shared").to_pylist()):
                 words = line_words(text)
-                line = b" ".join(words)
-                digest, at = xxhash.xxh3_128_digest, 0
+                drop = places_to_drop(len(words), shared)
+                line, digest = b" ".join(words), xxhash.xxh3_128_digest
+                starts = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
                 hashes.append(digest(line))
-                for w in words[:-1]:
-                    hashes.append(digest(line[:at] + line[at + len(w) + 1:]))
-                    at += len(w) + 1
-                hashes.append(digest(line[:max(at - 1, 0)]))
-                places.append(np.arange(-1, len(words), dtype=np.int32))
-                counts.append(len(words) + 1)
+                for p in drop:
+                    hashes.append(digest(line[:starts[p]] + line[starts[p + 1]:] if p + 1 < len(words) else line[:max(starts[p] - 1, 0)]))
+                places += [-1, *drop]
+                counts.append(len(drop) + 1)
             both = np.frombuffer(b"".join(hashes), ">u8").astype(np.uint64).view(np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(np.concatenate(places)),
-                pa.array(np.repeat(batch.column("key").to_numpy(), counts)), pa.array(np.repeat(batch.column("line").to_numpy(), counts))],
-                ["hi", "lo", "place", "key", "line"])
+            owner = pa.array(np.repeat(np.arange(batch.num_rows), counts))
+            yield pa.RecordBatch.from_arrays([batch.column("place").take(owner), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(places, pa.int32())],
+                                             ["place", "hi", "lo", "at"])
 
-    return lines.mapInArrow(run, "hi long, lo long, place int, key long, line int")
+    return lines.select("place", "text", "shared").mapInArrow(lean(run), "place decimal(30,0), hi long, lo long, at int")
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
-    """(key, line) of pairs whose texts are within one word."""
+    """Places of pairs whose texts are within one word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches, "text"):
             near = [within_one_word(line_words(a), line_words(b)) for a, b in zip(batch.column("text").to_pylist(), batch.column("other").to_pylist())]
-            yield batch.select(["key", "line"]).filter(pa.array(near, pa.bool_()))
+            yield batch.select(["place"]).filter(pa.array(near, pa.bool_()))
 
-    return pairs.select("key", "line", "text", "other").mapInArrow(run, "key long, line int")
+    return pairs.select("place", "text", "other").mapInArrow(lean(run), "place decimal(30,0)")
 
 
 class KeyFilter:
@@ -164,7 +189,7 @@ class KeyFilter:
                 rest = batch.select(range(batch.num_columns - 2))
                 yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(hold)], [*rest.schema.names, flag])
 
-        return tagged.mapInArrow(run, schema)
+        return tagged.mapInArrow(lean(run), schema)
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -178,33 +203,43 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     lines = cut_lineage(_lines(rows), "lines")
 
     # Copies first: only the earliest of equal lines goes on, the others are repeated.
-    place = F.struct("key", "line")
-    distinct = cut_lineage(lines.groupBy("hi", "lo").agg(F.min(place).alias("at"), F.count("*").alias("copies"), F.first("halves").alias("halves")), "distinct")
-    copied = distinct.filter("copies > 1").select("hi", "lo", "at")
-    copies = lines.select("key", "line", "hi", "lo").join(copied, ["hi", "lo"]).filter(place != F.col("at")).select("key", "line")
+    distinct = cut_lineage(lines.groupBy("hi", "lo").agg(
+        F.min("place").alias("place"), F.count("*").alias("copies"), *[F.first(h).alias(h) for h in HALVES]), "distinct")
+    copied = distinct.filter("copies > 1").select("hi", "lo", F.col("place").alias("first"))
+    copies = lines.select("place", "hi", "lo").join(copied, ["hi", "lo"]).filter("place != first").select("place")
 
     # Lines that share a half with another one; no other line can have a near one.
-    halves = distinct.select("at", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.min("at").alias("low"), F.max("at").alias("high")).filter("low != high").select("half")
-    maybe = halves.join(shared, "half", "left_semi").select("at.key", "at.line").distinct()
-    maybe = cut_lineage(maybe.groupBy("key").agg(F.collect_list("line").alias("lines")), "maybe")
-    near = KeyFilter(maybe).passing(rows, F.col("key"))
-    texts = cut_lineage(_picked_lines(near.filter("may_hold").drop("may_hold").join(maybe, "key")), "texts")
-
-    variants = cut_lineage(_variants(texts), "variants")
+    halves = distinct.select("place", F.posexplode(F.array(*HALVES)).alias("number", "half")).filter("half IS NOT NULL")
+    shared = cut_lineage(halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half"), "halves")
+    halves = KeyFilter(shared, "half").passing(halves, F.col("half")).filter("may_hold")
+    maybe = halves.join(shared, "half", "left_semi").groupBy("place").agg(F.collect_set("number").alias("shared"))
+    maybe = maybe.select(*_unplaced(), "shared").groupBy("key").agg(F.collect_list(F.struct("line", "shared")).alias("lines"))
+    maybe = cut_lineage(maybe, "maybe")
+    near = KeyFilter(maybe, "key").passing(rows, F.col("key")).filter("may_hold").drop("may_hold")
+    # The lists grow with the documents, so they are never sent whole: the same join at every size.
+    texts = cut_lineage(_picked_lines(near.join(maybe.hint("merge"), "key")), "texts")
+
+    # Deletion neighbourhoods. Hashes that only one line has, and hashes that no whole line has, go no further.
+    variants = _variants(texts)
+    at_place, whole_line = F.xxhash64("hi", "lo", "at"), F.xxhash64("hi", "lo")
+    met = variants.filter("at >= 0").groupBy(at_place.alias("k")).agg(F.count("*").alias("n")).filter("n > 1").select("k")
+    met = met.unionByName(variants.filter("at < 0").select(whole_line.alias("k")))
+    held = KeyFilter(cut_lineage(met, "met"), "k")
+    placed = held.passing(held.passing(variants, at_place), whole_line).filter("at < 0 OR may_hold OR _may_hold")
+    variants = cut_lineage(placed.select("place", "hi", "lo", "at"), "variants")
+
     # Lines that are equal without the word at one place differ there only: each is near the earliest.
     # A line and one that is equal to it without a word are near each other.
-    own, cut = F.col("place") < 0, F.col("place") >= 0
-    by_place = variants.filter(cut).groupBy("hi", "lo", "place").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high").drop("high")
-    swapped = variants.filter(cut).join(by_place, ["hi", "lo", "place"]).select("key", "line", "low")
-    whole = variants.filter(own).select("hi", "lo", place.alias("low"))
-    longer = variants.filter(cut).join(whole, ["hi", "lo"]).select("key", "line", "low", "hi", "lo")
-    shorter = longer.groupBy("low").agg(F.min(place).alias("first")).select("low.key", "low.line", F.col("first").alias("low"))
-    pairs = swapped.unionByName(longer.select("key", "line", "low")).unionByName(shorter)
-    pairs = pairs.filter(place > F.col("low")).distinct()
-    other = texts.select(place.alias("low"), F.col("text").alias("other"))
-    found = _verified(pairs.join(texts, ["key", "line"]).join(other, "low"))
-    return copies.unionByName(found).distinct()
+    cut = variants.filter("at >= 0")
+    by_place = cut.groupBy("hi", "lo", "at").agg(F.min("place").alias("low"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    swapped = cut.join(by_place, ["hi", "lo", "at"]).select("place", "low")
+    whole = variants.filter("at < 0").select("hi", "lo", F.col("place").alias("low"))
+    longer = cut.join(whole, ["hi", "lo"]).select("place", "low")
+    shorter = longer.groupBy("low").agg(F.min("place").alias("first")).select(F.col("low").alias("place"), F.col("first").alias("low"))
+    pairs = swapped.unionByName(longer).unionByName(shorter).filter("place > low").distinct()
+    other = texts.select(F.col("place").alias("low"), F.col("text").alias("other"))
+    found = _verified(pairs.join(texts.select("place", "text"), "place").join(other, "low"))
+    return copies.unionByName(found).distinct().select(*_unplaced())
 
 
 def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str | None = None) -> DataFrame:
@@ -218,7 +253,7 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     gone = gone.select(F.col("key").alias(hidden), F.col("lines").alias(lines))
     tagged = KeyFilter(gone, hidden).passing(docs, F.col(key).cast("long"))
     flag = tagged.columns[-1]
-    touched = tagged.filter(F.col(flag)).join(gone, F.col(key).cast("long") == F.col(hidden), "left").drop(flag, hidden)
+    touched = tagged.filter(F.col(flag)).join(gone.hint("merge"), F.col(key).cast("long") == F.col(hidden), "left").drop(flag, hidden)
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +268,7 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
             columns[at] = pa.array(kept, pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    changed = touched.mapInArrow(run, docs.schema)
+    changed = touched.mapInArrow(lean(run), docs.schema)
     if n_chars:
         changed = changed.withColumn(n_chars, F.char_length(text).cast(docs.schema[n_chars].dataType))
     return tagged.filter(~F.col(flag)).drop(flag).unionByName(changed)
