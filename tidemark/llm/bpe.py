@@ -81,11 +81,12 @@ class Pieces:
 
     New words are encoded many to a text, with `joiner` between them; the tokenizer gives the joiner
     the same single id everywhere and joins nothing over it. Words that hold its mark, and all words
-    of a tokenizer for which that does not hold, are encoded one by one. Beyond CACHE_WORDS the words
+    of a tokenizer for which that does not hold, are encoded one by one. Beyond `limit` words (CACHE_WORDS unless given) those
     unused for longest are let go, in `trim`.
     """
 
-    def __init__(self, tokenizer, joiner: str):
+    def __init__(self, tokenizer, joiner: str, limit: int | None = None):
+        self.limit = limit
         self.tokenizer, self.joiner, self.mark = tokenizer, joiner, joiner.strip(" ")
         one, both = (tokenizer.encode(t, add_special_tokens=False).ids for t in ("a", f"a{joiner}a"))
         self.between = both[len(one)] if len(both) == 2 * len(one) + 1 and both[:len(one)] == one == both[len(one) + 1:] else None
@@ -138,10 +139,11 @@ class Pieces:
         """Between batches: keep the more recently used half once there are too many words."""
         self.clock += 1
         n = len(self.number)
-        if n <= CACHE_WORDS:
+        limit = self.limit or CACHE_WORDS
+        if n <= limit:
             return
         keep = np.zeros(n, bool)
-        keep[np.argsort(-self.used[:n], kind="stable")[:CACHE_WORDS // 2]] = True
+        keep[np.argsort(-self.used[:n], kind="stable")[:limit // 2]] = True
         sizes = self.size[:n][keep].astype(np.int64)
         shift = self.start[:n][keep] - (np.cumsum(sizes) - sizes)
         flat = self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())]

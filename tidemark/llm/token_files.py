@@ -21,6 +21,7 @@ from tidemark.llm.common import fresh, lean, sized_batches
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
+CACHE_PIECES = 900_000
 BLOCK = 1024
 MAGIC = b"TW8B"
 _HEADER = struct.Struct("<4sIIIQQ")
@@ -156,7 +157,7 @@ class PieceEncoder:
     """Byte-level ids of whole texts; pieces met again are not encoded again."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.pieces = tokenizer, Pieces(tokenizer, "\n")
+        self.tokenizer, self.pieces = tokenizer, Pieces(tokenizer, "\n", CACHE_PIECES)
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
