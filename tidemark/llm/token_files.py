@@ -21,7 +21,7 @@ from tidemark.llm.common import fresh, lean, sized_batches
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
-CACHE_PIECES = 900_000
+CACHE_PIECES = 500_000
 BLOCK = 1024
 MAGIC = b"TW8B"
 _HEADER = struct.Struct("<4sIIIQQ")
@@ -210,7 +210,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, ke
                                               "n_ids": pa.array([len(ids)], pa.int64()), "data": pa.array([data], pa.binary())})
             before, number = before + len(ids), number + 1
 
-    rows.mapInArrow(lean(run), "part int, number int, n_ids long, data binary").write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(run, "part int, number int, n_ids long, data binary").write.option("compression", "zstd").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
