@@ -20,8 +20,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document or line has, give or take a word."""
-    return lines.drop_repeated_lines(docs, n_chars="n_chars")
+    """Documents without lines that an earlier document or line has, give or take a word; those of which nothing is left go."""
+    return lines.drop_repeated_lines(docs, n_chars="n_chars", short_copies=True, keep_emptied=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ import pytest
 import xxhash
 from cases import ODD, clashing
 
-from tidemark.llm import components, embeddings, lines, simhash
+import corpus_pipeline
+from tidemark.llm import components, embeddings, lines, queries, simhash
 
 
 def groups(n, pairs):
@@ -179,3 +180,20 @@ def test_lines_match_brute_force(documents):
 
 def test_lines_of_an_empty_table(documents):
     assert lines.drop_repeated_lines(documents([])).count() == 0
+
+
+SHORT_LINES = [(1, "les.\nalpha beta gamma delta epsilon zeta\n\nFin"), (2, "les.\nalpha beta gamma delta epsilon zeta\n\nFin"),
+               (3, "Les.\nfin de\none two three four five six"), (4, " \n"), (5, "les\nfin  DE\nfin des")]
+
+
+def test_copies_of_short_lines_go(spark, documents, tmp_path):
+    documents(SHORT_LINES).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in queries.line_dedup(spark, str(tmp_path)).collect()}
+    want = {1: SHORT_LINES[0][1], 2: "", 3: "fin de\none two three four five six", 4: " \n", 5: "les\nfin des"}
+    assert got == {k: (t, len(t)) for k, t in want.items()}
+
+
+def test_a_copy_with_short_lines_leaves_the_pipeline_whole(spark, documents):
+    out = corpus_pipeline.line_dedup(spark, documents(SHORT_LINES), "")
+    assert {r["doc_id"] for r in out.collect()} == {1, 3, 4, 5}
+    assert 2 not in {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, out, "").collect()}

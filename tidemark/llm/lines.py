@@ -65,8 +65,11 @@ def within_one_word(a: list[bytes], b: list[bytes]) -> bool:
 HALVES = ["h0", "h1", "h2", "h3"]
 
 
-def _lines(rows: DataFrame) -> DataFrame:
-    """(place, hi, lo, h0 ... h3) of every line of at least MIN_WORDS words; hi, lo hash its words."""
+def _lines(rows: DataFrame, least: int) -> DataFrame:
+    """(place, hi, lo, h0 ... h3) of every line of at least `least` words; hi, lo hash its words.
+
+    Lines under MIN_WORDS words have no halves, so they meet only their copies.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches, "text"):
@@ -74,11 +77,11 @@ def _lines(rows: DataFrame) -> DataFrame:
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
                 for number, line in enumerate(text.split("\n")):
                     words = line_words(line)
-                    if len(words) >= MIN_WORDS:
+                    if len(words) >= least:
                         keys.append(key)
                         numbers.append(number)
                         hashes.append(_hash128(b" ".join(words)))
-                        halves.append(half_keys(words))
+                        halves.append(half_keys(words) if len(words) >= MIN_WORDS else (None,) * 4)
             columns = [keys, numbers, *(zip(*hashes) if hashes else ([], [])), *(zip(*halves) if halves else ([],) * 4)]
             kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 6]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["key", "line", "hi", "lo", *HALVES])
@@ -192,15 +195,16 @@ class KeyFilter:
         return tagged.mapInArrow(lean(run), schema)
 
 
-def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", short_copies: bool = False) -> DataFrame:
     """(key, line) of every line that has an earlier line within one word of it.
 
     Lines count in the order of key and line number. The unit of an edit is a word, the bound is one
     insertion, deletion or substitution, so lines of MIN_WORDS words are alike to at least four
-    fifths; shorter lines are neither removed nor a reason to remove.
+    fifths. Shorter lines are never near: with `short_copies` each that has a word goes if an earlier
+    line has the same words, else they are neither removed nor a reason to remove.
     """
     rows = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    lines = cut_lineage(_lines(rows), "lines")
+    lines = cut_lineage(_lines(rows, 1 if short_copies else MIN_WORDS), "lines")
 
     # Copies first: only the earliest of equal lines goes on, the others are repeated.
     distinct = cut_lineage(lines.groupBy("hi", "lo").agg(
@@ -242,14 +246,16 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return copies.unionByName(found).distinct().select(*_unplaced())
 
 
-def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str | None = None) -> DataFrame:
-    """`docs` without the lines of `repeated_lines`; all rows and columns stay, `n_chars` is counted anew.
+def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str | None = None,
+                        short_copies: bool = False, keep_emptied: bool = True) -> DataFrame:
+    """`docs` without the lines of `repeated_lines`; all columns stay, `n_chars` is counted anew.
 
-    A document that loses all its lines has an empty text. Null keys and null texts stay as they
-    are. Documents without repeated lines are passed on without a shuffle.
+    A document that loses all its lines has an empty text, or blank lines alone; without
+    `keep_emptied` it goes, all other rows stay. Null keys and null texts stay as they are.
+    Documents without repeated lines are passed on without a shuffle.
     """
     hidden, lines = free_name(docs, "line_key"), free_name(docs, "gone_lines")
-    gone = cut_lineage(repeated_lines(docs, key, text).groupBy("key").agg(F.collect_list("line").alias("lines")), "gone")
+    gone = cut_lineage(repeated_lines(docs, key, text, short_copies).groupBy("key").agg(F.collect_list("line").alias("lines")), "gone")
     gone = gone.select(F.col("key").alias(hidden), F.col("lines").alias(lines))
     tagged = KeyFilter(gone, hidden).passing(docs, F.col(key).cast("long"))
     flag = tagged.columns[-1]
@@ -258,15 +264,16 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches, text):
-            kept = []
+            kept, stays = [], []
             for body, drop in zip(batch.column(text).to_pylist(), batch.column(lines).to_pylist()):
                 if drop and body is not None:
                     drop = set(drop)
                     body = "\n".join(x for i, x in enumerate(body.split("\n")) if i not in drop)
                 kept.append(body)
+                stays.append(keep_emptied or not drop or body is None or bool(line_words(body)))
             columns = list(batch.columns[:-1])
             columns[at] = pa.array(kept, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1]).filter(pa.array(stays, pa.bool_()))
 
     changed = touched.mapInArrow(lean(run), docs.schema)
     if n_chars:

@@ -105,7 +105,7 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated lines."""
-    return lines.drop_repeated_lines(load(spark, sf_dir, "documents"), n_chars="n_chars")
+    return lines.drop_repeated_lines(load(spark, sf_dir, "documents"), n_chars="n_chars", short_copies=True)
 
 
 def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
