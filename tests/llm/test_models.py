@@ -109,6 +109,28 @@ def test_language_model_without_rows(documents):
     assert {r["train_tokens"] for r in untrained} == {0} and all(math.isfinite(r["score"]) for r in untrained)
 
 
+def test_every_round_covers_the_corpus(documents):
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"t{i % 3}w{rng.randrange(60)}" if rng.random() < 0.7 else f"w{rng.randrange(9)}" for _ in range(8))) for i in range(2400)]
+    rows += [(9000 + i, " ".join(f"long{rng.randrange(90)}" for _ in range(4000))) for i in range(3)]
+    texts = [t.split() for k, t in rows if zlib.crc32(str(k).encode()) % 5 != 1]
+    lengths = np.array([len(w) + 1 for w in texts])
+    symbols = np.concatenate([[*(1 + (zlib.crc32(x.encode()) >> 26) for x in w), hmm.END] for w in texts])
+    model, last = hmm.Hmm.initial(np.bincount(symbols, minlength=65).astype(float)), -np.inf
+    while (now := model.log10(symbols, lengths).sum() / len(symbols)) - last >= hmm.SETTLED:
+        last, model = now, hmm.Hmm.estimated(*model.expected(symbols, lengths))
+    model = hmm.Hmm.estimated(*model.expected(symbols, lengths))
+    known = Counter(w for ws in texts for w in ws)
+    size, distinct = Counter(), Counter()
+    for w, n in known.items():
+        size[zlib.crc32(w.encode()) >> 26] += n
+        distinct[zlib.crc32(w.encode()) >> 26] += 1
+    within = [sum(math.log10((known[w] + 0.5) / (size[c] + 0.5 * (distinct[c] + 1))) for w in ws for c in [zlib.crc32(w.encode()) >> 26]) for ws in texts]
+    want = dict(zip((k for k, _ in rows if zlib.crc32(str(k).encode()) % 5 != 1), model.log10(symbols, lengths) + within))
+    got = {r["key"]: r["score"] for r in hmm.score_corpus(documents(rows), fold() != 1, bits=6, block_bytes=40_000).collect()}
+    assert all(math.isclose(got[k], x, rel_tol=1e-3) for k, x in want.items())
+
+
 def test_language_model_beats_single_words(spark, sf_dir):
     rows = queries.lm_scores(spark, sf_dir).groupBy("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).collect()
     assert len(rows) == 2 and all(r["s"] > r["b"] for r in rows)

@@ -17,8 +17,8 @@ from tidemark.llm.ragged import by_step
 STATES = 8
 CLASS_BITS = 14
 MIN_SHARDS = 256
-ROUNDS = 2
-SEED_DOCS, SEED_CHARS, SEED_ROUNDS = 1500, 20_000, 12
+# Rounds end when one adds less than SETTLED to the mean log10 likelihood of a training token; ROUNDS only guards the loop.
+SETTLED, ROUNDS = 0.001, 100
 BLOCK_BYTES = 6 << 20
 STICKY = 0.95
 SMOOTH = 0.1
@@ -52,7 +52,7 @@ class Hmm:
         A sequence's likelihood is the product of its scales.
         """
         chance = self.emit[symbols]
-        alpha, scale = chance.copy(), np.ones(len(symbols))
+        alpha, scale = chance.copy(), np.ones(len(symbols), chance.dtype)
         last = 0
         for first, stop in zip(borders, borders[1:]):
             now = alpha[first:stop]
@@ -72,12 +72,18 @@ class Hmm:
 
     def expected(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts of starts, transitions and emissions."""
+        return self.counted(symbols, lengths)[:3]
+
+    def counted(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+        """Expected counts as in `expected` and the log10 likelihood of all sequences; chances in single precision, sums in double."""
         rows, borders = by_step(lengths)
         symbols, borders = symbols[rows], borders.tolist()
-        chance, alpha, scale = self.forward(symbols, borders)
+        single = Hmm(*(x.astype(np.float32) for x in (self.start, self.trans, self.emit)))
+        chance, alpha, scale = single.forward(symbols, borders)
+        fit = float(np.log10(scale).sum(dtype=np.float64))
         # Emission times backward chance over scale: one step of it gives the backward chance before.
         chance /= scale[:, None]
-        beta, trans, back = np.ones_like(alpha), np.zeros_like(self.trans), self.trans.T.copy()
+        beta, trans, back = np.ones_like(alpha), np.zeros_like(self.trans), single.trans.T.copy()
         for last, first, stop in reversed(list(zip(borders, borders[1:], borders[2:]))):
             n = stop - first
             ahead = chance[first:stop]
@@ -87,7 +93,7 @@ class Hmm:
         alpha *= beta
         alpha /= alpha.sum(axis=1, keepdims=True)
         emit = np.stack([np.bincount(symbols, alpha[:, k], len(self.emit)) for k in range(alpha.shape[1])], axis=1)
-        return alpha[:borders[1]].sum(axis=0), self.trans * trans, emit
+        return alpha[:borders[1]].sum(axis=0, dtype=np.float64), self.trans * trans, emit, fit
 
 
 def word_hash(word: bytes) -> int:
@@ -191,49 +197,32 @@ def _word_counts(blocks: DataFrame, shards: int, bits: int) -> DataFrame:
         add, "block long, shard long, sums binary, classes array<bigint>, tokens array<bigint>, distinct array<bigint>")
 
 
-def _baum_welch_round(blocks: DataFrame, model: Hmm, bits: int) -> Hmm:
-    """One round over all training texts; counts are summed in each task, then by symbol across tasks."""
+def _baum_welch_round(blocks: DataFrame, model: Hmm, bits: int) -> tuple[Hmm, float]:
+    """One round over all training texts, with their log10 likelihood before it; counts are summed in each task, then by symbol across tasks."""
     states, size = model.trans.shape[0], len(model.emit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start, trans, emit = np.zeros(states), np.zeros((states, states)), np.zeros((size, states))
+        start, trans, emit, fit = np.zeros(states), np.zeros((states, states)), np.zeros((size, states)), np.zeros(states)
         for batch in batches:
             for row in range(batch.num_rows):
                 ids, symbols, lengths = _symbols(batch, row, bits)
                 train = _raw(batch, row, "train", bool)
                 if train.any():
-                    found = model.expected(symbols[ids[np.repeat(train, lengths)]], lengths[train])
-                    for total, part in zip((start, trans, emit), found):
+                    found = model.counted(symbols[ids[np.repeat(train, lengths)]], lengths[train])
+                    for total, part in zip((start, trans, emit, fit[:1]), found):
                         total += part
-        table = np.concatenate([emit, trans, start[None]])
+        table = np.concatenate([emit, trans, start[None], fit[None]])
         used = np.flatnonzero(table.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(table[used, k]) for k in range(states)]],
                                          ["row", *[f"s{k}" for k in range(states)]])
 
     names = [f"s{k}" for k in range(states)]
     counts = blocks.select("hashes", "ids", "lengths", "train").mapInArrow(lean(run), "row long, " + ", ".join(f"{n} double" for n in names))
-    # At most one row for each symbol and state comes to the driver.
+    # At most one row for each symbol and state and two more come to the driver.
     rows = counts.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).orderBy("row").toArrow()
-    table = np.zeros((size + states + 1, states))
+    table = np.zeros((size + states + 2, states))
     table[rows.column("row").to_numpy()] = np.stack([rows.column(n).to_numpy() for n in names], axis=1) if rows.num_rows else 0
-    return Hmm.estimated(table[-1], table[size:-1], table[:size])
-
-
-def _seeded(train: DataFrame, totals: np.ndarray, bits: int) -> Hmm:
-    """Starting point for the rounds over the corpus: Baum-Welch on a bounded sample, taken in the order of a hash."""
-    model = Hmm.initial(totals)
-    sample = train.filter(F.char_length("text") <= SEED_CHARS).orderBy(F.xxhash64("key"), "key").limit(SEED_DOCS).select("text").toArrow()
-    texts = [lower_words(t) for t in sample.column("text").to_pylist()]
-    if not texts:
-        return model
-    lengths = np.array([len(w) + 1 for w in texts], np.int64)
-    symbols = np.full(lengths.sum(), END, np.int64)
-    inner = np.ones(len(symbols), bool)
-    inner[np.cumsum(lengths) - 1] = False
-    symbols[inner] = class_of(np.array([word_hash(w) for words in texts for w in words], np.uint32), bits)
-    for _ in range(SEED_ROUNDS):
-        model = Hmm.estimated(*model.expected(symbols, lengths))
-    return model
+    return Hmm.estimated(table[-2], table[size:-2], table[:size]), float(table[-1, 0])
 
 
 def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS,
@@ -244,7 +233,7 @@ def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str
     `bits` of the word's hash, so the model's size does not grow) and the class its word, by the
     word's smoothed share of the class's training tokens; the end is a class of its own. `score` is
     the exact log10 likelihood of the sequence by the scaled forward recursion. `base_score` is the
-    smoothed unigram score. All counts cover all training texts. Null, empty and blank texts are a
+    smoothed unigram score. All counts and all rounds cover all training texts. Null, empty and blank texts are a
     lone end; repeated rows count and are scored each; without training rows all counts are 0.
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
@@ -261,9 +250,12 @@ def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str
         at = sizes.column("classes").to_numpy()
         total[at], distinct[at] = sizes.column("c").to_numpy(), sizes.column("v").to_numpy()
     n_train, n_words = int(total.sum()) + ends, int(distinct.sum()) + (ends > 0)
-    model = _seeded(rows.filter("train"), np.r_[ends, total[1:]], bits)
+    model, last = Hmm.initial(np.r_[ends, total[1:]]), -np.inf
     for _ in range(rounds):
-        model = _baum_welch_round(blocks, model, bits)
+        model, fit = _baum_welch_round(blocks, model, bits)
+        if fit - last < SETTLED * n_train or not n_train:
+            break
+        last = fit
 
     known = counted.filter("block IS NOT NULL").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("shard", "sums"))).alias("known"))
     joined = blocks.select("block", "hashes", "ids", "lengths", "keys").join(known, "block", "left")
