@@ -213,6 +213,41 @@ def test_license_runs_match_brute_force():
         assert scanner.scan(text) == every_run(scanner, text)
 
 
+def test_notices_beside_other_text():
+    scanner, apache, isc = licenses.Scanner(), licenses.NOTICES["Apache-2.0"][0], licenses.NOTICES["ISC"][0].split()
+    found = scanner.find(f"one\nCopyright 2020 The Authors. {apache} See the LICENSE file.\ntwo")
+    assert found == [("Apache-2.0", 1.0, 1, 1)]
+    halves = " ".join(isc[:12]), " ".join(isc[12:])
+    assert scanner.find(f"x y z {halves[0]}\n\n// \n{halves[1]} a b c") == [("ISC", 1.0, 0, 3)]
+    assert scanner.find(f"{' '.join(isc[:12])} {' '.join(map(str, range(90)))} {' '.join(isc[12:])}") == []
+    assert scanner.find("Released under the MIT " * 5000) == [("MIT", 6 / 7, 0, 0)]
+    assert scanner.find(None) == scanner.find("word") == []
+
+
+def every_window(scanner, text):
+    words, best = licenses.words_of(text), {}
+    for name, template in scanner.templates:
+        for a in range(len(words)):
+            for b in range(a + 2, min(len(words), a + 110) + 1):
+                best[name] = max(best.get(name, 0), licenses.dice(set(zip(words[a:b], words[a + 1:b])), template))
+    return {n: v for n, v in best.items() if v >= scanner.threshold}
+
+
+def test_license_windows_match_brute_force():
+    rng = random.Random(8)
+    short = {n: tuple(t for t in texts if len(t) < 130) for n, texts in licenses.NOTICES.items()}
+    scanner = licenses.Scanner(short)
+    for _ in range(25):
+        words = rng.choice([t for texts in short.values() for t in texts]).split()
+        for _ in range(rng.randrange(4)):
+            words.insert(rng.randrange(len(words)), rng.choice(("other", "\n", "the")))
+        text = " ".join(["some text before", *words, "and after", rng.choice(("", "\n")), "the end"])
+        best = every_window(scanner, text)
+        found = {x[0]: x[1] for x in scanner.find(text)}
+        assert (max(found.values()) if found else 0) == (max(best.values()) if best else 0)
+        assert all(best[n] >= v for n, v in found.items())
+
+
 def test_license_scan_of_odd_tables(documents):
     rows = [*ODD, (50, "hello\nLicensed under\nthe APACHE license, version 2.0\nbye"), (51, "MIT License"), (51, "Released under the MIT License.")]
     got = licenses.scan_documents(clashing(documents(rows))).collect()

@@ -1,8 +1,9 @@
-"""License scans: runs of lines compared with licence notices by the Dice coefficient of their word pairs."""
+"""License scans: runs of words compared with licence notices by the Dice coefficient of their word pairs."""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping
 from math import ceil, floor
 
@@ -82,16 +83,19 @@ def dice(a: set[Pair], b: set[Pair]) -> float:
 
 
 class Scanner:
-    """Finds, in one text, the best run of lines for every notice."""
+    """Finds, in one text, the best run of words or lines for every notice."""
 
     def __init__(self, notices: Mapping[str, tuple[str, ...]] = NOTICES, threshold: float = THRESHOLD):
         self.threshold = threshold
         self.templates: list[tuple[str, set[Pair]]] = []
+        # Word pairs that a run of words has at most, repeated ones counted each.
+        self.longest: list[int] = []
         for name, texts in notices.items():
             for text in texts:
                 words = words_of(text)
                 if len(words) > 1:
                     self.templates.append((name, set(zip(words, words[1:]))))
+                    self.longest.append(floor((len(words) - 1) * (2 - threshold) / threshold + 1e-9))
         self.index: dict[Pair, list[int]] = {}
         for number, (_, pairs) in enumerate(self.templates):
             for pair in pairs:
@@ -109,14 +113,7 @@ class Scanner:
         Runs are consecutive lines taken whole. Of equal coefficients the earliest and shortest run
         counts. Lines are numbered from 0.
         """
-        words = words_of(text) if text else []
-        met: dict[int, set[Pair]] = {}
-        index = self.index
-        for pair in zip(words, words[1:]):
-            if pair in index:
-                for number in index[pair]:
-                    met.setdefault(number, set()).add(pair)
-        wanted = [number for number, pairs in met.items() if len(pairs) >= self.fewest[number]]
+        wanted = self._wanted(words_of(text) if text else [])
         if not wanted:
             return []
         lines = [words_of(line) for line in text.split("\n")]
@@ -128,6 +125,62 @@ class Scanner:
                     best[name] = found
         return [(name, *best[name]) for name in sorted(best)]
 
+    def find(self, text: str | None) -> list[tuple[str, float, int, int]]:
+        """(name, coefficient, first line, last line) as from `scan`, of runs of words whatever else their lines hold.
+
+        A run of words begins and ends with a pair of the template, since any other border only adds
+        to its size, and may span lines, blank ones too. Whole lines are compared as well.
+        """
+        words = words_of(text) if text else []
+        wanted = self._wanted(words)
+        if not wanted:
+            return []
+        line_of = [number for number, line in enumerate(text.split("\n")) for _ in words_of(line)]
+        pairs = list(zip(words, words[1:]))
+        found = [(-value, name, bisect_right(line_of, first - 1), bisect_right(line_of, last) - 1) for name, value, first, last in self.scan(text)]
+        for number in wanted:
+            found += [(-value, self.templates[number][0], first, last) for value, first, last in self._windows(pairs, number)]
+        return self._chosen(found, line_of)
+
+    def _chosen(self, found: list[tuple[float, str, int, int]], line_of: list[int]) -> list[tuple[str, float, int, int]]:
+        best: dict[str, tuple[str, float, int, int]] = {}
+        for value, name, first, last in sorted(found):
+            best.setdefault(name, (name, -value, line_of[first], line_of[last]))
+        return [best[name] for name in sorted(best)]
+
+    def _wanted(self, words: list[bytes]) -> list[int]:
+        """Templates of which the text holds so many pairs that a run may reach the threshold."""
+        met: dict[int, set[Pair]] = {}
+        index = self.index
+        for pair in zip(words, words[1:]):
+            if pair in index:
+                for number in index[pair]:
+                    met.setdefault(number, set()).add(pair)
+        return [number for number, pairs in met.items() if len(pairs) >= self.fewest[number]]
+
+    def _windows(self, pairs: list[Pair], number: int) -> Iterator[tuple[float, int, int]]:
+        """(coefficient, first word, last word) of every run of words that reaches the threshold."""
+        _, template = self.templates[number]
+        low, high, longest = self.low[number], self.high[number], self.longest[number]
+        places = [p for p, pair in enumerate(pairs) if pair in template]
+        for at, first in enumerate(places):
+            # Too few pairs of the template in reach.
+            if at + low > len(places) or places[at + low - 1] >= first + longest:
+                continue
+            seen: set[Pair] = set()
+            shared = 0
+            for p in range(first, min(first + longest, len(pairs))):
+                pair = pairs[p]
+                new = pair not in seen
+                seen.add(pair)
+                if len(seen) > high:
+                    break
+                if new and pair in template:
+                    shared += 1
+                    value = 2 * shared / (len(seen) + len(template))
+                    if value >= self.threshold:
+                        yield value, first, p + 1
+
     def _runs(self, lines: list[list[bytes]], template: set[Pair], low: int, high: int) -> Iterator[tuple[float, int, int]]:
         for first, line in enumerate(lines):
             # The best run starts in a line that adds a pair of the template: without it the run is no worse.
@@ -162,7 +215,7 @@ def scan_documents(docs: DataFrame, notices: Mapping[str, tuple[str, ...]] = NOT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sized_batches(batches, "text"):
-            found = [[dict(zip(("name", "dice", "first_line", "last_line"), x)) for x in scanner.scan(t)] for t in batch.column("text").to_pylist()]
+            found = [[dict(zip(("name", "dice", "first_line", "last_line"), x)) for x in scanner.find(t)] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.list_(entry))], ["key", "licenses"])
 
     kind = rows.schema["key"].dataType.simpleString()
