@@ -224,6 +224,15 @@ def test_notices_beside_other_text():
     assert scanner.find(None) == scanner.find("word") == []
 
 
+def test_one_notice_is_one_licence(spark, documents, tmp_path):
+    gpl3, gpl2 = licenses.NOTICES["GPL-3.0"][0], licenses.NOTICES["GPL-2.0"][0]
+    rows = [(1, gpl3), (2, f"{gpl2}\ntext\n{gpl3}"), (3, licenses.NOTICES["LGPL-2.1"][1]), (4, licenses.NOTICES["CC-BY-NC-4.0"][1]), (5, "none"), (6, f"{gpl3} {gpl2}")]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.license_scan(spark, str(tmp_path)).collect()}
+    assert {k: r["licenses"] for k, r in got.items()} == {1: "GPL-3.0", 2: "GPL-2.0,GPL-3.0", 3: "LGPL-2.1", 4: "CC-BY-NC-4.0", 5: "", 6: "GPL-2.0,GPL-3.0"}
+    assert [tuple(x) for x in got[2]["found"]] == [("GPL-2.0", 1.0, 0, 0), ("GPL-3.0", 1.0, 2, 2)] and got[2]["n_licenses"] == 2
+
+
 def every_window(scanner, text):
     words, best = licenses.words_of(text), {}
     for name, template in scanner.templates:

@@ -41,6 +41,21 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
         "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     ),
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ),
     "BSD-3-Clause": (
         "Released under the BSD 3-Clause License.",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
@@ -129,7 +144,8 @@ class Scanner:
         """(name, coefficient, first line, last line) as from `scan`, of runs of words whatever else their lines hold.
 
         A run of words begins and ends with a pair of the template, since any other border only adds
-        to its size, and may span lines, blank ones too. Whole lines are compared as well.
+        to its size, and may span lines, blank ones too. Whole lines are compared as well. Of runs that
+        share a word only the one with the highest coefficient counts, of equal ones the first name.
         """
         words = words_of(text) if text else []
         wanted = self._wanted(words)
@@ -144,8 +160,11 @@ class Scanner:
 
     def _chosen(self, found: list[tuple[float, str, int, int]], line_of: list[int]) -> list[tuple[str, float, int, int]]:
         best: dict[str, tuple[str, float, int, int]] = {}
+        taken = bytearray(len(line_of))
         for value, name, first, last in sorted(found):
-            best.setdefault(name, (name, -value, line_of[first], line_of[last]))
+            if taken.find(1, first, last + 1) < 0:
+                taken[first:last + 1] = b"\x01" * (last + 1 - first)
+                best.setdefault(name, (name, -value, line_of[first], line_of[last]))
         return [best[name] for name in sorted(best)]
 
     def _wanted(self, words: list[bytes]) -> list[int]:

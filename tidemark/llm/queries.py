@@ -124,11 +124,11 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the licences whose notices it holds, and the best coefficient."""
+    """Every document with the licences whose notices it holds, the best coefficient, and the coefficient and lines of each."""
     rows = licenses.scan_documents(load(spark, sf_dir, "documents"))
     return rows.select(
         F.col("key").alias("doc_id"), F.size("licenses").cast("long").alias("n_licenses"),
-        F.array_join("licenses.name", ",").alias("licenses"), F.array_max("licenses.dice").alias("best_dice"))
+        F.array_join("licenses.name", ",").alias("licenses"), F.array_max("licenses.dice").alias("best_dice"), F.col("licenses").alias("found"))
 
 
 QUERIES = {
