@@ -199,8 +199,8 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sho
     """(key, line) of every line that has an earlier line within one word of it.
 
     Lines count in the order of key and line number. The unit of an edit is a word, the bound is one
-    insertion, deletion or substitution, so lines of MIN_WORDS words are alike to at least four
-    fifths. Shorter lines are never near: with `short_copies` each that has a word goes if an earlier
+    insertion, deletion or substitution whatever the length, so lines of MIN_WORDS words are alike
+    to at least four fifths and long ones almost wholly; long lines with more edits stay. Shorter lines are never near: with `short_copies` each that has a word goes if an earlier
     line has the same words, else they are neither removed nor a reason to remove.
     """
     rows = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
