@@ -1,0 +1,12 @@
+"""Registered operator queries against their SQL."""
+
+import oracle
+import pytest
+
+from tidemark.llm.queries import QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(n for n, (_, sql) in QUERIES.items() if sql))
+def test_query_matches_sql(spark, sf_dir, name):
+    query, sql = QUERIES[name]
+    assert oracle.compare(query(spark, sf_dir), oracle.connect(sf_dir), sql) is None

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, embeddings, hmm, licenses, lines, quality, simhash, token_files, toxicity
+from tidemark.llm import bpe, decontaminate, embeddings, hmm, infill, licenses, lines, quality, simhash, token_files, toxicity
 from tidemark.llm.common import fold, load
 from tidemark.llm.sample import HELD_OUT_FOLD
 from tidemark.session import new_folder
@@ -131,6 +131,33 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("licenses.name", ",").alias("licenses"), F.array_max("licenses.dice").alias("best_dice"), F.col("licenses").alias("found"))
 
 
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-the-middle form, with digests of the output and of the text rebuilt from it."""
+    rows = infill.infill(load(spark, sf_dir, "documents"))
+    return rows.select(
+        F.col("key").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restored(), 256).alias("restored_sha256"))
+
+
+FILL_IN_MIDDLE_SQL = r"""
+WITH tokens AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+draws AS (
+  SELECT doc_id, text, w, len(w) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(w) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(w) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM tokens),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(w[1:least(a, b)], '') AS p,
+         array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(w[greatest(a, b) + 1:], '') AS s FROM draws)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m
+              ELSE text END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts"""
+
+
 QUERIES = {
     "op1_decontamination": (decontamination, DECONTAMINATION_SQL),
     "op2_toxicity": (toxicity_scores, None),
@@ -142,4 +169,5 @@ QUERIES = {
     "op8_simhash_near_dedup": (simhash_near_dedup, None),
     "op9_lm_scoring": (lm_scores, None),
     "op10_license_scan": (license_scan, None),
+    "op11_fill_in_middle": (fill_in_middle, FILL_IN_MIDDLE_SQL),
 }
