@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, embeddings, hmm, infill, licenses, lines, quality, simhash, token_files, toxicity
+from tidemark.llm import bpe, decontaminate, embeddings, hmm, infill, licenses, lines, quality, simhash, token_files, toxicity, warc
 from tidemark.llm.common import fold, load
 from tidemark.llm.sample import HELD_OUT_FOLD
 from tidemark.session import new_folder
@@ -158,6 +158,29 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST
 FROM parts"""
 
 
+def warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record in the written archives says."""
+    path = new_folder(spark, "warc")
+    warc.write_warc(load(spark, sf_dir, "pages"), path, "2024-01-01T00:00:00Z")
+    rows = warc.read_warc(spark, path, with_payload=False)
+    return rows.select(
+        warc.key_of("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.key_of("refers_to").cast("long").alias("refers_to"))
+
+
+WARC_SQL = """
+WITH sums AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+digests AS (
+  SELECT page_id, payload_bytes, translate(array_to_string(list_transform(range(0, 8),
+           lambda i: to_base(CAST('0x' || substr(h, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT), 32, 4)), ''),
+         '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest FROM sums),
+firsts AS (SELECT payload_digest, payload_bytes, min(page_id) AS first FROM digests GROUP BY payload_digest, payload_bytes)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests JOIN firsts USING (payload_digest, payload_bytes)"""
+
+
 QUERIES = {
     "op1_decontamination": (decontamination, DECONTAMINATION_SQL),
     "op2_toxicity": (toxicity_scores, None),
@@ -170,4 +193,5 @@ QUERIES = {
     "op9_lm_scoring": (lm_scores, None),
     "op10_license_scan": (license_scan, None),
     "op11_fill_in_middle": (fill_in_middle, FILL_IN_MIDDLE_SQL),
+    "op13_warc_roundtrip": (warc_roundtrip, WARC_SQL),
 }
