@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, embeddings, hmm, infill, licenses, lines, quality, simhash, token_files, toxicity, warc
+from tidemark.llm import bpe, decontaminate, embeddings, hard_negatives, hmm, infill, licenses, lines, quality, simhash, token_files, toxicity, warc
 from tidemark.llm.common import fold, load
 from tidemark.llm.sample import HELD_OUT_FOLD
 from tidemark.session import new_folder
@@ -158,6 +158,33 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST
 FROM parts"""
 
 
+def mine_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after every seventh row's label has been moved on."""
+    rows = load(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved))
+
+
+HARD_NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+anchors AS (SELECT vec_id AS anchor_id, label AS own, v AS a FROM rows WHERE vec_id % 100 = 0),
+scores AS (
+  SELECT anchor_id, vec_id, own = label AS same, CAST(list_inner_product(a, v) AS BIGINT) AS score
+  FROM anchors, rows WHERE vec_id <> anchor_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5"""
+
+
 def warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as its record in the written archives says."""
     path = new_folder(spark, "warc")
@@ -193,5 +220,6 @@ QUERIES = {
     "op9_lm_scoring": (lm_scores, None),
     "op10_license_scan": (license_scan, None),
     "op11_fill_in_middle": (fill_in_middle, FILL_IN_MIDDLE_SQL),
+    "op12_hard_negatives": (mine_hard_negatives, HARD_NEGATIVES_SQL),
     "op13_warc_roundtrip": (warc_roundtrip, WARC_SQL),
 }
