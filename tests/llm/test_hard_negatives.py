@@ -12,7 +12,7 @@ VECTORS = "vec_id long, embedding array<double>, label int"
 def brute(rows, every=100, k=5):
     use = [(i, lab, np.floor(256 * np.array(v, float))) for i, v, lab in rows
            if lab is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    dim = max((len(v) for _, _, v in use), default=0)
+    dim = max((len(v) for _, _, v in use), default=0) or 1
     x = np.array([np.r_[v, np.zeros(dim - len(v))] for _, _, v in use]).reshape(-1, dim)
     s = (x @ x.T).astype(np.int64)
     out = []

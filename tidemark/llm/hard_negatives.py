@@ -358,9 +358,9 @@ def _search(queries: DataFrame, trees: DataFrame, root: Root, same: bool, k: int
 
     def tile(blocks: pa.Table, queries: pa.Table) -> pa.Table:
         found = []
-        for block in blocks.to_pylist():
-            nodes = {f: np.array(block[f], np.float64 if f in ("low", "high") else np.int64) for f in Tree.FIELDS}
-            tree = Tree(space, np.array(block["x"]).reshape(-1, space.dim), np.array(block["uid"]), np.array(block["ids"]), np.array(block["labels"]), nodes)
+        for b in range(blocks.num_rows):
+            block = {c: blocks.column(c)[b].values.to_numpy() for c in ("uid", "ids", "labels", "x", *Tree.FIELDS)}
+            tree = Tree(space, block["x"].reshape(-1, space.dim), block["uid"], block["ids"], block["labels"], block)
             for i in range(queries.num_rows):
                 own = {c: queries.column(c)[i].values.to_numpy() for c in (*_QUERY, "v")}
                 q, row, score = tree.search(own["v"].reshape(-1, space.dim), own["label"], own["anchor"], own["lo"], own["hi"], same, k)
