@@ -59,14 +59,15 @@ def write_warc(pages: DataFrame, path: str, date: str, key: str = "page_id", url
     key. Rows that repeat the smallest key of a payload are all responses. Columns other than these
     three are not read, so their names cannot clash. `date` is the records' WARC-Date.
 
-    Digests combine before the shuffle; only groups of more than one row are joined back, a join
-    that adaptive execution may split where one payload is hot. Files are written by Spark's text
+    Digests combine before the shuffle; only groups of more than one row are joined back, without
+    a shuffle of payloads where these groups are few, else by a join that adaptive execution may split where one payload is hot. Files are written by Spark's text
     writer, so a lost task leaves no half file.
     """
     rows = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("payload"))
     rows = rows.select("*", base32_sha1(F.col("payload")).alias("digest"), F.octet_length("payload").cast("long").alias("bytes"))
     groups = rows.filter(F.col("bytes") >= min_bytes).groupBy("digest", "bytes").agg(F.count("*").alias("n"), F.min("key").alias("first"))
-    groups = groups.filter((F.col("n") > 1) & F.col("first").isNotNull()).drop("n")
+    # Written first, so that its true size decides whether payloads must move to meet it.
+    groups = cut_lineage(groups.filter((F.col("n") > 1) & F.col("first").isNotNull()).drop("n"), "copies")
     joined = rows.join(groups, ["digest", "bytes"], "left")
     again = F.col("first").isNotNull() & ~F.col("key").eqNullSafe(F.col("first"))
     block = F.concat(F.lit(END.join(("HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Content-Length: "))),
