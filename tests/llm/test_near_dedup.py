@@ -85,6 +85,18 @@ def test_components_match_brute_force(spark, documents):
     kept = simhash.near_duplicates(documents([*rows, (None, "no id")]))
     assert kept.columns == documents(rows).columns
     assert {r["doc_id"] for r in kept.collect()} == {c for _, c in want} | {None}
+    alone = simhash.simhash_components(documents([(None, base[0]), (3, base[0])])).collect()
+    assert {(r["key"], r["component"]) for r in alone} == {(None, None), (3, 3)}
+
+
+def test_rows_with_one_id_are_rows_of_their_own(documents):
+    one, two = ("first text of some words here", "wholly different and unlike the other one")
+    rows = [(1, one), (1, two), (1, one), (2, two), (3, two + " not"), (None, one), (None, one)]
+    kept = simhash.near_duplicates(documents(rows).coalesce(1)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in kept), key=repr) == sorted(
+        [(1, one), (1, two), (3, two + " not"), (None, one), (None, one)], key=repr)
+    out = lines.drop_repeated_lines(documents([(1, one), (1, two), (1, one), (2, two)]).coalesce(1)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out) == sorted([(1, one), (1, two), (1, ""), (2, "")])
 
 
 def test_simhash_of_an_empty_table(documents):
@@ -108,14 +120,18 @@ def test_embeddings_match_brute_force(spark):
     labels = rng.integers(0, 2, 400)
     rows = [(i, v[i].astype(np.float32).tolist(), int(labels[i])) for i in range(400)]
     odd = [(900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] + [1.0] * 15, 1), (903, [None] + [1.0] * 15, 0),
-           (904, rows[0][1], None), (905, [], 0), (906, [float("inf")] + [1.0] * 15, 1)]
-    df = spark.createDataFrame([*rows, *odd], VECTORS)
+           (904, rows[0][1], None), (905, [], 0), (906, [float("inf")] + [1.0] * 15, 1), (907, None, 0)]
+    twice = [(907, [5.0] + [-1.0] * 15, 0), (None, rows[1][1], int(labels[1])), (None, None, None)]
+    df = spark.createDataFrame([*rows, *odd, *twice], VECTORS)
     exact = np.array([r[1] for r in rows], np.float64)
     exact /= np.linalg.norm(exact, axis=1, keepdims=True)
     near = (exact @ exact.T >= embeddings.THRESHOLD) & (labels[:, None] == labels[None])
     np.fill_diagonal(near, False)
     root = groups(400, [(i, j) for i, j in zip(*np.nonzero(near)) if i < j])
-    got = {r["key"]: (r["n_links"], r["component"], r["kept"]) for r in embeddings.near_vectors(df).collect()}
+    found = embeddings.near_vectors(df).collect()
+    assert sorted((r["key"] is None, r["key"]) for r in found if r["key"] in (907, None)) == [(False, 907)] * 2 + [(True, None)] * 2
+    got = {r["key"]: (r["n_links"], r["component"], r["kept"]) for r in found}
+    assert got[None] == (0, None, True)
     assert all(got[i] == (0, i, True) for i, _, _ in odd)
     links = sum(got[i][0] for i in range(400))
     assert 0.98 * near.sum() <= links <= near.sum()
@@ -135,18 +151,27 @@ def test_embeddings_of_an_empty_table(spark):
     assert embeddings.near_vectors(spark.createDataFrame([], VECTORS)).count() == 0
 
 
-def brute_lines(rows):
+def brute_lines(rows, short_copies=False):
+    """(row number, line) of every line to go, for rows in key order."""
     seen, gone = [], set()
-    for key, text in sorted(rows):
+    for row, (_, text) in enumerate(rows):
         for number, line in enumerate((text or "").split("\n")):
             words = lines.line_words(line)
             if len(words) >= lines.MIN_WORDS:
-                if any(lines.within_one_word(words, w) for w in seen):
-                    gone.add((key, number))
+                if any(lines.within_one_word(words, w) for w in seen if len(w) >= lines.MIN_WORDS):
+                    gone.add((row, number))
+                seen.append(words)
+            elif words and short_copies:
+                if words in seen:
+                    gone.add((row, number))
                 seen.append(words)
     return gone
 
 
+def without_lines(rows, gone):
+    return [(k, None if t is None else "\n".join(x for i, x in enumerate(t.split("\n")) if (row, i) not in gone)) for row, (k, t) in enumerate(rows)]
+
+
 def test_within_one_word():
     a = b"a b c d e".split()
     assert lines.within_one_word(a, a) and lines.within_one_word(a, b"a b x d e".split())
@@ -154,28 +179,41 @@ def test_within_one_word():
     assert not lines.within_one_word(a, b"b a c d e".split()) and not lines.within_one_word(a, b"a b c".split())
 
 
-def test_lines_match_brute_force(documents):
-    rng = random.Random(5)
-    base = [[f"w{rng.randrange(30)}" for _ in range(rng.randrange(4, 9))] for _ in range(25)]
-    rows = [r for r in ODD if r[1] is not None and len(r[1]) < 15_000]
-    for i in range(120):
+def random_rows(rng, n=120):
+    base = [[f"w{rng.randrange(30)}" for _ in range(rng.randrange(1, 9))] for _ in range(25)]
+    rows = []
+    for i in range(n):
         text = []
         for _ in range(rng.randrange(1, 5)):
             words = list(rng.choice(base))
             for _ in range(rng.randrange(3)):
-                at = rng.randrange(len(words))
+                at = rng.randrange(len(words)) if words else 0
                 words[at:at + rng.randrange(2)] = [f"w{rng.randrange(30)}"] * rng.randrange(2)
             text.append(" ".join(words))
         rows.append((100 + i, "\n".join(text)))
+    return rows
+
+
+def test_lines_match_brute_force(documents):
+    rows = [r for r in ODD if r[1] is not None and len(r[1]) < 15_000] + random_rows(random.Random(5))
     want = brute_lines(rows)
     assert want
     got = lines.repeated_lines(clashing(documents(rows)))
-    assert {tuple(r) for r in got.collect()} == want
+    assert {tuple(r) for r in got.collect()} == {(rows[i][0], n) for i, n in want}
     out = lines.drop_repeated_lines(documents([*rows, (None, "a b c d e f"), (999, None)]), n_chars="n_chars")
     texts = {r["doc_id"]: r["text"] for r in out.collect()}
-    for key, text in rows:
-        assert texts[key] == "\n".join(x for i, x in enumerate(text.split("\n")) if (key, i) not in want)
-    assert texts[None] == "a b c d e f" and texts[999] is None
+    assert texts == dict(without_lines(rows, want)) | {None: "a b c d e f", 999: None}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_registered_line_dedup_matches_brute_force(spark, documents, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = [*[r for r in ODD if len(r[1] or "") < 15_000], *random_rows(rng), *[(rng.randrange(100, 220), t) for _, t in random_rows(rng, 30)], (150, None), (150, "")]
+    rows.sort(key=lambda r: r[0])
+    documents([*rows, (None, "w1 w2 w3 w4 w5")]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in queries.line_dedup(spark, str(tmp_path)).collect()), key=repr)
+    want = [*without_lines(rows, brute_lines(rows, True)), (None, "w1 w2 w3 w4 w5")]
+    assert got == sorted(((k, t, None if t is None else len(t)) for k, t in want), key=repr)
 
 
 def test_lines_of_an_empty_table(documents):

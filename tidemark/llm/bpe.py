@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import free_name, lean, sized_batches
 
@@ -17,6 +18,7 @@ CHUNK_MAX = 8192
 ROLL = 16
 CACHE_BYTES = 16 << 20
 CACHE_WORDS = 400_000
+REST_WORDS = 50_000
 JOINED = 500
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
@@ -135,15 +137,14 @@ class Pieces:
         shift = self.start[number] - (np.cumsum(sizes) - sizes)
         return self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
 
-    def trim(self) -> None:
-        """Between batches: keep the more recently used half once there are too many words."""
+    def trim(self, most: int | None = None) -> None:
+        """Between batches: keep the more recently used half once there are too many words, or the `most` used last."""
         self.clock += 1
-        n = len(self.number)
-        limit = self.limit or CACHE_WORDS
-        if n <= limit:
+        n, limit = len(self.number), self.limit or CACHE_WORDS
+        if n <= (most or limit):
             return
         keep = np.zeros(n, bool)
-        keep[np.argsort(-self.used[:n], kind="stable")[:limit // 2]] = True
+        keep[np.argsort(-self.used[:n], kind="stable")[:most or limit // 2]] = True
         sizes = self.size[:n][keep].astype(np.int64)
         shift = self.start[:n][keep] - (np.cumsum(sizes) - sizes)
         flat = self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())]
@@ -209,6 +210,11 @@ class ChunkEncoder:
         self.pieces.trim()
         return out
 
+    def rest(self) -> None:
+        """Let go of the chunks and of all but the REST_WORDS words used last."""
+        self.chunks, self.held = {}, 0
+        self.pieces.trim(REST_WORDS)
+
     def _plan(self, own: list[bytes]) -> list[tuple[bytes, int, int]]:
         """(word, first chunk, last chunk) of every word that lies in more than one chunk."""
         found, i = [], 0
@@ -315,13 +321,12 @@ def roundtrip(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "i
 
     Ids are those of the tokenizer on the whole text without special tokens added; decoding keeps
     special tokens. Null counts as empty: no ids, empty text. Chunks and words are kept from text to
-    text in each worker, up to a fixed number of bytes, so what documents of a worker share is
-    encoded once there. New columns whose names are taken get underscores in front.
+    text in each task, up to CACHE_BYTES and CACHE_WORDS; chunks beyond that are all let go, and between
+    tasks the last REST_WORDS words stay. New columns whose names are taken get underscores in front.
     """
     spec = read_spec(tokenizer)
     hidden, ids = free_name(docs, "source_text"), free_name(docs, ids)
     decoded = free_name(docs, decoded)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(spec)
@@ -331,6 +336,9 @@ def roundtrip(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "i
             rest = batch.select(range(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, int_lists(lists), pa.array(back, pa.string())], [*rest.schema.names, ids, decoded])
+        # Workers live on in other stages, so only the words used last stay from task to task.
+        encoder.rest()
 
     tagged = docs.withColumn(hidden, F.col(text).cast("string"))
-    return tagged.mapInArrow(lean(run), f"{kinds}, `{ids}` array<int>, `{decoded}` string")
+    schema = T.StructType([*docs.schema, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())])
+    return tagged.mapInArrow(lean(run), schema)

@@ -12,11 +12,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.ordered import assign_ids
 from tidemark.session import cut_lineage
 
 FOLDS = 5
 
-__all__ = ["FOLDS", "cut_lineage", "fold", "free_name", "fresh", "lean", "load", "lower_words", "sized_batches"]
+__all__ = ["FOLDS", "cut_lineage", "fold", "free_name", "fresh", "lean", "load", "lower_words", "sized_batches", "told_apart"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +42,21 @@ def fresh(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
 
 
+def told_apart(df: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """`df` and the name of a column that numbers its rows apart, in key order; null where the key is.
+
+    That is the key itself unless a key is repeated, for which the keys alone are counted. Else the
+    rows are written and get dense numbers, in key order and among equal keys in the order written.
+    """
+    keys = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n"))
+    if keys.filter("n > 1").isEmpty():
+        return df, key
+    at, number = free_name(df, "row_place"), free_name(df, "row_number")
+    fixed = cut_lineage(df.withColumn(at, F.monotonically_increasing_id()), "rows")
+    numbers = assign_ids(fixed.filter(F.col(key).isNotNull()).select(F.col(at), F.col(key).alias("k")), 1, ["k", at], number)
+    return cut_lineage(fixed.join(numbers.select(at, number), at, "left").drop(at), "numbered"), number
+
+
 def lower_words(text: str | None) -> list[bytes]:
     """UTF-8 words between ASCII white space, with A-Z lower-cased; none for null."""
     return text.encode().lower().split() if text else []

@@ -19,12 +19,13 @@ TILE = 256
 SEED = 5
 
 
-def _usable(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
-    """(key, label, v) of rows that may link: label not null, vector not empty, all finite, not all zero."""
+def _flagged(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
+    """(key, label, v, usable); rows may link if key and label are not null, the vector is all finite and not all zero."""
     v = F.col(vector).cast("array<double>")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    rows = vectors.select(F.col(key).alias("key"), F.col(label).alias("label"), v.alias("v"), bad.alias("bad"))
-    return rows.filter(F.col("label").isNotNull() & F.col("v").isNotNull() & ~F.col("bad") & F.exists("v", lambda x: x != 0)).drop("bad")
+    rows = vectors.select(F.col(key).cast("long").alias("key"), F.col(label).alias("label"), v.alias("v"), bad.alias("bad"))
+    good = F.col("key").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & ~F.col("bad") & F.exists("v", lambda x: x != 0)
+    return rows.withColumn("usable", F.coalesce(good, F.lit(False))).drop("bad")
 
 
 def _planes(dim: int, tables: int, bits: int) -> np.ndarray:
@@ -139,11 +140,12 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     the threshold is found with a chance above 0.998. Copies are collapsed first and counted with
     their number, so a common vector costs as much as a rare one. Buckets of more than TILE
     classes are cut into blocks, and pairs of blocks go to different tasks. Null labels, null, empty
-    or zero vectors and vectors with null or non-finite components link with nothing; null keys are
-    left out; a repeated key counts as another vector. The key must be an integer.
+    or zero vectors, vectors with null or non-finite components and rows without key link with
+    nothing; a null key has a null component and is kept. A repeated key counts as another vector, so
+    there is one row for every row. The key must be a 64-bit integer.
     """
-    rows = vectors.filter(F.col(key).isNotNull())
-    usable = _usable(rows, key, vector, label).withColumn("key", F.col("key").cast("long"))
+    rows = _flagged(vectors, key, vector, label)
+    usable = rows.filter("usable").drop("usable")
     classes = usable.groupBy("label", "v").agg(F.min("key").alias("node"), F.count("*").alias("n"))
     coded = cut_lineage(_coded(classes, tables, bits), "codes")
 
@@ -167,6 +169,5 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
     summed = summed.select("node", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
     by_class = classes.select("label", "v", "node").join(summed, "node").select("label", "v", "n_links", "component")
     linked = usable.join(by_class, ["label", "v"]).select("key", "n_links", "component")
-    alone = rows.select(F.col(key).cast("long").alias("key")).join(usable.select(F.col("key")).distinct(), "key", "left_anti")
-    alone = alone.select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component"))
-    return linked.unionByName(alone).select("key", "n_links", "component", (F.col("key") == F.col("component")).alias("kept"))
+    alone = rows.filter("NOT usable").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component"))
+    return linked.unionByName(alone).select("key", "n_links", "component", F.col("key").eqNullSafe(F.col("component")).alias("kept"))

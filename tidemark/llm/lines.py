@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,12 +11,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, free_name, lean, sized_batches
+from tidemark.llm.common import cut_lineage, free_name, lean, sized_batches, told_apart
 
 MIN_WORDS = 5
 # More lines than a text can have.
 LINES = 1 << 31
 FILTER_BITS = 1 << 26
+# Bytes of text that a task takes apart at a time.
+SLICE = 1 << 20
+_NO_HALVES = bytes(32)
 
 
 def line_words(line: str) -> list[bytes]:
@@ -23,27 +27,23 @@ def line_words(line: str) -> list[bytes]:
     return line.encode().lower().split()
 
 
-def _hash128(data: bytes) -> tuple[int, int]:
-    value = xxhash.xxh3_128_intdigest(data)
-    return _signed(value >> 64), _signed(value & 0xFFFFFFFFFFFFFFFF)
-
-
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
-
-
-def half_keys(words: list[bytes]) -> tuple[int, int, int | None, int | None]:
-    """Keys of which two lines within one word share at least one: front and back halves.
+def half_digests(words: list[bytes]) -> bytes:
+    """Four 8-byte keys of which two lines within one word share at least one: front and back halves.
 
     With h half the words of the shorter line, rounded down, two such lines have their first h words
     in common if they differ at word h or behind it, and else their last h words. A line of n words
-    has both halves for h = n // 2 and, where that differs, for a partner that is a word shorter.
+    has both halves for h = n // 2 and, where that differs, for a partner that is a word shorter;
+    where it does not, the last two keys are empty (`_numbers` leaves them out by the words' number).
     """
-    n, keys = len(words), []
-    for h in (n // 2, (n - 1) // 2):
-        keys.append(_signed(xxhash.xxh3_64_intdigest(b"f%d " % h + b" ".join(words[:h]))))
-        keys.append(_signed(xxhash.xxh3_64_intdigest(b"b%d " % h + b" ".join(words[n - h:]))))
-    return (*keys[:2], *((None, None) if n % 2 else keys[2:]))
+    n, digest, found = len(words), xxhash.xxh3_64_digest, b""
+    for h in (n // 2, (n - 1) // 2)[:2 - n % 2]:
+        found += digest(b"f%d " % h + b" ".join(words[:h])) + digest(b"b%d " % h + b" ".join(words[n - h:]))
+    return found.ljust(32, b"\0")
+
+
+def _numbers(digests: bytes | bytearray, width: int) -> np.ndarray:
+    """Digests as rows of `width` signed numbers."""
+    return np.frombuffer(bytes(digests), ">u8").astype(np.uint64).view(np.int64).reshape(-1, width)
 
 
 def places_to_drop(n: int, shared: list[int]) -> list[int]:
@@ -72,19 +72,23 @@ def _lines(rows: DataFrame, least: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized_batches(batches, "text"):
-            keys, numbers, hashes, halves = [], [], [], []
-            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+        for batch in sized_batches(batches, "text", SLICE):
+            counts, numbers, sizes, hashes, halves = [], array("i"), array("q"), bytearray(), bytearray()
+            for text in batch.column("text").to_pylist():
+                before = len(numbers)
                 for number, line in enumerate(text.split("\n")):
                     words = line_words(line)
                     if len(words) >= least:
-                        keys.append(key)
                         numbers.append(number)
-                        hashes.append(_hash128(b" ".join(words)))
-                        halves.append(half_keys(words) if len(words) >= MIN_WORDS else (None,) * 4)
-            columns = [keys, numbers, *(zip(*hashes) if hashes else ([], [])), *(zip(*halves) if halves else ([],) * 4)]
-            kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 6]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["key", "line", "hi", "lo", *HALVES])
+                        sizes.append(len(words))
+                        hashes += xxhash.xxh3_128_digest(b" ".join(words))
+                        halves += half_digests(words) if len(words) >= MIN_WORDS else _NO_HALVES
+                counts.append(len(numbers) - before)
+            n, whole, half = np.array(sizes, np.int64), _numbers(hashes, 2), _numbers(halves, 4)
+            owner = pa.array(np.repeat(np.arange(batch.num_rows), counts))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("key").take(owner), pa.array(np.array(numbers, np.int32)), *[pa.array(whole[:, i]) for i in range(2)],
+                *[pa.array(half[:, i], mask=(n < MIN_WORDS) | (i > 1) & (n % 2 == 1)) for i in range(4)]], ["key", "line", "hi", "lo", *HALVES])
 
     found = rows.mapInArrow(lean(run), "key long, line int, hi long, lo long, " + ", ".join(f"{h} long" for h in HALVES))
     return found.select(_place().alias("place"), "hi", "lo", *HALVES)
@@ -105,7 +109,7 @@ def _picked_lines(rows: DataFrame) -> DataFrame:
     """(place, text, shared) of the lines named in `lines`, with the halves they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized_batches(batches, "text"):
+        for batch in sized_batches(batches, "text", SLICE):
             keys, numbers, shared, texts = [], [], [], []
             for key, text, lines in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "lines"))):
                 own = text.split("\n")
@@ -138,7 +142,7 @@ def _variants(lines: DataFrame) -> DataFrame:
                     hashes.append(digest(line[:starts[p]] + line[starts[p + 1]:] if p + 1 < len(words) else line[:max(starts[p] - 1, 0)]))
                 places += [-1, *drop]
                 counts.append(len(drop) + 1)
-            both = np.frombuffer(b"".join(hashes), ">u8").astype(np.uint64).view(np.int64).reshape(-1, 2)
+            both = _numbers(b"".join(hashes), 2)
             owner = pa.array(np.repeat(np.arange(batch.num_rows), counts))
             yield pa.RecordBatch.from_arrays([batch.column("place").take(owner), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(places, pa.int32())],
                                              ["place", "hi", "lo", "at"])
@@ -150,7 +154,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
     """Places of pairs whose texts are within one word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized_batches(batches, "text"):
+        for batch in sized_batches(batches, "text", SLICE):
             near = [within_one_word(line_words(a), line_words(b)) for a, b in zip(batch.column("text").to_pylist(), batch.column("other").to_pylist())]
             yield batch.select(["place"]).filter(pa.array(near, pa.bool_()))
 
@@ -201,7 +205,8 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", sho
     Lines count in the order of key and line number. The unit of an edit is a word, the bound is one
     insertion, deletion or substitution whatever the length, so lines of MIN_WORDS words are alike
     to at least four fifths and long ones almost wholly; long lines with more edits stay. Shorter lines are never near: with `short_copies` each that has a word goes if an earlier
-    line has the same words, else they are neither removed nor a reason to remove.
+    line has the same words, else they are neither removed nor a reason to remove. The key must be a
+    64-bit integer and tell the rows apart (see `drop_repeated_lines`).
     """
     rows = docs.filter(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     lines = cut_lineage(_lines(rows, 1 if short_copies else MIN_WORDS), "lines")
@@ -252,8 +257,12 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     A document that loses all its lines has an empty text, or blank lines alone; without
     `keep_emptied` it goes, all other rows stay. Null keys and null texts stay as they are.
-    Documents without repeated lines are passed on without a shuffle.
+    Documents without repeated lines are passed on without a shuffle. The key must be a 64-bit
+    integer. Rows with one key are rows of their own, in the order in which they are stored: the
+    second of two equal rows loses its lines as it would under another key.
     """
+    before = docs
+    docs, key = told_apart(docs, key)
     hidden, lines = free_name(docs, "line_key"), free_name(docs, "gone_lines")
     gone = cut_lineage(repeated_lines(docs, key, text, short_copies).groupBy("key").agg(F.collect_list("line").alias("lines")), "gone")
     gone = gone.select(F.col("key").alias(hidden), F.col("lines").alias(lines))
@@ -263,7 +272,7 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sized_batches(batches, text):
+        for batch in sized_batches(batches, text, SLICE):
             kept, stays = [], []
             for body, drop in zip(batch.column(text).to_pylist(), batch.column(lines).to_pylist()):
                 if drop and body is not None:
@@ -278,4 +287,4 @@ def drop_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
     changed = touched.mapInArrow(lean(run), docs.schema)
     if n_chars:
         changed = changed.withColumn(n_chars, F.char_length(text).cast(docs.schema[n_chars].dataType))
-    return tagged.filter(~F.col(flag)).drop(flag).unionByName(changed)
+    return tagged.filter(~F.col(flag)).drop(flag).unionByName(changed).select(*before.columns)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut_lineage, free_name, fresh, lean, lower_words, sized_batches
+from tidemark.llm.common import cut_lineage, free_name, fresh, lean, lower_words, sized_batches, told_apart
 from tidemark.llm.components import connected_components
 
 WORDS = 4
@@ -243,24 +243,28 @@ def simhash_components(df: DataFrame, key: str = "doc_id", text: str = "text", m
     """(key, fp, component): fingerprints within `max_bits` link, component is the smallest key reachable.
 
     Copies share a fingerprint and count once in the index. Null, empty and blank texts have
-    fingerprint 0 and are linked like any other; rows with a null key are left out; repeated rows
-    give repeated results. The key must be a 64-bit integer.
+    fingerprint 0 and are linked like any other; rows with a null key link with nothing and have a
+    null component; repeated rows give repeated results. The key must be a 64-bit integer.
     """
-    prints = cut_lineage(with_fingerprint(df.filter(F.col(key).isNotNull()), key, text), "prints")
+    every = cut_lineage(with_fingerprint(df, key, text), "prints")
+    prints = every.filter("key IS NOT NULL")
     distinct = cut_lineage(prints.groupBy("fp").agg(F.min("key").alias("node")), "distinct")
     components = connected_components(near_links(distinct, max_bits=max_bits).distinct())
     found = distinct.join(components, "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
-    return prints.join(found, "fp").select("key", "fp", "component")
+    alone = every.filter("key IS NULL").select("key", "fp", F.lit(None).cast("long").alias("component"))
+    return prints.join(found, "fp").select("key", "fp", "component").unionByName(alone)
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """All columns of `df` for one row of each group of near copies: the one with the smallest key.
 
-    Rows with a null key are kept. Of repeated rows with one key, one stays.
+    Rows with a null key are kept. Rows with one key are rows of their own: different texts under one
+    key stay, of equal or near ones the first stored does.
     """
-    hidden = free_name(df, "component")
-    heads = simhash_components(df, key, text, max_bits).select(F.col("component").alias(hidden)).distinct()
-    stay = df.join(heads, F.col(key) == F.col(hidden), "left_semi").dropDuplicates([key])
+    told, number = told_apart(df, key)
+    hidden = free_name(told, "component")
+    heads = simhash_components(told, number, text, max_bits).filter("key = component").select(F.col("component").alias(hidden))
+    stay = told.join(heads, F.col(number) == F.col(hidden), "left_semi").select(*df.columns)
     return stay.unionByName(df.filter(F.col(key).isNull()))
 
 
