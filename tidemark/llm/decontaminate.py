@@ -30,16 +30,16 @@ def _shingles(words: Column, size: Column | int) -> Column:
 
 
 def item_windows(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
-    """Distinct (item, words): all runs of `window` words, or the whole item if it has fewer, but not none."""
+    """Distinct (item, words): all runs of `window` words, or the whole item if it has fewer, but not none. All items without id count as one."""
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), words_of(text).alias("w"))
-    items = items.filter(F.col("item").isNotNull() & (F.size("w") > 0))
+    items = items.filter(F.size("w") > 0)
     n = F.greatest(F.size("w") - F.lit(window), F.lit(0))
     return items.select("item", F.explode(F.transform(F.sequence(F.lit(0), n), lambda i: F.slice("w", i + 1, window))).alias("words")).distinct()
 
 
-def window_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
-                item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Occurrences (key, start, len, window_id) of item windows in documents, and (window_id, item).
+def window_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_id: str = "item_id",
+                item_text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Occurrences (key, start, len, window_id) of item windows in documents, (window_id, item), and (key, n_words) of every document.
 
     Set join with a prefix filter. The tokens of a window are its shingles of three words (fewer
     if the window is shorter). A document holds a window only if it holds all its shingles, so the
@@ -48,12 +48,17 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     window must fit between the document's first and last word around the place where the shingle
     was found, and the stretch of known shingles there must be as long as the window. What is left
     is compared shingle by shingle over the whole window, which is equality of all its words.
+    Texts are cut into words once: shingles are rows of neighbouring words, and the first row of each
+    document carries its number of words through the join.
     """
     pairs = cut_lineage(item_windows(benchmark, item_id, item_text, window).select(
         "item", "words", F.least(F.size("words"), F.lit(SHINGLE)).alias("k")), "windows")
     numbered = pairs.select("words", "k").distinct().select("words", "k", F.sha2(F.concat_ws(" ", "words"), 256).alias("window_id"))
     grams = numbered.select("window_id", "k", F.filter(_shingles(F.col("words"), F.col("k")), lambda g: g.isNotNull()).alias("grams"))
-    vocabulary = grams.select("k", F.explode("grams").alias("gram")).distinct()
+    shingle = [f"w{i}" for i in range(SHINGLE)]
+    vocabulary = numbered.select("k", F.explode(F.filter(_shingles(F.col("words"), F.col("k")), lambda g: g.isNotNull())).alias("gram")).distinct()
+    split = F.split("gram", " ")
+    vocabulary = vocabulary.select("k", "gram", *[F.coalesce(F.get(split, F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(shingle)])
     # The widest side that is sent holds all windows with all their shingles.
     bytes_of = F.octet_length(F.concat_ws(" ", "grams")) + 24 * F.size("grams")
     sizes = grams.groupBy("k").agg(F.sum(bytes_of).alias("bytes")).orderBy("k").collect()
@@ -62,11 +67,23 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     def sent(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if known <= SEND_BYTES else df
 
-    words = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), words_of(text).alias("w"))
-    kinds = F.concat(*[_shingles(F.col("w"), r["k"]) for r in sizes]) if sizes else F.array().cast("array<string>")
-    found = words.select("key", F.size("w").alias("n"), F.posexplode(kinds).alias("i", "gram"))
-    found = found.filter(F.col("gram").isNotNull()).join(sent(vocabulary), "gram")
-    postings = cut_lineage(found.select("key", "n", (F.col("i") % F.col("n")).alias("pos"), "k", "gram"), "postings")
+    kinds = [r["k"] for r in sizes] or [SHINGLE]
+    words = docs.select(F.col(key).alias("key"), words_of(text).alias("w"))
+    after = F.arrays_zip(*[F.slice("w", i + 1, F.greatest(F.size("w"), F.lit(1))).alias(c) for i, c in enumerate(shingle)])
+    # The number of words is taken beside the rows' array, so that no row carries all words.
+    rows = words.select("key", F.size("w").cast("long").alias("n"), after.alias("rows"))
+    rows = rows.select("key", "n", F.posexplode_outer("rows").alias("pos", "at")).select("key", "n", "pos", "at.*")
+    # Rows of documents without words join with nothing, and apart from each other.
+    lone = F.concat(F.lit("\0"), F.coalesce(F.col("key").cast("string"), F.lit("")))
+    rows = rows.withColumn("w0", F.coalesce("w0", lone)).withColumn("carries", F.coalesce(F.col("pos") == 0, F.lit(True)))
+    sizes_of = [F.struct(F.lit(k).alias("k"), *[(F.coalesce(F.col(c), F.lit("")) if i < k else F.lit("")).alias(c) for i, c in enumerate(shingle)],
+                         (F.col("carries") & F.lit(k == kinds[0])).alias("carries")) for k in kinds]
+    rows = rows.select("key", "n", "pos", (F.explode(F.array(*sizes_of)) if len(kinds) > 1 else sizes_of[0]).alias("g"))
+    found = rows.select("key", "n", "pos", "g.*").join(sent(vocabulary), ["k", *shingle], "left")
+    met = F.col("gram").isNotNull() & F.col("key").isNotNull()
+    found = found.select("key", "n", "pos", "k", F.when(met, F.col("gram")).alias("gram"), "carries")
+    found = cut_lineage(found.filter(F.col("carries") | F.col("gram").isNotNull()), "postings")
+    postings, lengths_of = found.filter("gram IS NOT NULL"), found.filter("carries").select("key", F.col("n").alias("n_words"))
 
     counts = postings.groupBy("gram").agg(F.count("*").alias("freq"))
     places = grams.select("window_id", "k", "grams", F.posexplode("grams").alias("offset", "gram")).join(counts, "gram")
@@ -97,7 +114,7 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text
     lengths = numbered.select("window_id", F.size("words").alias("len"))
     hits = hits.join(sent(lengths), "window_id")
     owners = pairs.select(F.sha2(F.concat_ws(" ", "words"), 256).alias("window_id"), "item")
-    return hits, owners
+    return hits, owners, lengths_of
 
 
 def _covered(spans: Column) -> Column:
@@ -118,21 +135,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     A word is hit if it lies in any occurrence of an item's window. `items` holds the ids of the
     items with an occurrence, as sorted strings. A document is contaminated if at least one word
     in SHARE is hit. Null and empty texts have no words and are never contaminated; items without
-    words or without an id, and documents without a key, are left out. Repeated
-    rows each give a row, with the hits of their key.
+    words have no window. All items without an id count as one in `n_items` and are not listed. A
+    document without a key gives a row without hits. Repeated rows each give a row, with the hits of their key.
     """
-    hits, owners = window_hits(docs, benchmark, key, text, item_id, item_text, window)
+    hits, owners, every = window_hits(docs, benchmark, key, text, item_id, item_text, window)
     hits = cut_lineage(hits, "hits")
     spans = hits.groupBy("key").agg(F.collect_set(F.struct("start", (F.col("start") + F.col("len")).alias("stop"))).alias("spans"))
     spans = spans.select("key", _covered(F.col("spans")).alias("n_hit"))
     named = hits.select("key", "window_id").distinct().join(owners, "window_id").groupBy("key").agg(
-        F.array_sort(F.collect_set("item")).alias("items"))
-    every = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.size(words_of(text)).cast("long").alias("n_words"))
+        F.array_sort(F.collect_set("item")).alias("items"), F.max(F.col("item").isNull().cast("long")).alias("nameless"))
     rows = every.join(spans, "key", "left").join(named, "key", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     items = F.coalesce("items", F.array().cast("array<string>"))
     return rows.select(
-        "key", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), items.alias("items"),
+        "key", "n_words", n_hit.alias("n_hit"), (F.size(items) + F.coalesce("nameless", F.lit(0))).cast("long").alias("n_items"), items.alias("items"),
         ((n_hit > 0) & (n_hit * SHARE >= F.col("n_words"))).alias("contaminated"))
 
 
