@@ -1,6 +1,7 @@
 """Jobs: the two-file example end to end, reruns, late and broken deliveries, positions."""
 
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -12,9 +13,10 @@ from test_history import END, NOW1, NOW2, T1, T2
 from test_sources import write
 from tidemark.operators.scd import MISSING, NEW_ROW, UPDATE_CLOSES, UPDATE_OPENS
 from tidemark.streaming import files as feeds
+from tidemark.streaming import state as state_module
 from tidemark.streaming.appends import AppendLog, consume_into, copy_new
 from tidemark.streaming.history import Entity, HistoryStore, append_typed, run_pipeline
-from tidemark.streaming.state import FeedState, Ledger, VersionedTable
+from tidemark.streaming.state import FeedState, Ledger, Totals, VersionedTable
 
 SCHEMA = T.StructType().add("id", "long").add("content", "string").add("last_updated", T.TimestampNTZType())
 HEAD = "id,content,last_updated"
@@ -199,7 +201,7 @@ def test_a_load_that_died_is_repeated(spark, tmp_path, monkeypatch):
     log = AppendLog(spark, f"{tmp_path}/changes")
     state = FeedState(spark, table, log.ledger, "id", log.name)
     step = lambda: consume_into(log, state, 1, lambda feed, first: feed.select("id", "v"), NOW1)
-    monkeypatch.setattr(Ledger, "add", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("killed")))
+    monkeypatch.setattr(Ledger, "put", lambda *a, **b: (_ for _ in ()).throw(RuntimeError("killed")))
     with pytest.raises(RuntimeError):
         step()
     monkeypatch.undo()
@@ -216,7 +218,77 @@ def test_copy_new_takes_a_file_once(spark, tmp_path):
     assert copy_new(log, inbox, SCHEMA, NOW1, on_error="skip") == 3 and copy_new(log, inbox, SCHEMA, NOW1) == 0
     write(f"{inbox}/sub", "b.csv", FILE2)
     assert copy_new(log, inbox, SCHEMA, NOW2) == 3 and log.read().count() == 6
-    assert rows(log.files()) == [("a.csv", 3, 1), ("empty.csv", 0, 0), ("sub/b.csv", 3, 0)]
+    assert rows(log.files(), "file", "row_count", "reject_count") == [("a.csv", 3, 1), ("empty.csv", 0, 0), ("sub/b.csv", 3, 0)]
+
+
+def test_copy_new_with_odd_names_and_replaced_files(spark, tmp_path):
+    inbox, log = str(tmp_path / "in"), AppendLog(spark, str(tmp_path / "t"))
+    names = ["a b.csv", "c%20d.csv", "e+f.csv", "g[1].csv", "é{x}.csv"]
+    for i, name in enumerate(names):
+        write(inbox, name, [HEAD, *[f"{j},{i},{T1}" for j in range(i + 1)]])
+    assert copy_new(log, inbox, SCHEMA, NOW1) == 15 and copy_new(log, inbox, SCHEMA, NOW1) == 0
+    assert rows(log.files(), "file", "row_count") == sorted(((n, i + 1) for i, n in enumerate(names)), key=repr)
+    write(inbox, "a b.csv", [HEAD, f"7,new,{T2}", f"8,new,{T2}"])
+    assert copy_new(log, inbox, SCHEMA, NOW2) == 2 and copy_new(log, inbox, SCHEMA, NOW2) == 0
+    assert rows(log.files().filter("file = 'a b.csv'"), "row_count") == [(1,), (2,)]
+    assert log.read().count() == 17
+
+
+def test_two_writers_keep_all_rows(spark, tmp_path):
+    one, two = (AppendLog(spark, f"{tmp_path}/t") for _ in range(2))
+    numbered = lambda texts, first: spark.createDataFrame([(first + i, t) for i, t in enumerate(texts)], "id long, t string")
+    tried = []
+
+    def slow(first):
+        tried.append(first)
+        if len(tried) == 1:
+            assert two.append(lambda f: numbered("de", f), NOW1) == 2
+        return numbered("abc", first)
+
+    assert one.append(slow, NOW2) == 3 and tried == [1, 3]
+    want = [(1, "d"), (2, "e"), (3, "a"), (4, "b"), (5, "c")]
+    assert rows(one.read()) == rows(two.read(numbered("", 1).schema)) == want
+    assert one.version() == 2 and two.next_id() == 6
+
+
+def test_two_consumers_of_one_feed(spark, tmp_path):
+    table = VersionedTable(spark, f"{tmp_path}/t", T.StructType().add("id", "integer").add("v", "string"))
+    table.write(spark.createDataFrame([(1, "a"), (2, "b")], table.schema), 1)
+    logs = [AppendLog(spark, f"{tmp_path}/changes") for _ in range(2)]
+    states = [FeedState(spark, table, log.ledger, "id", log.name) for log in logs]
+    plain = lambda feed, first: feed.select("id", "v")
+    other = []
+
+    def late(feed, first):
+        if not other:
+            other.append(consume_into(logs[1], states[1], 1, plain, NOW1))
+        return plain(feed, first)
+
+    assert consume_into(logs[0], states[0], 1, late, NOW1) == 0 and other == [2]
+    assert rows(logs[0].read()) == [(1, "a"), (2, "b")]
+
+
+def test_a_long_ledger_is_read_from_its_checkpoint(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state_module, "CHECKPOINT_EVERY", 100)
+    ledger = Ledger(spark, f"{tmp_path}/ledger")
+    state = ledger.latest()
+    for i in range(1, 1001):
+        entry = Ledger.entry("t", f"f{i}", i, i, 2, 0, None, NOW1)
+        assert ledger.put(state, entry) and (i % 100 or len(ledger.latest().tail) == 0)
+        state = state.plus(entry) if i % 100 else ledger.latest()
+    assert not ledger.put(replace(state, number=999), entry)
+    ledger.add("t", "more", 1001, 1001, 5, 0, None, NOW2)
+    read = []
+    whole = state_module.read_text
+    monkeypatch.setattr(state_module, "read_text", lambda spark, path: read.append(path) or whole(spark, path))
+    now = ledger.latest()
+    assert len(read) == 3 and now.number == 1001
+    assert now.of("t") == Totals(1001, 2005, 1001, None) and ledger.rows().count() == 1001
+    assert ledger.seen("t", "f1") and ledger.seen("t", "more") and not ledger.seen("t", "f0")
+    assert rows(ledger.rows().filter("file = 'f7'"), "version", "row_count") == [(7, 2)]
+    # A lost note costs reads, not rows.
+    os.remove(f"{tmp_path}/ledger/last.json")
+    assert Ledger(spark, f"{tmp_path}/ledger").latest().of("t") == now.of("t")
 
 
 def test_snapshot_append_once_a_day(spark, tmp_path):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +14,18 @@ from tidemark.functions.text import relative_path
 
 
 def file_columns() -> list[Column]:
-    """Path and name of the file a row came from."""
-    return [F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_name").alias("_file_name")]
+    """Path and name of the file a row came from, as listings have them."""
+    return [decoded(F.col("_metadata.file_path")).alias("_file_path"), decoded(F.col("_metadata.file_name")).alias("_file_name")]
+
+
+def literal_path(path: str) -> str:
+    """A listed path for a reader, which takes some characters for patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def decoded(path: Column) -> Column:
+    """A path of a scan as listings show it: scans percent-encode what a URI may not hold, listings do not."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def read_binary(spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False) -> DataFrame:
@@ -53,3 +66,47 @@ def delete_files(spark: SparkSession, paths: Sequence[str]) -> None:
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def _is(error: Py4JJavaError, name: str) -> bool:
+    return name in error.java_exception.getClass().getName()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of one small file, None if it is not there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    except Py4JJavaError as error:
+        if _is(error, "FileNotFound"):
+            return None
+        raise
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str, replace: bool = False) -> bool:
+    """Create one small file in a single step; False if it is there already and not to be replaced.
+
+    The text is written apart and renamed, so no reader sees half of it. Whether two writers can
+    both succeed is up to the file system: its rename without overwrite must be atomic, as HDFS's is.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, apart = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.{uuid.uuid4().hex}.tmp"))
+    system = target.getFileSystem(conf)
+    stream = system.create(apart, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    how = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark._sc._gateway.new_array(how, 1)
+    options[0] = how.OVERWRITE if replace else how.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.makeQualified(target).toUri(), conf).rename(apart, target, options)
+        return True
+    except Py4JJavaError as error:
+        if not _is(error, "FileAlreadyExists"):
+            raise
+        system.delete(apart, False)
+        return False
