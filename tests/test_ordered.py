@@ -109,6 +109,11 @@ def test_json_per_group(spark):
     assert parts == [("g", 0, '{"a":5}'), ("g", 1, '{"b":2}'), ("h", 0, '{"q\\"x":3}')]
 
 
+def test_json_per_group_without_names(spark):
+    df = spark.createDataFrame([("g", None, 2), ("g", "a", 1), ("g", "b", None), ("h", None, 3), (None, "c", 4)], "g string, k string, v int")
+    assert rows(json_per_group(df, ["g"], "k", "v"), "g", "json") == [("g", '{"a":1,"b":null}'), (None, '{"c":4}')]
+
+
 def _brute(intervals):
     n = len(intervals)
     overlaps = [sum(1 for j in range(n) if i != j and intervals[j][0] <= intervals[i][1] and intervals[j][1] >= intervals[i][0])

@@ -16,6 +16,7 @@ from tidemark.streaming import files as feeds
 from tidemark.streaming import state as state_module
 from tidemark.streaming.appends import AppendLog, consume_into, copy_new
 from tidemark.streaming.history import Entity, HistoryStore, append_typed, run_pipeline
+from tidemark.streaming.manifest import Manifest
 from tidemark.streaming.state import FeedState, Ledger, Totals, VersionedTable
 
 SCHEMA = T.StructType().add("id", "long").add("content", "string").add("last_updated", T.TimestampNTZType())
@@ -234,6 +235,31 @@ def test_copy_new_with_odd_names_and_replaced_files(spark, tmp_path):
     assert log.read().count() == 17
 
 
+def test_manifest(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    manifest = Manifest(spark, f"{tmp_path}/m", str(inbox), checksum=True)
+    assert manifest.refresh(NOW1) == 0 and manifest.listing().count() == 0 and manifest.changes().count() == 0
+    for name in ("a b", "c%20d", "e"):
+        (inbox / name).write_text(name)
+    assert manifest.refresh(NOW1) == 3 and manifest.refresh(NOW1) == 0 and manifest.version() == 1
+    (inbox / "a b").write_text("a c")
+    os.utime(inbox / "e", (1, 1))
+    (inbox / "c%20d").unlink()
+    (inbox / "sub").mkdir()
+    (inbox / "sub" / "f").write_text("f")
+    other = Manifest(spark, f"{tmp_path}/m", str(inbox), checksum=True)
+    assert other.refresh(NOW2) == 3
+    assert rows(manifest.changes(1), "relative_path", "change", "size", "old_size") == [
+        ("a b", "changed", 3, 3), ("c%20d", "removed", None, 5), ("sub/f", "new", 1, None)]
+    assert rows(manifest.listing(), "relative_path") == [("a b",), ("e",), ("sub/f",)] and manifest.listing(1).count() == 3
+    # Without checksums the time of change decides.
+    plain = Manifest(spark, f"{tmp_path}/p", str(inbox))
+    assert plain.refresh(NOW1) == 3
+    os.utime(inbox / "e", (5, 5))
+    assert plain.refresh(NOW2) == 1
+
+
 def test_two_writers_keep_all_rows(spark, tmp_path):
     one, two = (AppendLog(spark, f"{tmp_path}/t") for _ in range(2))
     numbered = lambda texts, first: spark.createDataFrame([(first + i, t) for i, t in enumerate(texts)], "id long, t string")

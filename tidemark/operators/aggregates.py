@@ -68,11 +68,12 @@ def json_per_group(df: DataFrame, keys: Sequence[str], k: str, v: Column | str,
                    part_rows: int = PART_ROWS, rows_per_slice: int | None = None) -> DataFrame:
     """JSON objects from (k, v) rows, names in order: keys, part_no, json; parts as in `string_agg`.
 
-    Every part is an object of its own. Names repeated in a group are combined before the shuffle,
-    the largest value wins; the combined rows are written once, as they are counted and collected.
+    Every part is an object of its own. Rows with a NULL name are left out, as an object has no place
+    for them; a group without any name gives no row. Names repeated in a group are combined before the
+    shuffle, the largest value wins; the combined rows are written once, as they are counted and collected.
     """
     value = v if isinstance(v, Column) else F.col(v)
-    pairs = cut_lineage(df.groupBy(*keys, F.col(k).alias("_k")).agg(F.max(value).alias("_v")), "pairs")
+    pairs = cut_lineage(df.filter(F.col(k).isNotNull()).groupBy(*keys, F.col(k).alias("_k")).agg(F.max(value).alias("_v")), "pairs")
     placed = _in_parts(pairs, keys, ["_k"], part_rows, rows_per_slice)
     entries = F.array_sort(F.collect_list(F.struct("_k", "_v")))
     return placed.groupBy(*keys, "part_no").agg(F.to_json(F.map_from_entries(entries)).alias(alias))

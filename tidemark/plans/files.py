@@ -29,6 +29,7 @@ from tidemark.sources.relations import read_json_variant
 from tidemark.streaming import files as feeds
 from tidemark.streaming.appends import AppendLog, copy_new
 from tidemark.streaming.history import Entity, HistoryStore, run_pipeline
+from tidemark.streaming.manifest import Manifest
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
@@ -153,7 +154,7 @@ def copy_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = AppendLog(spark, f"{base}/table")
     early = F.col("event_type").isin("click", "view")
     counts = []
-    for name, rows in (("first", events.filter(early)), (None, None), ("second", events.filter(~early))):
+    for name, rows in (("first run", events.filter(early)), (None, None), ("second+%20", events.filter(~early))):
         if name:
             delimited.unload(rows, f"{base}/in/{name}")
         counts.append(copy_new(log, f"{base}/in", events.schema, RUN_1, delimited.PIPE))
@@ -162,6 +163,27 @@ def copy_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.read().groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumns(runs).withColumn("in_history", F.lit(taken).cast("long"))
 
 
+def manifest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder with one file for each market segment: what a second and a third look at it find."""
+    customers = load(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.count("*").alias("n"), F.sum("c_custkey").alias("s"))
+    base = new_folder(spark, "manifest")
+    inbox, manifest = f"{base}/in", Manifest(spark, f"{base}/table", f"{base}/in", checksum=True)
+    # One row for each of the five segments.
+    texts = {r["c_mktsegment"]: (f"{r['n']}", f"{r['n']},{r['s']}") for r in customers.toLocalIterator()}
+    for name, (short, _) in texts.items():
+        if name != "MACHINERY":
+            files.put_text(spark, f"{inbox}/{name} 100%.csv", short)
+    manifest.refresh(RUN_1)
+    files.put_text(spark, f"{inbox}/AUTOMOBILE 100%.csv", texts["AUTOMOBILE"][1], replace=True)
+    files.put_text(spark, f"{inbox}/FURNITURE 100%.csv", texts["FURNITURE"][0], replace=True)
+    files.put_text(spark, f"{inbox}/MACHINERY 100%.csv", texts["MACHINERY"][0])
+    files.delete_files(spark, [f"{inbox}/BUILDING 100%.csv"])
+    manifest.refresh(RUN_2)
+    manifest.refresh(RUN_2)
+    found = manifest.changes()
+    return found.select("version", "relative_path", "change", "size", "md5", "old_size", "old_md5")
+
+
 def new_file_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed files by kind that an earlier listing did not have."""
     events, folder = event_files(spark, sf_dir, by_type=True)
@@ -428,6 +450,16 @@ SELECT event_type, count(*) AS n, (SELECT count(*) FROM events) AS first_run, CA
 SELECT event_type, count(*) AS n, (SELECT count(*) FROM events WHERE event_type IN ('click', 'view')) AS run_1, CAST(0 AS BIGINT) AS run_2,
        (SELECT count(*) FROM events WHERE event_type NOT IN ('click', 'view')) AS run_3, (SELECT count(*) FROM events) AS in_history
 FROM events GROUP BY 1"""),
+    "manifest_changes": (manifest_changes, """
+WITH texts AS (
+  SELECT c_mktsegment AS name, CAST(count(*) AS VARCHAR) AS short, count(*) || ',' || CAST(sum(c_custkey) AS BIGINT) AS long FROM customer GROUP BY 1),
+seen AS (
+  SELECT 1 AS version, name, 'new' AS change, short AS now, NULL AS was FROM texts WHERE name <> 'MACHINERY'
+  UNION ALL SELECT 2, name, 'new', short, NULL FROM texts WHERE name = 'MACHINERY'
+  UNION ALL SELECT 2, name, 'changed', long, short FROM texts WHERE name = 'AUTOMOBILE'
+  UNION ALL SELECT 2, name, 'removed', NULL, short FROM texts WHERE name = 'BUILDING')
+SELECT CAST(version AS BIGINT) AS version, name || ' 100%.csv' AS relative_path, change, CAST(length(now) AS BIGINT) AS size, md5(now) AS md5,
+       CAST(length(was) AS BIGINT) AS old_size, md5(was) AS old_md5 FROM seen"""),
     "new_file_batch": (new_file_batch, "SELECT DISTINCT event_type AS kind FROM events WHERE event_type <> 'click'"),
     "feed_history_rejects": (feed_history_rejects, f"""WITH {SNAPSHOTS},
 good AS (SELECT * FROM curr WHERE status <> 'F'),

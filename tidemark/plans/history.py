@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.dates import ntz
 from tidemark.operators import dml
-from tidemark.operators.changes import apply_feed, change_feed
+from tidemark.operators.changes import apply_feed, change_feed, has_changes
 from tidemark.operators.joins import feed_join, new_rows, union_all
 from tidemark.operators.ordered import assign_ids, effective_dates, next_time, row_numbers
 from tidemark.operators.quality import FIRST_ID, Check, run_checks
@@ -286,6 +286,39 @@ def sequence_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.read()
 
 
+def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs append to one table at a time; the one that finds its number taken numbers its rows anew."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    path, done = new_folder(spark, "writers"), F.col("o_orderstatus") == "F"
+    one, two = (AppendLog(spark, path) for _ in range(2))
+    beaten = []
+
+    def slow(first: int) -> DataFrame:
+        if not beaten:
+            beaten.append(two.append(lambda f: assign_ids(orders.filter(~done), f, ["o_orderkey"], "order_sk"), RUN_1, 100000))
+        return assign_ids(orders.filter(done), first, ["o_orderkey"], "order_sk")
+
+    one.append(slow, RUN_2, 100000)
+    return one.read().withColumn("loads", F.lit(two.version()).cast("long"))
+
+
+def guarded_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job that runs only if its feed has changes: run, whether it ran, rows taken."""
+    prev, curr = order_snapshots(spark, sf_dir)
+    root = new_folder(spark, "guarded")
+    table = VersionedTable(spark, f"{root}/orders", prev.schema)
+    table.write(prev, 1)
+    table.write(curr, 2)
+    table.write(curr, 3)
+    log = AppendLog(spark, f"{root}/changes")
+    state, runs = FeedState(spark, table, log.ledger, KEY, log.name), []
+    for run, latest in enumerate((1, 1, 2, 3, 3), 1):
+        ran = has_changes(state.pending(latest))
+        taken = consume_into(log, state, latest, lambda feed, first: feed.select(KEY, "action"), RUN_2) if ran else 0
+        runs.append((run, ran, taken))
+    return spark.createDataFrame(runs, "run long, ran boolean, taken long")
+
+
 def dq_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Checks of two order snapshots; exception ids go on from run to run."""
     snapshots = order_snapshots(spark, sf_dir)
@@ -394,6 +427,15 @@ SELECT f.*, o_custkey FROM ({CHANGE_FEED}) f JOIN (SELECT o_orderkey AS k, o_cus
     "sequence_two_loads": (sequence_two_loads, """
 SELECT row_number() OVER (ORDER BY o_orderstatus = 'F' DESC, o_orderkey) + 99999 AS order_sk, o_orderkey, o_custkey, o_orderstatus
 FROM orders"""),
+    "two_writers": (two_writers, """
+SELECT row_number() OVER (ORDER BY o_orderstatus = 'F', o_orderkey) + 99999 AS order_sk, o_orderkey, o_custkey, o_orderstatus,
+       CAST(2 AS BIGINT) AS loads FROM orders"""),
+    "guarded_job": (guarded_job, f"""WITH {SNAPSHOTS},
+differ AS (
+  SELECT CAST(count(p.o_orderkey) + count(c.o_orderkey) AS BIGINT) AS n FROM prev p FULL JOIN curr c USING (o_orderkey)
+  WHERE p.o_orderkey IS NULL OR c.o_orderkey IS NULL OR (p.status, p.price, p.last_updated) IS DISTINCT FROM (c.status, c.price, c.last_updated))
+SELECT CAST(1 AS BIGINT) AS run, true AS ran, (SELECT count(*) FROM prev) AS taken
+UNION ALL SELECT 2, false, 0 UNION ALL SELECT 3, true, (SELECT n FROM differ) UNION ALL SELECT 4, false, 0 UNION ALL SELECT 5, false, 0"""),
     "dq_two_runs": (dq_two_runs, f"""WITH {SNAPSHOTS},
 runs AS (
   SELECT o_orderkey, TIMESTAMP '{RUN_1}' AS insert_timestamp FROM prev WHERE NOT price < 450000

@@ -188,6 +188,12 @@ def q_json_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_per_group(load(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id", "last_events", 2)
 
 
+def json_null_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of rows some of which have no name."""
+    events = load(spark, sf_dir, "events").withColumn("name", F.when(F.col("event_type") != "error", F.col("event_type")))
+    return json_per_group(events, ["user_id"], "name", "event_id", "last_events", 10)
+
+
 def top_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return top_n(orders, [F.col("o_totalprice").desc(), "o_orderkey"], 100)
@@ -265,6 +271,9 @@ GROUP BY 1, 2"""),
 SELECT user_id, part_no, '{' || string_agg('"' || event_type || '":' || id, ',' ORDER BY event_type) || '}' AS last_events
 FROM (SELECT user_id, event_type, id, CAST((row_number() OVER (PARTITION BY user_id ORDER BY event_type) - 1) // 2 AS INTEGER) AS part_no
       FROM (SELECT user_id, event_type, max(event_id) AS id FROM events GROUP BY 1, 2)) GROUP BY 1, 2"""),
+    "json_null_names": (json_null_names, """
+SELECT user_id, CAST(0 AS INTEGER) AS part_no, '{' || string_agg('"' || event_type || '":' || id, ',' ORDER BY event_type) || '}' AS last_events
+FROM (SELECT user_id, event_type, max(event_id) AS id FROM events WHERE event_type <> 'error' GROUP BY 1, 2) GROUP BY 1"""),
     "top_orders": (top_orders, "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100"),
     "capped_log": (capped_log, "SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id LIMIT 1000"),
 }
