@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from helpers import rows
 from tidemark.operators import layout, nested
 from tidemark.operators.enrich import create_table_function, enrich_files, run_query
-from tidemark.sources import delimited, files, relations
+from tidemark.sources import delimited, files, records, relations
+from tidemark.sources.delimited import COMMA, PIPE, read_checked, read_delimited, unload
 
 SCHEMA = T.StructType().add("id", "long").add("label", "string").add("at", T.TimestampNTZType())
 LINES = ["id|label|at", "1|aaa|2022-01-01 00:00:00", "2|NULL|null", "", "3||2022-01-01 00:00:01"]
@@ -163,3 +164,59 @@ def test_enrich_files_typed(spark, tmp_path):
     write(tmp_path, "i.bin", ["abc"])
     got = enrich_files(files.read_binary(spark, str(tmp_path)), lambda n, b: f'{{"size": {len(b) + n}}}', "size int", n=1)
     assert [r.data.size for r in got.collect()] == [5]
+
+
+NASTY = ["plain", "two\nlines", 'a "quoted" word', '"', '""\n"', "a|b,c", "\r\n", "ends with\r", "\n\n", " spaces ", "\\", '\\"', "é\n好|", "x" * 500 + "\n" + "y" * 500]
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(n) for n in names]
+    yield lambda n: [spark.conf.set(k, v) for k, v in zip(names, (str(n), "1"))]
+    for name, value in zip(names, old):
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("split", [None, 40, 700])
+def test_texts_with_line_breaks_come_back(spark, tmp_path, small_splits, split):
+    data = [(i, t, t[::-1], None if i % 3 else t) for i, t in enumerate(NASTY * 2)]
+    schema = T.StructType().add("i", "long").add("a", "string").add("b", "string").add("c", "string")
+    fmt = PIPE.override(line_breaks=True)
+    unload(spark.createDataFrame(data, schema).coalesce(2), f"{tmp_path}/out", fmt)
+    if split:
+        small_splits(split)
+    got = read_delimited(spark, f"{tmp_path}/out", schema, fmt, with_file=True)
+    assert rows(got, "i", "a", "b", "c") == sorted(data, key=repr)
+    assert all(r["_file_path"].endswith(r["_file_name"]) for r in got.collect())
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    lines = [f'{i},"text {i}\nof two lines, ""{i}"""' for i in range(300)]
+    write(str(tmp_path), "one.csv", lines)
+    small_splits(1000)
+    found = records.read_records(spark, str(tmp_path))
+    assert sorted(r["value"] for r in found.collect()) == sorted(lines)
+    assert found.filter("head").collect()[0]["value"] == lines[0]
+    assert records.split_parities(spark, str(tmp_path)).count() > 5
+    schema = T.StructType().add("i", "long").add("t", "string")
+    got = read_delimited(spark, str(tmp_path), schema, COMMA.override(line_breaks=True, skip_header=False))
+    assert rows(got) == sorted(((i, f'text {i}\nof two lines, "{i}"') for i in range(300)), key=repr)
+
+
+def test_line_ends_blank_lines_and_open_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'h1,h2\r\n1,x\r\n\r\n2,"y\r\nz"\r\n3,too,many\r\n')
+    (tmp_path / "b.csv").write_bytes(b'h1,h2\n4,"never closed\n5,x\n')
+    (tmp_path / "c.csv").write_bytes(b"")
+    schema = T.StructType().add("i", "long").add("t", "string")
+    fmt = COMMA.override(line_breaks=True)
+    got = read_checked(spark, f"{tmp_path}/a.csv", schema, fmt)
+    assert rows(got.filter("size(_rejected) = 0"), "i", "t") == [(1, "x"), (2, "y\r\nz")]
+    assert rows(got.filter("size(_rejected) > 0"), F.array_join("_rejected", ","), "_file_name") == [("line", "a.csv")]
+    assert read_checked(spark, f"{tmp_path}/b.csv", schema, fmt).count() == 1
+    assert read_checked(spark, f"{tmp_path}/c.csv", schema, fmt).count() == 0
+
+
+def test_line_breaks_need_their_format(spark, tmp_path):
+    with pytest.raises(Exception, match="line break"):
+        unload(spark.createDataFrame([("a\nb",)], "t string"), f"{tmp_path}/out")

@@ -40,7 +40,7 @@ def event_files(spark: SparkSession, sf_dir: str, fmt: delimited.DelimitedFormat
     folder = new_folder(spark, "events-csv")
     if by_type:
         rows = events.withColumn("kind", F.col("event_type"))
-        (rows.write.partitionBy("kind").option("sep", fmt.sep).option("header", "true")
+        (rows.write.partitionBy("kind").option("sep", fmt.sep).option("header", "true").option("escape", '"')
          .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(folder))
     else:
         delimited.unload(events, folder, fmt)
@@ -52,6 +52,15 @@ def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.read_delimited(spark, folder, events.schema, delimited.PIPE)
 
 
+def line_break_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks, quotes and separators, unloaded and read back."""
+    documents = load(spark, sf_dir, "documents")
+    fmt = delimited.PIPE.override(line_breaks=True, null_tokens=("\\N",), empty_as_null=False)
+    folder = new_folder(spark, "line-breaks")
+    delimited.unload(documents, folder, fmt)
+    return delimited.read_delimited(spark, folder, documents.schema, fmt)
+
+
 def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every spelling of NULL in a file: two tokens, an empty field, and blank lines between rows."""
     events = load(spark, sf_dir, "events")
@@ -425,6 +434,7 @@ FROM events WHERE CAST(ts AS DATE) IN (DATE '2024-01-29', DATE '2024-01-30') GRO
 
 QUERIES: Registry = {
     "delimited_roundtrip": (delimited_roundtrip, "SELECT * FROM events"),
+    "line_break_roundtrip": (line_break_roundtrip, "SELECT * FROM documents"),
     "null_tokens": (null_tokens, """
 SELECT event_id, CASE WHEN event_type NOT IN ('error', 'click', 'view') THEN value END AS value, event_type FROM events"""),
     "positional_scan": (positional_scan, "SELECT CAST(event_id AS VARCHAR) AS c1, CAST(user_id AS VARCHAR) AS c3, event_type AS c4 FROM events"),

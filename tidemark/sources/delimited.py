@@ -12,13 +12,19 @@ from pyspark.sql import types as T
 
 from tidemark.functions.compare import to_schema
 from tidemark.sources.files import delete_files, file_columns
+from tidemark.sources.records import QUOTE, read_records
 
 _BAD = "_bad_line"
 
 
 @dataclass(frozen=True)
 class DelimitedFormat:
-    """Reusable reader and writer options. Blank lines are always skipped."""
+    """Reusable reader and writer options. Blank lines are always skipped, quotes within quotes are doubled.
+
+    `line_breaks`: quoted fields may hold line breaks. Batch reads then find records by quote parity,
+    in two passes over the files, and still split files; streams read each file in one task. Without
+    it a line is a record, and `unload` refuses texts with line breaks.
+    """
 
     sep: str = "|"
     skip_header: bool = True
@@ -26,12 +32,14 @@ class DelimitedFormat:
     null_tokens: tuple[str, ...] = ("NULL", "null")
     empty_as_null: bool = True
     compression: str = "none"
+    line_breaks: bool = False
 
     def override(self, **options) -> DelimitedFormat:
         return replace(self, **options)
 
     def reader_options(self) -> dict[str, str]:
-        return {"sep": self.sep, "header": str(self.skip_header).lower(), "enforceSchema": "true"}
+        return {"sep": self.sep, "header": str(self.skip_header).lower(), "enforceSchema": "true", "quote": QUOTE, "escape": QUOTE,
+                "multiLine": str(self.line_breaks).lower()}
 
 
 PIPE = DelimitedFormat()
@@ -54,10 +62,10 @@ def text_reader(reader, schema: T.StructType, fmt: DelimitedFormat):
     )
 
 
-def check_records(scan: DataFrame, schema: T.StructType, fmt: DelimitedFormat) -> DataFrame:
+def check_records(scan: DataFrame, schema: T.StructType, fmt: DelimitedFormat, file: Sequence[Column] | None = None) -> DataFrame:
     """Typed columns of a `text_reader` scan plus `_rejected` (names of bad columns, `line` for a
     wrong field count), `_file_path` and `_file_name`. One pass; nothing is dropped."""
-    text = scan.select(*[_nulls(n, fmt) for n in schema.names], _BAD, *file_columns())
+    text = scan.select(*[_nulls(n, fmt) for n in schema.names], _BAD, *(file_columns() if file is None else file))
     kept = [_BAD, "_file_path", "_file_name"]
     widened = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in kept]])
     typed = to_schema(text, widened, "reject")
@@ -68,6 +76,17 @@ def check_records(scan: DataFrame, schema: T.StructType, fmt: DelimitedFormat) -
 def read_checked(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
                  fmt: DelimitedFormat = COMMA) -> DataFrame:
     """Every record of the files with what is wrong with it, see `check_records`."""
+    if fmt.line_breaks:
+        found = read_records(spark, path).filter(~F.col("value").rlike(r"\A[\x00-\x20]*\z"))
+        if fmt.skip_header:
+            found = found.filter(~F.col("head"))
+        # The carriage return of a line end is not part of the last field.
+        value = F.regexp_replace("value", r"\r\z", "")
+        text = ", ".join(f"`{n}` string" for n in [*schema.names, _BAD])
+        options = {"sep": fmt.sep, "quote": QUOTE, "escape": QUOTE, "multiLine": "true", "lineSep": "\n", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+        parsed = found.select(F.from_csv(value, text, options).alias("_record"), F.col("file").alias("_file_path"))
+        name = F.element_at(F.split("_file_path", "/"), -1).alias("_file_name")
+        return check_records(parsed.select("_record.*", "_file_path", name), schema, fmt, [F.col("_file_path"), F.col("_file_name")])
     return check_records(text_reader(spark.read, schema, fmt).csv(path), schema, fmt)
 
 
@@ -145,8 +164,20 @@ def infer_ddl(spark: SparkSession, path: str, fmt: DelimitedFormat = COMMA) -> s
 
 
 def unload(df: DataFrame, path: str, fmt: DelimitedFormat = PIPE, mode: str = "errorifexists") -> None:
-    """Write delimited files, one per task, each with a header line when the format skips one."""
-    (df.write.mode(mode).option("sep", fmt.sep).option("header", str(fmt.skip_header).lower())
+    """Write delimited files, one per task, each with a header line when the format skips one.
+
+    Reading them with the same format gives the same texts, but for those the format reads as NULL
+    (its tokens, and the empty text unless that is turned off). A text with a line break raises unless
+    the format has `line_breaks`, in which case every field is quoted.
+    """
+    texts = [f.name for f in df.schema if f.dataType == T.StringType()]
+    if not fmt.line_breaks and texts:
+        message = F.lit(f"a text with a line break, unloaded to {path} in a format without line_breaks")
+        broken = {c: F.when(F.contains(c, F.lit("\n")) | F.contains(c, F.lit("\r")), F.raise_error(message).cast("string")).otherwise(F.col(c)) for c in texts}
+        df = df.select([broken[c].alias(c) if c in broken else F.col(c) for c in df.columns])
+    (df.write.mode(mode).option("sep", fmt.sep).option("header", str(fmt.skip_header).lower()).option("quote", QUOTE).option("escape", QUOTE)
+     .option("quoteAll", str(fmt.line_breaks).lower()).option("lineSep", "\n")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .option("compression", fmt.compression).option("nullValue", fmt.null_tokens[0] if fmt.null_tokens else "")
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]").csv(path))
 
