@@ -16,7 +16,7 @@ from tidemark.llm.ragged import by_step
 
 STATES = 8
 CLASS_BITS = 14
-MIN_SHARDS = 256
+MIN_SHARDS = 16
 # Rounds end when one adds less than SETTLED to the mean log10 likelihood of a training token; ROUNDS only guards the loop.
 SETTLED, ROUNDS = 0.001, 100
 BLOCK_BYTES = 6 << 20
@@ -238,7 +238,8 @@ def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str
     """
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
-    blocks = cut_lineage(_blocks(rows, block_bytes), "blocks")
+    # Texts of like length share blocks, so that a block has few steps with hardly a sequence in them.
+    blocks = cut_lineage(_blocks(rows.sortWithinPartitions(F.octet_length("text")), block_bytes), "blocks")
     # A shard takes the words of some eight blocks' worth, whatever the size of the corpus.
     shards = max(MIN_SHARDS, blocks.select("block").count() // 8)
     counted = cut_lineage(_word_counts(blocks, shards, bits), "counts")
