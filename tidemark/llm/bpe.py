@@ -84,7 +84,7 @@ class Pieces:
     New words are encoded many to a text, with `joiner` between them; the tokenizer gives the joiner
     the same single id everywhere and joins nothing over it. Words that hold its mark, and all words
     of a tokenizer for which that does not hold, are encoded one by one. Beyond `limit` words (CACHE_WORDS unless given) those
-    unused for longest are let go, in `trim`.
+    used least are let go, in `trim`; older uses count half after each.
     """
 
     def __init__(self, tokenizer, joiner: str, limit: int | None = None):
@@ -95,14 +95,13 @@ class Pieces:
         self.number = _Numbers()
         self.size, self.start = np.zeros(0, np.int32), np.zeros(0, np.int64)
         self.used = np.zeros(0, np.int32)
-        self.flat, self.filled, self.clock = np.zeros(1 << 14, np.int32), 0, 0
+        self.flat, self.filled, self.learnt = np.zeros(1 << 14, np.int32), 0, 0
 
-    def _learn(self) -> None:
-        new, self.number.new = self.number.new, []
-        plain = [w.decode() if isinstance(w, bytes) else w for w in new]
-        easy = [w for w in plain if self.mark not in w] if self.between is not None else []
+    def encoded(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each word on its own."""
+        easy = [w for w in words if self.mark not in w] if self.between is not None else []
         texts = [self.joiner.join(easy[i:i + JOINED]) for i in range(0, len(easy), JOINED)]
-        hard = plain if not easy else [w for w in plain if self.mark in w]
+        hard = words if not easy else [w for w in words if self.mark in w]
         coded = self.tokenizer.encode_batch_fast([*texts, *hard], add_special_tokens=False)
         parts: dict[str, np.ndarray] = {}
         for i, c in enumerate(coded[:len(texts)]):
@@ -114,7 +113,11 @@ class Pieces:
                 continue
             parts.update(zip(own, [ids[a:b] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])]))
         parts.update((w, np.array(c.ids, np.int32)) for w, c in zip(hard, coded[len(texts):]))
-        ids = [parts[w] for w in plain]
+        return [parts[w] for w in words]
+
+    def _learn(self) -> None:
+        new, self.number.new = self.number.new, []
+        ids = self.encoded([w.decode() if isinstance(w, bytes) else w for w in new])
         sizes = np.fromiter(map(len, ids), np.int32, len(ids))
         at, total = len(self.number) - len(new), int(sizes.sum())
         if len(self.number) > len(self.size):
@@ -126,20 +129,20 @@ class Pieces:
         self.start[at:at + len(new)] = self.filled + np.cumsum(sizes) - sizes
         self.flat[self.filled:self.filled + total] = np.concatenate(ids)
         self.filled += total
+        self.learnt = len(self.number)
 
     def ids(self, words: list[bytes | str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in order, number of ids of each word)."""
         number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         if self.number.new:
             self._learn()
-        self.used[number] = self.clock
+        self.used[:len(self.number)] += np.bincount(number, minlength=len(self.number)).astype(np.int32)
         sizes = self.size[number].astype(np.int64)
         shift = self.start[number] - (np.cumsum(sizes) - sizes)
         return self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
 
     def trim(self, most: int | None = None) -> None:
-        """Between batches: keep the more recently used half once there are too many words, or the `most` used last."""
-        self.clock += 1
+        """Between batches: keep the more used half once there are too many words, or the `most` used."""
         n, limit = len(self.number), self.limit or CACHE_WORDS
         if n <= (most or limit):
             return
@@ -150,8 +153,8 @@ class Pieces:
         flat = self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())]
         # A dict keeps the order of its numbers.
         self.number = _Numbers({w: i for i, w in enumerate(w for w, k in zip(self.number, keep.tolist()) if k)})
-        self.size, self.used = self.size[:n][keep], self.used[:n][keep]
-        self.start, self.flat, self.filled = np.cumsum(sizes) - sizes, flat, len(flat)
+        self.size, self.used = self.size[:n][keep], self.used[:n][keep] // 2
+        self.start, self.flat, self.filled, self.learnt = np.cumsum(sizes) - sizes, flat, len(flat), len(sizes)
 
 
 class Chunk:
@@ -211,7 +214,7 @@ class ChunkEncoder:
         return out
 
     def rest(self) -> None:
-        """Let go of the chunks and of all but the REST_WORDS words used last."""
+        """Let go of the chunks and of all but the REST_WORDS words used most."""
         self.chunks, self.held = {}, 0
         self.pieces.trim(REST_WORDS)
 
@@ -322,7 +325,7 @@ def roundtrip(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "i
     Ids are those of the tokenizer on the whole text without special tokens added; decoding keeps
     special tokens. Null counts as empty: no ids, empty text. Chunks and words are kept from text to
     text in each task, up to CACHE_BYTES and CACHE_WORDS; chunks beyond that are all let go, and between
-    tasks the last REST_WORDS words stay. New columns whose names are taken get underscores in front.
+    tasks the REST_WORDS words used most stay. New columns whose names are taken get underscores in front.
     """
     spec = read_spec(tokenizer)
     hidden, ids = free_name(docs, "source_text"), free_name(docs, ids)
@@ -336,7 +339,7 @@ def roundtrip(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "i
             rest = batch.select(range(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, int_lists(lists), pa.array(back, pa.string())], [*rest.schema.names, ids, decoded])
-        # Workers live on in other stages, so only the words used last stay from task to task.
+        # Workers live on in other stages, so only the words used most stay from task to task.
         encoder.rest()
 
     tagged = docs.withColumn(hidden, F.col(text).cast("string"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -153,11 +154,47 @@ def split_pieces(text: str, special: list[str]) -> list[str] | None:
     return [p for p in text.replace(" ", "\x02 ").replace("\n", "\x02\n\x02").split("\x02") if p]
 
 
+_NONE = np.zeros(0, np.int32)
+
+
+class WordPieces(Pieces):
+    """Pieces of which a word with punctuation behind it is made of the word's ids and the punctuation's.
+
+    The tokenizer cuts between letters and ASCII punctuation that ends a piece, so words are encoded
+    once whatever follows them. Letters are those of the Latin blocks, on which all Unicode tables agree.
+    """
+
+    def encoded(self, words: list[str]) -> list[np.ndarray]:
+        wanted: dict[str, np.ndarray] = {}
+        new: list[str] = []
+        cut = []
+        for word in words:
+            stem = word.rstrip(string.punctuation)
+            letters = stem[1:] if stem[:1] == " " else stem
+            parts = (word,)
+            if len(stem) < len(word) and letters.isalpha() and (letters.isascii() or max(letters) < "\u0250"):
+                parts = (stem, word[len(stem):])
+                for part in parts:
+                    if part not in wanted:
+                        i = self.number.get(part, self.learnt)
+                        if i < self.learnt:
+                            wanted[part] = self.flat[self.start[i]:self.start[i] + self.size[i]]
+                        else:
+                            wanted[part] = _NONE
+                            new.append(part)
+            elif word not in wanted:
+                wanted[word] = _NONE
+                new.append(word)
+            cut.append(parts)
+        wanted.update(zip(new, super().encoded(new)))
+        return [wanted[p[0]] if len(p) == 1 else np.concatenate([wanted[p[0]], wanted[p[1]]]) for p in cut]
+
+
 class PieceEncoder:
     """Byte-level ids of whole texts; pieces met again are not encoded again."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.pieces = tokenizer, Pieces(tokenizer, "\n", CACHE_PIECES)
+        self.tokenizer, self.pieces = tokenizer, WordPieces(tokenizer, "\n", CACHE_PIECES)
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
