@@ -16,7 +16,7 @@ from tidemark.llm.ragged import by_step
 
 STATES = 8
 CLASS_BITS = 14
-MIN_SHARDS = 16
+MIN_SHARDS = 4
 # Rounds end when one adds less than SETTLED to the mean log10 likelihood of a training token; ROUNDS only guards the loop.
 SETTLED, ROUNDS = 0.001, 100
 BLOCK_BYTES = 6 << 20
