@@ -15,6 +15,7 @@ from tidemark.operators.scd import MISSING, NEW_ROW, UPDATE_CLOSES, UPDATE_OPENS
 from tidemark.streaming import files as feeds
 from tidemark.streaming import state as state_module
 from tidemark.streaming.appends import AppendLog, consume_into, copy_new
+from tidemark.streaming.buckets import BucketedTable
 from tidemark.streaming.history import Entity, HistoryStore, append_typed, run_pipeline
 from tidemark.streaming.manifest import Manifest
 from tidemark.streaming.state import FeedState, Ledger, Totals, VersionedTable
@@ -112,6 +113,84 @@ def test_half_written_version_is_replaced(spark, tmp_path):
     assert [r[0] for r in history(spark, root, entity, ledger)] == [41, 42, 43]
 
 
+def snapshot_lines(content):
+    return [HEAD, *[f"{k},{c},{t}" for k, (c, t) in content.items()]]
+
+
+@pytest.mark.parametrize(("close", "valid_from"), [("now", "now"), ("successor", "source")])
+def test_a_delivery_writes_the_buckets_it_touches(spark, tmp_path, close, valid_from):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "tables")
+    entity = Entity("colours", SCHEMA, "id", close=close, valid_from=valid_from, buckets=8)
+    content = {k: (f"c{k}", T1) for k in range(200)}
+    write(inbox, "colours_20230302_081500.txt", snapshot_lines(content))
+    run_pipeline(spark, inbox, [entity], root, NOW1)
+    store = HistoryStore(spark, root, entity)
+    assert store.current_table.manifest(1) == store.open_table.manifest(1) == dict.fromkeys(range(8), 1)
+    # One key changes, one comes back under its old content later on, one goes.
+    del content[7]
+    content[3] = ("new", T2)
+    write(inbox, "colours_20230302_094000.txt", snapshot_lines(content))
+    ledger = run_pipeline(spark, inbox, [entity], root, NOW2)
+    touched = store.current_table.touched(spark.createDataFrame([(3,), (7,)], "id long"))
+    assert 1 <= len(touched) <= 2
+    for table in (store.current_table, store.open_table):
+        assert {b for b, v in table.manifest(2).items() if v == 2} == set(touched)
+        assert sorted(p.name for p in (tmp_path / "tables" / "colours" / table.path.rsplit("/", 1)[1] / "v=2").glob("_bucket=*")) == [f"_bucket={b}" for b in touched]
+    assert rows(store.current_table.read(2), "id", "content") == sorted(((k, c) for k, (c, _) in content.items()), key=repr)
+    found = history(spark, root, entity, ledger)
+    assert len(found) == 201 and [r[:2] + (r[4],) for r in found if r[0] in (3, 7)] == [(3, "c3", "N"), (3, "new", "Y"), (7, "c7", "N")]
+    # The same snapshot again touches nothing.
+    write(inbox, "colours_20230302_110000.txt", snapshot_lines(content))
+    ledger = run_pipeline(spark, inbox, [entity], root, "2023-03-03 00:00:00")
+    assert store.current_table.manifest(3) == store.current_table.manifest(2) and not (tmp_path / "tables/colours/current/v=3").exists()
+    assert history(spark, root, entity, ledger) == found
+
+
+def test_versions_go_when_no_reader_needs_them(spark, tmp_path):
+    inbox, root, entity = str(tmp_path / "in"), str(tmp_path / "tables"), Entity("colours", SCHEMA, "id", buckets=4)
+    content = {k: (f"c{k}", T1) for k in range(40)}
+    store = HistoryStore(spark, root, entity)
+    for n in range(1, 5):
+        content.update({k: (f"v{n}", f"2023-03-0{n} 10:00:00") for k in range(n, 40, 13)})
+        write(inbox, f"colours_2023040{n}_000000.txt", snapshot_lines(content))
+        ledger = run_pipeline(spark, inbox, [entity], root, NOW2)
+        if n == 2:
+            FeedState(spark, store.current_table, ledger, "id", "behind").consume(2, NOW2)
+    feed = FeedState(spark, store.current_table, ledger, "id", "behind")
+    want, past = rows(feed.pending(4)), history(spark, root, entity, ledger)
+    needed = {f"v={v}/_bucket={b}" for k in (2, 4) for b, v in store.current_table.manifest(k).items()}
+    (tmp_path / "tables/colours/current/v=5/_bucket=0").mkdir(parents=True)
+    assert store.sweep(ledger, ["behind"]) and rows(feed.pending(4)) == want and history(spark, root, entity, ledger) == past
+    left = {f"{p.parent.name}/{p.name}" for p in (tmp_path / "tables/colours/current").glob("v=*/_bucket=*")}
+    assert left == needed | {"v=5/_bucket=0"}
+    with pytest.raises(ValueError, match="no version 1"):
+        store.current_table.read(1)
+    feed.consume(4, NOW2)
+    store.sweep(ledger, ["behind"])
+    assert store.sweep(ledger, ["behind"]) == [] and history(spark, root, entity, ledger) == past
+    left = {f"{p.parent.name}/{p.name}" for p in (tmp_path / "tables/colours/open").glob("v=*/_bucket=*")}
+    assert left == {f"v={v}/_bucket={b}" for b, v in store.open_table.manifest(4).items()}
+
+
+def test_bucketed_table(spark, tmp_path):
+    schema = T.StructType().add("id", "long").add("v", "string")
+    table = BucketedTable(spark, f"{tmp_path}/t", schema, ["id"], 4)
+    assert table.read(0).isEmpty() and table.sweep([0]) == []
+    table.write(spark.createDataFrame([(None, "n"), *[(k, "a") for k in range(20)]], schema), 1)
+    only = table.touched(spark.createDataFrame([(5,)], "id int"))
+    assert len(only) == 1
+    # All rows of one bucket go: the bucket leaves the manifest.
+    table.write(table.read(1, only).limit(0), 2, 1, only)
+    assert set(table.manifest(2)) == set(range(4)) - set(only)
+    assert table.read(1).count() == 21 and table.read(2).count() == 21 - table.read(1, only).count()
+    before, after = table.pair(1, 2)
+    assert rows(before) == rows(table.read(1, only)) and after.isEmpty()
+    with pytest.raises(ValueError, match="not among the touched"):
+        table.write(table.read(1), 3, 2, only)
+    with pytest.raises(ValueError, match="has 4 buckets, not 8"):
+        BucketedTable(spark, table.path, schema, ["id"], 8).read(2)
+
+
 def test_ingest_and_reports(spark, tmp_path):
     inbox, sink, ck = str(tmp_path / "in"), str(tmp_path / "sink"), str(tmp_path / "ck")
     write(inbox, "a.csv", FILE1)

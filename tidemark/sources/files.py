@@ -63,6 +63,18 @@ def delete_files(spark: SparkSession, paths: Sequence[str]) -> None:
         target.getFileSystem(conf).delete(target, False)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder or file with all below it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder whose size is bounded, such as the buckets of one version."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return sorted(f.getPath().getName() for f in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -13,15 +13,17 @@ from pyspark.sql import types as T
 
 from tidemark.functions.compare import to_schema
 from tidemark.functions.text import ENTITY_MARK
+from tidemark.operators.changes import apply_feed
 from tidemark.operators.dml import unmatched
 from tidemark.operators.ordered import assign_ids
-from tidemark.operators.scd import open_rows, scd1_changes, scd1_feed, scd1_state, scd2_apply, scd2_classify, split_stale
+from tidemark.operators.scd import open_rows, scd1_changes, scd1_feed, scd2_apply, scd2_classify, split_stale
 from tidemark.session import cut_lineage
 from tidemark.sources.delimited import COMMA, DelimitedFormat, read_checked
 from tidemark.sources.files import path_exists
 from tidemark.streaming.appends import AppendLog
+from tidemark.streaming.buckets import BUCKET, BucketedTable, key_bucket
 from tidemark.streaming.files import on_new_file
-from tidemark.streaming.state import EMPTY, LATE, UNKNOWN, Ledger, VersionedTable
+from tidemark.streaming.state import EMPTY, LATE, UNKNOWN, Ledger
 
 _STAMP = re.compile(r"_(20\d{6})_(\d{6})")
 
@@ -32,6 +34,7 @@ class Entity:
 
     on_error: "abort" fails a delivery with a line that cannot be read, and its batch is replayed;
     "skip" applies the other lines and keeps the bad ones as rejects.
+    buckets: hash buckets of the key that its tables are kept in, see `BucketedTable`.
     """
 
     name: str
@@ -42,6 +45,7 @@ class Entity:
     valid_from: str = "now"
     fmt: DelimitedFormat = COMMA
     on_error: str = "abort"
+    buckets: int = 32
 
     def content(self) -> list[str]:
         return [n for n in self.schema.names if n not in (self.key, self.match_col)]
@@ -58,28 +62,50 @@ class Entity:
 class HistoryStore:
     """Tables of one entity: current rows, open history, closed history, rejects.
 
-    Open rows are a small versioned partition rewritten per file; closed rows are only appended, one
-    folder per version. So a file costs open rows plus changes, not the whole history.
+    Current and open rows are kept in buckets of the key, of which a delivery writes those that hold a
+    changed key; closed rows are only appended, by version and bucket. So a delivery reads its
+    snapshot and the current rows to compare them, and all else it reads or writes are the buckets
+    of changed keys.
     """
 
     def __init__(self, spark: SparkSession, root: str, entity: Entity):
         base = f"{root}/{entity.name}"
         self.spark, self.entity = spark, entity
-        self.current_table = VersionedTable(spark, f"{base}/current", entity.schema)
-        self.open_table = VersionedTable(spark, f"{base}/open", entity.history_schema())
+        bucketed = lambda name, schema: BucketedTable(spark, f"{base}/{name}", schema, [entity.key], entity.buckets)
+        self.current_table = bucketed("current", entity.schema)
+        self.open_table = bucketed("open", entity.history_schema())
         self.closed_path, self.reject_path = f"{base}/closed", f"{base}/rejects"
 
-    def closed(self, upto: int) -> DataFrame:
-        """Closed rows of applied versions."""
+    def closed(self, upto: int, only: Sequence[int] | None = None) -> DataFrame:
+        """Closed rows of applied versions, or of the buckets `only` of them."""
         schema = self.entity.history_schema()
         if upto == 0 or not path_exists(self.spark, self.closed_path):
             return self.spark.createDataFrame([], schema)
-        stored = self.spark.read.schema(T.StructType([*schema, T.StructField("v", T.LongType())])).parquet(self.closed_path)
-        return stored.filter(F.col("v") <= upto).select(*schema.names)
+        own = [T.StructField("v", T.LongType()), T.StructField(BUCKET, T.IntegerType())]
+        stored = self.spark.read.schema(T.StructType([*schema, *own])).parquet(self.closed_path).filter(F.col("v") <= upto)
+        if only is not None:
+            stored = stored.filter(F.col(BUCKET).isin(list(only)))
+        return stored.select(*schema.names)
+
+    def append_closed(self, rows: DataFrame, version: int) -> None:
+        """A leftover of a failed try of the same version is replaced."""
+        bucket = key_bucket([self.entity.key], self.entity.history_schema(), self.entity.buckets)
+        (rows.withColumn(BUCKET, bucket).repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(BUCKET).parquet(f"{self.closed_path}/v={version}"))
 
     def history(self, version: int) -> DataFrame:
         return self.open_table.read(version).unionByName(self.closed(version))
 
+    def sweep(self, ledger: Ledger, readers: Sequence[str] = ()) -> list[str]:
+        """Remove versions that neither the ledger's last one nor the feed `readers` of it still need.
+
+        A reader is the name of a `FeedState` in the same ledger; its position is read first, so one
+        that moves on meanwhile only keeps more than it needs.
+        """
+        state = ledger.latest()
+        keep = {state.of(name).version for name in (self.entity.name, *readers)}
+        return self.current_table.sweep(keep) + self.open_table.sweep({state.of(self.entity.name).version})
+
 
 def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, paths: Sequence[str], batch_id: int,
                    now: datetime | str, ledger: Ledger) -> bool:
@@ -114,12 +140,24 @@ def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, pa
     next_version = version + 1
     prev = store.current_table.read(version)
     unreadable = checked.filter(~usable & ~unknown_key).select(entity.key) if counts["bad"] else None
-    changes = cut_lineage(
-        scd1_changes(prev, staged, entity.key, entity.match_col, unreadable, deletes=not counts["keyless"]), "changes")
-    store.current_table.write(scd1_state(changes), next_version)
+    feed = cut_lineage(scd1_feed(
+        scd1_changes(prev, staged, entity.key, entity.match_col, unreadable, deletes=not counts["keyless"])), "feed")
+    touched = store.current_table.touched(feed)
+    store.current_table.write(apply_feed(store.current_table.read(version, touched), feed, entity.key), next_version, version, touched)
+    _extend_history(store, feed, version, touched, now)
+    rejected = checked.filter(~usable)
+    rejected.write.mode("overwrite").parquet(f"{store.reject_path}/lines/v={next_version}")
+    ledger.add(entity.name, name, batch_id, next_version, counts["good"], counts["bad"], stamp, now)
+    return True
 
-    opened, closed = store.open_table.read(version), store.closed(version)
-    feed = cut_lineage(scd1_feed(changes), "feed")
+
+def _extend_history(store: HistoryStore, feed: DataFrame, version: int, touched: Sequence[int], now: datetime | str) -> None:
+    """Open and closed rows of the version after `version`, from a written feed whose keys lie in the buckets `touched`."""
+    entity, next_version = store.entity, version + 1
+    if not touched:
+        store.open_table.write(feed, next_version, version, touched)
+        return
+    opened = store.open_table.read(version, touched)
     if entity.valid_from == "source" or entity.close == "successor":
         feed, stale = split_stale(feed, opened, entity.key, entity.match_col)
         stale.write.mode("overwrite").parquet(f"{store.reject_path}/stale/v={next_version}")
@@ -129,16 +167,11 @@ def apply_delivery(spark: SparkSession, root: str, entity: Entity, name: str, pa
     if entity.valid_from == "source":
         # An opening row that is closed history already is matched, hence not inserted again.
         opens = F.col("dml_type") == "I"
-        fresh = unmatched(classified.filter(opens), closed, [*on, "valid_from"], null_safe=True)
+        fresh = unmatched(classified.filter(opens), store.closed(version, touched), [*on, "valid_from"], null_safe=True)
         classified = fresh.unionByName(classified.filter(~opens))
     merged = cut_lineage(scd2_apply(opened, classified, on, entity.valid_from, now, null_safe=True), "history")
-    store.open_table.write(open_rows(merged), next_version)
-    done = merged.filter(F.col("current_flag") == "N")
-    done.write.mode("overwrite").parquet(f"{store.closed_path}/v={next_version}")
-    rejected = checked.filter(~usable)
-    rejected.write.mode("overwrite").parquet(f"{store.reject_path}/lines/v={next_version}")
-    ledger.add(entity.name, name, batch_id, next_version, counts["good"], counts["bad"], stamp, now)
-    return True
+    store.open_table.write(open_rows(merged), next_version, version, touched)
+    store.append_closed(merged.filter(F.col("current_flag") == "N"), next_version)
 
 
 def _deliveries(folder: str, paths: Sequence[str]) -> dict[str, list[str]]:

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from tidemark.operators.changes import change_feed
 from tidemark.operators.dml import truncate
 from tidemark.sources.files import put_text, read_text
+from tidemark.streaming.buckets import BucketedTable
 
 LEDGER = (
     T.StructType()
@@ -180,14 +181,19 @@ class VersionedTable:
         """A leftover of a failed try of the same version is replaced."""
         df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/v={version}")
 
+    def pair(self, before: int, after: int) -> tuple[DataFrame, DataFrame]:
+        """Both versions, for a comparison."""
+        return self.read(before), self.read(after)
+
 
 class FeedState:
     """Change feed of a versioned table with a position.
 
-    `pending` may be read any number of times; only `consume` moves the position.
+    `pending` may be read any number of times; only `consume` moves the position. Of a table in
+    buckets only those that differ between the two versions are read.
     """
 
-    def __init__(self, spark: SparkSession, table: VersionedTable, ledger: Ledger, key: str, name: str = "feed"):
+    def __init__(self, spark: SparkSession, table: VersionedTable | BucketedTable, ledger: Ledger, key: str, name: str = "feed"):
         self.spark, self.table, self.ledger, self.key, self.name = spark, table, ledger, key, name
 
     def position(self) -> int:
@@ -199,10 +205,10 @@ class FeedState:
 
     def between(self, position: int, latest: int) -> DataFrame:
         """Net changes between two versions."""
-        prev = self.table.read(position)
+        prev, curr = self.table.pair(position, latest)
         if position == latest:
             return truncate(change_feed(prev, prev, self.key, check=False))
-        return change_feed(prev, self.table.read(latest), self.key)
+        return change_feed(prev, curr, self.key)
 
     def consume(self, latest: int, now: datetime | str, row_count: int = 0) -> None:
         self.ledger.add(self.name, None, latest, latest, row_count, 0, None, now)
