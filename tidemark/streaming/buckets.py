@@ -29,7 +29,7 @@ class BucketedTable:
     keys share a bucket, so keys should be unique or nearly so. NULL is a key like any other.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 32):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 8):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.buckets = list(keys), buckets
 

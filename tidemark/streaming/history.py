@@ -45,7 +45,7 @@ class Entity:
     valid_from: str = "now"
     fmt: DelimitedFormat = COMMA
     on_error: str = "abort"
-    buckets: int = 32
+    buckets: int = 8
 
     def content(self) -> list[str]:
         return [n for n in self.schema.names if n not in (self.key, self.match_col)]
