@@ -23,6 +23,7 @@ from tidemark.session import cut_lineage, new_folder
 from tidemark.streaming.appends import AppendLog, consume_into
 from tidemark.streaming.history import append_typed
 from tidemark.streaming.state import FeedState, Ledger, VersionedTable
+from tidemark.streaming.views import COUNT, MaintainedView, counted, join_delta, signed
 
 KEY = "o_orderkey"
 
@@ -350,6 +351,42 @@ def feed_with_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_join(change_feed(prev, curr, KEY), orders, KEY, ["o_custkey"])
 
 
+def view_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open orders with their lines by status and return flag, kept up as both tables change at once."""
+    exact = lambda c: F.col(c).cast("decimal(18,2)").alias(c)
+    orders = [df.select(KEY, "status", exact("price")) for df in order_snapshots(spark, sf_dir)]
+    lines = load(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias(KEY), "l_linenumber", "l_returnflag", "l_discount", exact("l_quantity"))
+    first = lines.filter(F.col("l_linenumber") <= 3).drop("l_discount")
+    raised = F.when(F.col("l_returnflag") == "R", F.col("l_quantity") + 1).otherwise(F.col("l_quantity")).cast("decimal(18,2)")
+    second = lines.filter(F.col("l_discount") > 0).drop("l_discount").withColumn("l_quantity", raised)
+    # A row's key in a feed; copies of a line number within an order are one line here.
+    keys = [KEY, "l_linenumber"]
+    total = lambda df: df.groupBy(*keys).agg(F.min("l_returnflag").alias("l_returnflag"), F.sum("l_quantity").cast("decimal(18,2)").alias("l_quantity"))
+    first, second = cut_lineage(total(first), "lines"), cut_lineage(total(second), "lines")
+    schema = (
+        T.StructType().add("status", "string").add("l_returnflag", "string")
+        .add("price", T.DecimalType(28, 2)).add("l_quantity", T.DecimalType(28, 2)))
+    view = MaintainedView(spark, new_folder(spark, "sum-view"), schema, ["price", "l_quantity"])
+    live = lambda df: df.filter(F.col("status") != "F")
+    none = dml.truncate(signed(change_feed(first, first, keys, check=False)))
+    view.step(join_delta(counted(live(orders[0])), first, live(orders[0]), none, [KEY]), 0)
+    moved = join_delta(live(signed(change_feed(*orders, KEY))), first, live(orders[1]), signed(change_feed(first, second, keys)), [KEY])
+    view.step(moved, 1)
+    return view.read(2).select(
+        "status", "l_returnflag", *[F.col(c).cast("double").alias(c) for c in ("price", "l_quantity")], F.col(COUNT).alias("n"))
+
+
+VIEW_DELTA = f"""WITH {SNAPSHOTS},
+lines AS (
+  SELECT l_orderkey AS o_orderkey, l_linenumber, min(l_returnflag) AS l_returnflag,
+         sum(CAST(l_quantity AS DECIMAL(18,2)) + CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS l_quantity
+  FROM lineitem WHERE l_discount > 0 GROUP BY ALL)
+SELECT status, l_returnflag, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS price,
+       CAST(sum(l_quantity) AS DOUBLE) AS l_quantity, count(*) AS n
+FROM curr JOIN lines USING (o_orderkey) WHERE status <> 'F' GROUP BY status, l_returnflag"""
+
+
 def feed_state_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads of a feed leave its position; only a consuming step moves it."""
     prev, curr = order_snapshots(spark, sf_dir)
@@ -390,6 +427,7 @@ SELECT user_id, event_id, ts, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts DES
     "row_numbers": (q_row_numbers, """
 SELECT event_type, event_id, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events"""),
     "change_feed": (q_change_feed, CHANGE_FEED),
+    "view_delta": (view_delta, VIEW_DELTA),
     "change_feed_roundtrip": (roundtrip, f"WITH {SNAPSHOTS} SELECT * FROM curr"),
     "scd1_sync": (q_scd1_sync, SCD1),
     "scd2_classify_now": (classify("now"), _classify_sql(CLOSE_NOW)),
