@@ -206,10 +206,27 @@ def test_bucketed_snapshots_join_without_a_shuffle(spark, first, second, tmp_pat
 def test_feed_checks_uniqueness(spark, first, second):
     twice = table(spark, (1, "a", T1), (1, "b", T1), (None, "c", T1), (None, "d", T1))
     assert change_feed(first, second, "id").count() == 4
-    with pytest.raises(ValueError, match="current snapshot: a key occurs 2 times"):
-        change_feed(first, twice, "id")
+    for before, after, side in ((first, twice, "current"), (twice, first, "previous")):
+        with pytest.raises(PySparkException, match=f"{side} snapshot: key .*:1.* occurs more than once"):
+            change_feed(before, after, "id").count()
 
 
 def test_key_staged_twice_raises(spark, first):
-    with pytest.raises(ValueError, match="occurs 2 times"):
-        scd1_sync(first, table(spark, (1, "a", T1), (1, "b", T1)), "id", "last_updated")
+    synced = scd1_sync(first, table(spark, (1, "a", T1), (1, "b", T1)), "id", "last_updated")
+    with pytest.raises(PySparkException, match="stage: key .*:1.* occurs more than once"):
+        synced.count()
+
+
+def test_feed_and_sync_shuffle_each_side_once_and_run_nothing_when_built(spark, first, second, tmp_path):
+    """One hash exchange and one sort a side, although keys are checked; no job before an action."""
+    for name, df in (("before", first), ("after", second)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    before, after = (spark.read.schema(first.schema).parquet(f"{tmp_path}/{name}") for name in ("before", "after"))
+    context = spark.sparkContext
+    context.setJobGroup("build-only", "no job expected")
+    built = [change_feed(before, after, "id"), scd1_feed(scd1_changes(before, after, "id", "last_updated"))]
+    assert list(context.statusTracker().getJobIdsForGroup("build-only")) == []
+    context.setLocalProperty("spark.jobGroup.id", None)
+    for feed in built:
+        plan = feed._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Sort [") == 2 and "FullOuter" in plan

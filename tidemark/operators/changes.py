@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.compare import equal_on
@@ -29,11 +29,15 @@ def feed_row(image: Column, action: str, update: bool) -> Column:
     return F.struct(image.alias("img"), F.lit(action).alias(ACTION), F.lit(update).alias(IS_UPDATE))
 
 
-def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
-    """Raise when a non-NULL key occurs twice; counts combine before the shuffle."""
-    copies = df.filter(present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("n")).first()["n"]
-    if (copies or 0) > 1:
-        raise ValueError(f"{what}: a key occurs {copies} times")
+def once_per_key(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """`df`, whose keys are not NULL, with a mark `_here`; a key met for the second time raises while rows pass by.
+
+    The window wants the rows hashed and sorted by key, as a join on the key does, so the check adds
+    no shuffle and no sort to that join. It numbers rows one by one and holds none back.
+    """
+    copy = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    text = F.concat(F.lit(f"{what}: key "), F.to_json(F.struct(*keys)), F.lit(" occurs more than once"))
+    return df.withColumn("_here", F.when(copy > 1, F.raise_error(text).cast("boolean")).otherwise(F.lit(True)))
 
 
 def change_feed(prev: DataFrame, curr: DataFrame, key: str | Sequence[str], cols: Sequence[str] | None = None,
@@ -43,21 +47,23 @@ def change_feed(prev: DataFrame, curr: DataFrame, key: str | Sequence[str], cols
     An insert is (INSERT, false), a delete (DELETE, false), an update (DELETE, true) with the old
     image and (INSERT, true) with the new one. Images compare null-safe over `cols`. A row with a
     NULL key has no identity: it is deleted and inserted, and never enters the join. A key that a
-    snapshot has twice raises: it is looked for first, with one aggregation of the keys of each
-    snapshot, unless `check` is off because the writer has made sure of it.
-    One shuffle join on a unique key, so no key can be hot; rows fan out with explode, not by
-    reading the join twice. Snapshots bucketed by the key are checked and joined without a shuffle.
+    snapshot has twice raises when the feed is run, on the way into the join, unless `check` is off
+    because the writer has made sure of it.
+    Each snapshot is shuffled once, for the check and the join alike, and nothing runs when the feed
+    is built; keys are unique, so none can be hot. Rows fan out with explode, not by reading the
+    join twice. Snapshots bucketed by the key are checked and joined without a shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if check:
-        require_unique(prev, keys, "previous snapshot")
-        require_unique(curr, keys, "current snapshot")
     cols = list(cols) if cols else [c for c in curr.columns if c not in keys]
     names = keys + cols
     image = lambda frame: F.struct(*[F.col(f"{frame}.{c}") for c in names])
     known = present(keys)
-    marked = lambda df: df.filter(known).select(*names).withColumn("_here", F.lit(True))
-    joined = marked(prev).alias("p").join(marked(curr).alias("c"), equal_on("p", "c", keys), "full_outer")
+    def marked(df: DataFrame, what: str) -> DataFrame:
+        rows = df.filter(known).select(*names)
+        return once_per_key(rows, keys, what) if check else rows.withColumn("_here", F.lit(True))
+
+    joined = marked(prev, "previous snapshot").alias("p").join(
+        marked(curr, "current snapshot").alias("c"), equal_on("p", "c", keys), "full_outer")
     had, has = F.col("p._here").isNotNull(), F.col("c._here").isNotNull()
     changed = had & has & ~image("p").eqNullSafe(image("c"))
     events = (

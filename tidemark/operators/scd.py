@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.compare import equal_on
 from tidemark.functions.dates import ntz, open_end
-from tidemark.operators.changes import ACTION, DELETED, INSERTED, IS_UPDATE, deletes, feed_row, inserts, present
+from tidemark.operators.changes import ACTION, DELETED, INSERTED, IS_UPDATE, deletes, feed_row, inserts, once_per_key, present
 from tidemark.operators.dml import merge, unmatched
 from tidemark.operators.joins import feed_join, semi
 from tidemark.operators.ordered import effective_dates
@@ -26,14 +26,6 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _stage_facts(stg: DataFrame, keys: list[str]) -> tuple[int, int, int]:
-    """(rows, rows with a NULL key, most rows of one key), counted per key before the shuffle."""
-    known, n = present(keys), F.col("_n")
-    row = stg.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
-        F.sum(n).alias("rows"), F.sum(F.when(~known, n)).alias("nulls"), F.max(F.when(known, n)).alias("copies")).first()
-    return row["rows"] or 0, row["nulls"] or 0, row["copies"] or 0
-
-
 def scd1_changes(tgt: DataFrame, stg: DataFrame, key: str | Sequence[str], match_col: str,
                  unreadable: DataFrame | None = None, deletes: bool = True) -> DataFrame:
     """One row per key with `change` (insert, update, delete, same), `old` and `new` images.
@@ -41,19 +33,20 @@ def scd1_changes(tgt: DataFrame, stg: DataFrame, key: str | Sequence[str], match
     Next state and change feed both come from this single join; keys are unique on both sides.
     A NULL key is never inserted or deleted, a NULL staged key suspends deletes, and a row is
     updated only when `match_col` differs with neither side NULL. An empty stage deletes all rows.
-    Target rows with a NULL key bypass the join; a key staged twice raises before it. `unreadable`
-    holds keys that were delivered in rows that could not be read: they are not missing, so never
-    deleted. With `deletes` off no key counts as missing.
+    Target rows with a NULL key bypass the join; a key staged twice raises on its way into it, when the
+    changes are run. Each side is shuffled once. Whether the stage is empty or has a NULL key is a
+    subquery over its keys: one row, found without a shuffle of rows. `unreadable` holds keys that were
+    delivered in rows that could not be read: they are not missing, so never deleted. With `deletes`
+    off no key counts as missing.
     """
     keys = _keys(key)
     known = present(keys)
-    rows, nulls, copies = _stage_facts(stg, keys)
-    if copies > 1:
-        raise ValueError(f"a staged key occurs {copies} times")
-    gone = F.lit("same" if nulls or not deletes else "delete")
+    facts = stg.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.count(F.when(~known, 1)).alias("keyless"))).scalar()
+    gone = F.when(facts["keyless"] > 0, "same").otherwise("delete") if deletes else F.lit("same")
     image = lambda frame: F.struct(*[F.col(f"{frame}.{c}") for c in tgt.columns])
-    marked = lambda df: df.filter(known).select(*tgt.columns).withColumn("_here", F.lit(True))
-    joined = marked(tgt).alias("t").join(marked(stg).alias("s"), equal_on("t", "s", keys), "full_outer")
+    held = tgt.filter(known).withColumn("_here", F.lit(True))
+    staged = once_per_key(stg.filter(known).select(*tgt.columns), keys, "stage")
+    joined = held.alias("t").join(staged.alias("s"), equal_on("t", "s", keys), "full_outer")
     if unreadable is not None:
         broken = unreadable.select(*keys).distinct().withColumn("_broken", F.lit(True))
         joined = joined.join(broken.alias("b"), equal_on("t", "b", keys), "left")
@@ -63,8 +56,9 @@ def scd1_changes(tgt: DataFrame, stg: DataFrame, key: str | Sequence[str], match
     change = F.when(~had, "insert").when(~has, gone).when(newer, "update").otherwise("same")
     changes = joined.select(
         change.alias("change"), F.when(had, image("t")).alias("old"), F.when(has, image("s")).alias("new"))
+    emptied = F.when(facts["rows"] > 0, "same").otherwise("delete") if deletes else F.lit("same")
     nameless = tgt.filter(~known).select(
-        F.lit("same" if rows or not deletes else "delete").alias("change"), F.struct(*tgt.columns).alias("old"),
+        emptied.alias("change"), F.struct(*tgt.columns).alias("old"),
         F.lit(None).cast(changes.schema["new"].dataType).alias("new"))
     return changes.unionByName(nameless)
 
