@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.ordered import running_sum, sorted_by_range
+from tidemark.session import cut_lineage
+from tidemark.sources.footers import EXACT, footer_spans, footers_reachable
+
+# Bits of a column's place in a Z-order: at most 255 borders a column.
+Z_BITS = 8
 
 
 def write_clustered(df: DataFrame, exprs: Sequence[str | Column], n_files: int, path: str) -> None:
@@ -20,6 +27,70 @@ def write_clustered(df: DataFrame, exprs: Sequence[str | Column], n_files: int,
     sorted_by_range(df, [*columns, F.xxhash64(*df.columns)], n_files).write.parquet(path)
 
 
+def _scaled(column: str, kind: T.DataType) -> Column:
+    """A column as something quantiles exist of: texts by their first seven bytes, in order."""
+    if isinstance(kind, T.BooleanType):
+        return F.col(column).cast("int")
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast("long")
+    return F.col(column)
+
+
+def quantile_borders(df: DataFrame, columns: Sequence[str], bits: int = Z_BITS) -> list[list[Any]]:
+    """For each column, 2^bits - 1 values that cut its rows into parts of like size: one pass, partial sketches.
+
+    A value with many rows fills several borders. Without any value there are none.
+    """
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    row = df.agg(*[F.percentile_approx(_scaled(c, df.schema[c].dataType), shares).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    return [row[i] or [] for i in range(len(columns))]
+
+
+def _place(value: Column, borders: Sequence[Any], bits: int) -> Column:
+    """Number of ascending borders not above the value, by bisection: one bit of it a step."""
+    if not borders:
+        return F.lit(0)
+    cuts = F.array(*[F.lit(b) for b in borders])
+    # Past the last border `get` is NULL, so the place stays.
+    further = lambda at, step: F.when(F.get(cuts, at + step - 1) <= value, at + step).otherwise(at)
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(bits))]), F.lit(0), further)
+
+
+def with_z_rank(df: DataFrame, columns: Sequence[str], borders: Sequence[Sequence[Any]], alias: str, bits: int = Z_BITS) -> DataFrame:
+    """Adds the Z-order rank of a row: the bits of each column's place among its borders, in turn.
+
+    The place is the number of borders not above the value (at most 2^bits - 1 ascending borders a
+    column; fewer are as good), found by bisection in `bits` steps; NULL has place 0. The first
+    column gives the higher bit of each turn.
+    """
+    n = len(columns)
+    if n * bits > 62:
+        raise ValueError(f"{n} columns of {bits} bits do not fit a 64-bit rank")
+    places = []
+    for column, ends in zip(columns, borders):
+        if len(ends) >= 1 << bits:
+            raise ValueError(f"{len(ends)} borders do not fit {bits} bits")
+        places.append(_place(_scaled(column, df.schema[column].dataType), ends, bits))
+    placed = df.withColumns({f"_place_{j}": place.cast("long") for j, place in enumerate(places)})
+    rank = F.lit(0).cast("long")
+    for k in range(bits):
+        for j in range(n):
+            bit = F.shiftright(f"_place_{j}", k).bitwiseAND(F.lit(1))
+            rank = rank.bitwiseOR(F.shiftleft(bit, k * n + (n - 1 - j)))
+    return placed.select(*[F.col(c) for c in df.columns], rank.alias(alias))
+
+
+def write_z_ordered(df: DataFrame, columns: Sequence[str], n_files: int, path: str, bits: int = Z_BITS) -> None:
+    """Write files by ranges of a Z-order, so that statistics prune scans on each of the columns.
+
+    With k columns a file spans about the k-th root of `n_files`-th part of each column's values, where
+    files sorted by one column span all values of the others. Places come from quantiles, so skewed
+    columns are cut by rows and not by value; a hash of the row ends the order.
+    """
+    ranked = with_z_rank(df, columns, quantile_borders(df, columns, bits), "_z_rank", bits)
+    sorted_by_range(ranked, ["_z_rank", F.xxhash64(*df.columns)], n_files).drop("_z_rank").write.parquet(path)
+
+
 def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str, mode: str = "overwrite") -> None:
     """Catalogue table bucketed and sorted by unique keys: snapshots written alike join without a shuffle."""
     (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).mode(mode).saveAsTable(name))
@@ -33,30 +104,33 @@ def clustering_report(df: DataFrame, exprs: Sequence[str | Column], rows_per_sli
     file's smallest key. Both come from one sweep over interval ends, not from pairs of files.
     """
     columns = [F.expr(e) if isinstance(e, str) else e for e in exprs]
-    key = F.struct(*columns)
     spans = (
-        df.select(F.col("_metadata.file_path").alias("file"), key.alias("k"))
+        df.select(F.col("_metadata.file_path").alias("file"), F.struct(*columns).alias("k"))
         .groupBy("file").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
     )
+    return span_report(spans, rows_per_slice)
+
+
+# Two counts in one long: files begun above, files ended below.
+_BEGUN = 1 << 32
+
+
+def span_report(spans: DataFrame, rows_per_slice: int | None = None) -> DataFrame:
+    """The report of intervals (file, lo, hi)."""
     # Kinds order the ends at one key value: starts, then the probe of a start, then stops.
-    end = lambda at, kind, start, stop: F.struct(
-        F.col(at).alias("at"), F.lit(kind).alias("kind"), F.lit(start).alias("start"), F.lit(stop).alias("stop"))
-    ends = spans.select("file", F.explode(F.array(
-        end("lo", 0, 1, 0), end("lo", 1, 0, 0), end("hi", 2, 0, 1))).alias("e")).select("file", "e.*")
-    ends = ends.withColumn("_all", F.lit(1))
-    order = ["at", "kind", "file"]
-    swept = running_sum(ends, ["_all"], order, "start", "starts", rows_per_slice)
-    swept = running_sum(swept, ["_all"], order, "stop", "stops", rows_per_slice)
+    end = lambda at, kind, step: F.struct(F.col(at).alias("at"), F.lit(kind).alias("kind"), F.lit(step).cast("long").alias("step"))
+    same = F.when(F.col("lo") == F.col("hi"), 1)
+    ends = spans.select("file", same.alias("same"), F.explode(F.array(
+        end("lo", 0, _BEGUN), end("lo", 1, 0), end("hi", 2, 1))).alias("e")).select("file", "same", "e.*")
+    swept = running_sum(ends.withColumn("_all", F.lit(1)), ["_all"], ["at", "kind", "file"], "step", "so_far", rows_per_slice)
+    begun, ended = F.shiftright("so_far", 32), F.col("so_far").bitwiseAND(F.lit(_BEGUN - 1))
     # At a probe: files begun minus files ended before it. At a stop: files begun by then.
     return swept.agg(
         F.count(F.when(F.col("kind") == 2, 1)).alias("total_files"),
-        F.sum(F.when(F.col("kind") == 1, F.col("starts") - F.col("stops"))).alias("_depth"),
-        F.sum(F.when(F.col("kind") == 2, F.col("starts"))).alias("_begun"),
-        F.sum(F.when(F.col("kind") == 1, F.col("stops"))).alias("_ended"),
-    ).join(
-        spans.agg(F.count(F.when(F.col("lo") == F.col("hi"), 1)).alias("constant_files"),
-                  F.count(F.lit(1)).alias("_n")),
-        F.col("total_files") == F.col("_n"),
+        F.count(F.when(F.col("kind") == 2, F.col("same"))).alias("constant_files"),
+        F.sum(F.when(F.col("kind") == 1, begun - ended)).alias("_depth"),
+        F.sum(F.when(F.col("kind") == 2, begun)).alias("_begun"),
+        F.sum(F.when(F.col("kind") == 1, ended)).alias("_ended"),
     ).select(
         "total_files", "constant_files",
         F.round((F.col("_begun") - F.col("_ended")) / F.col("total_files") - 1, 4).alias("average_overlaps"),
@@ -64,8 +138,42 @@ def clustering_report(df: DataFrame, exprs: Sequence[str | Column], rows_per_sli
     )
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """All Parquet files below a folder, with the columns they hold: none from folder names."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+
+
+def file_spans(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """file, rows, lo_<column>, hi_<column> for each Parquet file below `path` that has rows; NULL sorts first.
+
+    From the footers, read once by tasks and written, where Arrow can open the files, the columns'
+    types have exact ends there and every file has them; from one pass over the rows otherwise.
+    """
+    scan = stored(spark, path)
+    if footers_reachable(path) and all(isinstance(scan.schema[c].dataType, EXACT) for c in columns):
+        read = cut_lineage(footer_spans(spark, path, columns), "footers")
+        if read.filter(~F.col("whole")).isEmpty():
+            return read.filter("rows > 0").drop("whole")
+    ends = [f(F.struct(c))[c].alias(f"{end}_{c}") for c in columns for end, f in (("lo", F.min), ("hi", F.max))]
+    return scan.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"), *ends)
+
+
+def column_reports(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """One clustering report a column, `key` naming it, without reading column data where footers have the ends."""
+    spans = file_spans(spark, path, columns)
+    # As structs, since files whose smallest value is NULL take part too.
+    of = lambda c: spans.select("file", F.struct(F.col(f"lo_{c}").alias("k")).alias("lo"), F.struct(F.col(f"hi_{c}").alias("k")).alias("hi"))
+    reports = [span_report(of(c)).select(F.lit(c).alias("key"), "*") for c in columns]
+    whole = reports[0]
+    for report in reports[1:]:
+        whole = whole.unionByName(report)
+    return whole
+
+
 def report_path(spark: SparkSession, path: str, exprs: Sequence[str | Column]) -> DataFrame:
-    """Clustering report of a Parquet folder."""
+    """Clustering report of a Parquet folder; of one plain column by its footers."""
+    if len(exprs) == 1 and isinstance(exprs[0], str) and exprs[0] in stored(spark, path).columns:
+        return column_reports(spark, path, exprs).drop("key")
     return clustering_report(spark.read.parquet(path), exprs)
 
 

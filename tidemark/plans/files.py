@@ -5,6 +5,7 @@ Each writes rows of a given table to new folders below the shared folder and wor
 
 from __future__ import annotations
 
+import datetime
 import json
 import re
 
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from tidemark.functions import text
 from tidemark.operators.enrich import enrich_files, external_function
 from tidemark.operators.joins import union_all
-from tidemark.operators.layout import report_path, write_clustered
+from tidemark.operators.layout import column_reports, file_spans, report_path, with_z_rank, write_clustered, write_z_ordered
 from tidemark.operators.monitor import daily_spend
 from tidemark.operators.nested import json_path, nested_view
 from tidemark.operators.quality import Check, run_checks
@@ -414,6 +415,64 @@ def clustered_write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(reports)
 
 
+# Borders of the cells of z_order_cells: three dates, three quantities.
+CELL_DATES, CELL_QUANTITIES = ("1996-01-01", "1999-01-01", "2001-07-01"), (13.0, 26.0, 39.0)
+
+
+def z_order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by the Z-order rank of date and quantity among fixed borders: rows and ranges of each cell."""
+    lineitem = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity", F.col("l_shipdate").cast("date").alias("ship"))
+    dates = [datetime.date.fromisoformat(d) for d in CELL_DATES]
+    ranked = with_z_rank(lineitem, ["ship", "l_quantity"], [dates, CELL_QUANTITIES], "cell", bits=2)
+    ends = [f(c).alias(f"{end}_{c}") for c in ("ship", "l_quantity") for end, f in (("lo", F.min), ("hi", F.max))]
+    return ranked.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"), *ends)
+
+
+def _place(column: str, borders: list[str]) -> str:
+    return "(" + " + ".join(f"CAST({column} >= {b} AS BIGINT)" for b in borders) + ")"
+
+
+Z_ORDER_CELLS = f"""
+WITH placed AS (
+  SELECT l_orderkey, l_quantity, CAST(l_shipdate AS DATE) AS ship,
+         {_place("CAST(l_shipdate AS DATE)", [f"DATE '{d}'" for d in CELL_DATES])} AS p,
+         {_place("l_quantity", [str(q) for q in CELL_QUANTITIES])} AS q FROM lineitem)
+SELECT 8 * (p // 2) + 4 * (q // 2) + 2 * (p % 2) + q % 2 AS cell, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys,
+       min(ship) AS lo_ship, max(ship) AS hi_ship, min(l_quantity) AS lo_l_quantity, max(l_quantity) AS hi_l_quantity
+FROM placed GROUP BY 1"""
+
+
+def z_order_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in sixteen files, sorted by two keys and in Z-order of both: on which key each layout prunes.
+
+    Ranges and row counts come from the files' footers. Where cuts fall is sampled, so of the overlaps
+    it is only told whether a file overlaps fewer than four fifths of the others.
+    """
+    lineitem = load(spark, sf_dir, "lineitem")
+    base, keys = new_folder(spark, "z-order"), ["l_shipdate", "l_partkey"]
+    write_clustered(lineitem, keys, 16, f"{base}/sorted")
+    write_z_ordered(lineitem, keys, 16, f"{base}/z_order")
+    reports = []
+    for layout in ("sorted", "z_order"):
+        path = f"{base}/{layout}"
+        spans = file_spans(spark, path, keys)
+        ends = union_all([spans.agg(
+            F.lit(k).alias("key"), F.sum("rows").alias("n"), F.min(f"lo_{k}").cast("string").alias("lowest"),
+            F.max(f"hi_{k}").cast("string").alias("highest")) for k in keys])
+        reports.append(column_reports(spark, path, keys).join(ends, "key").select(
+            F.lit(layout).alias("layout"), "key", "total_files", "n", "lowest", "highest",
+            (F.col("average_overlaps") < 0.8 * (F.col("total_files") - 1)).alias("prunes")))
+    return union_all(reports)
+
+
+Z_ORDER_REPORT = """
+WITH ends AS (
+  SELECT 'l_shipdate' AS key, count(*) AS n, CAST(min(l_shipdate) AS VARCHAR) AS lowest, CAST(max(l_shipdate) AS VARCHAR) AS highest FROM lineitem
+  UNION ALL SELECT 'l_partkey', count(*), CAST(min(l_partkey) AS VARCHAR), CAST(max(l_partkey) AS VARCHAR) FROM lineitem)
+SELECT layout, key, CAST(16 AS BIGINT) AS total_files, n, lowest, highest, layout = 'z_order' OR key = 'l_shipdate' AS prunes
+FROM ends, (VALUES ('sorted'), ('z_order')) AS l(layout) WHERE n > 0"""
+
+
 def spend_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily spend appended once per day, however often the report runs."""
     events = load(spark, sf_dir, "events")
@@ -517,5 +576,7 @@ exact AS (
   SELECT layout, count(*) AS total_files, round(avg(others), 4) AS average_overlaps, round(avg(held), 4) AS average_depth FROM pairs GROUP BY 1)
 SELECT layout, total_files, average_overlaps, average_depth, average_depth <= 2 AS well_clustered FROM exact
 UNION ALL SELECT 'clustered', 8, NULL, NULL, true WHERE EXISTS (SELECT 1 FROM lineitem)"""),
+    "z_order_cells": (z_order_cells, Z_ORDER_CELLS),
+    "z_order_report": (z_order_report, Z_ORDER_REPORT),
     "spend_history": (spend_history, SPEND_HISTORY),
 }
