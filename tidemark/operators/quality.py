@@ -70,6 +70,22 @@ def dq_not_null(df: DataFrame, attr: str, pk: str, codes: DataFrame, now: dateti
     return run_checks(df, [Check(attr, pk, object_name, routine)], codes, now, start)
 
 
+def rule_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row a check, from a single scan: validation_routine, code, source_object_name, source_attribute_name, rows, failed.
+
+    Counts of loads add up, so a total is kept by a maintained view over them. Checks are told apart by
+    these names; none may occur twice.
+    """
+    names = [(c.routine, c.code, c.object_name, c.attribute) for c in checks]
+    if len(set(names)) < len(names):
+        raise ValueError("a check occurs twice")
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.when(c.failure(), 1)).alias(f"_{i}") for i, c in enumerate(checks)])
+    columns = ("validation_routine", "code", "source_object_name", "source_attribute_name")
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(columns, name)], F.col("_rows").alias("rows"), F.col(f"_{i}").alias("failed"))
+            for i, name in enumerate(names)]
+    return counts.select(F.explode(F.array(*rows)).alias("e")).select("e.*")
+
+
 def check_keys(df: DataFrame, primary: Sequence[str] = (), unique: Sequence[Sequence[str]] = (),
                foreign: Sequence[tuple[Sequence[str], DataFrame, Sequence[str]]] = (),
                not_null: Sequence[str] = ()) -> DataFrame:

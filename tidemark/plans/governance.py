@@ -12,11 +12,13 @@ from tidemark.operators.constructor import schema_from_metadata
 from tidemark.operators.dml import update_where
 from tidemark.operators.joins import union_all
 from tidemark.operators.nested import flatten_classification
-from tidemark.operators.quality import Check, check_keys, dq_not_null, run_checks
+from tidemark.operators.quality import Check, check_keys, dq_not_null, rule_counts, run_checks
 from tidemark.plans.common import AS_OF, Registry, load
 from tidemark.session import cut_lineage, new_folder
 from tidemark.sources.delimited import COMMA, read_delimited, unload
 from tidemark.streaming.history import append_typed
+from tidemark.streaming.keys import KeyIndex
+from tidemark.streaming.views import MaintainedView, counted
 
 
 # --- data quality -----------------------------------------------------------------------------
@@ -89,6 +91,60 @@ WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'
 UNION ALL SELECT 'not_null', 'l_returnflag', 'NULL', count(*) FROM lineitem WHERE l_quantity >= 50 HAVING count(*) > 0"""
 
 
+def keys_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items in two loads: what each breaks of a primary key and of a foreign key to orders that also come in two."""
+    lineitem = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    orders = load(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    own = KeyIndex(spark, new_folder(spark, "line-keys"), lineitem.drop("l_suppkey").schema)
+    parent = KeyIndex(spark, new_folder(spark, "order-keys"), orders.drop("o_orderstatus").schema)
+    found = []
+    for number, status in ((1, "F"), (2, "O")):
+        rows = lineitem.filter(F.col("l_suppkey") % 2 == number - 1)
+        parent.step(orders.filter(F.col("o_orderstatus") == status), number - 1)
+        own.step(rows, number - 1)
+        twice = own.violations(number).withColumn("rule", F.lit("primary"))
+        lost = parent.missing(rows, number).select(
+            "l_orderkey", F.lit(None).cast("int").alias("l_linenumber"), F.lit(None).cast("long").alias("before"), "added", F.lit("foreign").alias("rule"))
+        found += [r.select(F.lit(number).alias("load_no"), "rule", "l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "before", "added")
+                  for r in (twice, lost)]
+    return union_all(found)
+
+
+KEYS_TWO_LOADS = """
+WITH rows AS (SELECT CAST(1 + l_suppkey % 2 AS INTEGER) AS load_no, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem),
+per AS (SELECT load_no, l_orderkey, l_linenumber, count(*) AS added FROM rows GROUP BY ALL),
+twice AS (
+  SELECT p.load_no, p.l_orderkey, p.l_linenumber, CAST(coalesce(e.added, 0) AS BIGINT) AS before, p.added
+  FROM per p LEFT JOIN per e ON e.load_no < p.load_no AND e.l_orderkey = p.l_orderkey AND e.l_linenumber = p.l_linenumber)
+SELECT load_no, 'primary' AS rule, l_orderkey, l_linenumber, before, added FROM twice WHERE before + added > 1
+UNION ALL
+SELECT load_no, 'foreign', l_orderkey, NULL, NULL, count(*) FROM rows r
+WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND (o_orderstatus = 'F' OR o_orderstatus = 'O' AND load_no = 2))
+GROUP BY load_no, l_orderkey"""
+
+
+def rules_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and failures of three rules over documents, kept up load by load."""
+    docs = labelled(spark, sf_dir)
+    checks = [Check("quality", "doc_id", "documents"), Check("toxic", "doc_id", "documents"),
+              Check("n_chars", "doc_id", "documents", code="TOO_SHORT", fails=F.col("n_chars") < 1000)]
+    counts = rule_counts(docs, checks)
+    view = MaintainedView(spark, new_folder(spark, "rule-totals"), counts.schema, sums=["rows", "failed"], buckets=2)
+    for number in (0, 1):
+        part = docs.filter(F.col("current_flag") == ("Y", "N")[number])
+        view.step(counted(rule_counts(part, checks)), number)
+    return view.read(2).drop("_count")
+
+
+RULES_TWO_LOADS = f"""
+WITH {LABELLED}, rules AS (
+  SELECT 'ATTRIBUTE_IS_NULL' AS code, 'quality' AS source_attribute_name, quality IS NULL AS fails FROM labelled
+  UNION ALL SELECT 'ATTRIBUTE_IS_NULL', 'toxic', toxic IS NULL FROM labelled
+  UNION ALL SELECT 'TOO_SHORT', 'n_chars', coalesce(n_chars < 1000, false) FROM labelled)
+SELECT 'Test' AS validation_routine, code, 'documents' AS source_object_name, source_attribute_name,
+       count(*) AS rows, count(*) FILTER (WHERE fails) AS failed FROM rules GROUP BY code, source_attribute_name"""
+
+
 # --- policies ---------------------------------------------------------------------------------
 
 ADMIN, OTHER = "STEWARD", "ANALYST"
@@ -368,6 +424,8 @@ QUERIES: Registry = {
         _dq_branch("quality", 10000, "quality IS NULL"), _dq_branch("toxic", 10000, "toxic IS NULL"),
         _dq_branch("n_chars", 10001, "n_chars < 500")]))),
     "key_checks": (key_checks, KEY_CHECKS),
+    "keys_two_loads": (keys_two_loads, KEYS_TWO_LOADS),
+    "rules_two_loads": (rules_two_loads, RULES_TWO_LOADS),
     "mask_role": (mask_role, f"""
 SELECT c_custkey, c_name, '{ADMIN}' AS seen_by FROM customer
 UNION ALL SELECT c_custkey, '{policies.MASKED}', '{OTHER}' FROM customer"""),
