@@ -43,10 +43,10 @@ class KeyIndex:
         touched = self.table.touched(came)
         fresh = came.select(*self.keys, COUNT, F.col(COUNT).alias(LAST), F.lit(after).cast("long").alias(AT))
         both = self.table.read(version, touched).unionByName(fresh)
-        # A key's newest load has the highest version, and the old row at most `version`.
-        merged = both.groupBy(*self.keys).agg(F.sum(COUNT).alias(COUNT), F.max(F.struct(AT, LAST)).alias("_newest"))
-        self.table.write(merged.select(*self.keys, COUNT, F.col(f"_newest.{LAST}").alias(LAST), F.col(f"_newest.{AT}").alias(AT)),
-                         after, version, touched)
+        # A key has at most its old row and a fresh one; longs alone, so it stays a hash aggregation.
+        newest = F.coalesce(F.max(F.when(F.col(AT) == after, F.col(LAST))), F.max(LAST)).alias(LAST)
+        merged = both.groupBy(*self.keys).agg(F.sum(COUNT).alias(COUNT), newest, F.max(AT).alias(AT))
+        self.table.write(merged, after, version, touched)
         return touched
 
     def violations(self, version: int, primary: bool = True) -> DataFrame:
