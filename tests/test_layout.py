@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 
+from tidemark.operators import layout
 from tidemark.operators.layout import (
     clustering_report, column_reports, file_spans, quantile_borders, report_path, with_z_rank, write_clustered, write_z_ordered,
 )
@@ -82,3 +83,35 @@ def test_footer_report_reads_no_column_data(spark, tmp_path):
     spark.createDataFrame([("a",)], "s string").write.parquet(f"{tmp_path}/texts")
     with pytest.raises(TypeError, match="no exact ends"):
         footer_spans(spark, f"{tmp_path}/texts", ["s"])
+
+
+@pytest.mark.parametrize("scanned", [False, True])
+def test_files_larger_than_a_sort_are_sorted_ranges(spark, tmp_path, monkeypatch, scanned):
+    """Four files of 2,500 rows, of which a task sorts at most some 500: as many files, disjoint and sorted, copies included."""
+    monkeypatch.setattr(layout, "ROWS_PER_SORT", 500)
+    sizes = []
+    kept = layout.sorted_by_range
+    monkeypatch.setattr(layout, "sorted_by_range", lambda df, by, n, spread: sizes.append(n) or kept(df, by, n, spread))
+    spark.range(10_000).selectExpr("if(id % 4 = 0, 7, cast(xxhash64(id) % 1000 as int)) a", "if(id % 4 = 0, 0, id) id").write.parquet(f"{tmp_path}/in")
+    df = spark.read.parquet(f"{tmp_path}/in")
+    write_clustered(df, ["a"], 4, f"{tmp_path}/out", scanned)
+    write_z_ordered(df, ["a", "id"], 4, f"{tmp_path}/z", scanned=scanned)
+    assert sizes == [20, 20]
+    for path in ("out", "z"):
+        out = spark.read.parquet(f"{tmp_path}/{path}")
+        assert out.exceptAll(df).isEmpty() and out.count() == 10_000 and out.columns == df.columns
+        assert len(file_spans(spark, f"{tmp_path}/{path}", ["a"]).collect()) == 4
+    spans = sorted((r.lo_a, r.hi_a) for r in file_spans(spark, f"{tmp_path}/out", ["a"]).collect())
+    assert all(hi <= lo for (_, hi), (lo, _) in zip(spans, spans[1:]))
+    placed = spark.read.parquet(f"{tmp_path}/out").selectExpr("_metadata.file_name f", "_metadata.row_index r", "a").orderBy("f", "r").collect()
+    assert all(x.f != y.f or x.a <= y.a for x, y in zip(placed, placed[1:]))
+
+
+def test_one_file_for_each_value_without_a_sort(spark, tmp_path):
+    """Values that a hash deals to one task have a file each, and so has NULL; the write sorts nothing."""
+    df = spark.range(4000).selectExpr("if(id % 9 = 8, null, id % 9 * 5) v", "id")
+    layout.write_by_value(df, df.v + 0, f"{tmp_path}/v")
+    spans = file_spans(spark, f"{tmp_path}/v", ["v"]).collect()
+    assert len(spans) == 9 and all(r.lo_v == r.hi_v for r in spans) and sum(r.rows for r in spans) == 4000
+    layout.write_by_value(df.filter("id < 0"), df.v, f"{tmp_path}/none")
+    assert spark.read.parquet(f"{tmp_path}/none").count() == 0

@@ -3,28 +3,75 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.ordered import running_sum, sorted_by_range
-from tidemark.session import cut_lineage
+from tidemark.operators.ordered import IDENTITY, running_sum, scan_identity, sorted_by_range
+from tidemark.session import cut_lineage, new_folder
+from tidemark.sources.files import folder_names
 from tidemark.sources.footers import EXACT, footer_spans, footers_reachable
 
 # Bits of a column's place in a Z-order: at most 255 borders a column.
 Z_BITS = 8
+# Rows one task sorts, however many a file gets.
+ROWS_PER_SORT = 1_000_000
 
 
-def write_clustered(df: DataFrame, exprs: Sequence[str | Column], n_files: int, path: str) -> None:
+def _write_sorted(df: DataFrame, by: Sequence[Column], n_files: int, path: str, names: Sequence[str], scanned: bool) -> None:
+    """Write `names` of rows sorted by `by` as `n_files` files of disjoint ranges.
+
+    A file of more than ROWS_PER_SORT rows is sorted as several ranges, each by a task and written to
+    the shared folder; one task then copies them, in order, into the file. What a task sorts so stays
+    the same as files grow, and the plan has one scan for each ROWS_PER_SORT rows.
+    """
+    order = list(by)
+    if scanned:
+        df, order = scan_identity(df), [*order, *IDENTITY]
+    ranges = -(-df.count() // (n_files * ROWS_PER_SORT))
+    spread = False if scanned else None
+    if ranges <= 1:
+        sorted_by_range(df, order, n_files, spread).select(*names).write.parquet(path)
+        return
+    spark, folder = df.sparkSession, new_folder(df.sparkSession, "ranges")
+    ranged = sorted_by_range(df, order, n_files * ranges, spread).select(*names)
+    ranged.write.option("maxRecordsPerFile", 0).parquet(folder)
+    files = [[] for _ in range(n_files)]
+    for name in folder_names(spark, folder):
+        if name.startswith("part-"):
+            files[int(name.split("-")[1]) // ranges].append(spark.read.schema(ranged.schema).parquet(f"{folder}/{name}"))
+    union = lambda frames: reduce(DataFrame.unionAll, frames)
+    # Frames of one partition each would be laid over each other by the union; one of another partitioning prevents that.
+    apart = spark.createDataFrame([], ranged.schema)
+    union([*[union(parts).coalesce(1) for parts in files if parts], apart]).write.parquet(path)
+
+
+def write_clustered(df: DataFrame, exprs: Sequence[str | Column], n_files: int, path: str, scanned: bool = False) -> None:
     """Write range-partitioned, sorted files, so that file and row-group statistics prune scans.
 
     A hash of the row ends the order: a key with few values (a boolean, a hot day) still fills all
-    files instead of one per value.
+    files instead of one per value. `scanned` says that `df` is a file scan, whose rows need not be
+    written to tell copies apart.
     """
     columns = [F.expr(e) if isinstance(e, str) else e for e in exprs]
-    sorted_by_range(df, [*columns, F.xxhash64(*df.columns)], n_files).write.parquet(path)
+    _write_sorted(df, [*columns, F.xxhash64(*df.columns)], n_files, path, df.columns, scanned)
+
+
+def write_by_value(df: DataFrame, part: Column, path: str) -> None:
+    """Write one file for each value of `part`, NULL included; there should be few.
+
+    Rows are dealt by the place of their value, so no task gets two values and none sorts.
+    """
+    values = sorted((r[0] for r in df.select(part.alias("v")).distinct().collect()), key=lambda v: (v is not None, v))
+    if not values:
+        df.write.parquet(path)
+        return
+    known = [v for v in values if v is not None]
+    place = F.lit(0) if not known else F.coalesce(F.array_position(F.array(*[F.lit(v) for v in known]), part), F.lit(0)).cast("int")
+    df.repartitionById(len(known) + 1, place).write.parquet(path)
 
 
 def _scaled(column: str, kind: T.DataType) -> Column:
@@ -80,15 +127,17 @@ def with_z_rank(df: DataFrame, columns: Sequence[str], borders: Sequence[Sequenc
     return placed.select(*[F.col(c) for c in df.columns], rank.alias(alias))
 
 
-def write_z_ordered(df: DataFrame, columns: Sequence[str], n_files: int, path: str, bits: int = Z_BITS) -> None:
+def write_z_ordered(df: DataFrame, columns: Sequence[str], n_files: int, path: str, bits: int = Z_BITS,
+                    scanned: bool = False) -> None:
     """Write files by ranges of a Z-order, so that statistics prune scans on each of the columns.
 
     With k columns a file spans about the k-th root of `n_files`-th part of each column's values, where
     files sorted by one column span all values of the others. Places come from quantiles, so skewed
-    columns are cut by rows and not by value; a hash of the row ends the order.
+    columns are cut by rows and not by value; a hash of the row ends the order. `scanned` is as for
+    `write_clustered`.
     """
     ranked = with_z_rank(df, columns, quantile_borders(df, columns, bits), "_z_rank", bits)
-    sorted_by_range(ranked, ["_z_rank", F.xxhash64(*df.columns)], n_files).drop("_z_rank").write.parquet(path)
+    _write_sorted(ranked, [F.col("_z_rank"), F.xxhash64(*df.columns)], n_files, path, df.columns, scanned)
 
 
 def write_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str, mode: str = "overwrite") -> None:

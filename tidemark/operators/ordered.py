@@ -21,10 +21,14 @@ SLICE, HOT = "_slice", "_hot"
 ROWS_PER_SLICE = 5_000_000
 
 
+def scan_identity(df: DataFrame) -> DataFrame:
+    """Adds the identity of a row of a file scan: a hash of the file's path, which is shorter, and the row's number there."""
+    return df.select("*", F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"))
+
+
 def _identified(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and give every row a fixed identity, so that equal rows can be told apart."""
-    fixed = cut_lineage(df, label)
-    return fixed.select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.row_index").alias("_r"))
+    return scan_identity(cut_lineage(df, label))
 
 
 IDENTITY = ["_f", "_r"]

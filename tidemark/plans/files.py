@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tidemark.functions import text
 from tidemark.operators.enrich import enrich_files, external_function
 from tidemark.operators.joins import union_all
-from tidemark.operators.layout import column_reports, file_spans, report_path, with_z_rank, write_clustered, write_z_ordered
+from tidemark.operators.layout import column_reports, file_spans, report_path, with_z_rank, write_by_value, write_clustered, write_z_ordered
 from tidemark.operators.monitor import daily_spend
 from tidemark.operators.nested import json_path, nested_view
 from tidemark.operators.quality import Check, run_checks
@@ -401,9 +401,8 @@ def clustered_write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = new_folder(spark, "layout")
     # One file for each year, and one for each supplier number modulo 8: their ranges follow from the rows.
     for layout, part in (("by_year", F.year("l_shipdate")), ("by_supplier", F.col("l_suppkey") % 8)):
-        rows = lineitem.withColumn("part", part)
-        rows.repartition("part").write.partitionBy("part").parquet(f"{base}/{layout}")
-    write_clustered(lineitem, ["l_shipdate"], 8, f"{base}/clustered")
+        write_by_value(lineitem, part, f"{base}/{layout}")
+    write_clustered(lineitem, ["l_shipdate"], 8, f"{base}/clustered", scanned=True)
     reports = []
     for layout in ("by_year", "by_supplier", "clustered"):
         report = report_path(spark, f"{base}/{layout}", ["l_shipdate"])
