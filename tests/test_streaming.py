@@ -410,3 +410,15 @@ def test_on_change(spark):
     df = spark.createDataFrame([(1,)], "x int")
     assert feeds.on_change(df, lambda f: ran.append(f.count())) and not feeds.on_change(df.limit(0), ran.append)
     assert ran == [1]
+
+
+def test_reading_a_log_deals_no_load_to_one_task(spark, tmp_path):
+    """The loads that count are sent to the rows, which are neither shuffled nor sorted by load."""
+    log = AppendLog(spark, f"{tmp_path}/t")
+    for now in (NOW1, NOW2):
+        log.append(lambda first: spark.range(first, first + 100, numPartitions=4).toDF("sk"), now)
+    spark.range(5).toDF("sk").write.parquet(f"{tmp_path}/t/load=2/try=beaten")
+    read = log.read()
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "Sort" not in plan
+    assert sorted(r.sk for r in read.collect()) == list(range(1, 201))

@@ -66,7 +66,8 @@ class AppendLog:
         reader = self.spark.read if schema is None else self.spark.read.schema(T.StructType([*schema, *own]))
         made = self.ledger.rows(state).filter(F.col("entity") == self.name).select(F.col("version").alias("load"), F.col("attempt").alias("try"))
         stored = reader.parquet(folder).withColumn("load", F.col("load").cast("long"))
-        return stored.join(made, ["load", "try"], "left_semi").drop("load", "try")
+        # One row for each load, hence the broadcast; a shuffle would bring all rows of a load to one task.
+        return stored.join(F.broadcast(made), ["load", "try"], "left_semi").drop("load", "try")
 
     def read(self, schema: T.StructType | None = None) -> DataFrame:
         """Rows of all loads that count."""
