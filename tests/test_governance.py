@@ -152,3 +152,11 @@ def test_constructor(spark):
     assert built.ddl() == "employee_id decimal(10,0), salary decimal(10,2), loaded timestamp_ntz"
     assert built.target["pay"].dataType == T.DecimalType(18, 4)
     assert (built.primary_key, built.attributes, built.date_keys) == (("employee_id",), ("salary",), ("loaded",))
+
+
+def test_key_checks_group_each_key_once(spark):
+    """A key's rows are counted before and after the shuffle and not grouped again; NULL keys are one group."""
+    df = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (None, 3), (None, 3)], "a int, b int")
+    found = check_keys(df, primary=["a"], not_null=["a"])
+    assert found._jdf.queryExecution().executedPlan().toString().count("HashAggregate") == 4
+    assert sorted(tuple(r) for r in found.collect()) == [("not_null", "a", "NULL", 2), ("primary", "a", "1", 2), ("primary", "a", "NULL", 2)]

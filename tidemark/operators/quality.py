@@ -98,9 +98,9 @@ def check_keys(df: DataFrame, primary: Sequence[str] = (), unique: Sequence[Sequ
         return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
 
     def report(rule: str, cols: Sequence[str], bad: DataFrame) -> DataFrame:
-        counted = bad.groupBy(*cols).agg(F.sum("_n").alias("_n"))
-        return counted.select(F.lit(rule).alias("rule"), F.lit(",".join(cols)).alias("columns"),
-                              keyed(cols).alias("key"), F.col("_n").alias("row_count"))
+        # `bad` has one row for each key already.
+        return bad.select(F.lit(rule).alias("rule"), F.lit(",".join(cols)).alias("columns"),
+                          keyed(cols).alias("key"), F.col("_n").alias("row_count"))
 
     def present(cols: Sequence[str]) -> Column:
         test = F.lit(True)
