@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import rows
+from tidemark.plans import files as plans_files
+from tidemark.session import new_folder
 from tidemark.operators import layout, nested
 from tidemark.operators.enrich import create_table_function, enrich_files, run_query
 from tidemark.sources import delimited, files, records, relations
@@ -220,3 +222,13 @@ def test_line_ends_blank_lines_and_open_quotes(spark, tmp_path):
 def test_line_breaks_need_their_format(spark, tmp_path):
     with pytest.raises(Exception, match="line break"):
         unload(spark.createDataFrame([("a\nb",)], "t string"), f"{tmp_path}/out")
+
+
+def test_binary_enrich_files_stay_small(spark, sf_dir, monkeypatch):
+    """No file that an extractor takes as one value has more documents than the bound, however many there are."""
+    folders = []
+    monkeypatch.setattr(plans_files, "DOCUMENTS_PER_FILE", 5, raising=False)
+    monkeypatch.setattr(plans_files, "new_folder", lambda s, label: folders.append(new_folder(s, label)) or folders[-1])
+    total = plans_files.binary_enrich(spark, sf_dir).first()
+    lines = spark.read.text(folders[0]).groupBy(F.col("_metadata.file_path")).count().agg(F.max("count"), F.sum("count")).first()
+    assert lines[0] <= 5 and lines[1] == total.lines

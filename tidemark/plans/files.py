@@ -367,11 +367,15 @@ def describer():
     return describe
 
 
+DOCUMENTS_PER_FILE = 500
+
+
 def binary_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every unloaded file passes an extractor; its answers are added up."""
     docs = load(spark, sf_dir, "documents").select(F.regexp_replace("text", "\n", " ").alias("value"))
     folder = new_folder(spark, "binary")
-    docs.repartition(16).write.text(folder)
+    # A file is one value in a worker, so files have so many documents at most, however many there are.
+    docs.write.option("maxRecordsPerFile", DOCUMENTS_PER_FILE).text(folder)
     rows = enrich_files(files.read_binary(spark, folder, "*.txt"), describer())
     return rows.agg(
         F.sum(json_path("data", "$.chars", "bigint")).alias("chars"), F.sum(json_path("data", "$.lines", "bigint")).alias("lines"))
