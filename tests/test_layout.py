@@ -115,3 +115,14 @@ def test_one_file_for_each_value_without_a_sort(spark, tmp_path):
     assert len(spans) == 9 and all(r.lo_v == r.hi_v for r in spans) and sum(r.rows for r in spans) == 4000
     layout.write_by_value(df.filter("id < 0"), df.v, f"{tmp_path}/none")
     assert spark.read.parquet(f"{tmp_path}/none").count() == 0
+
+
+def test_z_order_report_writes_no_copy_to_tell_rows_apart(spark, sf_dir, monkeypatch):
+    """Rows of a scan have their file and number there, so none of the layouts writes them first, however many there are."""
+    from tidemark.operators import ordered
+    from tidemark.plans import files as plans_files
+
+    monkeypatch.setattr(ordered, "cut_lineage", None)
+    kept = ordered.more_rows_than
+    monkeypatch.setattr(ordered, "more_rows_than", lambda df, n: kept(df, 100 if "l_quantity" in df.columns else n))
+    assert plans_files.z_order_report(spark, sf_dir).count() == 4

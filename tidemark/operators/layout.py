@@ -18,7 +18,7 @@ from tidemark.sources.footers import EXACT, footer_spans, footers_reachable
 # Bits of a column's place in a Z-order: at most 255 borders a column.
 Z_BITS = 8
 # Rows one task sorts, however many a file gets.
-ROWS_PER_SORT = 1_000_000
+ROWS_PER_SORT = 2_500_000
 
 
 def _write_sorted(df: DataFrame, by: Sequence[Column], n_files: int, path: str, names: Sequence[str], scanned: bool) -> None:

@@ -453,8 +453,8 @@ def z_order_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lineitem = load(spark, sf_dir, "lineitem")
     base, keys = new_folder(spark, "z-order"), ["l_shipdate", "l_partkey"]
-    write_clustered(lineitem, keys, 16, f"{base}/sorted")
-    write_z_ordered(lineitem, keys, 16, f"{base}/z_order")
+    write_clustered(lineitem, keys, 16, f"{base}/sorted", scanned=True)
+    write_z_ordered(lineitem, keys, 16, f"{base}/z_order", scanned=True)
     reports = []
     for layout in ("sorted", "z_order"):
         path = f"{base}/{layout}"
