@@ -7,7 +7,7 @@ import pytest
 from cases import LONG, ODD, clashing
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models, pre_tokenizers
 
 from tidemark.llm import bpe, queries, token_files
 from tidemark.session import new_folder
@@ -36,6 +36,53 @@ def test_piecewise_ids_equal_whole_ids(texts):
     assert [x.tolist() for x in parts] == [plain(BYTES, t) for t in texts]
 
 
+SHARED = token_files.PieceEncoder(BYTES)
+SPACED = st.text(st.sampled_from("ab'stmdrevl '  \n\t\r1२½.!_|\xa0\x85\x1c\u2028\u3000\x00ßé́ñ好ʼ’ǅ🙂"), max_size=40)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(SPACED, max_size=5))
+def test_words_are_cut_as_the_tokenizer_cuts(texts):
+    words, counts = SHARED._cut(texts)
+    got = iter(w.decode() for w in words.to_pylist())
+    for text, n in zip(texts, counts.tolist()):
+        want = [text[a:b] for _, (a, b) in BYTES.pre_tokenizer.pre_tokenize_str(text)]
+        assert [next(got) for _ in range(n)] == want
+
+
+class Counting:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, 0
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **kwargs):
+        self.given += sum(map(len, texts))
+        return self.tokenizer.encode_batch_fast(texts, **kwargs)
+
+
+def test_long_white_space_and_punctuation_do_not_ask_for_whole_texts():
+    texts = ["  it's\t a word,\n\n a word. " * 500, "word; word: (word) word!\r\n" * 500]
+    counting = Counting(BYTES)
+    encoder = token_files.PieceEncoder(counting)
+    ids, lengths = encoder.encode_batch(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == [plain(BYTES, t) for t in texts]
+    assert counting.given == 0 and len(encoder.words.number) < 30
+
+
+def test_other_tokenizers_encode_whole_texts():
+    texts = ["ab ab! é", "", "  abab", None, "<s>ab ab"]
+    for prefix, regex in ((False, True), (True, True), (False, False)):
+        tokenizer = Tokenizer(models.BPE(vocab={"a": 0, "b": 1, "Ġ": 2, "ab": 3, "Ġab": 4}, merges=[("a", "b"), ("Ġ", "ab")]))
+        tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=prefix, use_regex=regex)
+        tokenizer.add_special_tokens(["<s>"])
+        ids, lengths = token_files.PieceEncoder(tokenizer).encode_batch(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == [plain(tokenizer, t) for t in texts]
+
+
 def test_small_chunks_are_reused_and_repaired(monkeypatch):
     monkeypatch.setattr(bpe, "CHUNK_BITS", 4)
     monkeypatch.setattr(bpe, "CHUNK_MAX", 40)

@@ -97,9 +97,9 @@ class Pieces:
         self.used = np.zeros(0, np.int32)
         self.flat, self.filled, self.clock = np.zeros(1 << 14, np.int32), 0, 0
 
-    def _learn(self) -> None:
-        new, self.number.new = self.number.new, []
-        plain = [w.decode() if isinstance(w, bytes) else w for w in new]
+    def _encode(self, words: list[bytes | str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in order, number of ids of each word), from the tokenizer."""
+        plain = [w.decode() if isinstance(w, bytes) else w for w in words]
         easy = [w for w in plain if self.mark not in w] if self.between is not None else []
         texts = [self.joiner.join(easy[i:i + JOINED]) for i in range(0, len(easy), JOINED)]
         hard = plain if not easy else [w for w in plain if self.mark in w]
@@ -115,8 +115,12 @@ class Pieces:
             parts.update(zip(own, [ids[a:b] for a, b in zip([0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])]))
         parts.update((w, np.array(c.ids, np.int32)) for w, c in zip(hard, coded[len(texts):]))
         ids = [parts[w] for w in plain]
-        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-        at, total = len(self.number) - len(new), int(sizes.sum())
+        return np.concatenate(ids), np.fromiter(map(len, ids), np.int32, len(ids))
+
+    def _learn(self) -> None:
+        new, self.number.new = self.number.new, []
+        ids, sizes = self._encode(new)
+        at, total = len(self.number) - len(new), len(ids)
         if len(self.number) > len(self.size):
             more = max(len(self.number) - len(self.size), len(self.size) // 2, 1 << 12)
             self.size, self.start, self.used = (np.r_[x, np.zeros(more, x.dtype)] for x in (self.size, self.start, self.used))
@@ -124,19 +128,27 @@ class Pieces:
             self.flat = np.r_[self.flat, np.zeros(max(total, len(self.flat) // 2), np.int32)]
         self.size[at:at + len(new)] = sizes
         self.start[at:at + len(new)] = self.filled + np.cumsum(sizes) - sizes
-        self.flat[self.filled:self.filled + total] = np.concatenate(ids)
+        self.flat[self.filled:self.filled + total] = ids
         self.filled += total
 
-    def ids(self, words: list[bytes | str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words in order, number of ids of each word)."""
+    def look_up(self, words: list[bytes | str]) -> np.ndarray:
+        """Number of each word until the next `trim`; new words are encoded."""
         number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         if self.number.new:
             self._learn()
         self.used[number] = self.clock
+        return number
+
+    def gather(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in order, number of ids of each word) of words looked up."""
         sizes = self.size[number].astype(np.int64)
         shift = self.start[number] - (np.cumsum(sizes) - sizes)
         return self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
 
+    def ids(self, words: list[bytes | str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in order, number of ids of each word)."""
+        return self.gather(self.look_up(words))
+
     def trim(self, most: int | None = None) -> None:
         """Between batches: keep the more recently used half once there are too many words, or the `most` used last."""
         self.clock += 1

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import re
+import json
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 ESCAPE = 15
 CACHE_PIECES = 500_000
+LEARNED = 20
 BLOCK = 1024
 MAGIC = b"TW8B"
 _HEADER = struct.Struct("<4sIIIQQ")
@@ -136,48 +138,148 @@ def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray,
     return keys, lengths.astype(np.int64), unpack(words, firsts, escaped, n_ids), before
 
 
-# White space other than single spaces and line feeds, whose pieces depend on more than one neighbour.
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+# Classes of characters as the byte-level tokenizer's pattern has them; 0: not asked for yet.
+_LETTER, _DIGIT, _OTHER, _WHITE = 1, 2, 3, 4
+_SUFFIXES = ("s", "t", "m", "d", "re", "ve", "ll")
 
 
-def split_pieces(text: str, special: list[str]) -> list[str] | None:
-    """Pieces that the byte-level tokenizer encodes one by one: words with the space before, line feeds.
+class ByteWords(Pieces):
+    """Ids of the words that a byte-level tokenizer cuts texts into, as UTF-8.
 
-    A single space starts the piece of the word behind it and a single line feed is a piece, so
-    cutting there changes nothing. None where longer white space or a special token asks for the
-    whole text.
+    New words go to the tokenizer's own model, their bytes already written as its alphabet, so that
+    it need not search for words again. The lengths of the tokens tell whose they are.
     """
-    if ("  " in text or "\n\n" in text or " \n" in text or "\n " in text or "\x02" in text or text[-1:] in (" ", "\n")
-            or any(s in text for s in special) or _OTHER_SPACE.search(text)):
-        return None
-    return [p for p in text.replace(" ", "\x02 ").replace("\n", "\x02\n\x02").split("\x02") if p]
+
+    def __init__(self, tokenizer, spec: dict, limit: int):
+        from tokenizers import Tokenizer
+
+        super().__init__(tokenizer, "\n", limit)
+        bare = {**spec, "added_tokens": [], "post_processor": None, "decoder": None, "truncation": None, "padding": None,
+                "pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": "\n"}}
+        self.bare = Tokenizer.from_str(json.dumps(bare))
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = np.arange(256, dtype="<u2")
+        self.alphabet[[b for b in range(256) if b not in shown]] = np.arange(256, 512 - len(shown))
+        self.alphabet[255] = ord("\n")  # In no UTF-8.
+        vocab = self.bare.get_vocab()
+        self.n_bytes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
+        self.n_bytes[list(vocab.values())] = [len(t) for t in vocab]
+
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        text = self.alphabet[np.frombuffer(b"\xff".join(words), np.uint8)].tobytes().decode("utf-16-le")
+        cuts = [0, *(ends + np.arange(1, len(words) + 1))[LEARNED - 1:-1:LEARNED].tolist(), len(text) + 1]
+        coded = self.bare.encode_batch_fast([text[a:b - 1] for a, b in zip(cuts, cuts[1:])], add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(c.ids for c in coded), np.int32)
+        reached = np.cumsum(self.n_bytes[ids])
+        last = np.searchsorted(reached, ends)
+        if not len(ids) or reached[-1] != ends[-1] or (reached[last] != ends).any():
+            # A byte the model does not know.
+            coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+            sizes = np.fromiter((len(c.ids) for c in coded), np.int64, len(coded))
+            return np.fromiter(chain.from_iterable(c.ids for c in coded), np.int32), sizes
+        return ids, np.diff(last, prepend=-1)
 
 
 class PieceEncoder:
-    """Byte-level ids of whole texts; pieces met again are not encoded again."""
+    """Byte-level ids of whole texts; words met again are not encoded again.
+
+    Texts that hold an added token, and all texts of a tokenizer that cuts words otherwise, are
+    encoded whole.
+    """
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.pieces = tokenizer, Pieces(tokenizer, "\n", CACHE_PIECES)
+        self.tokenizer = tokenizer
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        spec = json.loads(tokenizer.to_str())
+        cutter, model = spec["pre_tokenizer"] or {}, spec["model"]
+        known = (spec["normalizer"] is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True)
+                 and not cutter["add_prefix_space"] and model["type"] == "BPE" and not model["dropout"]
+                 and not model["continuing_subword_prefix"] and not model["end_of_word_suffix"])
+        self.words = ByteWords(tokenizer, spec, CACHE_PIECES) if known else None
+        self.classes = np.zeros(0x110000, np.uint8)  # By code point.
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, number of ids of each)."""
-        split = [split_pieces(t or "", self.special) for t in texts]
-        ids, sizes = self.pieces.ids([p for own in split if own for p in own])
-        self.pieces.trim()
-        counts = np.array([0, *(len(own or ()) for own in split)], np.int64)
-        ends = np.r_[0, np.cumsum(sizes)][np.cumsum(counts)]
+        whole = [i for i, t in enumerate(texts) if t and (self.words is None or any(s in t for s in self.special))]
+        rest = [t or "" for t in texts]
+        for i in whole:
+            rest[i] = ""
+        words, counts = self._cut(rest)
+        if len(words):
+            found = words.dictionary_encode()
+            numbers = self.words.look_up(found.dictionary.to_numpy(zero_copy_only=False).tolist())
+            ids, sizes = self.words.gather(numbers[found.indices.to_numpy()])
+            self.words.trim()
+        else:
+            ids, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        ends = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(counts)]]
         lengths = np.diff(ends)
-        whole = [i for i, own in enumerate(split) if own is None]
         if whole:
             coded = self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)
-            parts = np.split(ids, ends[1:-1]) if len(ends) > 2 else [ids]
+            parts = np.split(ids, ends[1:-1])
             for i, c in zip(whole, coded):
                 parts[i] = np.array(c.ids, np.int32)
                 lengths[i] = len(parts[i])
             ids = np.concatenate(parts)
         return ids, lengths
 
+    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """(words of all texts, number of words of each), cut where the tokenizer's own pattern cuts.
+
+        That is 's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+ from left to right:
+        runs of a class, with one space before; of longer white space the last character is apart.
+        """
+        joined = "".join(texts)
+        if not joined:
+            return pa.array([], pa.binary()), np.zeros(len(texts), np.int64)
+        borders = np.r_[0, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))]
+        chars = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        kind = self._kinds(chars)
+        edge = np.zeros(len(chars) + 1, bool)
+        edge[borders] = True
+        change = edge[:-1].copy()
+        change[1:] |= kind[1:] != kind[:-1]
+        white = kind == _WHITE
+        # The last white character before another one, and the characters that take a space in.
+        before = white[:-1] & ~white[1:] & ~edge[1:-1]
+        start = change
+        start[:-1] |= before
+        start[1:] &= ~(before & (chars[:-1] == ord(" ")))
+        self._contract(chars, start, edge)
+        at = np.flatnonzero(start)
+        data = joined.encode()
+        offsets = np.r_[at, len(chars)]
+        if len(data) > len(chars):
+            width = np.ones(len(chars), np.uint8)
+            for least in (0x80, 0x800, 0x10000):
+                width += chars >= least
+            offsets = np.r_[0, np.cumsum(width, dtype=np.int32)][offsets]
+        words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)])
+        return words, np.diff(np.searchsorted(at, borders))
+
+    def _contract(self, chars: np.ndarray, start: np.ndarray, edge: np.ndarray) -> None:
+        """Keep an apostrophe that starts a word with the letters of a suffix, and cut behind these."""
+        marks = np.flatnonzero(start & (chars == ord("'")))
+        for suffix in _SUFFIXES:
+            found = marks[marks + len(suffix) < len(chars)]
+            for j, letter in enumerate(suffix, 1):
+                found = found[(chars[found + j] == ord(letter)) & ~edge[found + j]]
+            start[found + 1] = False
+            behind = found + len(suffix) + 1
+            start[behind[behind < len(chars)]] = True
+
+    def _kinds(self, chars: np.ndarray) -> np.ndarray:
+        """Each character's class; the tokenizer itself is asked once for each character, by what it joins."""
+        kind = self.classes[chars]
+        if not kind.all():
+            cut = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            for char in np.unique(chars[kind == 0]).tolist():
+                joins = (k for k, other in ((_LETTER, "a"), (_DIGIT, "1"), (_OTHER, ".")) if len(cut(other + chr(char))) == 1)
+                self.classes[char] = next(joins, _WHITE)
+            kind = self.classes[chars]
+        return kind
+
 
 _ENCODERS: dict[str, PieceEncoder] = {}
 
