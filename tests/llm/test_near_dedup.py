@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 from cases import ODD, clashing
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import components, embeddings, lines, queries, simhash
@@ -235,3 +236,20 @@ def test_a_copy_with_short_lines_leaves_the_pipeline_whole(spark, documents):
     out = corpus_pipeline.line_dedup(spark, documents(SHORT_LINES), "")
     assert {r["doc_id"] for r in out.collect()} == {1, 3, 4, 5}
     assert 2 not in {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, out, "").collect()}
+
+
+def test_the_key_filter_sends_no_text_through_python(spark, documents):
+    rows = [(i, f"text {i}" if i % 10 else None) for i in range(-1000, 1000)] + [(None, "no id")]
+    docs = documents(rows)
+    table = lines.KeyFilter(docs.filter("doc_id % 7 = 0"), "doc_id")
+    found = table.passing(docs, F.col("doc_id"))
+    assert found.columns == [*docs.columns, "may_hold"]
+    assert not any(x in found._jdf.queryExecution().executedPlan().toString() for x in ("MapInArrow", "Python", "Shuffle"))
+    got = found.collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=repr) == sorted(rows, key=repr)
+    assert all(r["may_hold"] for r in got if r["doc_id"] is not None and r["doc_id"] % 7 == 0)
+    assert sum(r["may_hold"] for r in got) < len([i for i, _ in rows if i is not None and i % 7 == 0]) + 20
+    twice = table.passing(found, F.col("doc_id"))
+    assert all(r["may_hold"] == r["_may_hold"] for r in twice.collect())
+    none = lines.KeyFilter(docs.filter("false"), "doc_id").passing(docs, F.col("doc_id"))
+    assert not any(r["may_hold"] for r in none.collect())

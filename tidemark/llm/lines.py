@@ -17,6 +17,9 @@ MIN_WORDS = 5
 # More lines than a text can have.
 LINES = 1 << 31
 FILTER_BITS = 1 << 26
+BLOCK_BITS = 1 << 15
+BLOCK_WORDS = BLOCK_BITS // 32
+FILTER_BLOCKS = FILTER_BITS // BLOCK_BITS
 # Bytes of text that a task takes apart at a time.
 SLICE = 1 << 20
 _NO_HALVES = bytes(32)
@@ -161,42 +164,46 @@ def _verified(pairs: DataFrame) -> DataFrame:
     return pairs.select("place", "text", "other").mapInArrow(lean(run), "place decimal(30,0)")
 
 
+def _filter_bits(key: Column) -> tuple[Column, list[Column]]:
+    """Block of a key in the bit table, and its two bits within the block."""
+    first, second = (F.xxhash64(F.lit(i), key) for i in range(2))
+    return F.pmod(first, F.lit(FILTER_BLOCKS)), [F.pmod(h, F.lit(BLOCK_BITS)).cast("int") for h in (F.shiftright(first, 32), second)]
+
+
 class KeyFilter:
-    """A bit table of fixed size that holds a set of keys; a key not in the set passes only rarely.
+    """A bit table of at most 8 MB that holds a set of keys; a key not in the set passes only rarely.
 
     It lets documents without any entry skip a shuffle. It may hold so many keys that all pass; then
-    nothing is skipped and the result is the same.
+    nothing is skipped and the result is the same. Tasks fill the table, block by block, and it is
+    joined by a broadcast: the rows, texts included, stay in Spark, none goes through Python.
     """
 
     def __init__(self, keys: DataFrame, key: str = "key"):
-        bits = F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(i), F.col(key)), F.lit(FILTER_BITS)) for i in range(2)]))
-        marked = keys.select(bits.alias("bit")).select(
+        block, bits = _filter_bits(F.col(key))
+        marked = keys.select(F.explode(F.array(*[block * BLOCK_BITS + b for b in bits])).alias("bit")).select(
             F.floor(F.col("bit") / 32).cast("int").alias("word"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("mask"))
         # One row at most for each of FILTER_BITS / 32 words.
-        rows = marked.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-        self.words = np.zeros(FILTER_BITS // 32, np.uint32)
-        if rows.num_rows:
-            self.words[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().astype(np.uint32)
-
-    def passing(self, df: DataFrame, key: Column) -> DataFrame:
-        """Rows of `df` with a new last column that tells whether the key may be in the set; no shuffle."""
-        words, at = self.words, [free_name(df, f"bit_{i}") for i in range(2)]
-        flag = free_name(df, "may_hold")
-        tagged = df.withColumns({c: F.pmod(F.xxhash64(F.lit(i), key), F.lit(FILTER_BITS)) for i, c in enumerate(at)})
-        schema = df.withColumn(flag, F.lit(True)).schema
-        shared = df.sparkSession.sparkContext.broadcast(words)
+        rows = marked.groupBy("word").agg(F.bit_or("mask").alias("mask")).withColumn("block", F.floor(F.col("word") / BLOCK_WORDS).cast("int"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = shared.value
+            table, held = np.zeros((FILTER_BLOCKS, BLOCK_WORDS), np.int32), np.zeros(FILTER_BLOCKS, bool)
             for batch in batches:
-                hold = np.ones(batch.num_rows, bool)
-                for c in at:
-                    bit = batch.column(c).to_numpy()
-                    hold &= (table[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1
-                rest = batch.select(range(batch.num_columns - 2))
-                yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(hold)], [*rest.schema.names, flag])
-
-        return tagged.mapInArrow(lean(run), schema)
+                word, mask, block = (batch.column(c).to_numpy() for c in ("word", "mask", "block"))
+                table.reshape(-1)[word] = mask.astype(np.uint32).view(np.int32)
+                held[block] = True
+            blocks = np.flatnonzero(held)
+            starts = np.arange(len(blocks) + 1, dtype=np.int32) * BLOCK_WORDS
+            yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.ListArray.from_arrays(starts, table[blocks].reshape(-1))], ["block", "words"])
+
+        self.table = cut_lineage(rows.repartition("block").mapInArrow(lean(run), "block long, words array<int>"), "bits")
+
+    def passing(self, df: DataFrame, key: Column) -> DataFrame:
+        """Rows of `df` with a new last column that tells whether the key may be in the set; no shuffle."""
+        block, words, flag = (free_name(df, c) for c in ("filter_block", "filter_words", "may_hold"))
+        at, bits = _filter_bits(key)
+        held = [F.getbit(F.get(words, F.shiftright(b, 5)), b.bitwiseAND(31)) == 1 for b in bits]
+        found = df.join(F.broadcast(self.table.toDF(block, words)), (F.col(block) == at) & held[0] & held[1], "left")
+        return found.select(*(F.col(f"`{c}`") for c in df.columns), F.col(block).isNotNull().alias(flag))
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", short_copies: bool = False) -> DataFrame:

@@ -16,6 +16,7 @@ from tidemark.llm.sample import Adam, fit_line, labelled_sample, sigmoid
 
 ACCEPT = 0.3
 ROUNDS = 120
+FIT_DOCS = 250
 DECAY = 1e-3
 
 
@@ -143,7 +144,9 @@ def fit(texts: list[str], labels: np.ndarray) -> QualityModel:
     """
     labels = np.asarray(labels, np.float64)
     prior = float((labels.sum() + 1) / (len(labels) + 2))
-    x, lengths, counts = line_features(texts)
+    # The words of a few documents at a time: those of the whole sample would take some 200 MB of the driver.
+    parts = [line_features(texts[i:i + FIT_DOCS]) for i in range(0, max(1, len(texts)), FIT_DOCS)]
+    x, lengths, counts = (np.concatenate(p) for p in zip(*parts))
     x = x.astype(np.float64)
     if not len(x) or labels.min() == labels.max():
         flat = float(np.log(prior / (1 - prior)))
