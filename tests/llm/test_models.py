@@ -264,3 +264,15 @@ def test_license_scan_of_odd_tables(documents):
     found = [(r["key"], [tuple(x) for x in r["licenses"]]) for r in got if r["licenses"]]
     assert sorted(found) == [(50, [("Apache-2.0", 1.0, 1, 2)]), (51, [("MIT", 1.0, 0, 0)])]
     assert licenses.scan_documents(documents([])).count() == 0
+
+
+def test_quality_trains_on_slices_of_the_sample(monkeypatch):
+    texts = [None, "", *(f"line {i} of good prose here\n\n| {i} | {i} !!!\nLINE {i % 3}" for i in range(60))]
+    labels, whole, sizes = np.arange(62) % 2, quality.line_features, []
+    once = quality.fit(texts, labels)
+    monkeypatch.setattr(quality, "FIT_DOCS", 7)
+    monkeypatch.setattr(quality, "line_features", lambda t: sizes.append(len(t)) or whole(t))
+    sliced = quality.fit(texts, labels)
+    assert max(sizes) == 7 and sum(sizes) == len(texts)
+    assert (once.weights == sliced.weights).all() and (once.trans == sliced.trans).all() and once.curve == sliced.curve
+    assert quality.fit([], np.zeros(0)).prior == 0.5
